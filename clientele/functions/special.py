@@ -15,6 +15,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 _SHIFT = 8
 _HALF_LOG_2PI = 0.5 * math.log(2.0 * math.pi)
@@ -34,12 +35,15 @@ def _stirling_lgamma(w: Column) -> Column:
 
 
 def lgamma(z) -> Column:
-    """log Γ(z) for z > 0 (absolute error below 1e-13)."""
+    """log Γ(z) for z > 0 (absolute error below 1e-13).
+
+    Γ(z) = Γ(z + 8) / (z (z+1) ... (z+7)); the product is taken in two halves
+    so it cannot overflow for any argument below 1e75.
+    """
     z = _lit(z)
-    shifted = _stirling_lgamma(z + _SHIFT)
-    for j in range(_SHIFT):
-        shifted = shifted - F.log(z + j)
-    return F.when(z >= _SHIFT, _stirling_lgamma(z)).otherwise(shifted)
+    lo = z * (z + 1) * (z + 2) * (z + 3)
+    hi = (z + 4) * (z + 5) * (z + 6) * (z + 7)
+    return _stirling_lgamma(z + _SHIFT) - F.log(lo) - F.log(hi)
 
 
 def _asym_digamma(w: Column) -> Column:
@@ -51,12 +55,13 @@ def _asym_digamma(w: Column) -> Column:
 
 
 def digamma(z) -> Column:
-    """ψ(z) = d/dz log Γ(z) for z > 0."""
+    """ψ(z) = d/dz log Γ(z) for z > 0 (recurrence to z + 8, then the
+    asymptotic series)."""
     z = _lit(z)
     shifted = _asym_digamma(z + _SHIFT)
     for j in range(_SHIFT):
         shifted = shifted - 1.0 / (z + j)
-    return F.when(z >= _SHIFT, _asym_digamma(z)).otherwise(shifted)
+    return shifted
 
 
 def hyp2f1_numpy(a, b, c, z, max_terms: int = 200_000) -> np.ndarray:
@@ -78,7 +83,7 @@ def hyp2f1_numpy(a, b, c, z, max_terms: int = 200_000) -> np.ndarray:
     return total
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def hyp2f1(a: pd.Series, b: pd.Series, c: pd.Series, z: pd.Series) -> pd.Series:
     out = hyp2f1_numpy(a.to_numpy(float), b.to_numpy(float), c.to_numpy(float),
                        z.to_numpy(float))

@@ -266,3 +266,116 @@ def q_churned_vs_active_returns(spark, sf):
     return churn.churned_vs_active_returns(_friction(spark, sf)).select(
         "churn_flag", F.round("avg_return_ratio", 6).alias("avg_return_ratio"),
         F.round("median_return_ratio", 9).alias("median_return_ratio"), "customer_count")
+
+
+# --- lifetime value (BG/NBD + Gamma-Gamma) ------------------------------------------------
+# Scores use the fixed published parameters so they are reproducible in SQL;
+# the two *_fit keys estimate the parameters from the data (row-count check).
+
+from clientele.operators import btyd  # noqa: E402
+
+
+def _round(df: DataFrame, cols: list[str], digits: int = 9) -> DataFrame:
+    """Round columns whose last bits depend on the engine's pow/summation
+    order.  Money-scale values keep 4 decimals (9 decimals on a 1e5 value
+    exceeds double precision)."""
+    def r(c):
+        return F.round(c, MONEY_DIGITS if c in MONEY_SCALE else digits).alias(c)
+    return df.select(*[r(c) if c in cols else F.col(c) for c in df.columns])
+
+
+MONEY_SCALE = {"clv_30d"}
+MONEY_DIGITS = 4
+
+
+def _clv_parts(spark, sf):
+    lr = features.lrfmpv_base(txn(spark, sf, _LRFMPV_COLS))
+    bg = btyd.bgnbd_score(btyd.bgnbd_inputs(lr), btyd.CDNOW_BGNBD)
+    gg = btyd.gg_score(btyd.gg_inputs(lr), btyd.CDNOW_GAMMA_GAMMA)
+    return lr, bg, gg
+
+
+def _clv(spark, sf):
+    lr, bg, gg = _clv_parts(spark, sf)
+    return lr, btyd.clv_table(bg, gg, lr)
+
+
+_CLV_ROUND = ["pred_30d", "p_alive", "clv_30d"]
+
+
+@query("bgnbd_inputs")
+def q_bgnbd_inputs(spark, sf):
+    return btyd.bgnbd_inputs(_lrfmpv(spark, sf))
+
+
+@query("bgnbd_score")
+def q_bgnbd_score(spark, sf):
+    return _round(_clv_parts(spark, sf)[1], ["pred_30d", "p_alive"])
+
+
+@query("bgnbd_averages")
+def q_bgnbd_averages(spark, sf):
+    return _round(btyd.bgnbd_averages(_clv_parts(spark, sf)[1]), ["avg_pred", "avg_alive"])
+
+
+@query("gg_inputs")
+def q_gg_inputs(spark, sf):
+    return btyd.gg_inputs(_lrfmpv(spark, sf))
+
+
+@query("gg_score")
+def q_gg_score(spark, sf):
+    return _clv_parts(spark, sf)[2]
+
+
+@query("clv_30d")
+def q_clv_30d(spark, sf):
+    return _round(_clv(spark, sf)[1], _CLV_ROUND)
+
+
+@query("target_customers")
+def q_target_customers(spark, sf):
+    return _round(btyd.target_customers(_clv(spark, sf)[1]), _CLV_ROUND)
+
+
+@query("clv_top10")
+def q_clv_top10(spark, sf):
+    return _round(btyd.clv_top(_clv(spark, sf)[1], 10), _CLV_ROUND)
+
+
+@query("bgnbd_fit")
+def q_bgnbd_fit(spark, sf):
+    est, ll, it, ok = btyd.fit_bgnbd(btyd.bgnbd_inputs(_lrfmpv(spark, sf)))
+    return btyd.fit_result_frame(spark, est, ll, it, ok)
+
+
+@query("gg_fit")
+def q_gg_fit(spark, sf):
+    est, ll, it, ok = btyd.fit_gamma_gamma(btyd.gg_inputs(_lrfmpv(spark, sf)))
+    return btyd.fit_result_frame(spark, est, ll, it, ok)
+
+
+# --- churn risk score ----------------------------------------------------------------------
+
+_CHURN_ROUND = _CLV_ROUND + ["p_alive_risk", "churn_score"]
+
+
+def _churn_scored(spark, sf):
+    lr, clv = _clv(spark, sf)
+    return churn.churn_risk(churn.churn_input(clv, lr))
+
+
+@query("churn_risk")
+def q_churn_risk(spark, sf):
+    return _round(_churn_scored(spark, sf), _CHURN_ROUND)
+
+
+@query("churn_segment_counts")
+def q_churn_segment_counts(spark, sf):
+    return churn.churn_segment_counts(_churn_scored(spark, sf))
+
+
+@query("score_summary")
+def q_score_summary(spark, sf):
+    s = churn.score_summary(_churn_scored(spark, sf))
+    return _round(s, ["min", "q1", "median", "mean", "q3", "max"])

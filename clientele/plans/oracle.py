@@ -323,3 +323,151 @@ ORACLE: dict[str, str] = {
                count(*) AS customer_count
         FROM signal GROUP BY churn_flag""",
 }
+
+
+# --- lifetime value and churn score ----------------------------------------------------------
+
+def _d(v: float) -> str:
+    """A double literal that parses to exactly the same IEEE value as in Python."""
+    return f"CAST({float(v)!r} AS DOUBLE)"
+
+
+def _clv_sql() -> str:
+    from clientele.operators.btyd import CDNOW_BGNBD as bg, CDNOW_GAMMA_GAMMA as gg
+    t = 30.0
+    xd = "CAST(x AS DOUBLE)"
+    jd = "CAST(j AS DOUBLE)"
+    step = f"(term * (ha + {jd}) * (hb + {jd}) / ((hc + {jd}) * ({jd} + {_d(1.0)})) * hz)"
+    return f"""
+bg_in AS (
+  SELECT customer_id, CAST(F - 1 AS BIGINT) AS x, CAST(L AS DOUBLE) AS t_x,
+         CAST(L + R AS DOUBLE) AS t_cal FROM lrfmpv
+),
+ser_in AS (
+  SELECT customer_id, {xd} + {_d(bg.r)} AS ha, {xd} + {_d(bg.b)} AS hb,
+         {xd} + {_d(bg.a + bg.b - 1.0)} AS hc, {_d(t)} / (t_cal + {_d(bg.alpha + t)}) AS hz
+  FROM bg_in
+),
+ser(customer_id, ha, hb, hc, hz, j, term, total, moving) AS (
+  SELECT customer_id, ha, hb, hc, hz, 0, {_d(1.0)}, {_d(1.0)}, true FROM ser_in
+  UNION ALL
+  SELECT customer_id, ha, hb, hc, hz, j + 1, {step}, total + {step},
+         (total + {step}) <> total AND isfinite(total + {step})
+  FROM ser WHERE moving
+),
+hyp AS (SELECT customer_id, max(total) AS h FROM ser GROUP BY customer_id),
+bg_alive AS (
+  SELECT b.*, CASE WHEN x > 0 THEN {_d(1.0)} / (({_d(bg.a)} / ({xd} + {_d(bg.b - 1.0)}))
+              * pow((t_cal + {_d(bg.alpha)}) / (t_x + {_d(bg.alpha)}), {xd} + {_d(bg.r)})
+              + {_d(1.0)}) ELSE {_d(1.0)} END AS p_alive
+  FROM bg_in b
+),
+bg_score AS (
+  SELECT a.customer_id, a.x, a.t_x, a.t_cal,
+         (({xd} + {_d(bg.a + bg.b - 1.0)}) / {_d(bg.a - 1.0)})
+         * ({_d(1.0)} - pow((t_cal + {_d(bg.alpha)}) / (t_cal + {_d(bg.alpha + t)}), {xd} + {_d(bg.r)})
+            * h.h) * a.p_alive AS pred_30d,
+         a.p_alive
+  FROM bg_alive a JOIN hyp h ON a.customer_id IS NOT DISTINCT FROM h.customer_id
+),
+gg_in AS (
+  SELECT customer_id, CAST(F - 1 AS BIGINT) AS x, M / CAST(F AS DOUBLE) AS m_x
+  FROM lrfmpv WHERE F - 1 > 0
+),
+gg_score AS (
+  SELECT customer_id, x, m_x,
+         CASE WHEN m_x > 0 THEN ((m_x * {xd} + {_d(gg.gamma)}) * {_d(gg.p)})
+                               / ({xd} * {_d(gg.p)} + {_d(gg.q - 1.0)}) END AS exp_avg_value
+  FROM gg_in
+),
+clv AS (
+  SELECT b.customer_id, b.pred_30d, b.p_alive, b.t_cal, b.t_x, g.exp_avg_value, l.F, l.M,
+         b.pred_30d * g.exp_avg_value AS clv_30d, b.t_cal - b.t_x AS recency_days
+  FROM bg_score b
+  LEFT JOIN gg_score g ON b.customer_id IS NOT DISTINCT FROM g.customer_id
+  LEFT JOIN lrfmpv l ON b.customer_id IS NOT DISTINCT FROM l.customer_id
+)"""
+
+
+CLV_WITH = f"WITH RECURSIVE {TXN}, {APP}, {LRFMPV}, {_clv_sql()}"
+
+CHURN = CLV_WITH + f""",
+ci AS (
+  SELECT c.*, l.L, l.R, l.P, l.V,
+         CASE WHEN l.P IS NULL OR l.P = 0 THEN NULL ELSE CAST(l.R AS DOUBLE) / l.P END AS recency_ratio
+  FROM clv c LEFT JOIN lrfmpv l ON c.customer_id IS NOT DISTINCT FROM l.customer_id
+),
+ranked AS (
+  SELECT *,
+    CASE WHEN recency_ratio IS NULL THEN NULL
+         ELSE percent_rank() OVER (PARTITION BY recency_ratio IS NULL ORDER BY recency_ratio) END
+      AS recency_risk,
+    CASE WHEN F IS NULL THEN NULL
+         ELSE percent_rank() OVER (PARTITION BY F IS NULL ORDER BY F) END AS f_rank
+  FROM ci
+),
+scored AS (
+  SELECT * EXCLUDE (f_rank),
+    {_d(1.0)} - p_alive AS p_alive_risk,
+    {_d(1.0)} - f_rank AS frequency_risk,
+    {_d(0.6)} * ({_d(1.0)} - p_alive) + {_d(0.25)} * recency_risk
+      + {_d(0.15)} * ({_d(1.0)} - f_rank) AS churn_score
+  FROM ranked
+),
+churn AS (
+  SELECT *,
+    CASE WHEN churn_score >= 0.75 THEN 'Critical' WHEN churn_score >= 0.55 THEN 'High Risk'
+         WHEN churn_score >= 0.35 THEN 'Medium Risk' ELSE 'Healthy' END AS churn_segment,
+    CASE WHEN churn_score >= 0.75 THEN 'Immediate winback campaign'
+         WHEN churn_score >= 0.55 THEN 'Targeted retention campaign'
+         WHEN churn_score >= 0.35 THEN 'Engagement / reminder campaign'
+         ELSE 'Maintain / loyalty nurturing' END AS churn_action
+  FROM scored
+)"""
+
+
+def _r(cols: list[str], table: str, all_cols: list[str], digits: int = 9) -> str:
+    sel = [f"round({c}, {4 if c == 'clv_30d' else digits}) AS {c}" if c in cols else c
+           for c in all_cols]
+    return f"SELECT {', '.join(sel)} FROM {table}"
+
+
+_CLV_COLS = ["customer_id", "pred_30d", "p_alive", "t_cal", "t_x", "exp_avg_value", "F", "M",
+             "clv_30d", "recency_days"]
+_CLV_R = ["pred_30d", "p_alive", "clv_30d"]
+_CHURN_COLS = _CLV_COLS + ["L", "R", "P", "V", "recency_ratio", "recency_risk", "p_alive_risk",
+                           "frequency_risk", "churn_score", "churn_segment", "churn_action"]
+
+ORACLE.update({
+    "bgnbd_inputs": f"""WITH {TXN}, {APP}, {LRFMPV}
+        SELECT customer_id, CAST(F - 1 AS BIGINT) AS x, CAST(L AS DOUBLE) AS t_x,
+               CAST(L + R AS DOUBLE) AS t_cal FROM lrfmpv""",
+    "bgnbd_score": CLV_WITH + " " + _r(["pred_30d", "p_alive"], "bg_score",
+                                       ["customer_id", "x", "t_x", "t_cal", "pred_30d", "p_alive"]),
+    "bgnbd_averages": CLV_WITH + """
+        SELECT round(avg(pred_30d), 9) AS avg_pred, round(avg(p_alive), 9) AS avg_alive
+        FROM bg_score""",
+    "gg_inputs": f"""WITH {TXN}, {APP}, {LRFMPV}
+        SELECT customer_id, CAST(F - 1 AS BIGINT) AS x, M / CAST(F AS DOUBLE) AS m_x
+        FROM lrfmpv WHERE F - 1 > 0""",
+    "gg_score": CLV_WITH + " SELECT * FROM gg_score",
+    "clv_30d": CLV_WITH + " " + _r(_CLV_R, "clv", _CLV_COLS),
+    "target_customers": CLV_WITH + ", tgt AS (SELECT * FROM clv WHERE "
+        "clv_30d > (SELECT quantile_cont(clv_30d, 0.75) FROM clv) AND p_alive < 0.6 "
+        "AND recency_days < 180 AND F >= 2 AND M > (SELECT quantile_cont(M, 0.5) FROM clv)) "
+        + _r(_CLV_R, "tgt", _CLV_COLS),
+    "clv_top10": CLV_WITH + ", top AS (SELECT * FROM clv ORDER BY clv_30d DESC NULLS LAST, "
+        "customer_id ASC NULLS LAST LIMIT 10) " + _r(_CLV_R, "top", _CLV_COLS),
+    "churn_risk": CHURN + " " + _r(_CLV_R + ["p_alive_risk", "churn_score"], "churn", _CHURN_COLS),
+    "churn_segment_counts": CHURN + """
+        SELECT churn_segment, count(*) AS n FROM churn GROUP BY churn_segment""",
+    "score_summary": CHURN + """
+        SELECT round(min(churn_score), 9) AS min,
+               round(quantile_cont(churn_score, 0.25), 9) AS q1,
+               round(quantile_cont(churn_score, 0.5), 9) AS median,
+               round(avg(churn_score), 9) AS mean,
+               round(quantile_cont(churn_score, 0.75), 9) AS q3,
+               round(max(churn_score), 9) AS max,
+               count(*) - count(churn_score) AS na_count
+        FROM churn""",
+})
