@@ -379,3 +379,31 @@ def q_churn_segment_counts(spark, sf):
 def q_score_summary(spark, sf):
     s = churn.score_summary(_churn_scored(spark, sf))
     return _round(s, ["min", "q1", "median", "mean", "q3", "max"])
+
+
+# --- baskets and association rules ---------------------------------------------------------
+
+from clientele.operators import baskets  # noqa: E402
+
+_BASKET_COLS = ["transaction_id", "order_status", "category"]
+
+
+def _baskets(spark, sf):
+    return baskets.basket_items(txn(spark, sf, _BASKET_COLS))
+
+
+@query("basket_items")
+def q_basket_items(spark, sf):
+    return _baskets(spark, sf).select(
+        "transaction_id", baskets.itemset_label(F.col("items")).alias("items"),
+        F.size("items").cast("long").alias("n_items"))
+
+
+@query("assoc_rules")
+def q_assoc_rules(spark, sf):
+    return baskets.association_rules(_baskets(spark, sf))
+
+
+@query("assoc_rules_top20")
+def q_assoc_rules_top20(spark, sf):
+    return baskets.top_rules(baskets.association_rules(_baskets(spark, sf)), 20)

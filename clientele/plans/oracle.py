@@ -471,3 +471,57 @@ ORACLE.update({
                count(*) - count(churn_score) AS na_count
         FROM churn""",
 })
+
+
+# --- baskets and association rules -------------------------------------------------------------
+
+BASKETS = f"""WITH {TXN}, {APP},
+baskets AS (
+  SELECT transaction_id, list_sort(list_distinct(list(category))) AS items
+  FROM app WHERE transaction_id IS NOT NULL AND category IS NOT NULL GROUP BY transaction_id
+)"""
+
+RULES = BASKETS + """,
+nb AS (SELECT CAST(count(*) AS DOUBLE) AS n FROM baskets),
+cats AS (
+  SELECT category, CAST(row_number() OVER (ORDER BY category) - 1 AS BIGINT) AS bit
+  FROM (SELECT DISTINCT unnest(items) AS category FROM baskets)
+),
+masks AS (SELECT m FROM range(1, (SELECT CAST(1 AS BIGINT) << count(*) FROM cats)) t(m)),
+itemsets AS (
+  SELECT m, list_sort(list(category)) AS items, count(*) AS k
+  FROM masks JOIN cats ON ((m >> bit) & 1) = 1 GROUP BY m
+),
+counted AS (
+  SELECT i.items, i.k,
+         (SELECT count(*) FROM baskets b WHERE list_has_all(b.items, i.items)) AS freq
+  FROM itemsets i
+),
+freq AS (SELECT * FROM counted WHERE freq >= 0.001 * (SELECT n FROM nb) AND k <= 10),
+whole AS (
+  SELECT f.items AS s_items, f.freq AS s_freq, u.rhs_item,
+         list_sort(list_filter(f.items, lambda e: e <> u.rhs_item)) AS lhs_items
+  FROM freq f, unnest(f.items) AS u(rhs_item) WHERE f.k >= 2
+),
+rules AS (
+  SELECT '{' || array_to_string(w.lhs_items, ',') || '}' AS lhs,
+         '{' || w.rhs_item || '}' AS rhs,
+         CAST(w.s_freq AS DOUBLE) / (SELECT n FROM nb) AS support,
+         CAST(w.s_freq AS DOUBLE) / CAST(l.freq AS DOUBLE) AS confidence,
+         CAST(l.freq AS DOUBLE) / (SELECT n FROM nb) AS coverage,
+         (CAST(w.s_freq AS DOUBLE) / CAST(l.freq AS DOUBLE))
+           / (CAST(r.freq AS DOUBLE) / (SELECT n FROM nb)) AS lift,
+         w.s_freq AS count
+  FROM whole w
+  JOIN freq l ON l.items = w.lhs_items
+  JOIN freq r ON r.k = 1 AND r.items[1] = w.rhs_item
+  WHERE CAST(w.s_freq AS DOUBLE) / CAST(l.freq AS DOUBLE) >= 0.1
+)"""
+
+ORACLE.update({
+    "basket_items": BASKETS + """
+        SELECT transaction_id, '{' || array_to_string(items, ',') || '}' AS items,
+               CAST(len(items) AS BIGINT) AS n_items FROM baskets""",
+    "assoc_rules": RULES + " SELECT * FROM rules",
+    "assoc_rules_top20": RULES + " SELECT * FROM rules ORDER BY lift DESC, lhs, rhs LIMIT 20",
+})
