@@ -59,3 +59,211 @@ def segment_grid(seg: DataFrame, buckets: int = 5) -> DataFrame:
         "revenue_segment", "profit_segment", F.coalesce(F.col("n"), F.lit(0)).alias("n"))
     stray = counts.filter(F.col("revenue_segment").isNull() | F.col("profit_segment").isNull())
     return filled.unionByName(stray)
+
+
+# --- C8-C12: k-means behavioural segments -----------------------------------------------------
+
+import numpy as np  # noqa: E402
+import pandas as pd  # noqa: E402
+from pyspark.sql import types as T  # noqa: E402
+
+from clientele.session import cut_lineage  # noqa: E402
+
+# fixed values: data-mart measures used as clustering inputs (plus cat_ratio_*)
+KMEANS_INPUTS = [
+    "F", "M", "profit", "R", "V", "avg_basket", "category_diversity", "brand_diversity",
+    "weekend_ratio", "weekend_shopper", "return_ratio", "refund_ratio", "profit_margin",
+    "top_category_ratio", "bargain_ratio", "premium_ratio",
+]
+CAT_RATIO_PREFIX = "cat_ratio_"
+# fixed values: k sweep, restarts, iteration cap and seed of the analysis
+ELBOW_KS = list(range(2, 9))
+RESTARTS = 25
+MAX_ITER = 100
+SEED = 42
+
+
+def kmeans_input_columns(dm: DataFrame) -> list[str]:
+    return KMEANS_INPUTS + [c for c in dm.columns if c.startswith(CAT_RATIO_PREFIX)]
+
+
+def kmeans_features(dm: DataFrame) -> DataFrame:
+    """customer_id plus z-scored clustering inputs.
+
+    Missing and infinite values become 0; zero-variance columns are dropped;
+    the rest are centred and divided by the sample standard deviation.  The
+    means and deviations come from one global aggregate (a single row,
+    2 numbers per column) and enter the projection as literals.
+    """
+    cols = kmeans_input_columns(dm)
+    inf = float("inf")
+
+    def clean(c):
+        v = F.col(c).cast("double")
+        return F.when(v.isNull() | F.isnan(v) | v.isin(inf, -inf), F.lit(0.0)).otherwise(v).alias(c)
+
+    filled = dm.select("customer_id", *[clean(c) for c in cols])
+    stats = filled.agg(*[F.avg(c).alias(f"m_{c}") for c in cols],
+                       *[F.stddev_samp(c).alias(f"s_{c}") for c in cols]).first()
+    keep = [c for c in cols if stats[f"s_{c}"] is not None and stats[f"s_{c}"] > 0
+            and np.isfinite(stats[f"s_{c}"])]
+    return filled.select("customer_id", *[
+        ((F.col(c) - F.lit(float(stats[f"m_{c}"]))) / F.lit(float(stats[f"s_{c}"]))).alias(c)
+        for c in keep])
+
+
+def _initial_centers(data: DataFrame, cols: list[str], ks: list[int], restarts: int,
+                     seed: int) -> list[np.ndarray]:
+    """Random distinct rows as starting centres, one set per (k, restart).
+
+    Rows are drawn from a seeded sample whose size is bounded by the number of
+    centres needed (not by the data)."""
+    n = data.count()
+    want = 20 * restarts * max(ks)
+    frac = min(1.0, want / max(n, 1))
+    pool = np.array(data.sample(fraction=frac, seed=seed).select(*cols).collect(), dtype=float)
+    if len(pool) < max(ks):
+        pool = np.array(data.select(*cols).limit(max(ks) * 10).collect(), dtype=float)
+    rng = np.random.default_rng(seed)
+    out = []
+    for k in ks:
+        for _ in range(restarts):
+            out.append(pool[rng.choice(len(pool), size=min(k, len(pool)), replace=False)])
+    return out
+
+
+def _lloyd_partials(centers: np.ndarray, blocks: list[tuple[int, int]], cols: list[str]):
+    """mapInPandas body: per partition, assign every row to its nearest centre
+    within each block (one block = one (k, restart) run) and emit one row per
+    centre with the count, summed squared distance and coordinate sums."""
+    c_norm = (centers ** 2).sum(axis=1)
+    n_centers, dim = centers.shape
+
+    def run(batches):
+        n = np.zeros(n_centers)
+        cost = np.zeros(n_centers)
+        sums = np.zeros((n_centers, dim))
+        for pdf in batches:
+            x = pdf[cols].to_numpy(dtype=float)
+            if not len(x):
+                continue
+            d2 = (x ** 2).sum(axis=1)[:, None] - 2.0 * x @ centers.T + c_norm[None, :]
+            np.maximum(d2, 0.0, out=d2)
+            for lo, hi in blocks:
+                idx = lo + np.argmin(d2[:, lo:hi], axis=1)
+                n += np.bincount(idx, minlength=n_centers)
+                cost += np.bincount(idx, weights=d2[np.arange(len(x)), idx], minlength=n_centers)
+                np.add.at(sums, idx, x)
+        nz = np.nonzero(n)[0]
+        out = pd.DataFrame({"center": nz.astype("int32"), "n": n[nz], "cost": cost[nz]})
+        for j in range(dim):
+            out[f"s{j}"] = sums[nz, j]
+        yield out
+    return run
+
+
+def kmeans_multistart(features: DataFrame, ks: list[int], restarts: int = RESTARTS,
+                      max_iter: int = MAX_ITER, seed: int = SEED, tol: float = 1e-9):
+    """Lloyd's k-means for every k in ``ks`` and ``restarts`` random starts,
+    all advanced together: each iteration is ONE pass over the (checkpointed)
+    feature table whose per-partition partial sums are combined by a Spark
+    aggregation keyed by centre id.  The driver only sees one row per centre.
+
+    Returns ``{k: (best_centers, best_cost, per_restart_costs)}``.
+    """
+    cols = [c for c in features.columns if c != "customer_id"]
+    data = cut_lineage(features.select(*cols))
+    starts = _initial_centers(data, cols, ks, restarts, seed)
+    blocks, lo = [], 0
+    for c in starts:
+        blocks.append((lo, lo + len(c)))
+        lo += len(c)
+    centers = np.vstack(starts)
+    dim = len(cols)
+    schema = T.StructType([T.StructField("center", T.IntegerType()),
+                           T.StructField("n", T.DoubleType()),
+                           T.StructField("cost", T.DoubleType())]
+                          + [T.StructField(f"s{j}", T.DoubleType()) for j in range(dim)])
+    costs = np.full(len(blocks), np.inf)
+    for _ in range(max_iter):
+        partial = data.mapInPandas(_lloyd_partials(centers, blocks, cols), schema)
+        rows = partial.groupBy("center").agg(
+            F.sum("n").alias("n"), F.sum("cost").alias("cost"),
+            *[F.sum(f"s{j}").alias(f"s{j}") for j in range(dim)]).collect()
+        n = np.zeros(len(centers))
+        cost = np.zeros(len(centers))
+        sums = np.zeros_like(centers)
+        for r in rows:
+            n[r["center"]] = r["n"]
+            cost[r["center"]] = r["cost"]
+            sums[r["center"]] = [r[f"s{j}"] for j in range(dim)]
+        costs = np.array([cost[a:b].sum() for a, b in blocks])  # cost of current centres
+        new = centers.copy()
+        filled = n > 0
+        new[filled] = sums[filled] / n[filled][:, None]  # empty clusters keep their centre
+        shift = np.abs(new - centers).max() if len(centers) else 0.0
+        centers = new
+        if shift <= tol:
+            break
+    result = {}
+    for i, k in enumerate(ks):
+        runs = list(range(i * restarts, (i + 1) * restarts))
+        best = min(runs, key=lambda b: costs[b])
+        a, b = blocks[best]
+        result[k] = (centers[a:b], float(costs[best]), [float(costs[r]) for r in runs])
+    return result
+
+
+def kmeans_elbow(features: DataFrame, ks: list[int] = ELBOW_KS, restarts: int = RESTARTS,
+                 seed: int = SEED) -> DataFrame:
+    """k and the lowest total within-cluster sum of squares over the restarts."""
+    fits = kmeans_multistart(features, ks, restarts, seed=seed)
+    spark = features.sparkSession
+    return spark.createDataFrame([(k, fits[k][1]) for k in ks], "k int, tot_withinss double")
+
+
+def assign_clusters(features: DataFrame, centers: np.ndarray) -> DataFrame:
+    """customer_id, cluster (1-based index of the nearest centre), as a native
+    projection with the centres as literals."""
+    cols = [c for c in features.columns if c != "customer_id"]
+    dists = []
+    for c in centers:
+        d = None
+        for j, col in enumerate(cols):
+            term = (F.col(col) - F.lit(float(c[j]))) ** 2
+            d = term if d is None else d + term
+        dists.append(d)
+    arr = F.array(*dists)
+    return features.select("customer_id", F.array_position(arr, F.array_min(arr)).cast("int")
+                           .alias("cluster"))
+
+
+def kmeans_segments(features: DataFrame, k: int = 5, restarts: int = RESTARTS,
+                    seed: int = SEED) -> DataFrame:
+    centers = kmeans_multistart(features, [k], restarts, seed=seed)[k][0]
+    return assign_clusters(features, centers)
+
+
+def cluster_summary(dm: DataFrame, clusters: DataFrame) -> DataFrame:
+    """Size and mean profile per cluster, highest average M first."""
+    x = dm.join(clusters, "customer_id")
+    means = [("avg_F", "F"), ("avg_M", "M"), ("avg_profit", "profit"), ("avg_R", "R"),
+             ("avg_V", "V"), ("avg_basket", "avg_basket"), ("avg_weekend_ratio", "weekend_ratio"),
+             ("avg_return_ratio", "return_ratio"), ("avg_refund_ratio", "refund_ratio"),
+             ("avg_profit_margin", "profit_margin"),
+             ("avg_top_category_ratio", "top_category_ratio"),
+             ("avg_bargain_ratio", "bargain_ratio"), ("avg_premium_ratio", "premium_ratio")]
+    cats = [c for c in dm.columns if c.startswith(CAT_RATIO_PREFIX)]
+    return (x.groupBy("cluster")
+            .agg(F.count(F.lit(1)).alias("customers"), *[F.avg(src).alias(name) for name, src in means],
+                 *[F.avg(c).alias(c) for c in cats])
+            .orderBy(F.desc("avg_M")))
+
+
+def cluster_ranked(summary: DataFrame) -> DataFrame:
+    """Stable segment ranks (1 = highest average M); the summary has one row
+    per cluster, so the ranking window is over k rows."""
+    from pyspark.sql import Window
+    return summary.withColumn("segment_rank", F.row_number().over(
+        Window.orderBy(F.desc("avg_M"), "cluster"))).select(
+        "segment_rank", "cluster", "customers", "avg_M", "avg_F", "avg_R", "avg_profit")

@@ -407,3 +407,41 @@ def q_assoc_rules(spark, sf):
 @query("assoc_rules_top20")
 def q_assoc_rules_top20(spark, sf):
     return baskets.top_rules(baskets.association_rules(_baskets(spark, sf)), 20)
+
+
+# --- k-means behavioural segments ------------------------------------------------------------
+
+def _dm(spark, sf):
+    return features.customer_dm(txn(spark, sf))
+
+
+@query("kmeans_features")
+def q_kmeans_features(spark, sf):
+    fe = segments.kmeans_features(_dm(spark, sf))
+    return _round(fe, [c for c in fe.columns if c != "customer_id"])
+
+
+@query("kmeans_elbow")
+def q_kmeans_elbow(spark, sf):
+    return segments.kmeans_elbow(segments.kmeans_features(_dm(spark, sf)))
+
+
+@query("kmeans_segments")
+def q_kmeans_segments(spark, sf):
+    return segments.kmeans_segments(segments.kmeans_features(_dm(spark, sf)), k=5)
+
+
+def _cluster_summary(spark, sf):
+    dm = _dm(spark, sf)
+    clusters = segments.kmeans_segments(segments.kmeans_features(dm), k=5)
+    return segments.cluster_summary(dm, clusters)
+
+
+@query("cluster_summary")
+def q_cluster_summary(spark, sf):
+    return _cluster_summary(spark, sf)
+
+
+@query("cluster_ranked")
+def q_cluster_ranked(spark, sf):
+    return segments.cluster_ranked(_cluster_summary(spark, sf))

@@ -525,3 +525,24 @@ ORACLE.update({
     "assoc_rules": RULES + " SELECT * FROM rules",
     "assoc_rules_top20": RULES + " SELECT * FROM rules ORDER BY lift DESC, lhs, rhs LIMIT 20",
 })
+
+
+# --- k-means inputs --------------------------------------------------------------------------
+
+_KM_COLS = ["F", "M", "profit", "R", "V", "avg_basket", "category_diversity", "brand_diversity",
+            "weekend_ratio", "weekend_shopper", "return_ratio", "refund_ratio", "profit_margin",
+            "top_category_ratio", "bargain_ratio", "premium_ratio", "cat_ratio_fashion",
+            "cat_ratio_accessory", "cat_ratio_other"]
+
+
+def _km_features() -> str:
+    clean = ", ".join(
+        f"CASE WHEN {c} IS NULL OR isnan({c}) OR isinf({c}) THEN 0.0 "
+        f"ELSE CAST({c} AS DOUBLE) END AS {c}" for c in _KM_COLS)
+    z = ", ".join(f"round(({c} - avg({c}) OVER ()) / stddev_samp({c}) OVER (), 9) AS {c}"
+                  for c in _KM_COLS)
+    return (f"WITH {TXN}, {DM}, filled AS (SELECT customer_id, {clean} FROM dm) "
+            f"SELECT customer_id, {z} FROM filled")
+
+
+ORACLE["kmeans_features"] = _km_features()
