@@ -161,7 +161,6 @@ def customer_dm(txn: DataFrame, analysis_date: DateLike = None) -> DataFrame:
         n_distinct_na("transaction_id").alias("F"),
         F.coalesce(net, F.lit(0)).cast("double").alias("M"),
         F.coalesce(profit, F.lit(0)).cast("double").alias("profit"),
-        n_distinct_small(grp).alias("V"),
         safe_div(net, F.count("net_revenue")).alias("avg_basket"),
         n_distinct_small("brand").alias("brand_diversity"),
         mean_of(weekend).alias("weekend_ratio"),
@@ -174,7 +173,10 @@ def customer_dm(txn: DataFrame, analysis_date: DateLike = None) -> DataFrame:
         *_group_counts(),
     )
     n = F.col("_n").cast("double")
-    return agg.select(
+    # category_group has three fixed values and is never missing: its distinct
+    # count is the number of non-zero group counts (no extra distinct aggregate)
+    variety = sum((F.col(f"_n_{g}") > 0).cast("long") for g in CATEGORY_GROUPS)
+    return agg.withColumn("V", variety.cast("long")).select(
         "customer_id", "first_order", "last_order", "F", "M", "profit",
         days_between(a, F.col("last_order")).alias("R"),
         days_between(F.col("last_order"), F.col("first_order")).alias("L"),

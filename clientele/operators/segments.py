@@ -102,7 +102,8 @@ def kmeans_features(dm: DataFrame) -> DataFrame:
         v = F.col(c).cast("double")
         return F.when(v.isNull() | F.isnan(v) | v.isin(inf, -inf), F.lit(0.0)).otherwise(v).alias(c)
 
-    filled = dm.select("customer_id", *[clean(c) for c in cols])
+    # read twice (statistics, then the projection): materialise it once
+    filled = cut_lineage(dm.select("customer_id", *[clean(c) for c in cols]))
     stats = filled.agg(*[F.avg(c).alias(f"m_{c}") for c in cols],
                        *[F.stddev_samp(c).alias(f"s_{c}") for c in cols]).first()
     keep = [c for c in cols if stats[f"s_{c}"] is not None and stats[f"s_{c}"] > 0
@@ -132,30 +133,41 @@ def _initial_centers(data: DataFrame, cols: list[str], ks: list[int], restarts:
     return out
 
 
-def _lloyd_partials(centers: np.ndarray, blocks: list[tuple[int, int]], cols: list[str]):
+def _lloyd_partials(centers: np.ndarray, previous: np.ndarray, blocks: list[tuple[int, int]],
+                    cols: list[str]):
     """mapInPandas body: per partition, assign every row to its nearest centre
     within each block (one block = one (k, restart) run) and emit one row per
-    centre with the count, summed squared distance and coordinate sums."""
+    centre with the count, summed squared distance and coordinate sums, plus
+    how many rows changed cluster since the previous centres."""
     c_norm = (centers ** 2).sum(axis=1)
+    p_norm = (previous ** 2).sum(axis=1)
     n_centers, dim = centers.shape
 
     def run(batches):
         n = np.zeros(n_centers)
         cost = np.zeros(n_centers)
+        moved = np.zeros(n_centers)
         sums = np.zeros((n_centers, dim))
         for pdf in batches:
             x = pdf[cols].to_numpy(dtype=float)
             if not len(x):
                 continue
-            d2 = (x ** 2).sum(axis=1)[:, None] - 2.0 * x @ centers.T + c_norm[None, :]
+            x2 = (x ** 2).sum(axis=1)[:, None]
+            d2 = x2 - 2.0 * x @ centers.T + c_norm[None, :]
             np.maximum(d2, 0.0, out=d2)
+            pd2 = x2 - 2.0 * x @ previous.T + p_norm[None, :]
+            rows = np.arange(len(x))
             for lo, hi in blocks:
                 idx = lo + np.argmin(d2[:, lo:hi], axis=1)
+                before = lo + np.argmin(pd2[:, lo:hi], axis=1)
                 n += np.bincount(idx, minlength=n_centers)
-                cost += np.bincount(idx, weights=d2[np.arange(len(x)), idx], minlength=n_centers)
+                cost += np.bincount(idx, weights=d2[rows, idx], minlength=n_centers)
+                moved += np.bincount(idx, weights=(idx != before).astype(float),
+                                     minlength=n_centers)
                 np.add.at(sums, idx, x)
         nz = np.nonzero(n)[0]
-        out = pd.DataFrame({"center": nz.astype("int32"), "n": n[nz], "cost": cost[nz]})
+        out = pd.DataFrame({"center": nz.astype("int32"), "n": n[nz], "cost": cost[nz],
+                            "moved": moved[nz]})
         for j in range(dim):
             out[f"s{j}"] = sums[nz, j]
         yield out
@@ -163,54 +175,68 @@ def _lloyd_partials(centers: np.ndarray, blocks: list[tuple[int, int]], cols: li
 
 
 def kmeans_multistart(features: DataFrame, ks: list[int], restarts: int = RESTARTS,
-                      max_iter: int = MAX_ITER, seed: int = SEED, tol: float = 1e-9):
+                      max_iter: int = MAX_ITER, seed: int = SEED):
     """Lloyd's k-means for every k in ``ks`` and ``restarts`` random starts,
-    all advanced together: each iteration is ONE pass over the (checkpointed)
-    feature table whose per-partition partial sums are combined by a Spark
-    aggregation keyed by centre id.  The driver only sees one row per centre.
+    all advanced together: each iteration is ONE pass over the (checkpointed,
+    cached) feature table; per-partition partial sums are combined by a Spark
+    aggregation keyed by centre id, so the driver only sees one row per centre.
+    A run stops when no row changes cluster (its centres are then a fixed
+    point) or after ``max_iter`` iterations; finished runs drop out of later
+    passes.
 
     Returns ``{k: (best_centers, best_cost, per_restart_costs)}``.
     """
     cols = [c for c in features.columns if c != "customer_id"]
-    data = cut_lineage(features.select(*cols))
+    data = cut_lineage(features.select(*cols)).persist()
     starts = _initial_centers(data, cols, ks, restarts, seed)
-    blocks, lo = [], 0
-    for c in starts:
-        blocks.append((lo, lo + len(c)))
-        lo += len(c)
-    centers = np.vstack(starts)
     dim = len(cols)
     schema = T.StructType([T.StructField("center", T.IntegerType()),
                            T.StructField("n", T.DoubleType()),
-                           T.StructField("cost", T.DoubleType())]
+                           T.StructField("cost", T.DoubleType()),
+                           T.StructField("moved", T.DoubleType())]
                           + [T.StructField(f"s{j}", T.DoubleType()) for j in range(dim)])
-    costs = np.full(len(blocks), np.inf)
+    runs = [{"centers": c, "prev": c, "cost": np.inf, "done": False, "iter": 0}
+            for c in starts]
     for _ in range(max_iter):
-        partial = data.mapInPandas(_lloyd_partials(centers, blocks, cols), schema)
+        active = [i for i, r in enumerate(runs) if not r["done"]]
+        if not active:
+            break
+        blocks, lo = [], 0
+        for i in active:
+            blocks.append((lo, lo + len(runs[i]["centers"])))
+            lo += len(runs[i]["centers"])
+        centers = np.vstack([runs[i]["centers"] for i in active])
+        previous = np.vstack([runs[i]["prev"] for i in active])
+        partial = data.mapInPandas(_lloyd_partials(centers, previous, blocks, cols), schema)
         rows = partial.groupBy("center").agg(
-            F.sum("n").alias("n"), F.sum("cost").alias("cost"),
+            F.sum("n").alias("n"), F.sum("cost").alias("cost"), F.sum("moved").alias("moved"),
             *[F.sum(f"s{j}").alias(f"s{j}") for j in range(dim)]).collect()
         n = np.zeros(len(centers))
         cost = np.zeros(len(centers))
+        moved = np.zeros(len(centers))
         sums = np.zeros_like(centers)
         for r in rows:
             n[r["center"]] = r["n"]
             cost[r["center"]] = r["cost"]
+            moved[r["center"]] = r["moved"]
             sums[r["center"]] = [r[f"s{j}"] for j in range(dim)]
-        costs = np.array([cost[a:b].sum() for a, b in blocks])  # cost of current centres
-        new = centers.copy()
-        filled = n > 0
-        new[filled] = sums[filled] / n[filled][:, None]  # empty clusters keep their centre
-        shift = np.abs(new - centers).max() if len(centers) else 0.0
-        centers = new
-        if shift <= tol:
-            break
+        for (a, b), i in zip(blocks, active):
+            run = runs[i]
+            run["cost"] = float(cost[a:b].sum())  # cost of the current centres
+            run["iter"] += 1
+            if run["iter"] > 1 and moved[a:b].sum() == 0:
+                run["done"] = True  # same assignment as last time: fixed point
+                continue
+            new = run["centers"].copy()
+            filled = n[a:b] > 0
+            new[filled] = sums[a:b][filled] / n[a:b][filled][:, None]  # empty: keep centre
+            run["prev"], run["centers"] = run["centers"], new
+    data.unpersist()
     result = {}
     for i, k in enumerate(ks):
-        runs = list(range(i * restarts, (i + 1) * restarts))
-        best = min(runs, key=lambda b: costs[b])
-        a, b = blocks[best]
-        result[k] = (centers[a:b], float(costs[best]), [float(costs[r]) for r in runs])
+        group = runs[i * restarts:(i + 1) * restarts]
+        best = min(group, key=lambda r: r["cost"])
+        result[k] = (best["centers"], best["cost"], [r["cost"] for r in group])
     return result
 
 
