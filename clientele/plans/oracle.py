@@ -536,13 +536,18 @@ _KM_COLS = ["F", "M", "profit", "R", "V", "avg_basket", "category_diversity", "b
 
 
 def _km_features() -> str:
+    """Fill, drop zero-variance features, z-score — with the kept column set
+    decided by the data (unpivot, per-feature statistics, pivot back)."""
     clean = ", ".join(
         f"CASE WHEN {c} IS NULL OR isnan({c}) OR isinf({c}) THEN 0.0 "
         f"ELSE CAST({c} AS DOUBLE) END AS {c}" for c in _KM_COLS)
-    z = ", ".join(f"round(({c} - avg({c}) OVER ()) / stddev_samp({c}) OVER (), 9) AS {c}"
-                  for c in _KM_COLS)
-    return (f"WITH {TXN}, {DM}, filled AS (SELECT customer_id, {clean} FROM dm) "
-            f"SELECT customer_id, {z} FROM filled")
+    return f"""WITH {TXN}, {DM},
+filled AS (SELECT customer_id, {clean} FROM dm),
+long AS (UNPIVOT filled ON COLUMNS(* EXCLUDE (customer_id)) INTO NAME feature VALUE v),
+stats AS (SELECT feature, avg(v) AS m, stddev_samp(v) AS s FROM long GROUP BY feature),
+z AS (SELECT l.customer_id, l.feature, round((l.v - st.m) / st.s, 9) AS z
+      FROM long l JOIN stats st ON l.feature = st.feature WHERE st.s > 0)
+SELECT * FROM (PIVOT z ON feature USING first(z) GROUP BY customer_id)"""
 
 
 ORACLE["kmeans_features"] = _km_features()

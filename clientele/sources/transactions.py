@@ -21,7 +21,7 @@ _RAW_SCHEMA = T.StructType([T.StructField(f.name, T.StringType()) for f in TRANS
 
 def _parse_date(c: Column) -> Column:
     # ISO dates; anything else becomes NULL (no exception under ANSI mode).
-    return F.try_to_date(c, F.lit("yyyy-MM-dd"))
+    return F.try_to_date(c, "yyyy-MM-dd")
 
 
 def clean_transactions(raw: DataFrame) -> DataFrame:
@@ -44,14 +44,19 @@ def clean_transactions(raw: DataFrame) -> DataFrame:
 
 
 def read_transactions_csv(spark: SparkSession, path: str) -> DataFrame:
-    """CSV scan with a header; blank and ``NA`` cells are missing values."""
-    raw = (spark.read.schema(_RAW_SCHEMA)
+    """CSV scan with a header; blank and ``NA`` cells are missing values.
+
+    Columns are matched by header name and read as text (no schema inference
+    pass over the data), then typed by ``clean_transactions``; a column the
+    file lacks comes back as NULL.
+    """
+    raw = (spark.read
            .option("header", True)
            .option("nullValue", "NA")
-           .option("emptyValue", None)
            .option("mode", "PERMISSIVE")
            .csv(path))
-    return clean_transactions(raw)
+    known = [c for c in raw.columns if c in _RAW_SCHEMA.fieldNames()]
+    return clean_transactions(raw.select(*known))
 
 
 def read_transactions_parquet(spark: SparkSession, path: str) -> DataFrame:
