@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clientele.operators.features import approved
+from clientele.session import cut_lineage
 
 # fixed values: mining thresholds of the analysis
 MIN_SUPPORT = 0.001
@@ -52,7 +53,8 @@ def association_rules(baskets: DataFrame, min_support: float = MIN_SUPPORT,
     coverage = count(lhs)/n, lift = confidence / (count(rhs)/n).
     """
     n = baskets.select(F.count(F.lit(1)).cast("double")).scalar()
-    fi = frequent_itemsets(baskets, min_support, max_len).cache()
+    # mined once, read three times below: materialise it
+    fi = cut_lineage(frequent_itemsets(baskets, min_support, max_len))
     whole = (fi.filter(F.size("items") >= max(min_len, 2))
              .select(F.col("items").alias("s_items"), F.col("freq").alias("s_freq"),
                      F.explode("items").alias("rhs_item"))

@@ -1,0 +1,8 @@
+"""Streaming.
+
+The analyses this library reproduces read static order-line files only:
+there is no stream source, watermark, windowed aggregate or stateful
+operator among them, so this package deliberately holds no operator.  Every
+batch operator accepts a DataFrame, so a ``foreachBatch`` sink can call them
+on micro-batches without any adapter.
+"""
