@@ -74,11 +74,15 @@ def null_safe_on(left_alias: str, right_alias: str, on: list[str]) -> Column:
 
 
 def left_join_na(left: DataFrame, right: DataFrame, on: list[str], how: str = "left") -> DataFrame:
-    """Left join where a missing key matches a missing key.
-
-    ``<=>`` is still planned as an equi-join (hash on the key plus a null
-    marker), never a nested loop.  Both sides are aliased, so joining two
-    frames derived from the same source is unambiguous.
+    """Left (or inner) join where a missing key matches a missing key.
+
+    ``<=>`` is planned as an equi-join (hash on the key plus a null marker),
+    never a nested loop.  Its join keys are expressions, so inputs already
+    hash-partitioned by the plain key are shuffled once more; callers use it
+    on customer-level tables (about one row per customer), where that costs
+    far less than any scheme that re-reads the order lines to isolate the
+    NULL-key rows.  Both sides are aliased, so joining two frames derived
+    from the same source is unambiguous.
     """
     lft, rgt = left.alias("_jl"), right.alias("_jr")
     right_cols = [c for c in right.columns if c not in on]

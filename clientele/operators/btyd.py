@@ -138,6 +138,32 @@ def clv_table(bg_scored: DataFrame, gg_scored: DataFrame, lrfmpv: DataFrame) ->
             .withColumn("recency_days", F.col("t_cal") - F.col("t_x")))
 
 
+def clv_from_lrfmpv(lrfmpv: DataFrame, bg: BGNBDParams, gg: GammaGammaParams,
+                    t_star: float = 30.0, extra: tuple[str, ...] = ()) -> DataFrame:
+    """The CLV table as ONE projection of the LRFMPV table.
+
+    The BG/NBD inputs, the spend inputs and F, M are all per-customer columns
+    of the same table, so the three 1:1 left joins of ``clv_table`` collapse
+    into a projection: no join, no shuffle, the customer aggregate is
+    computed once.  ``extra`` carries further LRFMPV columns along (the churn
+    score needs L, R, P, V).
+    """
+    x = (F.col("F") - 1).cast("long")
+    t_x = F.col("L").cast("double")
+    t_cal = (F.col("L") + F.col("R")).cast("double")
+    m_x = F.col("M") / F.col("F").cast("double")
+    staged = lrfmpv.select("customer_id", "F", "M", *extra, x.alias("_x"), t_x.alias("t_x"),
+                           t_cal.alias("t_cal"), m_x.alias("_m"))
+    xc, txc, tcc = F.col("_x"), F.col("t_x"), F.col("t_cal")
+    pred = expected_transactions_expr(bg, t_star, xc, txc, tcc)
+    spend = F.when(xc > 0, gg_expected_value_expr(gg, xc, F.col("_m")))
+    out = staged.select("customer_id", pred.alias("pred_30d"),
+                        p_alive_expr(bg, xc, txc, tcc).alias("p_alive"),
+                        "t_cal", "t_x", spend.alias("exp_avg_value"), "F", "M", *extra)
+    return (out.withColumn("clv_30d", F.col("pred_30d") * F.col("exp_avg_value"))
+            .withColumn("recency_days", F.col("t_cal") - F.col("t_x")))
+
+
 def target_customers(clv: DataFrame, clv_quantile: float = 0.75, max_p_alive: float = 0.6,
                      max_recency: float = 180.0, min_frequency: int = 2) -> DataFrame:
     """High-value customers at risk: CLV above its ``clv_quantile`` quantile,

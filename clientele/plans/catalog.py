@@ -296,8 +296,8 @@ def _clv_parts(spark, sf):
 
 
 def _clv(spark, sf):
-    lr, bg, gg = _clv_parts(spark, sf)
-    return lr, btyd.clv_table(bg, gg, lr)
+    lr = features.lrfmpv_base(txn(spark, sf, _LRFMPV_COLS))
+    return lr, btyd.clv_from_lrfmpv(lr, btyd.CDNOW_BGNBD, btyd.CDNOW_GAMMA_GAMMA)
 
 
 _CLV_ROUND = ["pred_30d", "p_alive", "clv_30d"]
@@ -361,8 +361,11 @@ _CHURN_ROUND = _CLV_ROUND + ["p_alive_risk", "churn_score"]
 
 
 def _churn_scored(spark, sf):
-    lr, clv = _clv(spark, sf)
-    return churn.churn_risk(churn.churn_input(clv, lr))
+    lr = features.lrfmpv_base(txn(spark, sf, _LRFMPV_COLS))
+    # churn input = CLV table + L, R, P, V: one projection of the same table
+    clv = btyd.clv_from_lrfmpv(lr, btyd.CDNOW_BGNBD, btyd.CDNOW_GAMMA_GAMMA,
+                               extra=("L", "R", "P", "V"))
+    return churn.churn_risk(clv)
 
 
 @query("churn_risk")
