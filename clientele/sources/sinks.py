@@ -32,11 +32,23 @@ def export_audiences(df: DataFrame, path: str, segment_col: str = "segment",
         writer.format(fmt).save(path)
 
 
-def stage_transactions(df: DataFrame, table: str, path: str, buckets: int = 64,
-                       mode: str = "overwrite") -> None:
-    """Stage the cleaned transactions once, bucketed and sorted by
-    ``customer_id``: every customer-level aggregation and customer join that
-    reads the staged table then runs without a shuffle on the customer key."""
-    (df.write.mode(mode).format("parquet")
-     .bucketBy(buckets, "customer_id").sortBy("customer_id")
-     .option("path", path).saveAsTable(table))
+def stage_transactions(df: DataFrame, path: str, mode: str = "overwrite",
+                       table: str | None = None, buckets: int | None = None) -> None:
+    """Stage the cleaned transactions once as Parquet, sorted by date within
+    each file (row-group min/max then prune date-range filters).
+
+    ``buckets`` optionally buckets by ``customer_id`` (needs ``table``), which
+    removes the customer shuffle from later aggregations and joins.  Leave it
+    off when one customer may hold a large share of the lines: a bucketed
+    scan reads each bucket in one task.
+    """
+    writer = df.sortWithinPartitions("transaction_date").write.mode(mode).format("parquet")
+    if buckets:
+        if not table:
+            raise ValueError("bucketing needs a table name")
+        writer.bucketBy(buckets, "customer_id").sortBy("customer_id").option(
+            "path", path).saveAsTable(table)
+    elif table:
+        writer.option("path", path).saveAsTable(table)
+    else:
+        writer.save(path)

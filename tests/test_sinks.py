@@ -40,7 +40,8 @@ def test_report_and_audience_export(spark, make_txn, scratch):
 def test_staged_transactions_avoid_customer_shuffle(spark, make_txn, scratch):
     from clientele.operators import features
     t = make_txn([line(customer_id=c, transaction_id=c) for c in range(20)])
-    sinks.stage_transactions(t, "staged_txn_test", os.path.join(scratch, "staged"), buckets=4)
+    sinks.stage_transactions(t, os.path.join(scratch, "staged"), table="staged_txn_test",
+                             buckets=4)
     staged = spark.table("staged_txn_test")
     assert staged.count() == 20
     plan = staged.groupBy("customer_id").agg(F.sum("net_revenue"))._jdf.queryExecution() \
