@@ -48,3 +48,16 @@ def test_staged_transactions_avoid_customer_shuffle(spark, make_txn, scratch):
         .executedPlan().toString()
     assert "Exchange hashpartitioning" not in plan
     assert features.lrfmpv_base(staged).count() == 20
+
+
+def test_intermediate_lrfmpv_table_feeds_churn_base(spark, scratch):
+    """S4: the LRFMPV table written as a report is read back by a later job."""
+    from clientele.operators import churn, features
+    from clientele.plans.catalog import txn
+    t = txn(spark, SF_SMALL)
+    base = features.lrfmpv_base(t)
+    path = os.path.join(scratch, "lrfmpv")
+    sinks.write_report(base, path)
+    direct = churn.customer_churn_base(base, t)
+    via_file = churn.customer_churn_base(spark.read.parquet(path), t)
+    assert direct.exceptAll(via_file).count() == 0 and via_file.exceptAll(direct).count() == 0
