@@ -64,6 +64,33 @@ def digamma(z) -> Column:
     return shifted
 
 
+def lgamma_np(z) -> np.ndarray:
+    """log Γ(z) for z > 0 on numpy arrays (same scheme as ``lgamma``)."""
+    z = np.asarray(z, dtype=float)
+    w = z + _SHIFT
+    inv = 1.0 / w
+    inv2 = inv * inv
+    series = inv * (1.0 / 12 + inv2 * (-1.0 / 360 + inv2 * (1.0 / 1260 + inv2 * (
+        -1.0 / 1680 + inv2 * (1.0 / 1188 + inv2 * (-691.0 / 360360))))))
+    lo = z * (z + 1) * (z + 2) * (z + 3)
+    hi = (z + 4) * (z + 5) * (z + 6) * (z + 7)
+    return (w - 0.5) * np.log(w) - w + _HALF_LOG_2PI + series - np.log(lo) - np.log(hi)
+
+
+def digamma_np(z) -> np.ndarray:
+    """ψ(z) for z > 0 on numpy arrays (same scheme as ``digamma``)."""
+    z = np.asarray(z, dtype=float)
+    w = z + _SHIFT
+    inv = 1.0 / w
+    inv2 = inv * inv
+    series = inv2 * (1.0 / 12 - inv2 * (1.0 / 120 - inv2 * (1.0 / 252 - inv2 * (
+        1.0 / 240 - inv2 * (1.0 / 132)))))
+    out = np.log(w) - 0.5 * inv - series
+    for j in range(_SHIFT):
+        out = out - 1.0 / (z + j)
+    return out
+
+
 def hyp2f1_numpy(a, b, c, z, max_terms: int = 200_000) -> np.ndarray:
     """₂F₁(a, b; c; z) for |z| < 1 by its power series, summed until adding a
     term no longer changes any sum in the batch."""

@@ -7,9 +7,11 @@ way" and Fader & Hardie (2013) "The Gamma-Gamma model of monetary value".
 Scoring is one projection per customer (native expressions; the Gauss
 hypergeometric series is an Arrow-batched pandas UDF).  Fitting maximises
 the log-likelihood with a BFGS loop on the driver in which every step is a
-single Spark aggregation over the (checkpointed) customer table: only the
-parameter vector and a handful of sums cross the driver boundary, as in
-Spark ML's own iterative estimators.
+single pass over the (checkpointed) customer table: each partition computes
+the log-likelihood and its analytic gradient for a whole ladder of step
+lengths (numpy on Arrow batches) and a Spark aggregation adds the partial
+sums.  Only the parameter vectors and a handful of sums cross the driver
+boundary, as in Spark ML's own iterative estimators.
 """
 
 from __future__ import annotations
@@ -18,11 +20,13 @@ import math
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from clientele.functions.ranking import exact_quantiles
-from clientele.functions.special import digamma, hyp2f1, lgamma
+from clientele.functions.special import digamma_np, hyp2f1, lgamma_np
 from clientele.session import cut_lineage
 
 
@@ -184,97 +188,80 @@ def clv_top(clv: DataFrame, n: int = 10) -> DataFrame:
 
 # --- B2 / B7: maximum-likelihood fits ---------------------------------------------------------
 
-def _digamma_scalar(v: float) -> float:
-    shift = 0.0
-    while v < 8.0:
-        shift -= 1.0 / v
-        v += 1.0
-    inv2 = 1.0 / (v * v)
-    return shift + math.log(v) - 0.5 / v - inv2 * (1 / 12 - inv2 * (1 / 120 - inv2 * (
-        1 / 252 - inv2 * (1 / 240 - inv2 / 132))))
-
-
-def _bgnbd_stage(df: DataFrame, theta: np.ndarray, k: int) -> DataFrame:
-    """Add ``f{k}`` (log-likelihood) and ``g{k}_j`` (gradient w.r.t. the log
-    parameters) for one parameter point.  Intermediates are separate
-    projections, so no sub-expression is rebuilt inside another; terms that
-    depend on the parameters only are Python scalars."""
-    r, alpha, a, b = (float(math.exp(v)) for v in theta)
-    x = F.col("x").cast("double")
-    tx, tc = F.col("t_x"), F.col("t_cal")
-    pos = F.col("x") > 0
-    c = f"_{k}_"
-    df = df.select("*", (x + r).alias(c + "zr"), (x + b).alias(c + "zb"),
-                   (x + (a + b)).alias(c + "zab"))
-    zr, zb, zab = F.col(c + "zr"), F.col(c + "zb"), F.col(c + "zab")
-    df = df.select("*",
-                   lgamma(zr).alias(c + "lg_r"), lgamma(zb).alias(c + "lg_b"),
-                   lgamma(zab).alias(c + "lg_ab"),
-                   digamma(zr).alias(c + "dg_r"), digamma(zb).alias(c + "dg_b"),
-                   digamma(zab).alias(c + "dg_ab"))
-    gh = (F.col(c + "lg_r") - math.lgamma(r) + F.col(c + "lg_b") - math.lgamma(b)
-          + math.lgamma(a + b) - F.col(c + "lg_ab"))
-    ln_alpha = math.log(alpha)
-    df = df.select("*", (gh + r * ln_alpha - (x + r) * F.log(tc + alpha)).alias(c + "la"),
-                   F.when(pos, gh + math.log(a) - F.log(x + (b - 1)) + r * ln_alpha
-                          - (x + r) * F.log(tx + alpha)).alias(c + "lb"))
-    la, lb = F.col(c + "la"), F.col(c + "lb")
-    top = F.greatest(la, F.coalesce(lb, la))
-    df = df.select("*", (top + F.log(F.exp(la - top) + F.coalesce(F.exp(lb - top), F.lit(0.0))))
-                   .alias(f"f{k}"))
-    ll = F.col(f"f{k}")
-    df = df.select("*", F.exp(la - ll).alias(c + "wa"),
-                   F.coalesce(F.exp(lb - ll), F.lit(0.0)).alias(c + "wb"))
-    wa, wb = F.col(c + "wa"), F.col(c + "wb")
-    dg_r0, dg_b0, dg_ab0 = _digamma_scalar(r), _digamma_scalar(b), _digamma_scalar(a + b)
-    dh_a = dg_ab0 - F.col(c + "dg_ab")
-    dh_b = F.col(c + "dg_b") - dg_b0 + dh_a
-    d_r = (F.col(c + "dg_r") - dg_r0 + ln_alpha - wa * F.log(tc + alpha)
-           - wb * F.log(tx + alpha))
-    d_alpha = r / alpha - wa * (x + r) / (tc + alpha) - wb * (x + r) / (tx + alpha)
+def _bgnbd_ll_grad(theta: np.ndarray, x, t_x, t_cal, n):
+    """Weighted log-likelihood and gradient (w.r.t. log-parameters) of the
+    BG/NBD model on numpy arrays of one partition."""
+    r, alpha, a, b = np.exp(theta)
+    pos = x > 0
+    g = lgamma_np(x + r) - lgamma_np(r)
+    h = lgamma_np(x + b) - lgamma_np(b) + lgamma_np(a + b) - lgamma_np(x + a + b)
+    la = g + h + r * np.log(alpha) - (x + r) * np.log(t_cal + alpha)
+    bx1 = np.where(pos, x + b - 1.0, 1.0)
+    lb = np.where(pos, g + h + np.log(a) - np.log(bx1) + r * np.log(alpha)
+                  - (x + r) * np.log(t_x + alpha), -np.inf)
+    ll = np.logaddexp(la, lb)
+    wa, wb = np.exp(la - ll), np.exp(lb - ll)
+    dh_a = digamma_np(a + b) - digamma_np(x + a + b)
+    d_r = (digamma_np(x + r) - digamma_np(r) + np.log(alpha) - wa * np.log(t_cal + alpha)
+           - wb * np.log(t_x + alpha))
+    d_alpha = r / alpha - wa * (x + r) / (t_cal + alpha) - wb * (x + r) / (t_x + alpha)
     d_a = dh_a + wb / a
-    d_b = dh_b - F.when(pos, wb / (x + (b - 1))).otherwise(F.lit(0.0))
-    # chain rule to log-space
-    return df.select("*", *[(g * p).alias(f"g{k}_{j}") for j, (g, p) in
-                            enumerate([(d_r, r), (d_alpha, alpha), (d_a, a), (d_b, b)])])
-
-
-def _gg_stage(df: DataFrame, theta: np.ndarray, k: int) -> DataFrame:
-    p, q, g = (float(math.exp(v)) for v in theta)
-    x = F.col("x").cast("double")
-    m = F.col("m_x")
-    c = f"_{k}_"
-    df = df.select("*", (x * p).alias(c + "px"), (x * p + q).alias(c + "pxq"),
-                   F.log(m * x + g).alias(c + "lgm"))
-    px, pxq, lgm = F.col(c + "px"), F.col(c + "pxq"), F.col(c + "lgm")
-    df = df.select("*", lgamma(pxq).alias(c + "lg1"), lgamma(px).alias(c + "lg2"),
-                   digamma(pxq).alias(c + "dg1"), digamma(px).alias(c + "dg2"))
-    ll = (F.col(c + "lg1") - F.col(c + "lg2") - math.lgamma(q) + q * math.log(g)
-          + (px - 1) * F.log(m) + px * F.log(x) - (px + q) * lgm)
-    d_p = x * (F.col(c + "dg1") - F.col(c + "dg2") + F.log(m) + F.log(x) - lgm)
-    d_q = F.col(c + "dg1") - _digamma_scalar(q) + math.log(g) - lgm
+    d_b = digamma_np(x + b) - digamma_np(b) + dh_a - np.where(pos, wb / bx1, 0.0)
+    grads = [d_r * r, d_alpha * alpha, d_a * a, d_b * b]
+    return float((n * ll).sum()), [float((n * gr).sum()) for gr in grads]
+
+
+def _gg_ll_grad(theta: np.ndarray, x, m):
+    """Gamma-Gamma spend log-likelihood and gradient (log-parameters)."""
+    p, q, g = np.exp(theta)
+    px = p * x
+    lgm = np.log(m * x + g)
+    ll = (lgamma_np(px + q) - lgamma_np(px) - lgamma_np(q) + q * np.log(g)
+          + (px - 1) * np.log(m) + px * np.log(x) - (px + q) * lgm)
+    dg_pxq = digamma_np(px + q)
+    d_p = x * (dg_pxq - digamma_np(px) + np.log(m) + np.log(x) - lgm)
+    d_q = dg_pxq - digamma_np(q) + np.log(g) - lgm
     d_g = q / g - (px + q) / (m * x + g)
-    return df.select("*", ll.alias(f"f{k}"), (d_p * p).alias(f"g{k}_0"),
-                     (d_q * q).alias(f"g{k}_1"), (d_g * g).alias(f"g{k}_2"))
+    return float(ll.sum()), [float((d * s_).sum()) for d, s_ in ((d_p, p), (d_q, q), (d_g, g))]
 
 
-def _evaluator(data: DataFrame, stage, weight: str | None):
+def _evaluator(data: DataFrame, cols: list[str], ll_grad, dim: int):
+    """Evaluate log-likelihood and gradient at a batch of parameter points
+    in ONE pass: every partition computes its partial sums for all points
+    (numpy, Arrow batches) and a Spark aggregation adds them up by point.
+    Returns ``[(negative ll, negative gradient), ...]`` for minimisation."""
+    schema = T.StructType([T.StructField("k", T.IntegerType()), T.StructField("f", T.DoubleType())]
+                          + [T.StructField(f"g{j}", T.DoubleType()) for j in range(dim)])
+
     def evaluate(points: list[np.ndarray]):
-        staged = data
-        for k, th in enumerate(points):
-            staged = stage(staged, th, k)
-        w = F.col(weight) if weight else F.lit(1.0)
-        aggs = []
-        for k, th in enumerate(points):
-            aggs.append(F.sum(w * F.col(f"f{k}")).alias(f"f{k}"))
-            aggs += [F.sum(w * F.col(f"g{k}_{j}")).alias(f"g{k}_{j}") for j in range(len(th))]
-        row = staged.agg(*aggs).first()
+        pts = [np.asarray(pt, dtype=float) for pt in points]
+
+        def partials(batches):
+            f = np.zeros(len(pts))
+            gsum = np.zeros((len(pts), dim))
+            with np.errstate(all="ignore"):
+                for pdf in batches:
+                    arrays = [pdf[c].to_numpy(dtype=float) for c in cols]
+                    for k, th in enumerate(pts):
+                        fk, gk = ll_grad(th, *arrays)
+                        f[k] += fk
+                        gsum[k] += gk
+            out = pd.DataFrame({"k": np.arange(len(pts), dtype="int32"), "f": f})
+            for j in range(dim):
+                out[f"g{j}"] = gsum[:, j]
+            yield out
+
+        rows = (data.mapInPandas(partials, schema).groupBy("k")
+                .agg(F.sum("f").alias("f"), *[F.sum(f"g{j}").alias(f"g{j}") for j in range(dim)])
+                .collect())
+        by_k = {r["k"]: r for r in rows}
         out = []
-        for k, th in enumerate(points):
-            f = row[f"f{k}"]
-            gvec = np.array([row[f"g{k}_{j}"] for j in range(len(th))], dtype=float)
-            # minimise the negative log-likelihood
-            out.append((-f if f is not None else math.inf, -gvec))
+        for k in range(len(pts)):
+            r = by_k[k]
+            f = r["f"]
+            gvec = np.array([r[f"g{j}"] for j in range(dim)], dtype=float)
+            ok = f is not None and np.isfinite(f) and np.all(np.isfinite(gvec))
+            out.append((-f if ok else math.inf, -gvec))
         return out
     return evaluate
 
@@ -308,9 +295,8 @@ def _minimize(evaluate, theta0, upper: float, lower: float = -30.0, max_iter: in
         if longest > _MAX_STEP:
             d = d * (_MAX_STEP / longest)
         best = None
-        for step in _STEPS:
-            cand = np.clip(theta + step * d, lower, upper)
-            (fc, gc), = evaluate([cand])
+        cands = [np.clip(theta + step * d, lower, upper) for step in _STEPS]
+        for cand, (fc, gc) in zip(cands, evaluate(cands)):  # the whole ladder in one pass
             if np.isfinite(fc) and np.all(np.isfinite(gc)) and \
                     fc <= f + 1e-4 * (pg @ (cand - theta)):
                 best = (cand, fc, gc)
@@ -338,9 +324,13 @@ def _minimize(evaluate, theta0, upper: float, lower: float = -30.0, max_iter: in
     return theta, f, it, converged
 
 
-def _fit(data: DataFrame, terms, start, weight, names, max_iter):
-    theta, f, it, ok = _minimize(_evaluator(data, terms, weight), np.log(start),
-                                 upper=math.log(MAX_PARAM), max_iter=max_iter)
+def _fit(data: DataFrame, cols, ll_grad, start, names, max_iter):
+    data = data.persist()  # read once per optimiser step
+    try:
+        theta, f, it, ok = _minimize(_evaluator(data, cols, ll_grad, len(names)), np.log(start),
+                                     upper=math.log(MAX_PARAM), max_iter=max_iter)
+    finally:
+        data.unpersist()
     params = [float(math.exp(v)) for v in theta]
     return dict(zip(names, params)), -f, it, ok
 
@@ -352,14 +342,15 @@ def fit_bgnbd(inputs: DataFrame, start=BGNBD_START, max_iter: int = 200):
     data = inputs.groupBy("x", "t_x", "t_cal").agg(F.count(F.lit(1)).cast("double").alias("n"))
     data = cut_lineage(data.filter(F.col("x").isNotNull() & F.col("t_x").isNotNull()
                                    & F.col("t_cal").isNotNull()))
-    est, ll, it, ok = _fit(data, _bgnbd_stage, start, "n", ["r", "alpha", "a", "b"], max_iter)
+    est, ll, it, ok = _fit(data, ["x", "t_x", "t_cal", "n"], _bgnbd_ll_grad, start,
+                           ["r", "alpha", "a", "b"], max_iter)
     return BGNBDParams(**est), ll, it, ok
 
 
 def fit_gamma_gamma(inputs: DataFrame, start=GG_START, max_iter: int = 200):
     """Maximum-likelihood (p, q, gamma) over customers with x > 0 and m_x > 0."""
     data = cut_lineage(inputs.select("x", "m_x").filter((F.col("x") > 0) & (F.col("m_x") > 0)))
-    est, ll, it, ok = _fit(data, _gg_stage, start, None, ["p", "q", "gamma"], max_iter)
+    est, ll, it, ok = _fit(data, ["x", "m_x"], _gg_ll_grad, start, ["p", "q", "gamma"], max_iter)
     return GammaGammaParams(**est), ll, it, ok
 
 
