@@ -92,3 +92,22 @@ def test_gg_expected_value_formula(spark):
     out = {r["customer_id"]: r["exp_avg_value"] for r in btyd.gg_score(df, pr).collect()}
     assert abs(out[1] - 6.0 * (15.0 + 100.0) / (12.0 + 3.0)) < 1e-12
     assert out[2] is None  # non-positive spend is outside the model
+
+
+def test_fused_clv_projection_equals_joined_tables(spark):
+    """The one-projection CLV table equals the three-way left join of the
+    separately scored tables (and the churn input join)."""
+    from conftest import SF_SMALL
+    from clientele.operators import churn, features
+    from clientele.plans.catalog import _LRFMPV_COLS, txn
+    lr = features.lrfmpv_base(txn(spark, SF_SMALL, _LRFMPV_COLS))
+    bg = btyd.bgnbd_score(btyd.bgnbd_inputs(lr), btyd.CDNOW_BGNBD)
+    gg = btyd.gg_score(btyd.gg_inputs(lr), btyd.CDNOW_GAMMA_GAMMA)
+    joined = churn.churn_input(btyd.clv_table(bg, gg, lr), lr)
+    fused = btyd.clv_from_lrfmpv(lr, btyd.CDNOW_BGNBD, btyd.CDNOW_GAMMA_GAMMA,
+                                 extra=("L", "R", "P", "V"))
+    cols = sorted(joined.columns)
+    assert cols == sorted(fused.columns)
+    a, b = joined.select(*cols), fused.select(*cols)
+    assert a.count() == b.count() == lr.count()
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
