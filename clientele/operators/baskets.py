@@ -1,14 +1,18 @@
 """Category baskets and association rules.
 
-Frequent itemsets come from Spark ML's ``FPGrowth`` (parallel FP-growth,
-partitioned by item, so it scales with the number of baskets).  Rules with a
-single-item consequent are then derived from the itemset counts with plain
-DataFrame joins — each frequent itemset is exploded into one row per item
-(linear in its size), never into pairs of baskets.
+Frequent itemsets are counted exactly, either by summing supports over the
+subsets of the distinct (frequent-item) baskets — one aggregation after a
+partial aggregate, the plan that scales for small item domains such as
+categories — or, when that would be too many rows, by Spark ML's
+``FPGrowth``.  Rules with a single-item consequent are then derived from the
+itemset counts with plain DataFrame joins: each frequent itemset is exploded
+into one row per item (linear in its size), never into pairs of baskets.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -36,14 +40,57 @@ def itemset_label(items: Column) -> Column:
     return F.concat(F.lit("{"), F.array_join(F.array_sort(items), ","), F.lit("}"))
 
 
-def frequent_itemsets(baskets: DataFrame, min_support: float = MIN_SUPPORT,
-                      max_len: int = MAX_LEN) -> DataFrame:
-    """items (sorted array), freq (baskets containing all of them)."""
+# Above this many (distinct itemset, subset) rows the subset counting hands
+# over to FPGrowth; both paths are exact.
+MAX_SUBSET_ROWS = 20_000_000
+
+
+def _frequent_itemsets_fpgrowth(baskets: DataFrame, min_support: float, max_len: int) -> DataFrame:
     model = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=1.0).fit(baskets)
     fi = model.freqItemsets.select(F.array_sort("items").alias("items"), F.col("freq").cast("long"))
     return fi.filter(F.size("items") <= max_len)
 
 
+def frequent_itemsets(baskets: DataFrame, min_support: float = MIN_SUPPORT,
+                      max_len: int = MAX_LEN, max_subset_rows: int = MAX_SUBSET_ROWS) -> DataFrame:
+    """items (sorted array), freq (baskets containing all of them).
+
+    Baskets are first reduced to their frequent items and collapsed to
+    distinct itemsets with multiplicities (a partial aggregate: with a small
+    item domain every map task ships at most a few hundred rows, however many
+    baskets it read).  If enumerating every subset of those distinct
+    itemsets stays under ``max_subset_rows`` (an exact count, checked first),
+    supports are summed per subset in one aggregation; otherwise Spark ML's
+    FPGrowth mines the baskets.  FPGrowth alone would hand all conditional
+    transactions of an item to one task — with a handful of categories, a
+    handful of tasks for the whole table.
+    """
+    n = baskets.count()
+    min_count = math.ceil(min_support * n)  # the same threshold rule as FPGrowth
+    items = (baskets.select(F.explode("items").alias("item")).groupBy("item")
+             .agg(F.count(F.lit(1)).alias("c")).filter(F.col("c") >= min_count))
+    # frequent items: at most (total items) / min_count of them, a bound set by
+    # the support threshold, not by the number of baskets
+    frequent = sorted(r["item"] for r in items.collect())
+    if not frequent:
+        return baskets.sparkSession.createDataFrame([], "items array<string>, freq long")
+    kept = F.array_sort(F.array_intersect("items", F.array(*[F.lit(x) for x in frequent])))
+    distinct = (baskets.select(kept.alias("items")).filter(F.size("items") > 0)
+                .groupBy("items").agg(F.count(F.lit(1)).alias("c")))
+    distinct = cut_lineage(distinct)
+    stats = distinct.agg(F.max(F.size("items")).alias("longest"),
+                         F.sum(F.pow(F.lit(2.0), F.size("items"))).alias("rows")).first()
+    if stats["longest"] > 30 or stats["rows"] > max_subset_rows:
+        return _frequent_itemsets_fpgrowth(baskets, min_support, max_len)
+    # every non-empty subset of a distinct itemset, as a bitmask over its items
+    masks = F.expr("sequence(1, (1 << size(items)) - 1)")
+    subsets = (distinct.select("items", "c", F.explode(masks).alias("m"))
+               .select(F.expr("filter(items, (x, i) -> ((m >> i) & 1) = 1)").alias("items"), "c")
+               .filter(F.size("items") <= max_len))
+    return (subsets.groupBy("items").agg(F.sum("c").cast("long").alias("freq"))
+            .filter(F.col("freq") >= min_count))
+
+
 def association_rules(baskets: DataFrame, min_support: float = MIN_SUPPORT,
                       min_confidence: float = MIN_CONFIDENCE, min_len: int = MIN_LEN,
                       max_len: int = MAX_LEN) -> DataFrame:

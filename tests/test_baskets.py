@@ -49,6 +49,16 @@ def test_rules_match_brute_force(spark, make_txn):
             assert abs(g - w) < 1e-12
 
 
+def test_subset_counting_equals_fpgrowth(spark):
+    from conftest import SF_SMALL
+    from clientele.plans.catalog import _baskets
+    b = _baskets(spark, SF_SMALL)
+    fast = baskets.frequent_itemsets(b, 0.01)
+    slow = baskets.frequent_itemsets(b, 0.01, max_subset_rows=0)  # forces FPGrowth
+    assert fast.count() > 10
+    assert fast.exceptAll(slow).count() == 0 and slow.exceptAll(fast).count() == 0
+
+
 def test_lift_identity(spark):
     from conftest import SF_SMALL
     from clientele.plans.catalog import _baskets
