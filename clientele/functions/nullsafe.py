@@ -20,11 +20,6 @@ def sum0(x) -> Column:
     return F.coalesce(F.sum(_c(x)), F.lit(0))
 
 
-def sum0_typed(x, dtype: str) -> Column:
-    """``sum0`` with the result cast to ``dtype`` (e.g. ``decimal(28,2)``)."""
-    return F.coalesce(F.sum(_c(x)), F.lit(0)).cast(dtype)
-
-
 def has_null(x) -> Column:
     """1 if any value in the group is NULL, else 0."""
     return F.max(F.when(_c(x).isNull(), F.lit(1)).otherwise(F.lit(0)))
