@@ -81,6 +81,9 @@ ELBOW_KS = list(range(2, 9))
 RESTARTS = 25
 MAX_ITER = 100
 SEED = 42
+# partial-sum rows (partitions x centres) collected directly instead of
+# aggregated by Spark; beyond it the per-centre sums are a Spark aggregation
+MAX_DIRECT_PARTIALS = 200_000
 
 
 def kmeans_input_columns(dm: DataFrame) -> list[str]:
@@ -188,6 +191,7 @@ def kmeans_multistart(features: DataFrame, ks: list[int], restarts: int = RESTAR
     """
     cols = [c for c in features.columns if c != "customer_id"]
     data = cut_lineage(features.select(*cols)).persist()
+    n_parts = data.rdd.getNumPartitions()
     starts = _initial_centers(data, cols, ks, restarts, seed)
     dim = len(cols)
     schema = T.StructType([T.StructField("center", T.IntegerType()),
@@ -208,18 +212,23 @@ def kmeans_multistart(features: DataFrame, ks: list[int], restarts: int = RESTAR
         centers = np.vstack([runs[i]["centers"] for i in active])
         previous = np.vstack([runs[i]["prev"] for i in active])
         partial = data.mapInPandas(_lloyd_partials(centers, previous, blocks, cols), schema)
-        rows = partial.groupBy("center").agg(
-            F.sum("n").alias("n"), F.sum("cost").alias("cost"), F.sum("moved").alias("moved"),
-            *[F.sum(f"s{j}").alias(f"s{j}") for j in range(dim)]).collect()
+        if n_parts * len(centers) <= MAX_DIRECT_PARTIALS:
+            # at most one row per (partition, centre): a proven bound, so the
+            # partial sums are added on the driver without another stage
+            pdf = partial.toPandas().groupby("center").sum()
+        else:
+            pdf = partial.groupBy("center").agg(
+                F.sum("n").alias("n"), F.sum("cost").alias("cost"), F.sum("moved").alias("moved"),
+                *[F.sum(f"s{j}").alias(f"s{j}") for j in range(dim)]).toPandas().set_index("center")
         n = np.zeros(len(centers))
         cost = np.zeros(len(centers))
         moved = np.zeros(len(centers))
         sums = np.zeros_like(centers)
-        for r in rows:
-            n[r["center"]] = r["n"]
-            cost[r["center"]] = r["cost"]
-            moved[r["center"]] = r["moved"]
-            sums[r["center"]] = [r[f"s{j}"] for j in range(dim)]
+        idx = pdf.index.to_numpy(dtype=int)
+        n[idx] = pdf["n"].to_numpy()
+        cost[idx] = pdf["cost"].to_numpy()
+        moved[idx] = pdf["moved"].to_numpy()
+        sums[idx] = pdf[[f"s{j}" for j in range(dim)]].to_numpy()
         for (a, b), i in zip(blocks, active):
             run = runs[i]
             run["cost"] = float(cost[a:b].sum())  # cost of the current centres
