@@ -232,6 +232,7 @@ def _evaluator(data: DataFrame, cols: list[str], ll_grad, dim: int):
     Returns ``[(negative ll, negative gradient), ...]`` for minimisation."""
     schema = T.StructType([T.StructField("k", T.IntegerType()), T.StructField("f", T.DoubleType())]
                           + [T.StructField(f"g{j}", T.DoubleType()) for j in range(dim)])
+    n_parts = data.rdd.getNumPartitions()
 
     def evaluate(points: list[np.ndarray]):
         pts = [np.asarray(pt, dtype=float) for pt in points]
@@ -251,22 +252,28 @@ def _evaluator(data: DataFrame, cols: list[str], ll_grad, dim: int):
                 out[f"g{j}"] = gsum[:, j]
             yield out
 
-        rows = (data.mapInPandas(partials, schema).groupBy("k")
-                .agg(F.sum("f").alias("f"), *[F.sum(f"g{j}").alias(f"g{j}") for j in range(dim)])
-                .collect())
-        by_k = {r["k"]: r for r in rows}
+        part = data.mapInPandas(partials, schema)
+        if n_parts * len(pts) <= MAX_DIRECT_PARTIALS:
+            # one row per (partition, point): bounded, added on the driver
+            pdf = part.toPandas().groupby("k").sum(min_count=1)
+        else:
+            pdf = part.groupBy("k").agg(
+                F.sum("f").alias("f"), *[F.sum(f"g{j}").alias(f"g{j}") for j in range(dim)]
+            ).toPandas().set_index("k")
         out = []
         for k in range(len(pts)):
-            r = by_k[k]
-            f = r["f"]
-            gvec = np.array([r[f"g{j}"] for j in range(dim)], dtype=float)
-            ok = f is not None and np.isfinite(f) and np.all(np.isfinite(gvec))
+            f = float(pdf.loc[k, "f"])
+            gvec = np.array([pdf.loc[k, f"g{j}"] for j in range(dim)], dtype=float)
+            ok = np.isfinite(f) and np.all(np.isfinite(gvec))
             out.append((-f if ok else math.inf, -gvec))
         return out
     return evaluate
 
 
 _STEPS = (1.0, 0.3, 0.1, 0.03, 0.01, 0.001)
+# partial-sum rows (partitions x points) added on the driver; beyond it a
+# Spark aggregation combines them
+MAX_DIRECT_PARTIALS = 200_000
 _MAX_STEP = 2.0  # largest move of any log-parameter in one iteration
 
 
