@@ -68,19 +68,28 @@ def null_safe_on(left_alias: str, right_alias: str, on: list[str]) -> Column:
     return cond
 
 
-def left_join_na(left: DataFrame, right: DataFrame, on: list[str], how: str = "left") -> DataFrame:
+def left_join_na(left: DataFrame, right: DataFrame, on: list[str], how: str = "left",
+                 null_safe: bool = True) -> DataFrame:
     """Left (or inner) join where a missing key matches a missing key.
 
     ``<=>`` is planned as an equi-join (hash on the key plus a null marker),
-    never a nested loop.  Its join keys are expressions, so inputs already
-    hash-partitioned by the plain key are shuffled once more; callers use it
-    on customer-level tables (about one row per customer), where that costs
-    far less than any scheme that re-reads the order lines to isolate the
-    NULL-key rows.  Both sides are aliased, so joining two frames derived
-    from the same source is unambiguous.
+    never a nested loop, but its join keys are expressions, so inputs already
+    hash-partitioned by the plain key are shuffled once more.  When the
+    caller knows the key column holds no NULL (``null_safe=False``, e.g. after
+    checking the source table), a plain equi-join gives the same rows and
+    keeps the co-partitioning of two customer aggregates.  Both sides are
+    aliased, so joining two frames derived from the same source is
+    unambiguous.
     """
     lft, rgt = left.alias("_jl"), right.alias("_jr")
     right_cols = [c for c in right.columns if c not in on]
-    return lft.join(rgt, null_safe_on("_jl", "_jr", on), how).select(
+    if null_safe:
+        cond = null_safe_on("_jl", "_jr", on)
+    else:
+        cond = None
+        for k in on:
+            c = F.col(f"_jl.`{k}`") == F.col(f"_jr.`{k}`")
+            cond = c if cond is None else cond & c
+    return lft.join(rgt, cond, how).select(
         *[F.col(f"_jl.`{c}`") for c in left.columns],
         *[F.col(f"_jr.`{c}`") for c in right_cols])

@@ -155,8 +155,11 @@ def category_decline(txn: DataFrame, analysis_date: _dt.date | str | None = None
 # --- D8/D9: dependency-failure signal ----------------------------------------------------
 
 def dependency_failure_signal(churn_base: DataFrame, dependency: DataFrame,
-                              decline: DataFrame, share_threshold: float = 0.60) -> DataFrame:
-    x = left_join_na(churn_base, dependency, ["customer_id"])
+                              decline: DataFrame, share_threshold: float = 0.60,
+                              null_keys: bool = True) -> DataFrame:
+    """``null_keys=False`` declares that customer_id is never NULL (plain
+    equi-join, no re-shuffle of the customer tables)."""
+    x = left_join_na(churn_base, dependency, ["customer_id"], null_safe=null_keys)
     # decline has one row per category; joined on differently named keys
     dec = decline.withColumnRenamed("category", "dominant_category")
     x = left_join_na(x, dec, ["dominant_category"])
@@ -180,7 +183,7 @@ def dependency_failure_customers(signal: DataFrame) -> DataFrame:
 # --- D10-D14: operational friction ------------------------------------------------------
 
 def customer_recent_returns(txn: DataFrame, churn_base: DataFrame,
-                            window_days: int = 180) -> DataFrame:
+                            window_days: int = 180, null_keys: bool = True) -> DataFrame:
     """Quantity, returns and refunds in the ``window_days`` up to each
     customer's last approved order (both ends inclusive), lines of every status.
 
@@ -193,7 +196,7 @@ def customer_recent_returns(txn: DataFrame, churn_base: DataFrame,
         F.sum("quantity").alias("_q"), F.sum("returned_qty").alias("_r"),
         F.sum("refund_amount").alias("_f"))
     last = churn_base.select("customer_id", "last_order").filter(F.col("last_order").isNotNull())
-    j = left_join_na(daily, last, ["customer_id"], how="inner")
+    j = left_join_na(daily, last, ["customer_id"], how="inner", null_safe=null_keys)
     j = j.filter((F.col("transaction_date") >= F.date_sub(F.col("last_order"), window_days))
                  & (F.col("transaction_date") <= F.col("last_order")))
     agg = j.groupBy("customer_id").agg(
@@ -215,8 +218,8 @@ def return_ratio_distribution(recent: DataFrame) -> DataFrame:
 
 
 def operational_friction_signal(churn_base: DataFrame, recent: DataFrame,
-                                return_threshold: float = 0.25) -> DataFrame:
-    x = left_join_na(churn_base, recent, ["customer_id"])
+                                return_threshold: float = 0.25, null_keys: bool = True) -> DataFrame:
+    x = left_join_na(churn_base, recent, ["customer_id"], null_safe=null_keys)
     x = x.withColumn("high_return_flag", flag(F.col("recent_return_ratio") >= return_threshold))
     return x.withColumn("possible_operational_friction", flag(
         (F.col("churn_flag") == 1) & (F.col("high_return_flag") == 1)))

@@ -37,7 +37,7 @@ def query(name: str):
     return register
 
 
-_STAGED: dict[tuple, str] = {}
+_STAGED: dict[tuple, tuple[str, bool]] = {}
 
 
 def _source_stamp(sf_dir: str) -> tuple:
@@ -54,14 +54,27 @@ def staged_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder the cluster names).  Every query then reads only the columns it
     needs from that table instead of re-running the lineitem/orders/part
     joins; date filters become Parquet filters on the staged column."""
+    return spark.read.parquet(_staged(spark, sf_dir)[0])
+
+
+def _staged(spark: SparkSession, sf_dir: str) -> tuple[str, bool]:
     key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir), _source_stamp(sf_dir))
-    path = _STAGED.get(key)
-    if path is None:
+    if key not in _STAGED:
         base = ensure_checkpoint_dir(spark).rstrip("/")
         path = f"{base}/staged-transactions-{uuid.uuid4().hex}"
         sinks.stage_transactions(transactions_from_tables(spark, sf_dir), path)
-        _STAGED[key] = path
-    return spark.read.parquet(path)
+        # IsNull is pushed to Parquet: row groups whose statistics show no
+        # NULL are skipped, so this costs a footer read per file
+        has_null = spark.read.parquet(path).filter(F.col("customer_id").isNull()).limit(1) \
+            .count() > 0
+        _STAGED[key] = (path, has_null)
+    return _STAGED[key]
+
+
+def null_customer_keys(spark: SparkSession, sf_dir: str) -> bool:
+    """Whether any staged line lacks a customer id (then customer joins must
+    match NULL to NULL; otherwise plain equi-joins are exact)."""
+    return _staged(spark, sf_dir)[1]
 
 
 def txn(spark: SparkSession, sf_dir: str, columns: list[str] | None = None) -> DataFrame:
@@ -195,7 +208,8 @@ def _dependency_signal(spark, sf, decline_threshold=0.70, share_threshold=0.60):
     base = churn.customer_churn_base(features.lrfmpv_base(t), t)
     dep = churn.customer_category_dependency(t)
     dec = churn.category_decline(t, threshold=decline_threshold)
-    return churn.dependency_failure_signal(base, dep, dec, share_threshold=share_threshold)
+    return churn.dependency_failure_signal(base, dep, dec, share_threshold=share_threshold,
+                                           null_keys=null_customer_keys(spark, sf))
 
 
 def _wide_signal(spark, sf):
@@ -209,12 +223,14 @@ _FRICTION_COLS = ["customer_id", "transaction_id", "transaction_date", "net_reve
 def _recent_returns(spark, sf):
     t = txn(spark, sf, _FRICTION_COLS)
     base = churn.customer_churn_base(features.lrfmpv_base(t), t)
-    return base, churn.customer_recent_returns(t, base)
+    return base, churn.customer_recent_returns(t, base,
+                                               null_keys=null_customer_keys(spark, sf))
 
 
 def _friction(spark, sf):
     base, recent = _recent_returns(spark, sf)
-    return churn.operational_friction_signal(base, recent)
+    return churn.operational_friction_signal(base, recent,
+                                             null_keys=null_customer_keys(spark, sf))
 
 
 @query("customer_churn_base")

@@ -78,3 +78,23 @@ def test_churn_score_single_order_is_healthy(spark):
     # frequency risk = 1 - percent_rank(F) over all three rows
     assert out[2]["frequency_risk"] == 0.0 and out[1]["frequency_risk"] == 1.0
     assert 0.0 <= out[3]["churn_score"] <= 1.0
+
+
+def test_plain_customer_join_only_when_keys_are_present(spark, make_txn):
+    """Both join modes agree on data without NULL ids; the catalogue picks the
+    plain join only after checking the staged table."""
+    from conftest import SF_SMALL
+    from clientele.plans.catalog import null_customer_keys, txn
+    assert null_customer_keys(spark, SF_SMALL) is False
+    t = txn(spark, SF_SMALL)
+    base = churn.customer_churn_base(features.lrfmpv_base(t), t)
+    a = churn.operational_friction_signal(base, churn.customer_recent_returns(t, base))
+    b = churn.operational_friction_signal(
+        base, churn.customer_recent_returns(t, base, null_keys=False), null_keys=False)
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+    # with a NULL customer id the null-safe default still matches NULL to NULL
+    rows = [line(customer_id=None, transaction_id=1, quantity=2.0, returned=1.0)]
+    tn = make_txn(rows)
+    bn = churn.customer_churn_base(features.lrfmpv_base(tn), tn)
+    sig = churn.operational_friction_signal(bn, churn.customer_recent_returns(tn, bn)).first()
+    assert sig["customer_id"] is None and sig["recent_return_ratio"] == 0.5
