@@ -42,15 +42,16 @@ def global_row_number(df: DataFrame, order: list, out: str = "row_number",
     keys then get consecutive, arbitrary positions).  ``total`` names an
     optional column holding the row count.
     """
-    spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     keys = [_as_col(c) for c in order]
     base = df
     if not unique:
         base = base.withColumn("_tb", F.monotonically_increasing_id())
         keys = keys + [F.col("_tb")]
-    tagged = (base.repartitionByRange(n, *keys)
-              .sortWithinPartitions(*keys)
+    # without an explicit count AQE may merge adjacent ranges at runtime;
+    # merged ranges stay contiguous and each partition is sorted below
+    ranged = (base.repartitionByRange(num_partitions, *keys) if num_partitions
+              else base.repartitionByRange(*keys))
+    tagged = (ranged.sortWithinPartitions(*keys)
               .withColumn("_mid", F.monotonically_increasing_id()))
     tagged = cut_lineage(tagged)
 

@@ -71,3 +71,11 @@ def test_exact_quantiles_grouped(spark):
     df = spark.createDataFrame(rows, "g long, v double")
     got = {r["g"]: r["med"] for r in exact_quantiles(df, "v", {"med": 0.5}, ["g"]).collect()}
     assert got == {0: 4.5, 1: 7.0, None: 3.0}
+
+
+def test_row_number_with_adaptive_range_count(spark):
+    """No explicit range count: AQE may merge adjacent ranges; positions stay exact."""
+    df = frame(spark, n=5000, seed=9)
+    got = global_row_number(df, [F.col("v").asc_nulls_first(), "id"], "rn")
+    ref = df.withColumn("ref", F.row_number().over(Window.orderBy(F.col("v").asc_nulls_first(), "id")))
+    assert got.join(ref, "id").filter(F.col("rn") != F.col("ref")).count() == 0
