@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clientele.llm import extendible_dedup, mixing, secret_ledger, url_templates
+from clientele.llm import (best_fit_packing, extendible_dedup, language_centroid, mixing,
+                           secret_ledger, url_templates)
 from clientele.llm.common import prepare, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -49,3 +50,15 @@ def op9(spark, sf_dir):
     plan = mixing.mix(table(spark, sf_dir, "documents"))
     return plan.select("doc_id", "size", "source_size", "target", "taken",
                        F.transform("passes", lambda p: p["shard"]).alias("shards"))
+
+
+@_query("op3_language_centroid")
+def op3(spark, sf_dir):
+    """Language of every document."""
+    return language_centroid.language_id(table(spark, sf_dir, "documents"))
+
+
+@_query("op5_best_fit_packing")
+def op5(spark, sf_dir):
+    """Every document's pieces and their place in sequences of 2048 tokens."""
+    return best_fit_packing.pack(table(spark, sf_dir, "documents"))
