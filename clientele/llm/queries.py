@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clientele.llm import (best_fit_packing, extendible_dedup, language_centroid, mixing,
-                           secret_ledger, url_templates)
+                           pii_boost, pseudo_likelihood, secret_ledger, url_templates)
 from clientele.llm.common import prepare, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -62,3 +62,15 @@ def op3(spark, sf_dir):
 def op5(spark, sf_dir):
     """Every document's pieces and their place in sequences of 2048 tokens."""
     return best_fit_packing.pack(table(spark, sf_dir, "documents"))
+
+
+@_query("op2_pii_boost")
+def op2(spark, sf_dir):
+    """Personal data in every document."""
+    return pii_boost.personal_data(table(spark, sf_dir, "documents"))
+
+
+@_query("op10_pseudo_likelihood")
+def op10(spark, sf_dir):
+    """Masked pseudo-likelihood of every document."""
+    return pseudo_likelihood.score_documents(table(spark, sf_dir, "documents"))
