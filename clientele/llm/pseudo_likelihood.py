@@ -38,9 +38,9 @@ EDGE = VOCABULARY
 #: Words seen on each side, and width of the hidden layer.
 SIDE, WIDTH = 2, 16
 #: Words of one gradient step, and its first learning rate.
-STEP, RATE = 4096, 0.5
+STEP, RATE = 4096, 1.0
 ROUNDS = 2
-#: Distinct words a task counts before it hands partial counts on.
+#: Distinct words a task counts before it hands partial counts on, or remembers.
 HELD = 200_000
 
 SHAPES = {"e": (2 * SIDE, VOCABULARY + 1, WIDTH), "b": (WIDTH,), "wc": (WIDTH, CLASSES), "bc": (CLASSES,),
@@ -95,76 +95,105 @@ def word_counts(docs: DataFrame) -> DataFrame:
     return docs.select("text").mapInArrow(local, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
-class Coder:
-    """Word ids; unknown words share hashed ids."""
+class _Ids(dict):
+    """Word ids; an unknown word's hashed id is remembered while there is room."""
+
+    def __missing__(self, word: bytes) -> int:
+        import zlib
+        found = WORDS + zlib.crc32(word) % HASHED
+        if len(self) < HELD:
+            self[word] = found
+        return found
 
+
+class Coder:
     def __init__(self, vocabulary: list[bytes]) -> None:
-        self.ids = {w: i for i, w in enumerate(vocabulary)}
+        self.ids = _Ids((w, i) for i, w in enumerate(vocabulary))
 
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all texts, each between two edges on either side, and owners
-        (-1 at edges)."""
-        import zlib
-        known, flat, lengths = self.ids, [], []
+        """Ids of all texts, each between ``SIDE`` edges on either side, and
+        where each text's first word is."""
+        known, rows = self.ids, []
         for t in texts:
             ws = words_of(t)
-            lengths.append(len(ws))
-            flat.extend([known[w] if w in known else WORDS + zlib.crc32(w) % HASHED for w in ws])
-        lengths = np.asarray(lengths, dtype=np.int64)
-        total = int(lengths.sum()) + 2 * SIDE * len(texts)
-        ids = np.full(total, EDGE, dtype=np.int64)
-        owner = np.full(total, -1, dtype=np.int64)
+            rows.append(np.fromiter(map(known.__getitem__, ws), dtype=np.uint16, count=len(ws)))
+        lengths = np.fromiter(map(len, rows), dtype=np.int64, count=len(rows))
+        ids = np.full(int(lengths.sum()) + 2 * SIDE * len(rows), EDGE, dtype=np.uint16)
         begin = np.cumsum(lengths + 2 * SIDE) - lengths - SIDE
-        place = np.repeat(begin - (np.cumsum(lengths) - lengths), lengths) + np.arange(int(lengths.sum()))
-        ids[place] = flat
-        owner[place] = np.repeat(np.arange(len(texts)), lengths)
-        return ids, owner
+        for b, r in zip(begin, rows):
+            ids[b:b + len(r)] = r
+        return ids, begin
 
 
 OFFSETS = [o for o in range(-SIDE, SIDE + 1) if o]
 
 
-def _log_softmax(z: np.ndarray) -> np.ndarray:
-    z = z - z.max(axis=1, keepdims=True)
-    return z - np.log(np.exp(z).sum(axis=1, keepdims=True))
-
-
-def forward(w: dict, ids: np.ndarray, at: np.ndarray):
-    """log P(word | both sides) for the places ``at``, and what training needs."""
-    ctx = np.stack([ids[at + o] for o in OFFSETS])
-    z = w["b"] + sum(w["e"][k][ctx[k]] for k in range(len(OFFSETS)))
-    h = np.tanh(z)
-    c, m = np.divmod(ids[at], MEMBERS)
-    lc = _log_softmax(h @ w["wc"] + w["bc"])
-    lm = _log_softmax(h @ w["wm"] + w["bm"][c])
-    rows = np.arange(len(at))
-    return lc[rows, c] + lm[rows, m], (ctx, h, c, m, lc, lm, rows)
-
-
-def _add_rows(table: np.ndarray, index: np.ndarray, values: np.ndarray) -> None:
-    """table[index] += values, equal indices summed first."""
-    order = np.argsort(index, kind="stable")
-    sorted_ix = index[order]
-    first = np.flatnonzero(np.r_[True, sorted_ix[1:] != sorted_ix[:-1]])
-    table[sorted_ix[first]] += np.add.reduceat(values[order], first, axis=0)
-
-
-def train_step(w: dict, ids: np.ndarray, at: np.ndarray, rate: float) -> None:
-    _, (ctx, h, c, m, lc, lm, rows) = forward(w, ids, at)
-    scale = np.float32(rate / len(at))
-    gc, gm = np.exp(lc), np.exp(lm)
-    gc[rows, c] -= 1
-    gm[rows, m] -= 1
-    gh = (gc @ w["wc"].T + gm @ w["wm"].T) * (1 - h * h)
-    w["wc"] -= scale * (h.T @ gc)
-    w["bc"] -= scale * gc.sum(axis=0)
-    w["wm"] -= scale * (h.T @ gm)
-    _add_rows(w["bm"], c, -scale * gm)
+def _softmax(z: np.ndarray) -> np.ndarray:
+    """Over the first axis, in place.  The hidden layer is within -1..1, so
+    logits stay small; the bound only guards against overflow."""
+    np.exp(np.minimum(z, 60, out=z), out=z)
+    z /= z.sum(axis=0)
+    return z
+
+
+def forward(w: dict, ids: np.ndarray, a: int, b: int):
+    """For places a..b-1 of ``ids`` (SIDE <= a, b <= len - SIDE): the hidden
+    layer, both softmaxes (class x place, member x place), and each word's
+    class and member (edges: 0)."""
+    z = w["e"][0].take(ids[a + OFFSETS[0]:b + OFFSETS[0]], axis=0)
+    for k, o in enumerate(OFFSETS[1:], 1):
+        z += w["e"][k].take(ids[a + o:b + o], axis=0)
+    z += w["b"]
+    h = np.tanh(z, out=z)
+    own = ids[a:b]
+    c, m = np.divmod(np.where(own == EDGE, 0, own).astype(np.intp), MEMBERS)
+    pc = _softmax(w["wc"].T @ h.T + w["bc"][:, None])
+    pm = _softmax(w["wm"].T @ h.T + w["bm"].T.take(c, axis=1))
+    return h, pc, pm, c, m
+
+
+def log_probs(w: dict, ids: np.ndarray) -> np.ndarray:
+    """log P(word | both sides) at every place; 0 at edges."""
+    out = np.zeros(len(ids))
+    for a in range(SIDE, len(ids) - SIDE, STEP):
+        b = min(a + STEP, len(ids) - SIDE)
+        _, pc, pm, c, m = forward(w, ids, a, b)
+        cols = np.arange(b - a)
+        p = np.log(np.maximum(pc[c, cols] * pm[m, cols], 1e-30))
+        out[a:b] = np.where(ids[a:b] == EDGE, 0.0, p)
+    return out
+
+
+def train_step(w: dict, ids: np.ndarray, a: int, b: int, rate: float) -> None:
+    """One gradient step on the words at places a..b-1."""
+    h, gc, gm, c, m = forward(w, ids, a, b)
+    cols = np.arange(b - a)
+    gc[c, cols] -= 1
+    gm[m, cols] -= 1
+    edge = ids[a:b] == EDGE
+    gc[:, edge] = 0
+    gm[:, edge] = 0
+    scale = np.float32(rate / (b - a))
+    gh = ((w["wc"] @ gc + w["wm"] @ gm).T) * (1 - h * h)
+    w["wc"] -= scale * (gc @ h).T
+    w["bc"] -= scale * gc.sum(axis=1)
+    w["wm"] -= scale * (gm @ h).T
+    by_class = np.argsort(c.astype(np.uint16), kind="stable")
+    first = np.flatnonzero(np.diff(c[by_class], prepend=-1))
+    w["bm"][c[by_class[first]]] -= scale * np.add.reduceat(gm.take(by_class, axis=1), first, axis=1).T
     w["b"] -= scale * gh.sum(axis=0)
-    # an embedding sees few words of a step: its rate is not divided as far
-    push = -np.float32(rate / np.sqrt(len(at) * 8)) * gh
-    for k in range(len(OFFSETS)):
-        _add_rows(w["e"][k], ctx[k], push)
+    # An embedding sees few words of a step: its rate is not divided as far.
+    # One order of the block serves all offsets: the word at place p is the
+    # context of place p - o.
+    push = np.zeros((b - a + 4 * SIDE, WIDTH), dtype=np.float32)
+    push[2 * SIDE:2 * SIDE + b - a] = np.float32(rate / np.sqrt(8 * (b - a))) * gh
+    block = ids[a - SIDE:b + SIDE]
+    order = np.argsort(block, kind="stable")
+    ranked = block[order]
+    first = np.flatnonzero(np.diff(ranked.astype(np.int32), prepend=-1))
+    word = ranked[first]
+    for k, o in enumerate(OFFSETS):
+        w["e"][k][word] -= np.add.reduceat(push.take(order + (SIDE - o), axis=0), first, axis=0)
 
 
 def vocabulary(docs: DataFrame) -> list[bytes]:
@@ -184,14 +213,12 @@ def train(docs: DataFrame, words: list[bytes], rounds: int = ROUNDS, rate: float
             import pyarrow as pa
             start, vocab = shared.value
             w, coder, seen = unpack(start), Coder(vocab), 0
-            rng = np.random.default_rng(3)
             for batch in batches:
-                ids, owner = coder.encode(batch.column(0).to_pylist())
-                at = rng.permutation(np.flatnonzero(owner >= 0))
-                for k in range(0, len(at), STEP):
-                    step = at[k:k + STEP]
-                    train_step(w, ids, step, rate / np.sqrt(1 + seen / 1e6))
-                    seen += len(step)
+                ids, _ = coder.encode(batch.column(0).to_pylist())
+                for a in range(SIDE, len(ids) - SIDE, STEP):
+                    b = min(a + STEP, len(ids) - SIDE)
+                    train_step(w, ids, a, b, rate / np.sqrt(1 + seen / 1e6))
+                    seen += b - a
             if seen:
                 yield pa.RecordBatch.from_arrays([pa.array([(flatten(w) * seen).tolist()], pa.list_(pa.float64())),
                                                   pa.array([float(seen)], pa.float64())], ["vec", "weight"])
@@ -213,15 +240,12 @@ def score(docs: DataFrame, words: list[bytes], weights: np.ndarray) -> DataFrame
         flat, vocab = shared.value
         w, coder = unpack(flat), Coder(vocab)
         for batch in batches:
-            n = batch.num_rows
-            ids, owner = coder.encode(batch.column(1).to_pylist())
-            at = np.flatnonzero(owner >= 0)
-            total = np.zeros(n)
-            for k in range(0, len(at), 8 * STEP):
-                step = at[k:k + 8 * STEP]
-                lp, _ = forward(w, ids, step)
-                total += np.bincount(owner[step], weights=lp, minlength=n)
-            size = np.bincount(owner[at], minlength=n)
+            ids, begin = coder.encode(batch.column(1).to_pylist())
+            if len(begin):
+                size = np.diff(np.append(begin, len(ids) + SIDE)) - 2 * SIDE
+                total = np.add.reduceat(log_probs(w, ids), begin - SIDE)
+            else:
+                size, total = np.zeros(0, dtype=np.int64), np.zeros(0)
             mean = pa.array(total / np.maximum(size, 1), pa.float64(), mask=size == 0)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(size, pa.int64()), pa.array(total, pa.float64()), mean],

@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clientele.llm import (best_fit_packing, extendible_dedup, language_centroid, mixing,
+from clientele.llm import (best_fit_packing, extendible_dedup, hilbert_ann,
+                           language_centroid, mixing,
                            pii_boost, pseudo_likelihood, secret_ledger, url_templates)
 from clientele.llm.common import prepare, table
 
@@ -74,3 +75,9 @@ def op2(spark, sf_dir):
 def op10(spark, sf_dir):
     """Masked pseudo-likelihood of every document."""
     return pseudo_likelihood.score_documents(table(spark, sf_dir, "documents"))
+
+
+@_query("op6_hilbert_ann")
+def op6(spark, sf_dir):
+    """The 20 nearest found of every query vector."""
+    return hilbert_ann.search(table(spark, sf_dir, "embeddings"))
