@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from typing import TYPE_CHECKING
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -14,9 +14,9 @@ from clientele.session import ensure_checkpoint_dir, ship_package
 if TYPE_CHECKING:
     import pyarrow as pa
 
-#: Rows in one Arrow batch of whole texts: bounds a Python worker's memory
-#: when single texts are very long.
-TEXT_ROWS_PER_BATCH = 256
+#: Bounds of one Arrow batch, and with it of a Python worker's memory when
+#: texts are very long.
+BATCH_ROWS, BATCH_BYTES = 2000, 8 << 20
 
 #: Characters of the contract's white space class ``[\x20\x09-\x0D]``.
 SPACES = ("\x20", "\x09", "\x0a", "\x0b", "\x0c", "\x0d")
@@ -33,8 +33,9 @@ def prepare(spark: SparkSession) -> None:
     ensure_checkpoint_dir(spark)
     ship_package(spark)
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if int(spark.conf.get(key)) > TEXT_ROWS_PER_BATCH:
-        spark.conf.set(key, str(TEXT_ROWS_PER_BATCH))
+    if int(spark.conf.get(key)) > BATCH_ROWS:
+        spark.conf.set(key, str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
 def staged(df: DataFrame, by: str | None = None) -> DataFrame:
@@ -86,8 +87,3 @@ def sum_arrays(partials: DataFrame, fan_in: int = 16) -> DataFrame:
 
     return partials.select("vec", "weight").repartition(fan_in).mapInArrow(
         add, "vec array<double>, weight double")
-
-
-def per_partition(fn: Callable, df: DataFrame, schema: str) -> DataFrame:
-    """``mapInArrow`` over only the columns ``df`` already selects."""
-    return df.mapInArrow(fn, schema)

@@ -38,6 +38,8 @@ REJECT_PART = 0.5
 
 UNKNOWN = "und"
 _LETTERS: dict = {}
+#: Texts whose dense vectors a task holds at once.
+SLICE = 256
 
 
 def held_out(doc_id: Column) -> Column:
@@ -79,6 +81,12 @@ def counts(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     return out.reshape(len(texts), BUCKETS), has
 
 
+def sliced(batches: Iterator) -> Iterator:
+    for batch in batches:
+        for at in range(0, batch.num_rows, SLICE):
+            yield batch.slice(at, SLICE)
+
+
 def unit_rows(m: np.ndarray) -> np.ndarray:
     norm = np.sqrt((m * m).sum(axis=1, keepdims=True))
     return m / np.where(norm > 0, norm, 1)
@@ -129,7 +137,7 @@ def document_frequencies(train: DataFrame) -> tuple[np.ndarray, float]:
     def local(batches: Iterator) -> Iterator:
         import pyarrow as pa
         total, rows = np.zeros(BUCKETS), 0
-        for batch in batches:
+        for batch in sliced(batches):
             found, has = counts(batch.column(0).to_pylist())
             total += (found[has] > 0).sum(axis=0)
             rows += int(has.sum())
@@ -156,7 +164,7 @@ def fit(train: DataFrame, sample_per_language: int = SAMPLE, centroids: int = CE
 
     def sparse(batches: Iterator) -> Iterator:
         import pyarrow as pa
-        for batch in batches:
+        for batch in sliced(batches):
             found, has = counts(batch.column(0).to_pylist())
             langs, at, val = [], [], []
             for lang, row, ok in zip(batch.column(1).to_pylist(), found, has):
@@ -197,7 +205,7 @@ def identify(docs: DataFrame, model: Model | None) -> DataFrame:
     def predict(batches: Iterator) -> Iterator:
         import pyarrow as pa
         m = shared.value
-        for batch in batches:
+        for batch in sliced(batches):
             texts = batch.column(1).to_pylist()
             found, has = counts(texts)
             lang, score, reject = [UNKNOWN] * len(texts), np.zeros(len(texts)), np.ones(len(texts), dtype=bool)

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clientele.llm import (best_fit_packing, extendible_dedup, hilbert_ann,
-                           language_centroid, mixing,
+                           jaccard_join, language_centroid, mixing,
                            pii_boost, pseudo_likelihood, secret_ledger, url_templates)
 from clientele.llm.common import prepare, table
 
@@ -42,7 +42,7 @@ def op7(spark, sf_dir):
 @_query("op8_exact_dedup")
 def op8(spark, sf_dir):
     """The row that stays for every document's normalised text."""
-    return extendible_dedup.dedup(table(spark, sf_dir, "documents"))
+    return extendible_dedup.dedup(table(spark, sf_dir, "documents")).drop("bucket", "chain")
 
 
 @_query("op9_mixing")
@@ -81,3 +81,9 @@ def op10(spark, sf_dir):
 def op6(spark, sf_dir):
     """The 20 nearest found of every query vector."""
     return hilbert_ann.search(table(spark, sf_dir, "embeddings"))
+
+
+@_query("op4_jaccard_join")
+def op4(spark, sf_dir):
+    """Set size and component of every document under Jaccard >= 0.8."""
+    return jaccard_join.cluster(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
