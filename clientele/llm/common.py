@@ -6,6 +6,7 @@ import uuid
 from collections.abc import Iterator
 from typing import TYPE_CHECKING
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -87,3 +88,51 @@ def sum_arrays(partials: DataFrame, fan_in: int = 16) -> DataFrame:
 
     return partials.select("vec", "weight").repartition(fan_in).mapInArrow(
         add, "vec array<double>, weight double")
+
+
+# Word hashes.  A word's hash is a polynomial of its bytes over 64-bit numbers,
+# each byte replaced by a random value (A-Z by that of a-z), then scrambled.
+# Prefix sums give it for all words of a text at once.
+_BYTE = np.random.default_rng(0x5EED).integers(0, 1 << 63, 256, dtype=np.uint64) | np.uint64(1)
+_BYTE[65:91] = _BYTE[97:123]
+_IS_SPACE = np.zeros(256, dtype=bool)
+_IS_SPACE[[ord(c) for c in SPACES]] = True
+_BASE = 0x9E3779B97F4A7C15
+_POWERS: list[np.ndarray] = []
+
+
+def mix(x: np.ndarray) -> np.ndarray:
+    """A bijective scrambling of 64-bit values (splitmix64)."""
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the base and of its inverse, up to the n-th."""
+    if not _POWERS or len(_POWERS[0]) <= n:
+        size = max(1 << 16, 2 * n)
+        _POWERS[:] = [np.multiply.accumulate(np.r_[np.uint64(1), np.full(size, b, dtype=np.uint64)])
+                      for b in (_BASE, pow(_BASE, -1, 1 << 64))]
+    return _POWERS[0], _POWERS[1]
+
+
+def word_hashes(text: str | None) -> np.ndarray:
+    """64-bit hashes of the words ``[^\x20\x09-\x0D]+`` of a text in order,
+    A-Z lower-cased."""
+    b = np.frombuffer((text or "").encode("utf-8", "replace"), dtype=np.uint8)
+    word = np.zeros(len(b) + 2, dtype=bool)
+    np.logical_not(_IS_SPACE[b], out=word[1:-1])
+    edge = np.flatnonzero(word[1:] != word[:-1])
+    start, end = edge[::2], edge[1::2]
+    power, inverse = _powers(len(b))
+    total = np.zeros(len(b) + 1, dtype=np.uint64)
+    np.cumsum(_BYTE[b] * power[:len(b)], out=total[1:])
+    return mix((total[end] - total[start]) * inverse[start] + (end - start).astype(np.uint64))
+
+
+def counted(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct values, ascending, and how often each occurs."""
+    values = np.sort(values)
+    first = np.flatnonzero(np.r_[True, values[1:] != values[:-1]]) if len(values) else np.empty(0, np.int64)
+    return values[first], np.diff(np.r_[first, len(values)])

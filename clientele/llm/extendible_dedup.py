@@ -112,3 +112,15 @@ def dedup(docs: DataFrame, capacity: int = BUCKET_CAPACITY) -> DataFrame:
             .select("doc_id", "keep_id", F.col("rows").alias("group_size"),
                     F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"),
                     F.col("sha").alias("text_sha256"), "bucket", "chain"))
+
+
+def keep_one(docs: DataFrame, capacity: int = BUCKET_CAPACITY) -> DataFrame:
+    """``docs`` with the row that stays of each group of equal texts; columns
+    unchanged.  Repeated rows (same doc_id and text) stay once."""
+    keep = staged(dedup(docs, capacity).filter("kept")
+                  .select(F.col("doc_id").alias("__doc"), F.col("text_sha256").alias("__of")).distinct())
+    rows = docs.withColumn("__sha", F.sha2(without_spaces(F.coalesce("text", F.lit(""))), 256))
+    found = rows.join(keep, rows["doc_id"].eqNullSafe(keep["__doc"]) & (rows["__sha"] == keep["__of"]), "left_semi")
+    if docs.select("doc_id").groupBy("doc_id").count().filter("count > 1").limit(1).count():
+        found = found.dropDuplicates(["doc_id", "__sha"])
+    return found.select(*docs.columns)

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from clientele.llm.common import staged
+from clientele.llm.common import counted, mix, staged, word_hashes
 
 #: Words of a shingle and percent of the union that a link's intersection reaches.
 SHINGLE, PERCENT = 5, 80
@@ -50,41 +50,18 @@ SALTS = 16
 STARS, GROUP = 2, 512
 #: Bits of the filter that tells which sets are needed (4 MB, whatever the input).
 FILTER_BITS = 1 << 25
-#: Words whose hash a Python worker remembers.
-REMEMBERED = 500_000
-
-
-class _WordHashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        import xxhash
-        if len(self) >= REMEMBERED:
-            self.clear()
-        found = self[word] = xxhash.xxh3_64_intdigest(word)
-        return found
-
-
-_WORDS = _WordHashes()
-
-
-def mix(x: np.ndarray) -> np.ndarray:
-    """A bijective scrambling of 64-bit values (splitmix64)."""
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
-
 
 def shingles(text: str | None) -> np.ndarray:
     """The text's distinct shingles, as sorted 64-bit hashes."""
-    words = (text or "").encode("utf-8", "replace").lower().split()
-    if not words:
-        return np.empty(0, dtype=np.uint64)
-    h = np.fromiter(map(_WORDS.__getitem__, words), dtype=np.uint64, count=len(words))
+    h = word_hashes(text)
+    if not len(h):
+        return h
     k = min(SHINGLE, len(h))
     out = np.full(len(h) - k + 1, k, dtype=np.uint64)
     for i in range(k):
         out = out * np.uint64(0x2545F4914F6CDD1D) + h[i:len(h) - k + 1 + i]
         out ^= out >> np.uint64(29)
-    return np.unique(mix(out))
+    return counted(mix(out))[0]
 
 
 def set_key(tokens: np.ndarray) -> int:
@@ -118,7 +95,7 @@ class Orders:
             at = np.minimum(np.searchsorted(self.tokens, tokens), len(self.tokens) - 1)
             place = place + np.where(self.tokens[at] == tokens, self.weight[at], np.uint64(0))
         size = prefix_size(len(tokens), percent)
-        return tokens[np.argsort(place, kind="stable")[:size]]  # equal places stay in token order
+        return tokens[place <= np.partition(place, size - 1)[size - 1]]  # with all that tie at its end
 
 
 def _member(a: np.ndarray, b: np.ndarray) -> int:
@@ -142,7 +119,7 @@ def profile(docs: DataFrame) -> DataFrame:
         total = 0
 
         def often():
-            found, n = np.unique(np.concatenate(held), return_counts=True)
+            found, n = counted(np.concatenate(held))
             found, n = found[n >= OFTEN], n[n >= OFTEN]
             held.clear()
             keys.clear()
@@ -201,7 +178,7 @@ def postings(docs: DataFrame, orders: Orders, percent: int = PERCENT) -> DataFra
             if not tokens:
                 continue
             token, key = np.concatenate(tokens), np.repeat(np.array(keys, np.int64), counts)
-            salt = np.where(shared.value.frequent(token), key % SALTS, 0).astype(np.int32)
+            salt = np.where(shared.value.frequent(token), 1 + key % SALTS, 0).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(token.view(np.int64)), pa.array(salt), pa.array(key),
                  pa.array(np.repeat(np.array(sizes, np.int32), counts))], ["token", "salt", "key", "n"])
@@ -399,6 +376,8 @@ def keep_one(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """``docs`` with one document of each component, the one that names it;
     columns unchanged.  Repeated rows of a document stay one."""
     found = cluster(docs, percent)
-    keep = staged(found.filter("doc_id = component_id").select("doc_id").distinct())
-    rows = docs.join(keep, "doc_id", "left_semi")
-    return rows.dropDuplicates(["doc_id"])
+    keep = staged(found.filter("doc_id <=> component_id").select(F.col("doc_id").alias("__doc")).distinct())
+    rows = docs.join(keep, docs["doc_id"].eqNullSafe(keep["__doc"]), "left_semi")
+    if docs.groupBy("doc_id").count().filter("count > 1").limit(1).count():
+        rows = rows.dropDuplicates(["doc_id"])
+    return rows

@@ -27,7 +27,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clientele.llm.common import sum_arrays
+from clientele.llm.common import counted, sum_arrays, word_hashes
 
 #: Words with an id of their own, hashed ids for all others, and output classes.
 WORDS, HASHED, CLASSES = 896, 128, 32
@@ -40,8 +40,8 @@ SIDE, WIDTH = 2, 16
 #: Words of one gradient step, and its first learning rate.
 STEP, RATE = 4096, 1.0
 ROUNDS = 2
-#: Distinct words a task counts before it hands partial counts on, or remembers.
-HELD = 200_000
+#: Words a task counts before it hands partial counts on.
+HELD = 1 << 22
 
 SHAPES = {"e": (2 * SIDE, VOCABULARY + 1, WIDTH), "b": (WIDTH,), "wc": (WIDTH, CLASSES), "bc": (CLASSES,),
           "wm": (WIDTH, MEMBERS), "bm": (CLASSES, MEMBERS)}
@@ -66,57 +66,46 @@ def first_weights(seed: int = 5) -> np.ndarray:
                            for k, s in SHAPES.items()])
 
 
-def words_of(text: str | None) -> list[bytes]:
-    return (text or "").encode("utf-8", "replace").lower().split()
-
-
 def word_counts(docs: DataFrame) -> DataFrame:
-    """word, n over all documents; tasks hand on partial counts."""
+    """word (its hash), n over all documents; tasks hand on partial counts."""
     def local(batches: Iterator) -> Iterator:
-        from collections import Counter
-
         import pyarrow as pa
-        held: Counter = Counter()
+        held: list[np.ndarray] = []
 
         def flush():
-            out = pa.RecordBatch.from_arrays([pa.array(list(held), pa.binary()), pa.array(list(held.values()), pa.int64())],
-                                             ["word", "n"])
+            words, n = counted(np.concatenate(held))
             held.clear()
-            return out
+            return pa.RecordBatch.from_arrays([pa.array(words.view(np.int64)), pa.array(n.astype(np.int64))], ["word", "n"])
 
         for batch in batches:
-            for t in batch.column(0).to_pylist():
-                held.update(words_of(t))
-            if len(held) > HELD:
+            held += [word_hashes(t) for t in batch.column(0).to_pylist()]
+            if sum(map(len, held)) > HELD:
                 yield flush()
         if held:
             yield flush()
 
-    return docs.select("text").mapInArrow(local, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    return docs.select("text").mapInArrow(local, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
-class _Ids(dict):
-    """Word ids; an unknown word's hashed id is remembered while there is room."""
-
-    def __missing__(self, word: bytes) -> int:
-        import zlib
-        found = WORDS + zlib.crc32(word) % HASHED
-        if len(self) < HELD:
-            self[word] = found
-        return found
+class Coder:
+    """Word ids: a vocabulary word's place, else a hashed id shared by others."""
 
+    def __init__(self, vocabulary: np.ndarray) -> None:
+        self.order = np.argsort(vocabulary)
+        self.words = vocabulary[self.order]
 
-class Coder:
-    def __init__(self, vocabulary: list[bytes]) -> None:
-        self.ids = _Ids((w, i) for i, w in enumerate(vocabulary))
+    def ids_of(self, text: str | None) -> np.ndarray:
+        h = word_hashes(text)
+        out = np.uint64(WORDS) + h % np.uint64(HASHED)
+        if len(self.words):
+            at = np.minimum(np.searchsorted(self.words, h), len(self.words) - 1)
+            out = np.where(self.words[at] == h, self.order[at], out)
+        return out.astype(np.uint16)
 
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, each between ``SIDE`` edges on either side, and
         where each text's first word is."""
-        known, rows = self.ids, []
-        for t in texts:
-            ws = words_of(t)
-            rows.append(np.fromiter(map(known.__getitem__, ws), dtype=np.uint16, count=len(ws)))
+        rows = [self.ids_of(t) for t in texts]
         lengths = np.fromiter(map(len, rows), dtype=np.int64, count=len(rows))
         ids = np.full(int(lengths.sum()) + 2 * SIDE * len(rows), EDGE, dtype=np.uint16)
         begin = np.cumsum(lengths + 2 * SIDE) - lengths - SIDE
@@ -196,12 +185,12 @@ def train_step(w: dict, ids: np.ndarray, a: int, b: int, rate: float) -> None:
         w["e"][k][word] -= np.add.reduceat(push.take(order + (SIDE - o), axis=0), first, axis=0)
 
 
-def vocabulary(docs: DataFrame) -> list[bytes]:
+def vocabulary(docs: DataFrame) -> np.ndarray:
     top = word_counts(docs).orderBy(F.col("n").desc(), "word").limit(WORDS).collect()
-    return [bytes(r[0]) for r in sorted(top, key=lambda r: (-r[1], bytes(r[0])))]
+    return np.array([r[0] for r in top], dtype=np.int64).view(np.uint64)
 
 
-def train(docs: DataFrame, words: list[bytes], rounds: int = ROUNDS, rate: float = RATE) -> np.ndarray:
+def train(docs: DataFrame, words: np.ndarray, rounds: int = ROUNDS, rate: float = RATE) -> np.ndarray:
     """Weights after one pass over all documents in ``rounds`` averaged parts."""
     sc = docs.sparkSession.sparkContext
     flat = first_weights()
@@ -231,7 +220,7 @@ def train(docs: DataFrame, words: list[bytes], rounds: int = ROUNDS, rate: float
     return flat
 
 
-def score(docs: DataFrame, words: list[bytes], weights: np.ndarray) -> DataFrame:
+def score(docs: DataFrame, words: np.ndarray, weights: np.ndarray) -> DataFrame:
     """doc_id, n_words, log_prob, mean_log_prob."""
     shared = docs.sparkSession.sparkContext.broadcast((weights, words))
 
