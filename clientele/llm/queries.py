@@ -87,3 +87,36 @@ def op6(spark, sf_dir):
 def op4(spark, sf_dir):
     """Set size and component of every document under Jaccard >= 0.8."""
     return jaccard_join.cluster(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
+# DuckDB SQL of the queries that SQL can express over whole tables.
+ORACLE: dict[str, str] = {
+    "op8_exact_dedup": r"""
+        WITH d AS (SELECT doc_id, length(coalesce(text, '')) AS n,
+                          regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS norm
+                   FROM documents),
+             g AS (SELECT norm, count(*) AS group_size, (list(doc_id ORDER BY n DESC, doc_id))[1] AS keep_id
+                   FROM d GROUP BY norm)
+        SELECT d.doc_id, g.keep_id, g.group_size, d.doc_id = g.keep_id AS kept, sha256(norm) AS text_sha256
+        FROM d JOIN g USING (norm)""",
+    "op4_jaccard_join": r"""
+        WITH RECURSIVE
+        w AS (SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''),
+                     'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'),
+                     x -> x <> '') AS ws
+              FROM documents),
+        s AS (SELECT doc_id, CASE WHEN len(ws) = 0 THEN []
+                     WHEN len(ws) < 5 THEN [array_to_string(ws, ' ')]
+                     ELSE list_distinct(list_transform(range(1, len(ws) - 3),
+                                                       i -> array_to_string(ws[i:i + 4], ' '))) END AS sh
+              FROM w),
+        t AS (SELECT doc_id, len(sh) AS n, unnest(sh) AS tok FROM s),
+        p AS (SELECT a.doc_id AS a, b.doc_id AS b, any_value(a.n) AS na, any_value(b.n) AS nb, count(*) AS c
+              FROM t a JOIN t b ON a.tok = b.tok AND a.doc_id < b.doc_id GROUP BY 1, 2),
+        l AS (SELECT a, b FROM p WHERE 100 * c >= 80 * (na + nb - c)),
+        e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+        r AS (SELECT doc_id AS doc, doc_id AS reach FROM documents
+              UNION SELECT r.doc, e.b FROM r JOIN e ON r.reach = e.a)
+        SELECT s.doc_id, CAST(len(s.sh) AS BIGINT) AS n_shingles, m.component_id
+        FROM s JOIN (SELECT doc, min(reach) AS component_id FROM r GROUP BY doc) m ON m.doc = s.doc_id""",
+}
