@@ -103,12 +103,12 @@ ORACLE: dict[str, str] = {
         WITH RECURSIVE
         w AS (SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''),
                      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'),
-                     x -> x <> '') AS ws
+                     lambda x: x <> '') AS ws
               FROM documents),
         s AS (SELECT doc_id, CASE WHEN len(ws) = 0 THEN []
                      WHEN len(ws) < 5 THEN [array_to_string(ws, ' ')]
                      ELSE list_distinct(list_transform(range(1, len(ws) - 3),
-                                                       i -> array_to_string(ws[i:i + 4], ' '))) END AS sh
+                                                       lambda i: array_to_string(ws[i:i + 4], ' '))) END AS sh
               FROM w),
         t AS (SELECT doc_id, len(sh) AS n, unnest(sh) AS tok FROM s),
         p AS (SELECT a.doc_id AS a, b.doc_id AS b, any_value(a.n) AS na, any_value(b.n) AS nb, count(*) AS c
