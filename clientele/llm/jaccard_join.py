@@ -6,8 +6,10 @@ n - ceil(t n) + 1 tokens of each, under any one global order of all tokens;
 so under several orders they must share such a token in each.  Orders here
 put tokens that are frequent in the corpus last, and arrange the rest by
 hashes of different seeds.  The first order finds candidates through Spark:
-prefix tokens meet in a shuffle.  The other orders then have to agree, and
-only pairs that pass all are verified on the whole sets.
+prefix tokens meet in a shuffle.  Its prefixes are ``EXTRA`` percent of n
+longer than needed, so linked sets share that many more tokens there, and sets
+and pairs that share fewer are dropped.  The other orders then have to agree,
+and only pairs that pass all are verified on the whole sets.
 
 Equal sets are one node throughout, named by the set's hash.  Components need
 no list of all pairs: in each of ``STARS`` rounds the sets of a token are
@@ -37,6 +39,8 @@ from clientele.llm.common import counted, mix, staged, word_hashes
 
 #: Words of a shingle and percent of the union that a link's intersection reaches.
 SHINGLE, PERCENT = 5, 80
+#: Percent of a set by which its prefixes are longer than one shared token needs.
+EXTRA = 5
 #: Seeds of the global orders; the first one finds the candidates.
 ORDERS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)
 #: A token that a run of so many tokens holds so often is counted as frequent.
@@ -70,8 +74,19 @@ def set_key(tokens: np.ndarray) -> int:
 
 
 def prefix_size(n, percent: int = PERCENT):
-    """n - ceil(percent n / 100) + 1."""
-    return n - -(-percent * n // 100) + 1
+    """n - ceil(percent n / 100) + 1 + floor(EXTRA n / 100).
+
+    With k = 1 + floor(EXTRA n / 100) a set's prefix holds the first k tokens,
+    at least, that it shares with a set it links to; so linked sets share the
+    smaller k of the two.
+    """
+    return min(n, n - -(-percent * n // 100) + 1 + EXTRA * n // 100)
+
+
+def _shared(n, percent: int = 100):
+    """The least that linked sets share in their prefixes: for sets of ``n`` at
+    least, or (``percent`` of the link) for partners of a set of n."""
+    return F.lit(1) + F.floor(n * F.lit(EXTRA * percent) / F.lit(10000))
 
 
 class Orders:
@@ -256,10 +271,10 @@ def verified(pairs: DataFrame, sets: DataFrame, orders: Orders, percent: int = P
     """
     shared = pairs.sparkSession.sparkContext.broadcast(orders)
     parts = pairs.groupBy("a").agg(F.greatest(F.lit(1), F.ceil(F.count("*") / F.lit(GROUP))).cast("int").alias("parts"))
-    partners = (pairs.join(parts, "a").select("a", F.col("b").alias("key"), F.pmod(F.xxhash64("a", "b"), F.col("parts")).cast("int").alias("part"))
-                .join(sets, "key").select("a", "part", "key", "tokens"))
-    centres = (parts.join(sets, parts["a"] == sets["key"])
-               .select("a", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), "key", "tokens"))
+    partners = (pairs.join(parts, "a")
+                .select("a", F.pmod(F.xxhash64("a", "b"), F.col("parts")).cast("int").alias("part"), F.col("b").alias("key")))
+    centres = parts.select("a", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.col("a").alias("key"))
+    wanted = partners.unionByName(centres).join(sets, "key")
 
     def check(key, table):
         import pyarrow as pa
@@ -282,7 +297,7 @@ def verified(pairs: DataFrame, sets: DataFrame, orders: Orders, percent: int = P
                 found.append(k)
         return pa.table([pa.array([a] * len(found), pa.int64()), pa.array(found, pa.int64())], schema=schema)
 
-    return partners.unionByName(centres).groupBy("a", "part").applyInArrow(check, "a long, b long")
+    return wanted.groupBy("a", "part").applyInArrow(check, "a long, b long")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -324,7 +339,9 @@ def cluster(docs: DataFrame, percent: int = PERCENT, stars: int = STARS) -> Data
     members = profiled.filter("kind = 0").select(F.col("a").alias("doc_id"), F.col("b").alias("key"), "n")
     orders = frequent_tokens(profiled)
     met = staged(meeting(postings(docs, orders, percent)))
-    keys = staged(met.select("key").distinct())
+    keys = staged(met.groupBy("key").agg(F.count("*").alias("met"), F.first("n").alias("n"))
+                  .filter(F.col("met") >= _shared(F.col("n"), percent)).select("key"))
+    met = met.join(keys, "key", "left_semi")
     sets = staged(sets_of(docs, keys))
 
     comp: DataFrame | None = None
@@ -353,7 +370,9 @@ def cluster(docs: DataFrame, percent: int = PERCENT, stars: int = STARS) -> Data
             left = live.select("token", F.col("key").alias("a"), F.col("n").alias("n_a"), F.col("comp").alias("comp_a"))
             right = live.select("token", F.col("key").alias("b"), F.col("n").alias("n_b"), F.col("comp").alias("comp_b"))
             pairs = (left.join(right, "token").filter((F.col("comp_a") < F.col("comp_b")) & _fits(percent))
-                     .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+                     .groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+                     .agg(F.count("*").alias("shared"), F.min(F.least("n_a", "n_b")).alias("n"))
+                     .filter(F.col("shared") >= _shared(F.col("n"))).select("a", "b"))
         if tried is not None:
             pairs = pairs.join(tried.unionByName(tried.select(F.col("b").alias("a"), F.col("a").alias("b"))),
                                ["a", "b"], "left_anti")
