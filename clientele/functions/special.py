@@ -107,13 +107,19 @@ def hyp2f1_numpy(a, b, c, z, max_terms: int = 200_000) -> np.ndarray:
         total[idx] = new
         idx = idx[moving]
         j += 1
+    total[idx] = np.nan  # still moving: no value rather than a wrong one
     return total
 
 
-@F.pandas_udf(T.DoubleType())
-def hyp2f1(a: pd.Series, b: pd.Series, c: pd.Series, z: pd.Series) -> pd.Series:
+def _hyp2f1_batch(a: pd.Series, b: pd.Series, c: pd.Series, z: pd.Series) -> pd.Series:
     out = hyp2f1_numpy(a.to_numpy(float), b.to_numpy(float), c.to_numpy(float),
                        z.to_numpy(float))
-    mask = (a.isna() | b.isna() | c.isna() | z.isna()).to_numpy()
-    out[mask] = np.nan
+    mask = (a.isna() | b.isna() | c.isna() | z.isna()).to_numpy() | np.isnan(out)
     return pd.Series(out).where(~mask, None)
+
+
+def hyp2f1(a: Column, b: Column, c: Column, z: Column) -> Column:
+    """₂F₁ over columns; NULL where an argument is, or where the series does
+    not settle.  The UDF is made at each use, so it belongs to the session
+    that uses it."""
+    return F.pandas_udf(_hyp2f1_batch, T.DoubleType())(a, b, c, z)

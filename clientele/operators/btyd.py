@@ -77,6 +77,9 @@ def gg_inputs(lrfmpv: DataFrame) -> DataFrame:
 
 # --- B3 / B4: BG/NBD scoring ---------------------------------------------------------------
 
+_NEAR_ONE = 1e-4
+
+
 def p_alive_expr(pr: BGNBDParams, x: Column, t_x: Column, t_cal: Column) -> Column:
     """P(alive | x, t_x, T); 1 for customers without a repeat purchase."""
     xd = x.cast("double")
@@ -90,12 +93,21 @@ def expected_transactions_expr(pr: BGNBDParams, t: float, x: Column, t_x: Column
     """E[Y(t) | x, t_x, T]: expected transactions in the next ``t`` periods."""
     xd = x.cast("double")
     shape = xd + pr.r
-    c = xd + (pr.a + pr.b - 1.0)
     z = F.lit(float(t)) / (t_cal + (pr.alpha + t))
-    hyp = hyp2f1(shape, xd + pr.b, c, z)
-    head = c / (pr.a - 1.0)
-    tail = 1.0 - F.pow((t_cal + pr.alpha) / (t_cal + (pr.alpha + t)), shape) * hyp
-    return head * tail * p_alive_expr(pr, x, t_x, t_cal)
+
+    def for_living(a: float) -> Column:
+        c = xd + (a + pr.b - 1.0)
+        tail = 1.0 - F.pow((t_cal + pr.alpha) / (t_cal + (pr.alpha + t)), shape) * hyp2f1(
+            shape, xd + pr.b, c, z)
+        return c / (a - 1.0) * tail
+
+    if abs(pr.a - 1.0) < _NEAR_ONE:
+        # a = 1 is a removable singularity: interpolate across it
+        low, high = for_living(1.0 - _NEAR_ONE), for_living(1.0 + _NEAR_ONE)
+        living = low + (high - low) * ((pr.a - 1.0 + _NEAR_ONE) / (2 * _NEAR_ONE))
+    else:
+        living = for_living(pr.a)
+    return living * p_alive_expr(pr, x, t_x, t_cal)
 
 
 def bgnbd_score(inputs: DataFrame, params: BGNBDParams, t_star: float = 30.0) -> DataFrame:
@@ -232,7 +244,6 @@ def _evaluator(data: DataFrame, cols: list[str], ll_grad, dim: int):
     Returns ``[(negative ll, negative gradient), ...]`` for minimisation."""
     schema = T.StructType([T.StructField("k", T.IntegerType()), T.StructField("f", T.DoubleType())]
                           + [T.StructField(f"g{j}", T.DoubleType()) for j in range(dim)])
-    n_parts = data.rdd.getNumPartitions()
 
     def evaluate(points: list[np.ndarray]):
         pts = [np.asarray(pt, dtype=float) for pt in points]
@@ -253,13 +264,9 @@ def _evaluator(data: DataFrame, cols: list[str], ll_grad, dim: int):
             yield out
 
         part = data.mapInPandas(partials, schema)
-        if n_parts * len(pts) <= MAX_DIRECT_PARTIALS:
-            # one row per (partition, point): bounded, added on the driver
-            pdf = part.toPandas().groupby("k").sum(min_count=1)
-        else:
-            pdf = part.groupBy("k").agg(
-                F.sum("f").alias("f"), *[F.sum(f"g{j}").alias(f"g{j}") for j in range(dim)]
-            ).toPandas().set_index("k")
+        pdf = part.groupBy("k").agg(
+            F.sum("f").alias("f"), *[F.sum(f"g{j}").alias(f"g{j}") for j in range(dim)]
+        ).toPandas().set_index("k")
         out = []
         for k in range(len(pts)):
             f = float(pdf.loc[k, "f"])
@@ -271,9 +278,6 @@ def _evaluator(data: DataFrame, cols: list[str], ll_grad, dim: int):
 
 
 _STEPS = (1.0, 0.3, 0.1, 0.03, 0.01, 0.001)
-# partial-sum rows (partitions x points) added on the driver; beyond it a
-# Spark aggregation combines them
-MAX_DIRECT_PARTIALS = 200_000
 _MAX_STEP = 2.0  # largest move of any log-parameter in one iteration
 
 

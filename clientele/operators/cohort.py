@@ -80,5 +80,17 @@ def cohort_matrix(retention: DataFrame, value: str = "retention_rate") -> DataFr
             .agg(F.first(value)))
 
 
+def cohort_cells(retention: DataFrame, value: str = "retention_rate") -> DataFrame:
+    """The matrix with a fixed schema: one row per cohort month and month offset
+    0 .. the largest, NULL where a cohort has no customers."""
+    last = retention.agg(F.max("cohort_index")).first()[0]  # months the data spans
+    known = retention.filter(F.col("cohort_index").isNotNull()).select("cohort_month", "cohort_index", value)
+    grid = (retention.select("cohort_month").distinct()
+            .withColumn("cohort_index", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(int(last or 0)).cast("long")))))
+    return (grid.join(known.withColumnsRenamed({"cohort_month": "_m", "cohort_index": "_i"}),
+                      F.col("cohort_month").eqNullSafe(F.col("_m")) & (F.col("cohort_index") == F.col("_i")), "left")
+            .select("cohort_month", "cohort_index", value))
+
+
 def cohort_matrix_pct(retention: DataFrame) -> DataFrame:
     return cohort_matrix(retention, "retention_pct")

@@ -81,9 +81,6 @@ ELBOW_KS = list(range(2, 9))
 RESTARTS = 25
 MAX_ITER = 100
 SEED = 42
-# partial-sum rows (partitions x centres) collected directly instead of
-# aggregated by Spark; beyond it the per-centre sums are a Spark aggregation
-MAX_DIRECT_PARTIALS = 200_000
 
 
 def kmeans_input_columns(dm: DataFrame) -> list[str]:
@@ -120,57 +117,45 @@ def _initial_centers(data: DataFrame, cols: list[str], ks: list[int], restarts:
                      seed: int) -> list[np.ndarray]:
     """Random distinct rows as starting centres, one set per (k, restart).
 
-    Rows are drawn from a seeded sample whose size is bounded by the number of
-    centres needed (not by the data)."""
-    n = data.count()
-    want = 20 * restarts * max(ks)
-    frac = min(1.0, want / max(n, 1))
-    pool = np.array(data.sample(fraction=frac, seed=seed).select(*cols).collect(), dtype=float)
+    The ``restarts * max(ks)`` distinct rows that come first in a seeded hash
+    order (a distributed top-k) are the pool; fewer distinct rows than k is an
+    error."""
+    pool = np.array(data.select(*cols).distinct()
+                    .orderBy(F.xxhash64(F.lit(seed), *cols), *cols)
+                    .limit(restarts * max(ks)).collect(), dtype=float)
     if len(pool) < max(ks):
-        pool = np.array(data.select(*cols).limit(max(ks) * 10).collect(), dtype=float)
+        raise ValueError(f"{max(ks)} clusters need as many distinct rows; there are {len(pool)}")
     rng = np.random.default_rng(seed)
-    out = []
-    for k in ks:
-        for _ in range(restarts):
-            out.append(pool[rng.choice(len(pool), size=min(k, len(pool)), replace=False)])
-    return out
+    return [pool[rng.choice(len(pool), size=k, replace=False)] for k in ks for _ in range(restarts)]
 
 
-def _lloyd_partials(centers: np.ndarray, previous: np.ndarray, blocks: list[tuple[int, int]],
-                    cols: list[str]):
+def _lloyd_partials(centers: np.ndarray, blocks: list[tuple[int, int]], cols: list[str]):
     """mapInPandas body: per partition, assign every row to its nearest centre
     within each block (one block = one (k, restart) run) and emit one row per
-    centre with the count, summed squared distance and coordinate sums, plus
-    how many rows changed cluster since the previous centres."""
+    centre with the count, summed squared distance and coordinate sums."""
     c_norm = (centers ** 2).sum(axis=1)
-    p_norm = (previous ** 2).sum(axis=1)
     n_centers, dim = centers.shape
 
     def run(batches):
         n = np.zeros(n_centers)
         cost = np.zeros(n_centers)
-        moved = np.zeros(n_centers)
         sums = np.zeros((n_centers, dim))
         for pdf in batches:
             x = pdf[cols].to_numpy(dtype=float)
             if not len(x):
                 continue
-            x2 = (x ** 2).sum(axis=1)[:, None]
-            d2 = x2 - 2.0 * x @ centers.T + c_norm[None, :]
+            d2 = (x ** 2).sum(axis=1)[:, None] - 2.0 * x @ centers.T + c_norm[None, :]
             np.maximum(d2, 0.0, out=d2)
-            pd2 = x2 - 2.0 * x @ previous.T + p_norm[None, :]
             rows = np.arange(len(x))
             for lo, hi in blocks:
-                idx = lo + np.argmin(d2[:, lo:hi], axis=1)
-                before = lo + np.argmin(pd2[:, lo:hi], axis=1)
-                n += np.bincount(idx, minlength=n_centers)
-                cost += np.bincount(idx, weights=d2[rows, idx], minlength=n_centers)
-                moved += np.bincount(idx, weights=(idx != before).astype(float),
-                                     minlength=n_centers)
-                np.add.at(sums, idx, x)
+                near = np.argmin(d2[:, lo:hi], axis=1)
+                n[lo:hi] += np.bincount(near, minlength=hi - lo)
+                cost[lo:hi] += np.bincount(near, weights=d2[rows, lo + near], minlength=hi - lo)
+                member = np.zeros((len(x), hi - lo))
+                member[rows, near] = 1.0
+                sums[lo:hi] += member.T @ x
         nz = np.nonzero(n)[0]
-        out = pd.DataFrame({"center": nz.astype("int32"), "n": n[nz], "cost": cost[nz],
-                            "moved": moved[nz]})
+        out = pd.DataFrame({"center": nz.astype("int32"), "n": n[nz], "cost": cost[nz]})
         for j in range(dim):
             out[f"s{j}"] = sums[nz, j]
         yield out
@@ -183,25 +168,22 @@ def kmeans_multistart(features: DataFrame, ks: list[int], restarts: int = RESTAR
     all advanced together: each iteration is ONE pass over the (checkpointed,
     cached) feature table; per-partition partial sums are combined by a Spark
     aggregation keyed by centre id, so the driver only sees one row per centre.
-    A run stops when no row changes cluster (its centres are then a fixed
-    point) or after ``max_iter`` iterations; finished runs drop out of later
-    passes.
+    A run stops when its centres no longer move or after ``max_iter``
+    iterations; finished runs drop out of later passes.  Every cost is that of
+    the run's last centres.
 
     Returns ``{k: (best_centers, best_cost, per_restart_costs)}``.
     """
     cols = [c for c in features.columns if c != "customer_id"]
     data = cut_lineage(features.select(*cols)).persist()
-    n_parts = data.rdd.getNumPartitions()
     starts = _initial_centers(data, cols, ks, restarts, seed)
     dim = len(cols)
     schema = T.StructType([T.StructField("center", T.IntegerType()),
                            T.StructField("n", T.DoubleType()),
-                           T.StructField("cost", T.DoubleType()),
-                           T.StructField("moved", T.DoubleType())]
+                           T.StructField("cost", T.DoubleType())]
                           + [T.StructField(f"s{j}", T.DoubleType()) for j in range(dim)])
-    runs = [{"centers": c, "prev": c, "cost": np.inf, "done": False, "iter": 0}
-            for c in starts]
-    for _ in range(max_iter):
+    runs = [{"centers": c, "cost": np.inf, "done": False} for c in starts]
+    for step in range(max_iter + 1):  # the last pass only evaluates
         active = [i for i, r in enumerate(runs) if not r["done"]]
         if not active:
             break
@@ -210,36 +192,27 @@ def kmeans_multistart(features: DataFrame, ks: list[int], restarts: int = RESTAR
             blocks.append((lo, lo + len(runs[i]["centers"])))
             lo += len(runs[i]["centers"])
         centers = np.vstack([runs[i]["centers"] for i in active])
-        previous = np.vstack([runs[i]["prev"] for i in active])
-        partial = data.mapInPandas(_lloyd_partials(centers, previous, blocks, cols), schema)
-        if n_parts * len(centers) <= MAX_DIRECT_PARTIALS:
-            # at most one row per (partition, centre): a proven bound, so the
-            # partial sums are added on the driver without another stage
-            pdf = partial.toPandas().groupby("center").sum()
-        else:
-            pdf = partial.groupBy("center").agg(
-                F.sum("n").alias("n"), F.sum("cost").alias("cost"), F.sum("moved").alias("moved"),
-                *[F.sum(f"s{j}").alias(f"s{j}") for j in range(dim)]).toPandas().set_index("center")
+        partial = data.mapInPandas(_lloyd_partials(centers, blocks, cols), schema)
+        pdf = partial.groupBy("center").agg(
+            F.sum("n").alias("n"), F.sum("cost").alias("cost"),
+            *[F.sum(f"s{j}").alias(f"s{j}") for j in range(dim)]).toPandas().set_index("center")
         n = np.zeros(len(centers))
         cost = np.zeros(len(centers))
-        moved = np.zeros(len(centers))
         sums = np.zeros_like(centers)
         idx = pdf.index.to_numpy(dtype=int)
         n[idx] = pdf["n"].to_numpy()
         cost[idx] = pdf["cost"].to_numpy()
-        moved[idx] = pdf["moved"].to_numpy()
         sums[idx] = pdf[[f"s{j}" for j in range(dim)]].to_numpy()
         for (a, b), i in zip(blocks, active):
             run = runs[i]
-            run["cost"] = float(cost[a:b].sum())  # cost of the current centres
-            run["iter"] += 1
-            if run["iter"] > 1 and moved[a:b].sum() == 0:
-                run["done"] = True  # same assignment as last time: fixed point
-                continue
+            run["cost"] = float(cost[a:b].sum())
             new = run["centers"].copy()
             filled = n[a:b] > 0
             new[filled] = sums[a:b][filled] / n[a:b][filled][:, None]  # empty: keep centre
-            run["prev"], run["centers"] = run["centers"], new
+            if np.allclose(new, run["centers"], rtol=0, atol=1e-10):
+                run["done"] = True
+            elif step < max_iter:
+                run["centers"] = new
     data.unpersist()
     result = {}
     for i, k in enumerate(ks):
@@ -279,9 +252,17 @@ def kmeans_segments(features: DataFrame, k: int = 5, restarts: int = RESTARTS,
     return assign_clusters(features, centers)
 
 
+def with_clusters(dm: DataFrame, clusters: DataFrame) -> DataFrame:
+    """The data mart with its cluster; both have one row a customer, a missing
+    id included."""
+    own = clusters.withColumnRenamed("customer_id", "_id")
+    return dm.join(own, dm["customer_id"].eqNullSafe(own["_id"])).drop("_id")
+
+
 def cluster_summary(dm: DataFrame, clusters: DataFrame) -> DataFrame:
     """Size and mean profile per cluster, highest average M first."""
-    x = dm.join(clusters, "customer_id")
+    x = with_clusters(dm, clusters)
+    # fixed values: the profile's measures
     means = [("avg_F", "F"), ("avg_M", "M"), ("avg_profit", "profit"), ("avg_R", "R"),
              ("avg_V", "V"), ("avg_basket", "avg_basket"), ("avg_weekend_ratio", "weekend_ratio"),
              ("avg_return_ratio", "return_ratio"), ("avg_refund_ratio", "refund_ratio"),

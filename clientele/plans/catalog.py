@@ -156,12 +156,12 @@ def q_cohort_retention(spark, sf):
 
 @query("cohort_matrix")
 def q_cohort_matrix(spark, sf):
-    return cohort.cohort_matrix(_retention(spark, sf))
+    return cohort.cohort_cells(_retention(spark, sf))
 
 
 @query("cohort_matrix_pct")
 def q_cohort_matrix_pct(spark, sf):
-    return cohort.cohort_matrix_pct(_retention(spark, sf))
+    return cohort.cohort_cells(_retention(spark, sf), "retention_pct")
 
 
 # --- revenue / profit segments ---------------------------------------------------------
@@ -470,8 +470,19 @@ def _dm(spark, sf):
 
 @query("kmeans_features")
 def q_kmeans_features(spark, sf):
+    """Clustering inputs in long form: customer_id, feature, z."""
     fe = segments.kmeans_features(_dm(spark, sf))
-    return _round(fe, [c for c in fe.columns if c != "customer_id"])
+    cols = [c for c in fe.columns if c != "customer_id"]
+    return fe.select("customer_id", F.explode(F.array(*[
+        F.struct(F.lit(c).alias("feature"), F.round(F.col(c), 6).alias("z")) for c in cols])).alias("f")
+    ).select("customer_id", "f.feature", "f.z")
+
+
+@query("customer_clusters")
+def q_customer_clusters(spark, sf):
+    """The customer data mart with its cluster."""
+    dm = _dm(spark, sf)
+    return segments.with_clusters(dm, segments.kmeans_segments(segments.kmeans_features(dm), k=5))
 
 
 @query("kmeans_elbow")

@@ -263,12 +263,18 @@ ORACLE: dict[str, str] = {
         FROM app GROUP BY customer_id""",
     "cohort_counts": f"WITH {TXN}, {APP}, {COHORT} SELECT * FROM counts",
     "cohort_retention": f"WITH {TXN}, {APP}, {COHORT} SELECT * FROM retention",
-    "cohort_matrix": f"""WITH {TXN}, {APP}, {COHORT}
-        SELECT * FROM (PIVOT (SELECT cohort_month, cohort_index, retention_rate FROM retention)
-                       ON cohort_index USING first(retention_rate) GROUP BY cohort_month)""",
-    "cohort_matrix_pct": f"""WITH {TXN}, {APP}, {COHORT}
-        SELECT * FROM (PIVOT (SELECT cohort_month, cohort_index, retention_pct FROM retention)
-                       ON cohort_index USING first(retention_pct) GROUP BY cohort_month)""",
+    "cohort_matrix": f"""WITH {TXN}, {APP}, {COHORT},
+        grid AS (SELECT DISTINCT r.cohort_month, i.i AS cohort_index FROM retention r,
+                 (SELECT unnest(range(0, (SELECT max(cohort_index) FROM retention) + 1)) AS i) i)
+        SELECT g.cohort_month, CAST(g.cohort_index AS BIGINT) AS cohort_index, r.retention_rate
+        FROM grid g LEFT JOIN retention r ON g.cohort_month IS NOT DISTINCT FROM r.cohort_month
+                                         AND g.cohort_index = r.cohort_index""",
+    "cohort_matrix_pct": f"""WITH {TXN}, {APP}, {COHORT},
+        grid AS (SELECT DISTINCT r.cohort_month, i.i AS cohort_index FROM retention r,
+                 (SELECT unnest(range(0, (SELECT max(cohort_index) FROM retention) + 1)) AS i) i)
+        SELECT g.cohort_month, CAST(g.cohort_index AS BIGINT) AS cohort_index, r.retention_pct
+        FROM grid g LEFT JOIN retention r ON g.cohort_month IS NOT DISTINCT FROM r.cohort_month
+                                         AND g.cohort_index = r.cohort_index""",
     "customer_base": f"WITH {TXN}, {BASE} SELECT * FROM base",
     "customer_seg_5x5": f"WITH {TXN}, {BASE} SELECT * FROM seg",
     "segment_summary": f"""WITH {TXN}, {BASE}
@@ -537,17 +543,17 @@ _KM_COLS = ["F", "M", "profit", "R", "V", "avg_basket", "category_diversity", "b
 
 def _km_features() -> str:
     """Fill, drop zero-variance features, z-score — with the kept column set
-    decided by the data (unpivot, per-feature statistics, pivot back)."""
+    decided by the data, in long form."""
     clean = ", ".join(
         f"CASE WHEN {c} IS NULL OR isnan({c}) OR isinf({c}) THEN 0.0 "
         f"ELSE CAST({c} AS DOUBLE) END AS {c}" for c in _KM_COLS)
+    long = " UNION ALL ".join(f"SELECT customer_id, '{c}' AS feature, {c} AS v FROM filled" for c in _KM_COLS)
     return f"""WITH {TXN}, {DM},
 filled AS (SELECT customer_id, {clean} FROM dm),
-long AS (UNPIVOT filled ON COLUMNS(* EXCLUDE (customer_id)) INTO NAME feature VALUE v),
-stats AS (SELECT feature, avg(v) AS m, stddev_samp(v) AS s FROM long GROUP BY feature),
-z AS (SELECT l.customer_id, l.feature, round((l.v - st.m) / st.s, 9) AS z
-      FROM long l JOIN stats st ON l.feature = st.feature WHERE st.s > 0)
-SELECT * FROM (PIVOT z ON feature USING first(z) GROUP BY customer_id)"""
+long AS ({long}),
+stats AS (SELECT feature, avg(v) AS m, stddev_samp(v) AS s FROM long GROUP BY feature)
+SELECT l.customer_id, l.feature, round((l.v - st.m) / st.s, 6) AS z
+FROM long l JOIN stats st ON l.feature = st.feature WHERE st.s > 0"""
 
 
 ORACLE["kmeans_features"] = _km_features()

@@ -23,9 +23,9 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
 def export_audiences(df: DataFrame, path: str, segment_col: str = "segment",
                      fmt: str = "csv", mode: str = "overwrite") -> None:
     """One folder per segment value (``segment=<value>/part-*.csv``), ready
-    for a CRM import.  Rows are clustered by segment first so each segment is
-    written by its own tasks instead of every task opening every segment."""
-    writer = (df.repartition(segment_col).write.mode(mode).partitionBy(segment_col))
+    for a CRM import.  A rebalance by segment keeps small segments in one file
+    and lets adaptive execution split a large one over several tasks."""
+    writer = (df.hint("rebalance", segment_col).write.mode(mode).partitionBy(segment_col))
     if fmt == "csv":
         writer.option("header", True).csv(path)
     else:

@@ -19,9 +19,19 @@ from clientele.sources.schema import MONEY, TRANSACTION_COLUMNS, TRANSACTION_SCH
 _RAW_SCHEMA = T.StructType([T.StructField(f.name, T.StringType()) for f in TRANSACTION_SCHEMA])
 
 
+# Year-month-day spellings that are read as dates.
+_DATE_FORMATS = ("yyyy-M-d", "yyyy/M/d", "yyyy.M.d", "yyyyMMdd")
+
+
 def _parse_date(c: Column) -> Column:
-    # ISO dates; anything else becomes NULL (no exception under ANSI mode).
-    return F.try_to_date(c, "yyyy-MM-dd")
+    # Anything else becomes NULL (no exception under ANSI mode).
+    return F.coalesce(*[F.try_to_date(F.trim(c), f) for f in _DATE_FORMATS])
+
+
+def _parse_integral(c: Column, kind: T.DataType) -> Column:
+    """Exact digits first, so large ids keep them; then numbers such as 7.0."""
+    number = c.try_cast("double")
+    return F.coalesce(c.try_cast(kind), F.when(number == F.floor(number), number).try_cast(kind))
 
 
 def clean_transactions(raw: DataFrame) -> DataFrame:
@@ -29,14 +39,15 @@ def clean_transactions(raw: DataFrame) -> DataFrame:
     exprs = []
     for field in TRANSACTION_SCHEMA.fields:
         if field.name not in raw.columns:
-            exprs.append(F.lit(None).cast(field.dataType).alias(field.name))
-            continue
+            raise ValueError(f"the transactions have no column {field.name!r}")
         col = F.col(field.name)
         if isinstance(field.dataType, T.DateType):
             src_type = raw.schema[field.name].dataType
             typed = col.cast("date") if not isinstance(src_type, T.StringType) else _parse_date(col)
         elif isinstance(field.dataType, T.StringType):
             typed = col
+        elif isinstance(field.dataType, (T.LongType, T.IntegerType)):
+            typed = _parse_integral(col, field.dataType)
         else:
             typed = col.try_cast(field.dataType)
         exprs.append(typed.alias(field.name))
@@ -47,8 +58,8 @@ def read_transactions_csv(spark: SparkSession, path: str) -> DataFrame:
     """CSV scan with a header; blank and ``NA`` cells are missing values.
 
     Columns are matched by header name and read as text (no schema inference
-    pass over the data), then typed by ``clean_transactions``; a column the
-    file lacks comes back as NULL.
+    pass over the data), then typed by ``clean_transactions``; a column that
+    the file lacks is an error.
     """
     raw = (spark.read
            .option("header", True)

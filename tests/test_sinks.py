@@ -1,10 +1,13 @@
 import os
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL, line
 
 from clientele.sources import sinks
+from clientele.sources.schema import TRANSACTION_COLUMNS
 from clientele.sources.transactions import read_transactions_csv, transactions_from_tables
 
 
@@ -18,11 +21,26 @@ def test_csv_round_trip_and_bad_cells(spark, scratch):
     # unparsable cells become NULL instead of failing the job
     bad = os.path.join(scratch, "bad.csv")
     with open(bad, "w") as f:
-        f.write("transaction_date,transaction_id,customer_id,quantity,net_revenue\n")
-        f.write("2024-13-45,abc,7,NA,12.5\n")
-    r = read_transactions_csv(spark, bad).first()
+        f.write(",".join(TRANSACTION_COLUMNS) + "\n")
+        for cells in ({"transaction_date": "2024-13-45", "transaction_id": "abc", "customer_id": "7", "quantity": "NA",
+                       "net_revenue": "12.5"},
+                      {"transaction_date": "20240131", "transaction_id": "10.0", "customer_id": "9007199254740993"},
+                      {"transaction_date": "2024/1/5", "transaction_id": "10.5", "sold_price_level": "4.0"}):
+            f.write(",".join(cells.get(c, "") for c in TRANSACTION_COLUMNS) + "\n")
+    r, s, u = read_transactions_csv(spark, bad).collect()
     assert r["transaction_date"] is None and r["transaction_id"] is None
     assert r["customer_id"] == 7 and r["quantity"] is None and float(r["net_revenue"]) == 12.5
+    assert str(s["transaction_date"]) == "2024-01-31" and s["transaction_id"] == 10
+    assert s["customer_id"] == 9007199254740993  # no digit lost
+    assert str(u["transaction_date"]) == "2024-01-05" and u["transaction_id"] is None and u["sold_price_level"] == 4
+
+
+def test_missing_column_is_an_error(spark, scratch):
+    path = os.path.join(scratch, "short.csv")
+    with open(path, "w") as f:
+        f.write("transaction_date,transaction_id\n2024-01-01,1\n")
+    with pytest.raises(ValueError, match="no column"):
+        read_transactions_csv(spark, path)
 
 
 def test_report_and_audience_export(spark, make_txn, scratch):
