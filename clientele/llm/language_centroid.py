@@ -32,7 +32,7 @@ from clientele.llm.common import staged, sum_arrays
 #: Buckets that character n-grams are hashed into.
 BUCKETS = 4096
 #: Centroids of a language, and rows of it that fit them.
-CENTROIDS, SAMPLE = 6, 1000
+CENTROIDS, SAMPLE = 6, 500
 #: A text is rejected under this part of its length class's 1 % quantile.
 REJECT_PART = 0.5
 
