@@ -8,7 +8,6 @@ DataFrame API, Catalyst and Spark ML.  Sub-packages:
                   special functions (log-gamma, digamma, Gauss hypergeometric)
 * ``operators`` — customer features, cohorts, BTYD models, baskets, segments, churn
 * ``plans``     — the named query catalogue and its DuckDB oracle SQL
-* ``streaming`` — incremental (Structured Streaming) customer features
 """
 
 __version__ = "0.1.0"
