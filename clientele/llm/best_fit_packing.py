@@ -105,14 +105,13 @@ def encode(texts: list[str], path: str | None = None) -> list[bytes]:
     ranks too, which give the same ids for plain texts several times faster;
     all other texts, and all texts of a path, go through the tokenizer itself.
     """
-    import numpy as np
     if path is not None:
         return _by_tokenizer(texts, path)
     import public_tokenizers
     plain = [_plain(t) for t in texts]
     rest = iter(_by_tokenizer([t for t, p in zip(texts, plain) if not p], public_tokenizers.path("byte_bpe_50k.json"))
                 if not all(plain) else ())
-    return [np.asarray(_ranks().encode_ordinary(t), dtype="<u4").tobytes() if p else next(rest)
+    return [_ranks().encode_to_numpy(t).astype("<u4", copy=False).tobytes() if p else next(rest)
             for t, p in zip(texts, plain)]
 
 
