@@ -104,13 +104,14 @@ class Orders:
         return self.tokens[at] == tokens
 
     def prefix(self, tokens: np.ndarray, order: int, percent: int = PERCENT) -> np.ndarray:
-        """The first tokens of a sorted set under an order."""
+        """The first tokens of a sorted set under an order, in that order."""
         place = mix(tokens ^ np.uint64(ORDERS[order])) >> np.uint64(8)
         if len(self.tokens):
             at = np.minimum(np.searchsorted(self.tokens, tokens), len(self.tokens) - 1)
             place = place + np.where(self.tokens[at] == tokens, self.weight[at], np.uint64(0))
         size = prefix_size(len(tokens), percent)
-        return tokens[place <= np.partition(place, size - 1)[size - 1]]  # with all that tie at its end
+        first = np.flatnonzero(place <= np.partition(place, size - 1)[size - 1])
+        return tokens[first[np.argsort(place[first], kind="stable")[:size]]]  # ties by token
 
 
 def _member(a: np.ndarray, b: np.ndarray) -> int:
@@ -173,7 +174,9 @@ def frequent_tokens(profiled: DataFrame) -> Orders:
 
 
 def postings(docs: DataFrame, orders: Orders, percent: int = PERCENT) -> DataFrame:
-    """token, salt, key, n: first-order prefix tokens of a task's distinct sets."""
+    """token, salt, key, n, at, prev: first-order prefix tokens of a task's
+    distinct sets, each one's place in its set (from 0) and the token before it
+    (the first one has itself)."""
     shared = docs.sparkSession.sparkContext.broadcast(orders)  # FREQUENT tokens at most
 
     def local(batches: Iterator) -> Iterator:
@@ -193,12 +196,15 @@ def postings(docs: DataFrame, orders: Orders, percent: int = PERCENT) -> DataFra
             if not tokens:
                 continue
             token, key = np.concatenate(tokens), np.repeat(np.array(keys, np.int64), counts)
+            at = np.concatenate([np.arange(c, dtype=np.int32) for c in counts])
+            prev = np.where(at == 0, token, np.roll(token, 1))
             salt = np.where(shared.value.frequent(token), 1 + key % SALTS, 0).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(token.view(np.int64)), pa.array(salt), pa.array(key),
-                 pa.array(np.repeat(np.array(sizes, np.int32), counts))], ["token", "salt", "key", "n"])
+                 pa.array(np.repeat(np.array(sizes, np.int32), counts)), pa.array(at), pa.array(prev.view(np.int64))],
+                ["token", "salt", "key", "n", "at", "prev"])
 
-    return docs.select("text").mapInArrow(local, "token long, salt int, key long, n int")
+    return docs.select("text").mapInArrow(local, "token long, salt int, key long, n int, at int, prev long")
 
 
 def meeting(posted: DataFrame) -> DataFrame:
@@ -213,7 +219,7 @@ def meeting(posted: DataFrame) -> DataFrame:
     other = (F.col("key") != F.col("first")) & (F.col("key") != F.col("prior"))
     leads = (F.col("key") == F.col("first")) & F.col("next").isNotNull() & (F.col("next") != F.col("key"))
     alone = (F.col("salt") != 0) & F.col("next").isNull() & (F.col("key") == F.col("first"))
-    return rows.filter(other | leads | alone).select("token", "salt", "key", "n")
+    return rows.filter(other | leads | alone).select("token", "salt", "key", "n", "at", "prev")
 
 
 #: Shifts that take the filter's bit numbers out of a set key, itself a hash.
@@ -329,8 +335,26 @@ def components(links: DataFrame) -> DataFrame:
                   .groupBy("key").agg(F.min("comp").alias("comp")))
 
 
-def _fits(percent: int):
-    return F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent
+def _may_reach(percent: int):
+    """Whether sets that share a token, and none before it in the order, may
+    link: they share at most what each holds from there on."""
+    most = F.least(F.col("n_a") - F.col("at_a"), F.col("n_b") - F.col("at_b"))
+    return most * (100 + percent) >= (F.col("n_a") + F.col("n_b")) * percent
+
+
+def closing_pairs(live: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """(a, b), once each: every pair of sets of different components that may
+    link.
+
+    Only the first token that two sets share has to bring them together.  It
+    passes ``_may_reach``, and the tokens before it differ (or it is the first
+    of both), so a passage that many sets share makes about one row a pair.
+    """
+    left, right = (live.select("token", *[F.col(c).alias(f"{c}_{s}") for c in ("key", "n", "at", "prev", "comp")])
+                   for s in "ab")
+    first = (F.col("prev_a") != F.col("prev_b")) | ((F.col("at_a") == 0) & (F.col("at_b") == 0))
+    return (left.join(right, "token").filter((F.col("comp_a") < F.col("comp_b")) & first & _may_reach(percent))
+            .select(F.least("key_a", "key_b").alias("a"), F.greatest("key_a", "key_b").alias("b")).distinct())
 
 
 def cluster(docs: DataFrame, percent: int = PERCENT, stars: int = STARS) -> DataFrame:
@@ -357,22 +381,18 @@ def cluster(docs: DataFrame, percent: int = PERCENT, stars: int = STARS) -> Data
                      .filter("lo != hi").select("token"))
             live = staged(now.join(split, "token", "left_semi"))
         if r < stars:
-            by = W.partitionBy("token", "salt").orderBy(F.xxhash64("key", F.lit(r)), "key").rowsBetween(
+            # the pivot has the least of its own before the token, so it links to most
+            by = W.partitionBy("token", "salt").orderBy(F.col("at") / F.col("n"), F.xxhash64("key", F.lit(r)), "key").rowsBetween(
                 W.unboundedPreceding, W.currentRow)
             pairs = (live.withColumns({"a": F.first("key").over(by), "n_a": F.first("n").over(by),
-                                       "comp_a": F.first("comp").over(by)})
-                     .withColumnRenamed("key", "b").withColumnRenamed("n", "n_b")
-                     .filter((F.col("comp") != F.col("comp_a")) & _fits(percent)))
+                                       "at_a": F.first("at").over(by), "comp_a": F.first("comp").over(by)})
+                     .withColumnsRenamed({"key": "b", "n": "n_b", "at": "at_b"})
+                     .filter((F.col("comp") != F.col("comp_a")) & _may_reach(percent)))
             # each set is compared with the pivot it meets most often
             pairs = (pairs.groupBy("a", "b").agg(F.count("*").alias("times"))
                      .groupBy("b").agg(F.max(F.struct("times", "a")).alias("best")).select("best.a", "b"))
         else:
-            left = live.select("token", F.col("key").alias("a"), F.col("n").alias("n_a"), F.col("comp").alias("comp_a"))
-            right = live.select("token", F.col("key").alias("b"), F.col("n").alias("n_b"), F.col("comp").alias("comp_b"))
-            pairs = (left.join(right, "token").filter((F.col("comp_a") < F.col("comp_b")) & _fits(percent))
-                     .groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-                     .agg(F.count("*").alias("shared"), F.min(F.least("n_a", "n_b")).alias("n"))
-                     .filter(F.col("shared") >= _shared(F.col("n"))).select("a", "b"))
+            pairs = closing_pairs(live, percent)
         if tried is not None:
             pairs = pairs.join(tried.unionByName(tried.select(F.col("b").alias("a"), F.col("a").alias("b"))),
                                ["a", "b"], "left_anti")
