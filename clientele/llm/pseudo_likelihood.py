@@ -6,8 +6,12 @@ The network is trained here with numpy: one embedding table per position of
 the window, a tanh layer, and an output factored into a class and a member of
 it, so that a prediction costs two small softmaxes and still sums to one.
 
-The vocabulary is the most frequent words of all documents, counted in Spark;
-other words share hashed ids.  Training runs over every document exactly once:
+The most frequent words of all documents, counted in Spark, have network ids
+of their own; other words share hashed ids.  The counts of all words are kept
+in Spark, where they grow with the input: a word that shares its id is scored
+as P(id | both sides) times the word's part of its id's count, by a join of
+each document's distinct words with the counts.  One spare count of every id
+stands for words that were not counted.  Training runs over every document exactly once:
 documents are dealt into ``rounds`` parts by a hash, and in each round every
 task trains its own copy from the round's weights on the rows it holds; the
 copies are averaged by the words they saw (parallel SGD with averaging) and
@@ -24,10 +28,10 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clientele.llm.common import counted, sum_arrays, word_hashes
+from clientele.llm.common import counted, staged, sum_arrays, word_hashes
 
 #: Words with an id of their own, hashed ids for all others, and output classes.
 WORDS, HASHED, CLASSES = 896, 128, 32
@@ -94,8 +98,8 @@ class Coder:
         self.order = np.argsort(vocabulary)
         self.words = vocabulary[self.order]
 
-    def ids_of(self, text: str | None) -> np.ndarray:
-        h = word_hashes(text)
+    def ids_of(self, h: np.ndarray) -> np.ndarray:
+        """Ids of words given by their hashes."""
         out = np.uint64(WORDS) + h % np.uint64(HASHED)
         if len(self.words):
             at = np.minimum(np.searchsorted(self.words, h), len(self.words) - 1)
@@ -105,7 +109,10 @@ class Coder:
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, each between ``SIDE`` edges on either side, and
         where each text's first word is."""
-        rows = [self.ids_of(t) for t in texts]
+        return self.joined([self.ids_of(word_hashes(t)) for t in texts])
+
+    def joined(self, rows: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        """``encode`` of texts whose ids are known."""
         lengths = np.fromiter(map(len, rows), dtype=np.int64, count=len(rows))
         ids = np.full(int(lengths.sum()) + 2 * SIDE * len(rows), EDGE, dtype=np.uint16)
         begin = np.cumsum(lengths + 2 * SIDE) - lengths - SIDE
@@ -185,11 +192,29 @@ def train_step(w: dict, ids: np.ndarray, a: int, b: int, rate: float) -> None:
         w["e"][k][word] -= np.add.reduceat(push.take(order + (SIDE - o), axis=0), first, axis=0)
 
 
-def vocabulary(docs: DataFrame) -> np.ndarray:
-    top = word_counts(docs).orderBy(F.col("n").desc(), "word").limit(WORDS).collect()
+def vocabulary(counts: DataFrame) -> np.ndarray:
+    top = counts.orderBy(F.col("n").desc(), "word").limit(WORDS).collect()
     return np.array([r[0] for r in top], dtype=np.int64).view(np.uint64)
 
 
+def _shared_id(word: Column) -> Column:
+    """Which of the shared ids a word has (its hash modulo HASHED, a power of 2)."""
+    return word.bitwiseAND(F.lit(HASHED - 1))
+
+
+def shares(counts: DataFrame, words: np.ndarray) -> tuple[DataFrame, list[float]]:
+    """word, share: log P(word | its shared id) of every counted word without
+    an id of its own; and, of each shared id, that of a word never counted."""
+    own = counts.sparkSession.createDataFrame([(int(w),) for w in words.view(np.int64)], "word long")
+    rare = counts.join(F.broadcast(own), "word", "left_anti")  # at most WORDS words
+    total = [0] * HASHED
+    for at, n in rare.groupBy(_shared_id(F.col("word"))).agg(F.sum("n")).collect():  # at most HASHED rows
+        total[at] = n
+    unseen = [float(-np.log(n + 1)) for n in total]
+    of_id = F.element_at(F.array(*[F.lit(x) for x in unseen]), (_shared_id(F.col("word")) + 1).cast("int"))
+    return rare.select("word", (F.log(F.col("n").cast("double")) + of_id).alias("share")), unseen
+
+
 def train(docs: DataFrame, words: np.ndarray, rounds: int = ROUNDS, rate: float = RATE) -> np.ndarray:
     """Weights after one pass over all documents in ``rounds`` averaged parts."""
     sc = docs.sparkSession.sparkContext
@@ -220,8 +245,9 @@ def train(docs: DataFrame, words: np.ndarray, rounds: int = ROUNDS, rate: float
     return flat
 
 
-def score(docs: DataFrame, words: np.ndarray, weights: np.ndarray) -> DataFrame:
-    """doc_id, n_words, log_prob, mean_log_prob."""
+def score(docs: DataFrame, counts: DataFrame, words: np.ndarray, weights: np.ndarray) -> DataFrame:
+    """doc_id, n_words, log_prob, mean_log_prob; ``counts`` as ``word_counts``."""
+    share, unseen = shares(counts, words)
     shared = docs.sparkSession.sparkContext.broadcast((weights, words))
 
     def local(batches: Iterator) -> Iterator:
@@ -229,23 +255,41 @@ def score(docs: DataFrame, words: np.ndarray, weights: np.ndarray) -> DataFrame:
         flat, vocab = shared.value
         w, coder = unpack(flat), Coder(vocab)
         for batch in batches:
-            ids, begin = coder.encode(batch.column(1).to_pylist())
+            hashes = [word_hashes(t) for t in batch.column(1).to_pylist()]
+            rows = [coder.ids_of(h) for h in hashes]
+            ids, begin = coder.joined(rows)
             if len(begin):
                 size = np.diff(np.append(begin, len(ids) + SIDE)) - 2 * SIDE
                 total = np.add.reduceat(log_probs(w, ids), begin - SIDE)
             else:
                 size, total = np.zeros(0, dtype=np.int64), np.zeros(0)
-            mean = pa.array(total / np.maximum(size, 1), pa.float64(), mask=size == 0)
+            rare = [counted(h[r >= WORDS]) for h, r in zip(hashes, rows)]
+            ends = np.cumsum([0, *[len(r[0]) for r in rare]]).astype(np.int32)
+            word = np.concatenate([np.empty(0, np.uint64), *[r[0] for r in rare]]).view(np.int64)
+            times = np.concatenate([np.empty(0, np.int64), *[r[1] for r in rare]]).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(size, pa.int64()), pa.array(total, pa.float64()), mean],
-                ["doc_id", "n_words", "log_prob", "mean_log_prob"])
+                [batch.column(0), pa.array(size, pa.int64()), pa.array(total, pa.float64()),
+                 pa.ListArray.from_arrays(ends, pa.array(word)), pa.ListArray.from_arrays(ends, pa.array(times))],
+                ["doc_id", "n_words", "net", "words", "times"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(
-        local, f"doc_id {kind}, n_words long, log_prob double, mean_log_prob double")
+    # Written once, so that a row's number stays; repeated rows have their own.
+    scored = staged(docs.select("doc_id", "text").mapInArrow(
+        local, f"doc_id {kind}, n_words long, net double, words array<bigint>, times array<int>")
+        .withColumn("row", F.monotonically_increasing_id()))
+    rare = (scored.select("row", F.explode(F.arrays_zip("words", "times")).alias("w"))
+            .select("row", F.col("w.words").alias("word"), F.col("w.times").alias("times")))
+    none = F.element_at(F.array(*[F.lit(x) for x in unseen]), (_shared_id(F.col("word")) + 1).cast("int"))
+    inside = (rare.join(share, "word", "left")
+              .groupBy("row").agg(F.sum(F.col("times") * F.coalesce("share", none)).alias("inside")))
+    total = F.col("net") + F.coalesce("inside", F.lit(0.0))
+    return (scored.select("row", "doc_id", "n_words", "net").join(inside, "row", "left")
+            .select("doc_id", "n_words", total.alias("log_prob"),
+                    F.when(F.col("n_words") > 0, total / F.col("n_words")).alias("mean_log_prob")))
 
 
 def score_documents(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
-    """Count the vocabulary, train, and score every document."""
-    words = vocabulary(docs)
-    return score(docs, words, train(docs, words, rounds))
+    """Count all words, train, and score every document."""
+    counts = staged(word_counts(docs))
+    words = vocabulary(counts)
+    return score(docs, counts, words, train(docs, words, rounds))
