@@ -7,7 +7,9 @@ over the output shards: at each node the left half receives a multivariate
 hypergeometric draw (units drawn one by one without replacement, with hash
 uniforms, so reruns agree) and the right half keeps the rest, so the quotas of
 the leaves add up exactly.  Each leaf then takes its own disjoint run of the
-source's permuted units, and rows are shuffled inside the shard only.
+source's permuted units, and rows are shuffled inside the shard only.  The mix
+itself (``mixed_rows``) cuts no text: a document at the edge of a quota is taken
+whole or not at all, whichever is nearer to the target.
 
 Only DataFrame functions run on the data path.  The tables of sources, blocks
 and tree nodes are small by construction: at most ``max_blocks`` blocks plus
@@ -115,11 +117,12 @@ def split_tree(quotas: DataFrame, levels: int, seed: int) -> DataFrame:
 
 
 def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, most: float = MOST,
-        max_blocks: int = MAX_BLOCKS, levels: int = LEVELS, seed: int = 20240607) -> DataFrame:
+        max_blocks: int = MAX_BLOCKS, levels: int = LEVELS, seed: int = 20240607, whole: bool = False) -> DataFrame:
     """doc_id, source, key, size, source_size, target, taken, passes per row.
 
     ``taken``: words the mix takes, repeats counted; a document at the edge of
-    its source's quota is taken in part.  ``passes``: array of (shard, order,
+    its source's quota is taken in part, or with ``whole`` either whole or not
+    (repeated rows as one), as is nearer to the quota.  ``passes``: array of (shard, order,
     words), one for each time the document is drawn.
     """
     base = staged(sized(docs, seed))
@@ -159,15 +162,20 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHAR
     out = rows.join(plan, ["idx", "block"], "left")
     # Only a quota's edge block needs its documents in order: one block a source.
     edge = (F.col("extra") == 1) & (F.col("before") + F.col("words") > F.col("rest")) & (F.col("size") > 0)
-    inside = (out.filter(edge)
-              .withColumn("prior", F.sum("size").over(W.partitionBy("idx", "block").orderBy("key", "doc_id")
-                                                      .rowsBetween(W.unboundedPreceding, W.currentRow)) - F.col("size"))
-              .withColumn("part", F.greatest(F.lit(0).cast("long"), F.least(
-                  "size", F.col("rest") - F.col("before") - F.col("prior")))))
-    whole = (out.filter(~F.coalesce(edge, F.lit(False)))
-             .withColumn("prior", F.lit(0).cast("long"))
-             .withColumn("part", F.when((F.col("extra") == 1) & (F.col("size") > 0), F.col("size")).otherwise(F.lit(0).cast("long"))))
-    out = whole.unionByName(inside)
+    left = F.col("rest") - F.col("before") - F.col("prior")
+    in_order = W.partitionBy("idx", "block")
+    if whole:
+        same = F.sum("size").over(W.partitionBy("idx", "block", "key"))
+        prior = F.sum("size").over(in_order.orderBy("key").rangeBetween(W.unboundedPreceding, W.currentRow)) - same
+        part = F.when(2 * left >= same, F.col("size")).otherwise(F.lit(0).cast("long"))
+    else:
+        prior = F.sum("size").over(in_order.orderBy("key", "doc_id").rowsBetween(W.unboundedPreceding, W.currentRow)) - F.col("size")
+        part = F.greatest(F.lit(0).cast("long"), F.least("size", left))
+    inside = out.filter(edge).withColumn("prior", prior).withColumn("part", part)
+    others = (out.filter(~F.coalesce(edge, F.lit(False)))
+              .withColumn("prior", F.lit(0).cast("long"))
+              .withColumn("part", F.when((F.col("extra") == 1) & (F.col("size") > 0), F.col("size")).otherwise(F.lit(0).cast("long"))))
+    out = others.unionByName(inside)
     words = lambda t: F.when(t["turn"] <= F.col("full"), F.col("size")).otherwise(F.col("part"))
     passes = F.filter(F.transform(F.coalesce("turns", F.array().cast("array<struct<turn:bigint,shard:int>>")), lambda t: F.struct(
         t["shard"].alias("shard"), F.xxhash64(F.lit(seed + 5), t["shard"], t["turn"], F.col("key")).alias("order"),
@@ -178,17 +186,13 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHAR
 
 
 def mixed_rows(docs: DataFrame, seed: int = 20240607, **options) -> DataFrame:
-    """The mix itself: the rows of ``docs``, once for each time they are drawn,
-    with their columns unchanged except that an edge document's text ends after
-    the words taken (and n_chars, if there, follows)."""
-    plan = mix(docs, seed=seed, **options).select("key", "size", F.explode("passes").alias("p"))
-    plan = plan.groupBy("key", "size", "p").count().drop("count")  # repeated rows share a key
-    keyed = docs.withColumn("__key", F.xxhash64(F.lit(seed), "doc_id", "source", "text"))
-    rows = keyed.join(plan, keyed["__key"] == plan["key"])
-    pieces = F.regexp_extract_all("text", F.lit(r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+"), F.lit(0))
-    head = F.array_join(F.slice(pieces, F.lit(1), F.col("p.words").cast("int")), "")
-    text = F.when(F.col("p.words") < F.col("size"), head).otherwise(F.col("text"))
-    out = rows.withColumn("text", text)
-    if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return out.select(*docs.columns)
+    """The mix itself: the rows of ``docs``, unchanged, once for each time they
+    are drawn, in ranges of the output shards and shuffled inside each shard."""
+    plan = mix(docs, seed=seed, **{"whole": True, **options}).select("key", F.explode("passes").alias("p"))
+    plan = staged(plan.select("key", "p.shard", "p.order").distinct())  # repeated rows share a key
+    plan = plan.select(*[F.col(c).alias(f"__{c}") for c in plan.columns])
+    keyed = docs.withColumn("__of", F.xxhash64(F.lit(seed), "doc_id", "source", "text"))
+    rows = keyed.join(plan, keyed["__of"] == plan["__key"])
+    # a shard is as many ranges of its order as its size needs
+    return (rows.repartitionByRange("__shard", "__order").sortWithinPartitions("__shard", "__order")
+            .select(*docs.columns))
