@@ -357,8 +357,9 @@ def closing_pairs(live: DataFrame, percent: int = PERCENT) -> DataFrame:
             .select(F.least("key_a", "key_b").alias("a"), F.greatest("key_a", "key_b").alias("b")).distinct())
 
 
-def cluster(docs: DataFrame, percent: int = PERCENT, stars: int = STARS) -> DataFrame:
-    """doc_id, n_shingles, component_id, key for every row."""
+def joined(docs: DataFrame, percent: int = PERCENT, stars: int = STARS) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, key, n) of every row, and (key, comp) of the sets that are
+    linked to others."""
     profiled = staged(profile(docs))
     members = profiled.filter("kind = 0").select(F.col("a").alias("doc_id"), F.col("b").alias("key"), "n")
     orders = frequent_tokens(profiled)
@@ -401,6 +402,12 @@ def cluster(docs: DataFrame, percent: int = PERCENT, stars: int = STARS) -> Data
         tried = pairs if tried is None else tried.unionByName(pairs)
         links = found if comp is None else found.unionByName(comp.select(F.col("key").alias("a"), F.col("comp").alias("b")))
         comp = components(links)
+    return members, comp
+
+
+def cluster(docs: DataFrame, percent: int = PERCENT, stars: int = STARS) -> DataFrame:
+    """doc_id, n_shingles, component_id, key for every row."""
+    members, comp = joined(docs, percent, stars)
     # Components are named by their smallest document.
     named = (members.filter("n > 0").groupBy("key").agg(F.min("doc_id").alias("least"))
              .join(comp, "key", "left").withColumn("comp", F.coalesce("comp", "key")))
@@ -412,11 +419,21 @@ def cluster(docs: DataFrame, percent: int = PERCENT, stars: int = STARS) -> Data
 
 
 def keep_one(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """``docs`` with one document of each component, the one that names it;
-    columns unchanged.  Repeated rows of a document stay one."""
-    found = cluster(docs, percent)
-    keep = staged(found.filter("doc_id <=> component_id").select(F.col("doc_id").alias("__doc")).distinct())
-    rows = docs.join(keep, docs["doc_id"].eqNullSafe(keep["__doc"]), "left_semi")
-    if docs.groupBy("doc_id").count().filter("count > 1").limit(1).count():
-        rows = rows.dropDuplicates(["doc_id"])
-    return rows
+    """``docs`` with one document of each component, by the smallest doc_id
+    (null last), then the smallest hash of the row; columns unchanged.
+
+    Rows are told apart by doc_id and text, so null and reused ids are rows of
+    their own.  Wordless rows are components of their own; rows equal in doc_id
+    and set of shingles stay one.
+    """
+    marked = docs.withColumn("__row", F.xxhash64("doc_id", "text"))
+    members, comp = joined(marked.select(F.col("__row").alias("doc_id"), "text"), percent)
+    ids = marked.select("__row", "doc_id")
+    found = (members.withColumnRenamed("doc_id", "__row").join(comp, "key", "left")
+             .join(ids.groupBy("__row").agg(F.first("doc_id").alias("doc_id")), "__row"))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "__row"))
+    of_sets = found.filter("n > 0").groupBy(F.coalesce("comp", "key")).agg(first.alias("best"))
+    wordless = found.filter("n = 0").groupBy("doc_id").agg(first.alias("best"))
+    keep = staged(of_sets.select("best.__row").unionByName(wordless.select("best.__row")))
+    # a row and its repetitions share a hash
+    return marked.join(keep, "__row", "left_semi").dropDuplicates(["__row"]).select(*docs.columns)
