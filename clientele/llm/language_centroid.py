@@ -8,8 +8,8 @@ Per length class, a text whose cosine lies under a part of what the training
 texts of that class reach is rejected.
 
 Document frequencies cover every training row.  Centroids are fitted on at
-most about ``sample_per_language`` rows of each language, drawn by a hash of
-the text; that bound is a parameter.  Vectors are made in Arrow batches, so a
+most ``sample_per_language`` different texts of each language, those of the
+least hashes, each weighted by its rows; that bound is a parameter.  Vectors are made in Arrow batches, so a
 task holds one batch of texts.
 
 Defined cases: null text, or text without a letter, is ``und`` with score 0
@@ -27,11 +27,11 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clientele.llm.common import staged, sum_arrays
+from clientele.llm.common import least_hashes, staged, sum_arrays
 
 #: Buckets that character n-grams are hashed into.
 BUCKETS = 4096
-#: Centroids of a language, and rows of it that fit them.
+#: Centroids of a language, and different texts of it that fit them.
 CENTROIDS, SAMPLE = 6, 500
 #: A text is rejected under this part of its length class's 1 % quantile.
 REJECT_PART = 0.5
@@ -119,12 +119,13 @@ class Model:
         return np.array([self.least[k] for k in near])
 
 
-def _cluster(x: np.ndarray, k: int, rng: np.random.Generator, steps: int = 15) -> np.ndarray:
-    """Spherical k-means; starts from distinct random rows."""
+def _cluster(x: np.ndarray, weight: np.ndarray, k: int, rng: np.random.Generator, steps: int = 15) -> np.ndarray:
+    """Spherical k-means of weighted rows; starts from distinct random rows."""
     centres = x[rng.permutation(len(x))[:k]].copy()
+    heavy = x * weight[:, None]
     for _ in range(steps):
         near = (x @ centres.T).argmax(axis=1)
-        new = unit_rows(np.stack([x[near == j].sum(axis=0) if (near == j).any() else centres[j]
+        new = unit_rows(np.stack([heavy[near == j].sum(axis=0) if (near == j).any() else centres[j]
                                   for j in range(len(centres))]))
         if np.allclose(new, centres, atol=1e-5):
             break
@@ -150,34 +151,45 @@ def document_frequencies(train: DataFrame) -> tuple[np.ndarray, float]:
     return np.sum([np.asarray(r[0]) for r in parts], axis=0), float(sum(r[1] for r in parts))
 
 
+def sampled(train: DataFrame, n: int, seed: int) -> DataFrame:
+    """lang, h, weight, ix, val: at most ``n`` different texts of each language,
+    their rows, and their n-gram counts; texts without a letter have none."""
+    hashed = train.select("text", "lang", F.xxhash64(F.lit(seed), "text").alias("h"))
+    texts = staged(hashed.groupBy("lang", "h").agg(F.count("*").alias("weight")))
+    drawn = hashed.join(F.broadcast(staged(least_hashes(texts, "lang", n))), ["lang", "h"])  # n a language
+
+    def sparse(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+        done: set = set()  # a task makes each text's counts once
+        for batch in sliced(batches):
+            rows = []
+            for row in zip(*(c.to_pylist() for c in batch.columns)):
+                if row[1:3] not in done:
+                    done.add(row[1:3])
+                    rows.append(row)
+            found, has = counts([r[0] for r in rows])
+            out = []
+            for (_, lang, h, weight), row, ok in zip(rows, found, has):
+                if ok:
+                    ix = np.flatnonzero(row)
+                    out.append((lang, h, weight, ix.astype("<u2").tobytes(), row[ix].astype("<f4").tobytes()))
+            kinds = (pa.string(), pa.int64(), pa.int64(), pa.binary(), pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], t) for i, t in enumerate(kinds)],
+                                             ["lang", "h", "weight", "ix", "val"])
+
+    return (drawn.select("text", "lang", "h", "weight")
+            .mapInArrow(sparse, "lang string, h long, weight long, ix binary, val binary").dropDuplicates(["lang", "h"]))
+
+
 def fit(train: DataFrame, sample_per_language: int = SAMPLE, centroids: int = CENTROIDS,
         seed: int = 11) -> Model | None:
     """Fit on rows (text, lang); ``lang`` must not be null."""
-    per = {r[0]: r[1] for r in train.groupBy("lang").count().collect()}  # one row a language
     df, rows = document_frequencies(train)
     if not rows:
         return None
     idf = (np.log((1 + rows) / (1 + df)) + 1).astype(np.float32)
-    part = F.create_map(*[F.lit(v) for lang, n in per.items() for v in (lang, min(1.0, sample_per_language / n))])
-    chance = F.shiftrightunsigned(F.xxhash64(F.lit(seed), "text"), 11) / F.lit(float(1 << 53))
-    drawn = train.filter(chance < part[F.col("lang")])
-
-    def sparse(batches: Iterator) -> Iterator:
-        import pyarrow as pa
-        for batch in sliced(batches):
-            found, has = counts(batch.column(0).to_pylist())
-            langs, at, val = [], [], []
-            for lang, row, ok in zip(batch.column(1).to_pylist(), found, has):
-                if ok:
-                    ix = np.flatnonzero(row)
-                    langs.append(lang)
-                    at.append(ix.astype("<u2").tobytes())
-                    val.append(row[ix].astype("<f4").tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array(langs, pa.string()), pa.array(at, pa.binary()),
-                                              pa.array(val, pa.binary())], ["lang", "ix", "val"])
-
-    got = drawn.select("text", "lang").mapInArrow(sparse, "lang string, ix binary, val binary").collect()
-    got.sort(key=lambda r: (r[0], bytes(r[1]), bytes(r[2])))
+    got = sampled(train, sample_per_language, seed).select("lang", "ix", "val", "weight").collect()
+    got.sort(key=lambda r: (r[0], bytes(r[1]), bytes(r[2]), r[3]))
     langs = sorted({r[0] for r in got})
     if not langs:
         return None
@@ -186,15 +198,17 @@ def fit(train: DataFrame, sample_per_language: int = SAMPLE, centroids: int = CE
         x[i, np.frombuffer(r[1], "<u2")] = np.frombuffer(r[2], "<f4")
     sizes = x.sum(axis=1)
     y = np.array([langs.index(r[0]) for r in got])
+    weight = np.array([r[3] for r in got], dtype=np.float32)
     model = Model(langs, idf, np.empty((0, BUCKETS), np.float32), np.empty(0, int))
     v = model.vectors(x)
     rng = np.random.default_rng(seed)
-    groups = [_cluster(v[y == k], min(centroids, int((y == k).sum())), rng) for k in range(len(langs))]
+    groups = [_cluster(v[y == k], weight[y == k], min(centroids, int((y == k).sum())), rng) for k in range(len(langs))]
     model.centroids = np.concatenate(groups).astype(np.float32)
     model.owner = np.repeat(np.arange(len(langs)), [len(g) for g in groups])
     own = model.similarities(v)[np.arange(len(y)), y]
     classes = np.floor(np.log2(np.maximum(sizes, 1))).astype(int)
-    model.least = {int(c): float(REJECT_PART * np.quantile(own[classes == c], 0.01)) for c in np.unique(classes)}
+    model.least = {int(c): float(REJECT_PART * np.quantile(own[classes == c], 0.01, method="inverted_cdf", weights=weight[classes == c]))
+                   for c in np.unique(classes)}
     return model
 
 
