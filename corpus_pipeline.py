@@ -53,8 +53,9 @@ STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] =
     ("pack", pack),
 ]
 
-#: A trained model, a mix by hash and a tokenizer have no SQL form; the stages
-#: are tested against brute force instead.
+#: A trained model, a mix by hash and a tokenizer have no SQL form.  near_dedup and
+#: mix_sources are tested on small tables (tests/llm); the other stages only through
+#: their operators, and run() as a whole is not compared with brute force.
 ORACLE_SQL = None
 
 
