@@ -140,8 +140,11 @@ def digest(found: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """doc_id, n_<base kind>, base_sha256, spans from ``findings`` rows."""
     spans = F.col("spans")
     base = [i for i, r in enumerate(rules) if r.base]
-    counts = [F.size(F.filter(spans, lambda s, i=i: s["rank"] == i)).cast("long").alias(f"n_{rules[i].kind}")
-              for i in base]
+
+    def count(i: int) -> Column:  # a second parameter of the lambda would be the element's index
+        return F.size(F.filter(spans, lambda s: s["rank"] == i)).cast("long").alias(f"n_{rules[i].kind}")
+
+    counts = [count(i) for i in base]
     own = F.filter(spans, lambda s: s["rank"].isin(base))
     return found.select(F.col("path").alias("doc_id"), *counts,
                         F.sha2(_joined(own), 256).alias("base_sha256"), _joined(spans).alias("spans"))
