@@ -52,7 +52,82 @@ def staged(df: DataFrame, by: str | None = None) -> DataFrame:
     if by is not None:
         writer = writer.partitionBy(by)
     writer.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._staged_path = path
+    return out
+
+
+def discard(*tables: DataFrame | None) -> None:
+    """Delete the files of staged tables that nothing will read again.
+
+    Only tables that ``staged`` itself returned are deleted; what was computed
+    from them must have been written before.
+    """
+    for t in tables:
+        path = getattr(t, "_staged_path", None)
+        if path is not None:
+            spark = t.sparkSession
+            at = spark._jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
+#: Bound of the hot keys that ``looked_up`` sends to every task.
+HOT_KEYS = 4096
+
+
+def looked_up(rows: DataFrame, lookup: DataFrame, key: str, held: str, total: int) -> DataFrame:
+    """``rows`` with the columns of ``lookup`` (one row a key, none missing).
+
+    ``held`` names the lookup's count of ``rows`` with the key (dropped from the
+    result) and ``total`` is their sum.  Keys with more than one in HOT_KEYS of
+    all rows are fewer than HOT_KEYS, so they are broadcast, and no task of the
+    shuffled join gets more than that share of one key.  Both tables are read
+    twice.
+    """
+    least = total // HOT_KEYS
+    hot = lookup.filter(F.col(held) > least).drop(held)
+    cold = lookup.filter(F.col(held) <= least).drop(held)
+    rest = rows.join(F.broadcast(hot.select(key)), key, "left_anti").join(cold, key)
+    return rows.join(F.broadcast(hot), key).unionByName(rest)
+
+
+def components(links: DataFrame) -> DataFrame:
+    """key, comp: the smallest key that links (a, b) reach, for linked keys.
+
+    Large-star and small-star steps in turn (Kiveris et al. 2014) until the
+    links no longer change.  A node with very many links is looked up by
+    broadcast, and each round deletes the tables of the one before.
+    """
+    def mark(e: DataFrame):
+        return e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
+
+    def least(e: DataFrame, with_self: bool) -> tuple[DataFrame, int]:
+        m = F.least("u", F.min("v")) if with_self else F.min("v")
+        found = staged(e.groupBy("u").agg(m.alias("m"), F.count("*").alias("held")))
+        return found, found.agg(F.coalesce(F.sum("held"), F.lit(0))).first()[0]
+
+    edges = staged(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u != v").distinct())
+    before = mark(edges)
+    while True:
+        both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        low, n = least(both, True)
+        large = staged(looked_up(both, low, "u", "held", n).filter("v > u")
+                       .select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u != v").distinct())
+        discard(edges, low)
+        low, n = least(large, False)
+        small = looked_up(large, low, "u", "held", n)
+        edges = staged(small.select(F.greatest("v", "m").alias("u"), F.least("v", "m").alias("v"))
+                       .unionByName(small.select("u", F.col("m").alias("v"))).filter("u != v").distinct())
+        discard(large, low)
+        after = mark(edges)
+        if after == before:
+            break
+        before = after
+    roots = edges.select(F.col("v").alias("key")).distinct().select("key", F.col("key").alias("comp"))
+    out = staged(edges.groupBy(F.col("u").alias("key")).agg(F.min("v").alias("comp")).unionByName(roots)
+                 .groupBy("key").agg(F.min("comp").alias("comp")))
+    discard(edges)
+    return out
 
 
 def lower_ascii(col: Column) -> Column:

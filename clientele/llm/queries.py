@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from clientele.llm import (best_fit_packing, extendible_dedup, hilbert_ann,
                            jaccard_join, language_centroid, mixing,
-                           pii_boost, pseudo_likelihood, secret_ledger, url_templates)
+                           pii_boost, pseudo_likelihood, secret_ledger, simhash_trie, url_templates)
 from clientele.llm.common import prepare, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -89,6 +89,12 @@ def op4(spark, sf_dir):
     return jaccard_join.cluster(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
 
 
+@_query("op13_simhash_trie")
+def op13(spark, sf_dir):
+    """Fingerprint and component of every document at 3 or fewer differing bits."""
+    return simhash_trie.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 # DuckDB SQL of the queries that SQL can express over whole tables.
 ORACLE: dict[str, str] = {
     "op8_exact_dedup": r"""
