@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clientele.llm import (best_fit_packing, extendible_dedup, hilbert_ann,
-                           jaccard_join, language_centroid, mixing,
+from clientele.llm import (best_fit_packing, divergence_audit, extendible_dedup, hilbert_ann,
+                           importance_lines, jaccard_join, language_centroid, mixing,
                            pii_boost, pseudo_likelihood, secret_ledger, simhash_trie, url_templates)
 from clientele.llm.common import prepare, table
 
@@ -89,6 +89,22 @@ def op4(spark, sf_dir):
     return jaccard_join.cluster(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
 
 
+@_query("op11_importance_lines")
+def op11(spark, sf_dir):
+    """Weight and draw of every document towards the benchmark's texts."""
+    return importance_lines.resample(table(spark, sf_dir, "documents"), _benchmark(spark, sf_dir))
+
+
+def _benchmark(spark, sf_dir):
+    return table(spark, sf_dir, "benchmark").select(F.col("item_id").cast("long").alias("doc_id"), "text")
+
+
+@_query("op12_divergence_audit")
+def op12(spark, sf_dir):
+    """Divergence of every source from the others of its language, and its terms."""
+    return divergence_audit.audit(table(spark, sf_dir, "documents"))
+
+
 @_query("op13_simhash_trie")
 def op13(spark, sf_dir):
     """Fingerprint and component of every document at 3 or fewer differing bits."""
@@ -125,4 +141,35 @@ ORACLE: dict[str, str] = {
               UNION SELECT r.doc, e.b FROM r JOIN e ON r.reach = e.a)
         SELECT s.doc_id, CAST(len(s.sh) AS BIGINT) AS n_shingles, m.component_id
         FROM s JOIN (SELECT doc, min(reach) AS component_id FROM r GROUP BY doc) m ON m.doc = s.doc_id""",
+    "op12_divergence_audit": r"""
+        WITH d AS (SELECT row_number() OVER () AS row, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+                          regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                          'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS ws
+                   FROM documents),
+        t AS (SELECT row, lang, source, unnest(ws) AS term FROM d),
+        k AS (SELECT lang, term FROM (SELECT DISTINCT row, lang, term FROM t) GROUP BY ALL HAVING count(*) >= 10),
+        g AS (SELECT DISTINCT lang, source FROM d),
+        c AS (SELECT lang, source, term, count(*) AS c FROM t SEMI JOIN k USING (lang, term) GROUP BY ALL),
+        v AS (SELECT lang, count(*)::HUGEINT AS v FROM k GROUP BY lang),
+        n AS (SELECT lang, source, sum(c)::HUGEINT AS n FROM c GROUP BY ALL),
+        p AS (SELECT g.lang, g.source, k.term, coalesce(c.c, 0) AS c,
+                     (1 + 1000000000::HUGEINT * (coalesce(c.c, 0) + 2) // (coalesce(n.n, 0) + 2 * v.v))::BIGINT AS p
+              FROM g JOIN k USING (lang) JOIN v USING (lang) LEFT JOIN n USING (lang, source)
+              LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+        q AS (SELECT lang, term, (1 + 1000000000::HUGEINT * (sum(c) + 2) // (any_value(s.n) + 2 * any_value(v.v)))::BIGINT AS q
+              FROM c JOIN v USING (lang) JOIN (SELECT lang, sum(n) AS n FROM n GROUP BY lang) s USING (lang) GROUP BY lang, term),
+        pv AS (SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value
+               FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+        pairs AS (SELECT a.lang, a.source, b.source AS item, coalesce(pv.value, 0) AS value
+                  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+                  LEFT JOIN pv ON pv.lang = a.lang AND pv.source = a.source AND pv.item = b.source),
+        terms AS (SELECT lang, source, term AS item, (p - q) * (p - q) // (p + q) AS value
+                  FROM p JOIN q USING (lang, term) WHERE c > 0 AND p > q),
+        r AS (SELECT lang, source, 'pair' AS part, item, value, row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item) AS rank
+              FROM pairs
+              UNION ALL
+              SELECT lang, source, 'term', item, value, row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item)
+              FROM terms)
+        SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank
+        FROM r WHERE part = 'pair' OR rank <= 10""",
 }
