@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clientele.functions.ranking import ntile_global
@@ -64,9 +64,8 @@ def segment_grid(seg: DataFrame, buckets: int = 5) -> DataFrame:
 # --- C8-C12: k-means behavioural segments -----------------------------------------------------
 
 import numpy as np  # noqa: E402
-import pandas as pd  # noqa: E402
-from pyspark.sql import types as T  # noqa: E402
 
+from clientele.operators import kmeans  # noqa: E402
 from clientele.session import cut_lineage  # noqa: E402
 
 # fixed values: data-mart measures used as clustering inputs (plus cat_ratio_*)
@@ -87,8 +86,14 @@ def kmeans_input_columns(dm: DataFrame) -> list[str]:
     return KMEANS_INPUTS + [c for c in dm.columns if c.startswith(CAT_RATIO_PREFIX)]
 
 
-def kmeans_features(dm: DataFrame) -> DataFrame:
-    """customer_id plus z-scored clustering inputs.
+def _clean(c: str) -> Column:
+    v = F.col(c).cast("double")
+    inf = float("inf")
+    return F.when(v.isNull() | F.isnan(v) | v.isin(inf, -inf), F.lit(0.0)).otherwise(v)
+
+
+def scaled_columns(dm: DataFrame) -> dict[str, Column]:
+    """The clustering inputs of a (materialised) mart, z-scored, as expressions.
 
     Missing and infinite values become 0; zero-variance columns are dropped;
     the rest are centred and divided by the sample standard deviation.  The
@@ -96,21 +101,18 @@ def kmeans_features(dm: DataFrame) -> DataFrame:
     2 numbers per column) and enter the projection as literals.
     """
     cols = kmeans_input_columns(dm)
-    inf = float("inf")
+    stats = dm.agg(*[F.avg(_clean(c)).alias(f"m_{c}") for c in cols],
+                   *[F.stddev_samp(_clean(c)).alias(f"s_{c}") for c in cols]).first()
+    keep = [c for c in cols if stats[f"s_{c}"] is not None and stats[f"s_{c}"] > 0
+            and np.isfinite(stats[f"s_{c}"])]
+    return {c: (_clean(c) - F.lit(float(stats[f"m_{c}"]))) / F.lit(float(stats[f"s_{c}"])) for c in keep}
 
-    def clean(c):
-        v = F.col(c).cast("double")
-        return F.when(v.isNull() | F.isnan(v) | v.isin(inf, -inf), F.lit(0.0)).otherwise(v).alias(c)
 
+def kmeans_features(dm: DataFrame) -> DataFrame:
+    """customer_id plus z-scored clustering inputs (``scaled_columns``)."""
     # read twice (statistics, then the projection): materialise it once
-    filled = cut_lineage(dm.select("customer_id", *[clean(c) for c in cols]))
-    stats = filled.agg(*[F.avg(c).alias(f"m_{c}") for c in cols],
-                       *[F.stddev_samp(c).alias(f"s_{c}") for c in cols]).first()
-    keep = [c for c in cols if stats[f"s_{c}"] is not None and stats[f"s_{c}"] > 0
-            and np.isfinite(stats[f"s_{c}"])]
-    return filled.select("customer_id", *[
-        ((F.col(c) - F.lit(float(stats[f"m_{c}"]))) / F.lit(float(stats[f"s_{c}"]))).alias(c)
-        for c in keep])
+    dm = cut_lineage(dm.select("customer_id", *kmeans_input_columns(dm)))
+    return dm.select("customer_id", *[x.alias(c) for c, x in scaled_columns(dm).items()])
 
 
 def _initial_centers(data: DataFrame, cols: list[str], ks: list[int], restarts: int,
@@ -129,96 +131,23 @@ def _initial_centers(data: DataFrame, cols: list[str], ks: list[int], restarts:
     return [pool[rng.choice(len(pool), size=k, replace=False)] for k in ks for _ in range(restarts)]
 
 
-def _lloyd_partials(centers: np.ndarray, blocks: list[tuple[int, int]], cols: list[str]):
-    """mapInPandas body: per partition, assign every row to its nearest centre
-    within each block (one block = one (k, restart) run) and emit one row per
-    centre with the count, summed squared distance and coordinate sums."""
-    c_norm = (centers ** 2).sum(axis=1)
-    n_centers, dim = centers.shape
-
-    def run(batches):
-        n = np.zeros(n_centers)
-        cost = np.zeros(n_centers)
-        sums = np.zeros((n_centers, dim))
-        for pdf in batches:
-            x = pdf[cols].to_numpy(dtype=float)
-            if not len(x):
-                continue
-            d2 = (x ** 2).sum(axis=1)[:, None] - 2.0 * x @ centers.T + c_norm[None, :]
-            np.maximum(d2, 0.0, out=d2)
-            rows = np.arange(len(x))
-            for lo, hi in blocks:
-                near = np.argmin(d2[:, lo:hi], axis=1)
-                n[lo:hi] += np.bincount(near, minlength=hi - lo)
-                cost[lo:hi] += np.bincount(near, weights=d2[rows, lo + near], minlength=hi - lo)
-                member = np.zeros((len(x), hi - lo))
-                member[rows, near] = 1.0
-                sums[lo:hi] += member.T @ x
-        nz = np.nonzero(n)[0]
-        out = pd.DataFrame({"center": nz.astype("int32"), "n": n[nz], "cost": cost[nz]})
-        for j in range(dim):
-            out[f"s{j}"] = sums[nz, j]
-        yield out
-    return run
-
-
 def kmeans_multistart(features: DataFrame, ks: list[int], restarts: int = RESTARTS,
                       max_iter: int = MAX_ITER, seed: int = SEED):
-    """Lloyd's k-means for every k in ``ks`` and ``restarts`` random starts,
-    all advanced together: each iteration is ONE pass over the (checkpointed,
-    cached) feature table; per-partition partial sums are combined by a Spark
-    aggregation keyed by centre id, so the driver only sees one row per centre.
-    A run stops when its centres no longer move or after ``max_iter``
-    iterations; finished runs drop out of later passes.  Every cost is that of
-    the run's last centres.
+    """k-means for every k in ``ks`` and ``restarts`` random starts, all
+    advanced together (``operators/kmeans.py``): Lloyd's steps, then transfers.
 
     Returns ``{k: (best_centers, best_cost, per_restart_costs)}``.
     """
     cols = [c for c in features.columns if c != "customer_id"]
-    data = cut_lineage(features.select(*cols)).persist()
-    starts = _initial_centers(data, cols, ks, restarts, seed)
-    dim = len(cols)
-    schema = T.StructType([T.StructField("center", T.IntegerType()),
-                           T.StructField("n", T.DoubleType()),
-                           T.StructField("cost", T.DoubleType())]
-                          + [T.StructField(f"s{j}", T.DoubleType()) for j in range(dim)])
-    runs = [{"centers": c, "cost": np.inf, "done": False} for c in starts]
-    for step in range(max_iter + 1):  # the last pass only evaluates
-        active = [i for i, r in enumerate(runs) if not r["done"]]
-        if not active:
-            break
-        blocks, lo = [], 0
-        for i in active:
-            blocks.append((lo, lo + len(runs[i]["centers"])))
-            lo += len(runs[i]["centers"])
-        centers = np.vstack([runs[i]["centers"] for i in active])
-        partial = data.mapInPandas(_lloyd_partials(centers, blocks, cols), schema)
-        pdf = partial.groupBy("center").agg(
-            F.sum("n").alias("n"), F.sum("cost").alias("cost"),
-            *[F.sum(f"s{j}").alias(f"s{j}") for j in range(dim)]).toPandas().set_index("center")
-        n = np.zeros(len(centers))
-        cost = np.zeros(len(centers))
-        sums = np.zeros_like(centers)
-        idx = pdf.index.to_numpy(dtype=int)
-        n[idx] = pdf["n"].to_numpy()
-        cost[idx] = pdf["cost"].to_numpy()
-        sums[idx] = pdf[[f"s{j}" for j in range(dim)]].to_numpy()
-        for (a, b), i in zip(blocks, active):
-            run = runs[i]
-            run["cost"] = float(cost[a:b].sum())
-            new = run["centers"].copy()
-            filled = n[a:b] > 0
-            new[filled] = sums[a:b][filled] / n[a:b][filled][:, None]  # empty: keep centre
-            if np.allclose(new, run["centers"], rtol=0, atol=1e-10):
-                run["done"] = True
-            elif step < max_iter:
-                run["centers"] = new
-    data.unpersist()
+    starts = _initial_centers(features.select(*cols), cols, ks, restarts, seed)
+    blocks = kmeans.packed(features, cols).persist()
+    runs = kmeans.fit(blocks, starts, max_iter)
+    blocks.unpersist()
     result = {}
     for i, k in enumerate(ks):
         group = runs[i * restarts:(i + 1) * restarts]
-        best = min(group, key=lambda r: r["cost"])
-        result[k] = (best["centers"], best["cost"], [r["cost"] for r in group])
+        best = min(group, key=lambda r: r.cost)
+        result[k] = (best.centers, best.cost, [r.cost for r in group])
     return result
 
 
@@ -230,20 +159,34 @@ def kmeans_elbow(features: DataFrame, ks: list[int] = ELBOW_KS, restarts: int =
     return spark.createDataFrame([(k, fits[k][1]) for k in ks], "k int, tot_withinss double")
 
 
-def assign_clusters(features: DataFrame, centers: np.ndarray) -> DataFrame:
-    """customer_id, cluster (1-based index of the nearest centre), as a native
-    projection with the centres as literals."""
-    cols = [c for c in features.columns if c != "customer_id"]
+def nearest_center(inputs: list[Column], centers: np.ndarray) -> Column:
+    """1-based index of the nearest centre, as a native expression with the
+    centres as literals."""
     dists = []
     for c in centers:
         d = None
-        for j, col in enumerate(cols):
-            term = (F.col(col) - F.lit(float(c[j]))) ** 2
+        for x, v in zip(inputs, c):
+            term = (x - F.lit(float(v))) ** 2
             d = term if d is None else d + term
         dists.append(d)
     arr = F.array(*dists)
-    return features.select("customer_id", F.array_position(arr, F.array_min(arr)).cast("int")
-                           .alias("cluster"))
+    return F.array_position(arr, F.array_min(arr)).cast("int")
+
+
+def assign_clusters(features: DataFrame, centers: np.ndarray) -> DataFrame:
+    """customer_id, cluster of the z-scored inputs."""
+    cols = [F.col(c) for c in features.columns if c != "customer_id"]
+    return features.select("customer_id", nearest_center(cols, centers).alias("cluster"))
+
+
+def customer_clusters(dm: DataFrame, k: int = 5, restarts: int = RESTARTS,
+                      seed: int = SEED) -> DataFrame:
+    """The data mart with its cluster: one materialisation, and no join."""
+    dm = cut_lineage(dm)
+    inputs = scaled_columns(dm)
+    rows = dm.select("customer_id", *[x.alias(c) for c, x in inputs.items()])
+    centers = kmeans_multistart(rows, [k], restarts, seed=seed)[k][0]
+    return dm.withColumn("cluster", nearest_center(list(inputs.values()), centers))
 
 
 def kmeans_segments(features: DataFrame, k: int = 5, restarts: int = RESTARTS,
@@ -252,16 +195,9 @@ def kmeans_segments(features: DataFrame, k: int = 5, restarts: int = RESTARTS,
     return assign_clusters(features, centers)
 
 
-def with_clusters(dm: DataFrame, clusters: DataFrame) -> DataFrame:
-    """The data mart with its cluster; both have one row a customer, a missing
-    id included."""
-    own = clusters.withColumnRenamed("customer_id", "_id")
-    return dm.join(own, dm["customer_id"].eqNullSafe(own["_id"])).drop("_id")
-
-
-def cluster_summary(dm: DataFrame, clusters: DataFrame) -> DataFrame:
-    """Size and mean profile per cluster, highest average M first."""
-    x = with_clusters(dm, clusters)
+def cluster_summary(x: DataFrame) -> DataFrame:
+    """Size and mean profile per cluster of a mart with clusters, highest
+    average M first."""
     # fixed values: the profile's measures
     means = [("avg_F", "F"), ("avg_M", "M"), ("avg_profit", "profit"), ("avg_R", "R"),
              ("avg_V", "V"), ("avg_basket", "avg_basket"), ("avg_weekend_ratio", "weekend_ratio"),
@@ -269,7 +205,7 @@ def cluster_summary(dm: DataFrame, clusters: DataFrame) -> DataFrame:
              ("avg_profit_margin", "profit_margin"),
              ("avg_top_category_ratio", "top_category_ratio"),
              ("avg_bargain_ratio", "bargain_ratio"), ("avg_premium_ratio", "premium_ratio")]
-    cats = [c for c in dm.columns if c.startswith(CAT_RATIO_PREFIX)]
+    cats = [c for c in x.columns if c.startswith(CAT_RATIO_PREFIX)]
     return (x.groupBy("cluster")
             .agg(F.count(F.lit(1)).alias("customers"), *[F.avg(src).alias(name) for name, src in means],
                  *[F.avg(c).alias(c) for c in cats])

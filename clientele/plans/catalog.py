@@ -481,8 +481,7 @@ def q_kmeans_features(spark, sf):
 @query("customer_clusters")
 def q_customer_clusters(spark, sf):
     """The customer data mart with its cluster."""
-    dm = _dm(spark, sf)
-    return segments.with_clusters(dm, segments.kmeans_segments(segments.kmeans_features(dm), k=5))
+    return segments.customer_clusters(_dm(spark, sf), k=5)
 
 
 @query("kmeans_elbow")
@@ -496,9 +495,7 @@ def q_kmeans_segments(spark, sf):
 
 
 def _cluster_summary(spark, sf):
-    dm = _dm(spark, sf)
-    clusters = segments.kmeans_segments(segments.kmeans_features(dm), k=5)
-    return segments.cluster_summary(dm, clusters)
+    return segments.cluster_summary(segments.customer_clusters(_dm(spark, sf), k=5))
 
 
 @query("cluster_summary")
