@@ -1,19 +1,23 @@
 """Category baskets and association rules.
 
-Frequent itemsets are counted exactly, either by summing supports over the
-subsets of the distinct (frequent-item) baskets — one aggregation after a
-partial aggregate, the plan that scales for small item domains such as
-categories — or, when that would be too many rows, by Spark ML's
-``FPGrowth``.  Rules with a single-item consequent are then derived from the
-itemset counts with plain DataFrame joins: each frequent itemset is exploded
-into one row per item (linear in its size), never into pairs of baskets.
+Baskets are collapsed once to distinct itemsets with counts, and frequent
+itemsets are then mined level by level over that table: a row holds a frequent
+set, the items after it in the basket that may extend it, and the number of
+baskets.  One aggregation a level counts all extensions; those below the support
+are dropped, and what is left of each row extends the sets that stay.  An
+extension is a candidate only if its sibling sets (the same set with either of
+its last two items) are frequent, and rows that have become equal are added up.
+Rules with a single-item consequent are derived from the itemset counts with
+plain DataFrame joins: each frequent itemset is exploded into one row per item
+(linear in its size), never into pairs of baskets.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import math
 
-from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -40,55 +44,85 @@ def itemset_label(items: Column) -> Column:
     return F.concat(F.lit("{"), F.array_join(F.array_sort(items), ","), F.lit("}"))
 
 
-# Above this many (distinct itemset, subset) rows the subset counting hands
-# over to FPGrowth; both paths are exact.
-MAX_SUBSET_ROWS = 20_000_000
+def collapsed(baskets: DataFrame) -> DataFrame:
+    """items, c: the distinct itemsets and how many baskets equal them.
 
+    A partial aggregate: with a small item domain every map task ships at most
+    a few hundred rows, however many baskets it read.  Written once, because
+    the basket count, the item counts and the mining all read it.
+    """
+    return cut_lineage(baskets.groupBy("items").agg(F.count(F.lit(1)).alias("c")))
 
-def _frequent_itemsets_fpgrowth(baskets: DataFrame, min_support: float, max_len: int) -> DataFrame:
-    model = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=1.0).fit(baskets)
-    fi = model.freqItemsets.select(F.array_sort("items").alias("items"), F.col("freq").cast("long"))
-    return fi.filter(F.size("items") <= max_len)
 
+def _encoded(distinct: DataFrame, names: list[str]) -> DataFrame:
+    """rest (numbers of the frequent items, ascending), c; equal rows added."""
+    shared = distinct.sparkSession.sparkContext.broadcast(names)
 
-def frequent_itemsets(baskets: DataFrame, min_support: float = MIN_SUPPORT,
-                      max_len: int = MAX_LEN, max_subset_rows: int = MAX_SUBSET_ROWS) -> DataFrame:
-    """items (sorted array), freq (baskets containing all of them).
+    def encode(batches: Iterator) -> Iterator:
+        import numpy as np
+        import pyarrow as pa
+        import pyarrow.compute as pc
+        known = pa.array(shared.value, pa.string())
+        for batch in batches:
+            items = batch.column(0)
+            row = np.repeat(np.arange(batch.num_rows), np.diff(items.offsets.to_numpy()))
+            number = pc.fill_null(pc.index_in(items.flatten(), value_set=known), -1).to_numpy()
+            row, number = row[number >= 0], number[number >= 0]
+            order = np.lexsort((number, row))
+            ends = np.searchsorted(row, np.arange(batch.num_rows + 1)).astype(np.int32)
+            yield pa.RecordBatch.from_arrays(
+                [pa.ListArray.from_arrays(pa.array(ends), pa.array(number[order].astype(np.int32))), batch.column(1)], ["rest", "c"])
 
-    Baskets are first reduced to their frequent items and collapsed to
-    distinct itemsets with multiplicities (a partial aggregate: with a small
-    item domain every map task ships at most a few hundred rows, however many
-    baskets it read).  If enumerating every subset of those distinct
-    itemsets stays under ``max_subset_rows`` (an exact count, checked first),
-    supports are summed per subset in one aggregation; otherwise Spark ML's
-    FPGrowth mines the baskets.  FPGrowth alone would hand all conditional
-    transactions of an item to one task — with a handful of categories, a
-    handful of tasks for the whole table.
-    """
-    n = baskets.count()
-    min_count = math.ceil(min_support * n)  # the same threshold rule as FPGrowth
-    items = (baskets.select(F.explode("items").alias("item")).groupBy("item")
-             .agg(F.count(F.lit(1)).alias("c")).filter(F.col("c") >= min_count))
+    return (distinct.select("items", "c").mapInArrow(encode, "rest array<int>, c long")
+            .filter(F.size("rest") > 0).groupBy("rest").agg(F.sum("c").alias("c")))
+
+
+def _decoded(found: DataFrame, names: list[str]) -> DataFrame:
+    shared = found.sparkSession.sparkContext.broadcast(names)
+
+    def decode(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+        known = pa.array(shared.value, pa.string())
+        for batch in batches:
+            sets = batch.column(0)
+            yield pa.RecordBatch.from_arrays(
+                [pa.ListArray.from_arrays(sets.offsets, known.take(sets.values)), batch.column(1)], ["items", "freq"])
+
+    return found.mapInArrow(decode, "items array<string>, freq long")
+
+
+def frequent_itemsets(distinct: DataFrame, n: int, min_support: float = MIN_SUPPORT,
+                      max_len: int = MAX_LEN) -> DataFrame:
+    """items (sorted array), freq (baskets containing all of them), of
+    ``collapsed`` baskets; ``n`` is the number of baskets."""
+    min_count = max(1, math.ceil(min_support * n))
     # frequent items: at most (total items) / min_count of them, a bound set by
     # the support threshold, not by the number of baskets
-    frequent = sorted(r["item"] for r in items.collect())
-    if not frequent:
-        return baskets.sparkSession.createDataFrame([], "items array<string>, freq long")
-    kept = F.array_sort(F.array_intersect("items", F.array(*[F.lit(x) for x in frequent])))
-    distinct = (baskets.select(kept.alias("items")).filter(F.size("items") > 0)
-                .groupBy("items").agg(F.count(F.lit(1)).alias("c")))
-    distinct = cut_lineage(distinct)
-    stats = distinct.agg(F.max(F.size("items")).alias("longest"),
-                         F.sum(F.pow(F.lit(2.0), F.size("items"))).alias("rows")).first()
-    if stats["longest"] > 30 or stats["rows"] > max_subset_rows:
-        return _frequent_itemsets_fpgrowth(baskets, min_support, max_len)
-    # every non-empty subset of a distinct itemset, as a bitmask over its items
-    masks = F.expr("sequence(1, (1 << size(items)) - 1)")
-    subsets = (distinct.select("items", "c", F.explode(masks).alias("m"))
-               .select(F.expr("filter(items, (x, i) -> ((m >> i) & 1) = 1)").alias("items"), "c")
-               .filter(F.size("items") <= max_len))
-    return (subsets.groupBy("items").agg(F.sum("c").cast("long").alias("freq"))
-            .filter(F.col("freq") >= min_count))
+    items = (distinct.select(F.explode("items").alias("item"), "c").groupBy("item")
+             .agg(F.sum("c").alias("c")).filter(F.col("c") >= min_count))
+    names = sorted(r["item"] for r in items.select("item").collect())
+    if not names:
+        return distinct.sparkSession.createDataFrame([], "items array<string>, freq long")
+    rows = cut_lineage(_encoded(distinct, names).select(F.array().cast("array<int>").alias("set"), "rest", "c"))
+    found: DataFrame | None = None
+    for level in range(1, max_len + 1):
+        counted = (rows.select("set", F.explode("rest").alias("item"), "c").groupBy("set", "item")
+                   .agg(F.sum("c").alias("freq")).filter(F.col("freq") >= min_count))
+        counted = cut_lineage(counted)
+        sets = counted.select(F.concat("set", F.array("item")).alias("items"), "freq")
+        found = sets if found is None else found.unionByName(sets)
+        # the extensions of each set that stay; without two of a set there is no next level
+        stay = counted.groupBy("set").agg(F.array_sort(F.collect_list("item")).alias("stay")).filter(F.size("stay") > 1)
+        if level == max_len or stay.limit(1).count() == 0:
+            break
+        left = (rows.join(stay, "set").select("set", F.array_intersect("rest", "stay").alias("rest"), "c")
+                .filter(F.size("rest") > 1))
+        at = F.posexplode(F.slice("rest", F.lit(1), F.size("rest") - 1)).alias("at", "item")
+        rows = cut_lineage(left.select("set", "rest", "c", at)
+                           .select(F.concat("set", F.array("item")).alias("set"),
+                                   F.expr("slice(rest, at + 2, size(rest))").alias("rest"), "c")
+                           .groupBy("set", "rest").agg(F.sum("c").alias("c")))
+    return _decoded(found, names)
 
 
 def association_rules(baskets: DataFrame, min_support: float = MIN_SUPPORT,
@@ -99,9 +133,11 @@ def association_rules(baskets: DataFrame, min_support: float = MIN_SUPPORT,
     support = count(lhs ∪ rhs)/n, confidence = count(lhs ∪ rhs)/count(lhs),
     coverage = count(lhs)/n, lift = confidence / (count(rhs)/n).
     """
-    n = baskets.select(F.count(F.lit(1)).cast("double")).scalar()
+    distinct = collapsed(baskets)
+    total = distinct.agg(F.coalesce(F.sum("c"), F.lit(0))).first()[0]
+    n = F.lit(float(total))
     # mined once, read three times below: materialise it
-    fi = cut_lineage(frequent_itemsets(baskets, min_support, max_len))
+    fi = cut_lineage(frequent_itemsets(distinct, total, min_support, max_len))
     whole = (fi.filter(F.size("items") >= max(min_len, 2))
              .select(F.col("items").alias("s_items"), F.col("freq").alias("s_freq"),
                      F.explode("items").alias("rhs_item"))

@@ -1,5 +1,7 @@
 """Association rules against a brute-force enumeration on a small fixture."""
 
+import math
+import random
 from itertools import combinations
 
 from conftest import line
@@ -49,14 +51,61 @@ def test_rules_match_brute_force(spark, make_txn):
             assert abs(g - w) < 1e-12
 
 
-def test_subset_counting_equals_fpgrowth(spark):
-    from conftest import SF_SMALL
-    from clientele.plans.catalog import _baskets
-    b = _baskets(spark, SF_SMALL)
-    fast = baskets.frequent_itemsets(b, 0.01)
-    slow = baskets.frequent_itemsets(b, 0.01, max_subset_rows=0)  # forces FPGrowth
-    assert fast.count() > 10
-    assert fast.exceptAll(slow).count() == 0 and slow.exceptAll(fast).count() == 0
+def _itemsets(spark, sets, min_support, max_len=baskets.MAX_LEN):
+    df = spark.createDataFrame([(i, sorted(x)) for i, x in enumerate(sets)], "transaction_id long, items array<string>")
+    found = baskets.frequent_itemsets(baskets.collapsed(df), len(sets), min_support, max_len).collect()
+    assert len({tuple(r["items"]) for r in found}) == len(found)
+    return {tuple(r["items"]): r["freq"] for r in found}
+
+
+def _brute_itemsets(sets, min_support, max_len=baskets.MAX_LEN):
+    """Depth-first over all frequent sets, counting the baskets of each."""
+    least = max(1, math.ceil(min_support * len(sets)))
+    holds = {}
+    for i, s in enumerate(sets):
+        for x in s:
+            holds.setdefault(x, set()).add(i)
+    items = sorted(x for x in holds if len(holds[x]) >= least)
+    out = {}
+
+    def grow(prefix, rows, later):
+        for i, x in enumerate(later):
+            both = holds[x] if rows is None else rows & holds[x]
+            if len(both) >= least:
+                out[(*prefix, x)] = len(both)
+                if len(prefix) + 1 < max_len:
+                    grow((*prefix, x), both, later[i + 1:])
+
+    grow((), None, items)
+    return out
+
+
+def test_small_domain_equals_brute_force(spark):
+    rng = random.Random(1)
+    sets = [set(rng.sample("abcdef", rng.randrange(1, 7))) for _ in range(400)]
+    for support, longest in ((0.001, 10), (0.2, 10), (0.001, 3), (0.9, 10)):
+        assert _itemsets(spark, sets, support, longest) == _brute_itemsets(sets, support, longest)
+
+
+def test_wide_domain_with_long_baskets_equals_brute_force(spark):
+    """2,000 items, 40 in a basket: enumerating subsets would be hopeless."""
+    rng = random.Random(2)
+    items = [f"i{n:04d}" for n in range(2000)]
+    bundles = [rng.sample(items, 6) for _ in range(4)]
+    sets = []
+    for i in range(500):
+        s = set(rng.sample(items, 34))
+        if i % 3:
+            s |= set(bundles[i % 4])
+        sets.append(s | set(rng.sample(items, 40))if i == 7 else s)
+    got = _itemsets(spark, sets, 0.03)
+    assert got == _brute_itemsets(sets, 0.03)
+    assert max(map(len, got)) == 6
+
+
+def test_no_baskets_and_nothing_frequent(spark):
+    assert _itemsets(spark, [], 0.1) == {}
+    assert _itemsets(spark, [{"a"}, {"b"}, {"c"}], 0.9) == {}
 
 
 def test_lift_identity(spark):
