@@ -13,8 +13,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from clientele.functions.dates import days_between
+from clientele.functions.lookup import lookup
 from clientele.functions.nullsafe import flag, left_join_na, sum0
-from clientele.functions.ranking import exact_quantiles, percent_rank_global
+from clientele.functions.ranking import exact_quantiles, percent_ranks
 from clientele.operators.features import _date_col, collect_date, max_date
 
 
@@ -40,15 +41,14 @@ def churn_risk(df: DataFrame, w_p_alive: float = 0.60, w_recency: float = 0.25,
     """Weighted churn score and its band.
 
     recency_ratio = R / P (NULL when P is missing or 0); recency_risk and
-    frequency_risk are percent ranks over the whole table, computed with the
-    distributed ranking (no single-task window).  A customer with one order
+    frequency_risk are percent ranks over the whole table, from prefix sums over
+    their distinct values (no single-task window, no sort of the customers).  A customer with one order
     has P = NULL, hence a NULL score, and lands in "Healthy".
     """
     ratio = F.when(F.col("P").isNull() | (F.col("P") == 0), F.lit(None)).otherwise(
         F.col("R").cast("double") / F.col("P"))
     x = df.withColumn("recency_ratio", ratio)
-    x = percent_rank_global(x, "recency_ratio", ["customer_id"], "recency_risk")
-    x = percent_rank_global(x, "F", ["customer_id"], "_f_rank")
+    x = percent_ranks(x, {"recency_ratio": "recency_risk", "F": "_f_rank"})
     score = (F.lit(w_p_alive) * F.col("p_alive_risk") + F.lit(w_recency) * F.col("recency_risk")
              + F.lit(w_frequency) * F.col("frequency_risk"))
     x = (x.withColumn("p_alive_risk", 1 - F.col("p_alive"))
@@ -160,9 +160,8 @@ def dependency_failure_signal(churn_base: DataFrame, dependency: DataFrame,
     """``null_keys=False`` declares that customer_id is never NULL (plain
     equi-join, no re-shuffle of the customer tables)."""
     x = left_join_na(churn_base, dependency, ["customer_id"], null_safe=null_keys)
-    # decline has one row per category; joined on differently named keys
-    dec = decline.withColumnRenamed("category", "dominant_category")
-    x = left_join_na(x, dec, ["dominant_category"])
+    # decline has one row per category, whose customers may be a third of all
+    x = lookup(x, decline, "dominant_category", "category")
     x = x.withColumn("high_category_dependency",
                      flag(F.col("dominant_category_share") >= share_threshold))
     return x.withColumn("possible_dependency_failure", flag(

@@ -12,7 +12,7 @@ from __spark_entry__ import queries
 # what a single-partition exchange may carry: one-row partial aggregates,
 # the per-range-partition counts of the ranking, or a k-row summary sort
 ALLOWED_SINGLE = re.compile(
-    r"HashAggregate\(keys=\[\]|output=\[_pid#\d+L?, _cnt#\d+L?\]|Sort \[avg_M#\d+ DESC")
+    r"HashAggregate\(keys=\[\]|output=\[_pid#\d+L?, _cnt#\d+L?, _kept#\d+L?\]|Sort \[avg_M#\d+ DESC")
 
 
 def executed_plan(df):
