@@ -45,9 +45,9 @@ LEAST, TOP = 10, 10
 #: Scale of the probabilities, and what is added to every count.
 SCALE, ADDED = 1_000_000_000, 2
 #: Terms of one transducer, bytes of transducers that tasks receive at a time.
-SHARD, VOLUME = 1 << 20, 64 << 20
+SHARD, VOLUME = 1 << 16, 64 << 20
 #: Distinct terms or pairs that a task holds before it passes them on.
-HELD = 1 << 18
+HELD = 1 << 19
 
 _TERM = re.compile(rb"[a-z\x80-\xff]+")
 _IS_TERM = np.zeros(256, dtype=bool)
@@ -134,28 +134,30 @@ class Transducer:
         accepted = [0] * len(states)  # strings below a state; targets come first
         for s, (final, arcs) in enumerate(states):
             accepted[s] = final + sum(accepted[t] for _, t in arcs)
-        size = 512 + 2 * sum(len(a) for _, a in states)
+        size = 1024 + 2 * sum(len(a) for _, a in states)
         taken = bytearray(size)
         base = np.zeros(len(states), dtype=np.int32)
         owner = np.full(size, -1, dtype=np.int32)
         to = np.zeros(size, dtype=np.int32)
         add = np.zeros(size, dtype=np.int32)
-        free, top = 256, 0
+        top = 0
         number = {s: i for i, s in enumerate([root, *[s for s in range(len(states)) if s != root]])}
+        starts = {}  # by number of transitions: where the search for a place begins
         for s in sorted(range(len(states)), key=lambda s: -len(states[s][1])):
             final, arcs = states[s]
             if not arcs:
                 continue
             low = arcs[0][0]
-            free = taken.find(0, free)
-            at = free
-            while any(taken[at - low + b] for b, _ in arcs):
-                at = taken.find(0, at + 1)
-                if at < 0 or at + 256 >= len(taken):
-                    grow = len(taken)
-                    taken += bytearray(grow)
-                    owner, to, add = (np.concatenate([x, np.full(grow, v, dtype=np.int32)]) for x, v in ((owner, -1), (to, 0), (add, 0)))
-                    at = taken.find(0, max(at, free) if at >= 0 else grow)
+            steps = [b - low for b, _ in arcs[1:]]
+            at, tries = taken.find(0, starts.get(len(arcs), 256)), 0
+            while any(taken[at + d] for d in steps):
+                at, tries = taken.find(0, at + 1), tries + 1
+            if tries > 32 or not steps:  # places before it are nearly full for so many
+                starts[len(arcs)] = at
+            if at + 512 >= len(taken):
+                grow = len(taken)
+                taken += bytearray(grow)
+                owner, to, add = (np.concatenate([x, np.full(grow, v, dtype=np.int32)]) for x, v in ((owner, -1), (to, 0), (add, 0)))
             base[number[s]] = at - low
             before = int(final)
             for b, t in arcs:
@@ -219,8 +221,9 @@ def _named(lang: Column, term: Column | str) -> Column:
 
 
 def transducers(vocabulary: DataFrame, shard: int = SHARD) -> DataFrame:
-    """shard, lo, hi (languages), fst of ``vocabulary`` (lang, term, ord): runs
-    of ``shard`` neighbouring terms, each a group of a task."""
+    """shard, lo, hi (languages), first, last (names), fst of ``vocabulary``
+    (lang, term, ord): runs of ``shard`` neighbouring terms, each a group of a
+    task."""
     def build(table):
         import pyarrow as pa
         langs = table.column("lang").to_pylist()
@@ -229,10 +232,11 @@ def transducers(vocabulary: DataFrame, shard: int = SHARD) -> DataFrame:
         fst = Transducer.build([terms[i] for i in order])
         ends = [langs[order[0]], langs[order[-1]]]
         return pa.table([pa.array([table.column("shard")[0].as_py()], pa.int64()), pa.array([ends[0]]), pa.array([ends[1]]),
-                         pa.array([fst.to_bytes()], pa.binary())], ["shard", "lo", "hi", "fst"])
+                         *[pa.array([terms[order[i]]], pa.binary()) for i in (0, -1)],
+                         pa.array([fst.to_bytes()], pa.binary())], ["shard", "lo", "hi", "first", "last", "fst"])
 
     return (vocabulary.withColumn("shard", F.floor(F.col("ord") / F.lit(shard)).cast("long"))
-            .groupBy("shard").applyInArrow(build, "shard long, lo string, hi string, fst binary"))
+            .groupBy("shard").applyInArrow(build, "shard long, lo string, hi string, first binary, last binary, fst binary"))
 
 
 def recount(docs: DataFrame, shards: DataFrame, shard: int = SHARD, volume: int = VOLUME) -> DataFrame:
@@ -247,8 +251,9 @@ def recount(docs: DataFrame, shards: DataFrame, shard: int = SHARD, volume: int
     schema = "lang string, source string, ord long, n long"
     out = docs.sparkSession.createDataFrame([], schema)
     for part in volumes:
-        rows = shards.filter(F.col("shard").between(part[0]["shard"], part[-1]["shard"])).select("shard", "fst").collect()
-        shared = docs.sparkSession.sparkContext.broadcast({r["shard"] * shard: bytes(r["fst"]) for r in rows})
+        rows = shards.filter(F.col("shard").between(part[0]["shard"], part[-1]["shard"])).select("shard", "fst", "first", "last").collect()
+        shared = docs.sparkSession.sparkContext.broadcast(
+            {r["shard"] * shard: (bytes(r["fst"]), bytes(r["first"]), bytes(r["last"])) for r in rows})
         texts = docs.filter(F.col("lang").between(part[0]["lo"], part[-1]["hi"]))
         out = out.unionByName(texts.mapInArrow(_streamed(shared), schema))
     return out.groupBy("lang", "source", "ord").agg(F.sum("n").alias("n"))
@@ -258,7 +263,7 @@ def _streamed(shared):
     """A function for mapInArrow: kept terms of (lang, source, text) batches."""
     def local(batches: Iterator) -> Iterator:
         import pyarrow as pa
-        fsts = {first: Transducer.from_bytes(raw) for first, raw in shared.value.items()}
+        fsts = {at: (Transducer.from_bytes(raw), first, last) for at, (raw, first, last) in shared.value.items()}
         starts: dict[tuple[int, str], tuple[int, int]] = {}
         groups: dict[tuple[str, str], int] = {}
         held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
@@ -285,14 +290,18 @@ def _streamed(shared):
             data, bounds = _bytes(batch.column(2))
             start, end = _runs(data, bounds)
             row = np.searchsorted(bounds, start, "right") - 1
-            for first, fst in fsts.items():
+            head = _head(data, start, end)
+            for number, (fst, first, last) in fsts.items():
                 for lang in set(langs):
-                    if (first, lang) not in starts:
-                        starts[first, lang] = fst.prefix(lang.encode() + b"\x00")
-                begin = np.array([starts[first, lang] for lang in langs], dtype=np.int64)
-                place = fst.run(data, start, end, begin[row, 0], begin[row, 1])
+                    if (number, lang) not in starts:
+                        starts[number, lang] = (*fst.prefix(lang.encode() + b"\x00"), *_bounds(lang.encode() + b"\x00", first, last))
+                begin = [starts[number, lang] for lang in langs]
+                state, total = (np.array([x[i] for x in begin], dtype=np.int64) for i in (0, 1))
+                least, most = (np.array([x[i] for x in begin], dtype=np.uint64) for i in (2, 3))
+                some = np.flatnonzero((state[row] >= 0) & (head >= least[row]) & (head <= most[row]))
+                place = fst.run(data, start[some], end[some], state[row[some]], total[row[some]])
                 good = place >= 0
-                held.append((of_row[row[good]], place[good] + first, np.ones(int(good.sum()), dtype=np.int64)))
+                held.append((of_row[row[some[good]]], place[good] + number, np.ones(int(good.sum()), dtype=np.int64)))
             starts.clear() if len(starts) > HELD else None
             if sum(len(x[0]) for x in held) >= 4 * HELD and merged() >= HELD:
                 yield out()
@@ -302,6 +311,23 @@ def _streamed(shared):
     return local
 
 
+def _head(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """The first eight bytes of strings as numbers of the same order."""
+    out = np.zeros(len(start), dtype=np.uint64)
+    for k in range(8):
+        has = start + k < end
+        out[has] |= data[start[has] + k].astype(np.uint64) << np.uint64(56 - 8 * k)
+    return out
+
+
+def _bounds(name: bytes, first: bytes, last: bytes) -> tuple[int, int]:
+    """Between which heads a language's terms of a run from first to last lie."""
+    number = lambda term: int.from_bytes(term[:8].ljust(8, b"\x00"), "big")
+    own = lambda term: term.startswith(name) and 0 not in term[len(name):]
+    return (number(first[len(name):]) if own(first) else 0,
+            number(last[len(name):]) if own(last) else (1 << 64) - 1)
+
+
 def _bytes(column) -> tuple[np.ndarray, np.ndarray]:
     """The lower-cased bytes of a string column and the places between rows."""
     raw = np.frombuffer(column.buffers()[1], dtype=np.int64 if str(column.type) == "large_string" else np.int32)
