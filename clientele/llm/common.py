@@ -71,22 +71,25 @@ def discard(*tables: DataFrame | None) -> None:
             at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
-#: Bound of the hot keys that ``looked_up`` sends to every task.
-HOT_KEYS = 4096
+#: Bound of the hot keys that ``looked_up`` sends to every task, and rows of one
+#: key that a task may get without that.
+HOT_KEYS, KEY_ROWS = 4096, 100_000
 
 
-def looked_up(rows: DataFrame, lookup: DataFrame, key: str, held: str, total: int) -> DataFrame:
-    """``rows`` with the columns of ``lookup`` (one row a key, none missing).
+def looked_up(rows: DataFrame, lookup: DataFrame, key: str, held: str) -> DataFrame:
+    """``rows`` with the columns of the written table ``lookup`` (one row a key,
+    none missing).
 
-    ``held`` names the lookup's count of ``rows`` with the key (dropped from the
-    result) and ``total`` is their sum.  Keys with more than one in HOT_KEYS of
-    all rows are fewer than HOT_KEYS, so they are broadcast, and no task of the
-    shuffled join gets more than that share of one key.  Both tables are read
-    twice.
+    ``held`` names the lookup's count of ``rows`` with the key; it is dropped.
+    If a key has many rows, keys with more than one in HOT_KEYS of all rows,
+    which are fewer than HOT_KEYS, are broadcast, and no task of the shuffled
+    join gets more than that share of one key; both tables are then read twice.
     """
-    least = total // HOT_KEYS
-    hot = lookup.filter(F.col(held) > least).drop(held)
-    cold = lookup.filter(F.col(held) <= least).drop(held)
+    total, most = lookup.agg(F.sum(held), F.max(held)).first()
+    if (most or 0) <= KEY_ROWS:
+        return rows.join(lookup.drop(held), key)
+    hot = lookup.filter(F.col(held) > total // HOT_KEYS).drop(held)
+    cold = lookup.filter(F.col(held) <= total // HOT_KEYS).drop(held)
     rest = rows.join(F.broadcast(hot.select(key)), key, "left_anti").join(cold, key)
     return rows.join(F.broadcast(hot), key).unionByName(rest)
 
@@ -101,21 +104,20 @@ def components(links: DataFrame) -> DataFrame:
     def mark(e: DataFrame):
         return e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
 
-    def least(e: DataFrame, with_self: bool) -> tuple[DataFrame, int]:
+    def least(e: DataFrame, with_self: bool) -> DataFrame:
         m = F.least("u", F.min("v")) if with_self else F.min("v")
-        found = staged(e.groupBy("u").agg(m.alias("m"), F.count("*").alias("held")))
-        return found, found.agg(F.coalesce(F.sum("held"), F.lit(0))).first()[0]
+        return staged(e.groupBy("u").agg(m.alias("m"), F.count("*").alias("held")))
 
     edges = staged(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u != v").distinct())
     before = mark(edges)
     while True:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low, n = least(both, True)
-        large = staged(looked_up(both, low, "u", "held", n).filter("v > u")
+        low = least(both, True)
+        large = staged(looked_up(both, low, "u", "held").filter("v > u")
                        .select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u != v").distinct())
         discard(edges, low)
-        low, n = least(large, False)
-        small = looked_up(large, low, "u", "held", n)
+        low = least(large, False)
+        small = looked_up(large, low, "u", "held")
         edges = staged(small.select(F.greatest("v", "m").alias("u"), F.least("v", "m").alias("v"))
                        .unionByName(small.select("u", F.col("m").alias("v"))).filter("u != v").distinct())
         discard(large, low)

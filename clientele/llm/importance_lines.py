@@ -271,11 +271,10 @@ def weights(docs: DataFrame, target: DataFrame) -> DataFrame:
     discard(aim_lines, aim_docs)
     lines, found = features(docs)
     gain = gains(bucket_counts(lines, found), aim)
-    total = lines.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     of_line = staged(summed(lines, "buckets", gain))
     of_doc = staged(summed(found.select("row", "doc_id", "across"), "across", gain))
     held = found.select("row", F.explode("keys").alias("key"))
-    inside = looked_up(held, of_line, "key", "n", total).select(
+    inside = looked_up(held, of_line, "key", "n").select(
         "row", F.lit(None).cast("long").alias("doc_id"), "words", "weight")
     own = of_doc.select("row", "doc_id", F.lit(0).cast("long").alias("words"), "weight")
     out = staged(own.unionByName(inside).groupBy("row").agg(

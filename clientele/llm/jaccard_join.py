@@ -13,10 +13,12 @@ and only pairs that pass all are verified on the whole sets.
 
 Equal sets are one node throughout, named by the set's hash.  Components need
 no list of all pairs: in each of ``STARS`` rounds the sets of a token are
-compared with one pivot, and what links joins a component.  A last round then
-verifies every remaining candidate pair whose sets lie in different
-components, so no link between components is missed; pairs within one
-component need no further look.
+compared with a few pivots, and what links joins a component.  A frequent
+token's sets are dealt to parts anew each round, each with a pivot of its own
+out of the largest component there.  A last round then verifies every
+remaining candidate pair whose sets lie in different components, so no link
+between components is missed; pairs within one component need no further look.
+Tables of a round are deleted when the next one has been written.
 
 The exactness rests on 64-bit hashes of shingles and of sets being distinct.
 
@@ -28,14 +30,16 @@ result; extra columns are ignored.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from clientele.llm.common import counted, mix, staged, word_hashes
+from clientele.llm.common import components, counted, discard, mix, staged, word_hashes
 
 #: Words of a shingle and percent of the union that a link's intersection reaches.
 SHINGLE, PERCENT = 5, 80
@@ -50,8 +54,9 @@ RUN, OFTEN = 1 << 22, 4
 FREQUENT = 1 << 17
 #: Parts into which a frequent token's sets are dealt when pivots are chosen.
 SALTS = 16
-#: Rounds of comparing with pivots, and members compared in one group.
-STARS, GROUP = 2, 512
+#: Rounds of comparing with pivots, pivots a set is compared with in a round, and
+#: members compared in one group.
+STARS, PIVOTS, GROUP = 4, 3, 512
 #: Bits of the filter that tells which sets are needed (4 MB, whatever the input).
 FILTER_BITS = 1 << 25
 
@@ -306,35 +311,6 @@ def verified(pairs: DataFrame, sets: DataFrame, orders: Orders, percent: int = P
     return wanted.groupBy("a", "part").applyInArrow(check, "a long, b long")
 
 
-def components(links: DataFrame) -> DataFrame:
-    """key, comp: the smallest key that links (a, b) reach, for linked keys.
-
-    Large-star and small-star steps in turn (Kiveris et al. 2014) until the
-    links no longer change.
-    """
-    def mark(e: DataFrame):
-        return e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-
-    edges = staged(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u != v").distinct())
-    before = mark(edges)
-    while True:
-        both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u != v").distinct()
-        large = staged(large)
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least, "u")
-        edges = staged(small.select(F.greatest("v", "m").alias("u"), F.least("v", "m").alias("v"))
-                       .unionByName(small.select("u", F.col("m").alias("v"))).filter("u != v").distinct())
-        after = mark(edges)
-        if after == before:
-            break
-        before = after
-    roots = edges.select(F.col("v").alias("key")).distinct().select("key", F.col("key").alias("comp"))
-    return staged(edges.groupBy(F.col("u").alias("key")).agg(F.min("v").alias("comp")).unionByName(roots)
-                  .groupBy("key").agg(F.min("comp").alias("comp")))
-
-
 def _may_reach(percent: int):
     """Whether sets that share a token, and none before it in the order, may
     link: they share at most what each holds from there on."""
@@ -363,45 +339,60 @@ def joined(docs: DataFrame, percent: int = PERCENT, stars: int = STARS) -> tuple
     profiled = staged(profile(docs))
     members = profiled.filter("kind = 0").select(F.col("a").alias("doc_id"), F.col("b").alias("key"), "n")
     orders = frequent_tokens(profiled)
-    met = staged(meeting(postings(docs, orders, percent)))
-    keys = staged(met.groupBy("key").agg(F.count("*").alias("met"), F.first("n").alias("n"))
+    posted = staged(meeting(postings(docs, orders, percent)))
+    keys = staged(posted.groupBy("key").agg(F.count("*").alias("met"), F.first("n").alias("n"))
                   .filter(F.col("met") >= _shared(F.col("n"), percent)).select("key"))
-    met = met.join(keys, "key", "left_semi")
+    met = posted.join(keys, "key", "left_semi")
     sets = staged(sets_of(docs, keys))
 
     comp: DataFrame | None = None
-    tried: DataFrame | None = None
-    links: DataFrame | None = None
+    tried: list[DataFrame] = []
     for r in range(stars + 1):
         if comp is None:
-            live = met.withColumn("comp", F.col("key"))
+            live = met.withColumns({"comp": F.col("key"), "size": F.lit(1).cast("long")})
         else:
-            now = met.join(comp, "key", "left").withColumn("comp", F.coalesce("comp", "key"))
+            held = comp.groupBy("comp").agg(F.count("*").alias("size"))
+            now = (met.join(comp.join(held, "comp"), "key", "left")
+                   .withColumns({"comp": F.coalesce("comp", "key"), "size": F.coalesce("size", F.lit(1).cast("long"))}))
             # tokens that sets of at least two components hold
             split = (now.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
                      .filter("lo != hi").select("token"))
             live = staged(now.join(split, "token", "left_semi"))
         if r < stars:
-            # the pivot has the least of its own before the token, so it links to most
-            by = W.partitionBy("token", "salt").orderBy(F.col("at") / F.col("n"), F.xxhash64("key", F.lit(r)), "key").rowsBetween(
-                W.unboundedPreceding, W.currentRow)
+            # at first the pivot has the least of its own before the token, so it links
+            # to most; later it is a set of like size out of the largest component there,
+            # so that a group whose members seldom share their first tokens hangs together
+            if r:
+                order = [F.col("size").desc(), F.xxhash64("key", F.lit(r)), "key"]
+                like = F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent
+            else:
+                order = [F.col("at") / F.col("n"), F.xxhash64("key"), "key"]
+                like = _may_reach(percent)
+            sizes = F.floor(F.log("n") / F.lit(math.log(100 / percent)) + F.lit(r / 2)) if r else F.lit(0)
+            # dealt anew each round: the parts of a token become components of their own
+            part = F.when(F.col("salt") == 0, F.lit(0)).otherwise(1 + F.pmod(F.xxhash64("key", F.lit(r)), F.lit(SALTS)).cast("int"))
+            by = W.partitionBy("token", part, sizes).orderBy(*order).rowsBetween(W.unboundedPreceding, W.currentRow)
             pairs = (live.withColumns({"a": F.first("key").over(by), "n_a": F.first("n").over(by),
                                        "at_a": F.first("at").over(by), "comp_a": F.first("comp").over(by)})
                      .withColumnsRenamed({"key": "b", "n": "n_b", "at": "at_b"})
-                     .filter((F.col("comp") != F.col("comp_a")) & _may_reach(percent)))
-            # each set is compared with the pivot it meets most often
+                     .filter((F.col("comp") != F.col("comp_a")) & like))
+            # each set is compared with the pivots it meets most often; it has no more than prefix tokens
+            most = F.slice(F.sort_array(F.collect_list(F.struct("times", "a")), asc=False), 1, PIVOTS)
             pairs = (pairs.groupBy("a", "b").agg(F.count("*").alias("times"))
-                     .groupBy("b").agg(F.max(F.struct("times", "a")).alias("best")).select("best.a", "b"))
+                     .groupBy("b").agg(most.alias("most")).select(F.explode("most.a").alias("a"), "b"))
         else:
             pairs = closing_pairs(live, percent)
-        if tried is not None:
-            pairs = pairs.join(tried.unionByName(tried.select(F.col("b").alias("a"), F.col("a").alias("b"))),
+        if tried:
+            before = reduce(DataFrame.unionByName, tried)
+            pairs = pairs.join(before.unionByName(before.select(F.col("b").alias("a"), F.col("a").alias("b"))),
                                ["a", "b"], "left_anti")
-        pairs = staged(pairs)
-        found = staged(verified(pairs, sets, orders, percent))
-        tried = pairs if tried is None else tried.unionByName(pairs)
+        tried.append(staged(pairs))
+        discard(live)
+        found = staged(verified(tried[-1], sets, orders, percent))
         links = found if comp is None else found.unionByName(comp.select(F.col("key").alias("a"), F.col("comp").alias("b")))
-        comp = components(links)
+        last, comp = comp, components(links)
+        discard(last, found)
+    discard(posted, keys, sets, *tried)
     return members, comp
 
 

@@ -280,6 +280,5 @@ def near_duplicates(docs: DataFrame, limit: int = LIMIT) -> DataFrame:
     of_node = nodes.join(comp, nodes["fp"] == comp["key"], "left").withColumn("comp", F.coalesce("comp", "fp"))
     names = of_node.groupBy("comp").agg(F.min("least").alias("component_id"))
     named = staged(of_node.select("fp", "held", "comp").join(names, "comp").select("fp", "held", "component_id"))
-    total = named.agg(F.coalesce(F.sum("held"), F.lit(0))).first()[0]
-    return (looked_up(marked, named, "fp", "held", total)
+    return (looked_up(marked, named, "fp", "held")
             .select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"))
