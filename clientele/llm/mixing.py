@@ -26,6 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from clientele.functions.lookup import lookup
 from clientele.llm.common import staged
 
 #: Weights given in turn to the sources in code-point order.
@@ -116,25 +117,20 @@ def split_tree(quotas: DataFrame, levels: int, seed: int) -> DataFrame:
             .select(F.col("s.idx").alias("idx"), "shard", F.col("s.units").alias("units")))
 
 
-def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, most: float = MOST,
-        max_blocks: int = MAX_BLOCKS, levels: int = LEVELS, seed: int = 20240607, whole: bool = False) -> DataFrame:
-    """doc_id, source, key, size, source_size, target, taken, passes per row.
+def block_plan(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, most: float = MOST,
+               max_blocks: int = MAX_BLOCKS, levels: int = LEVELS, seed: int = 20240607
+               ) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The sized rows; the sources with their targets and numbers of blocks; and
+    for every block with words what the mix takes of it.
 
-    ``taken``: words the mix takes, repeats counted; a document at the edge of
-    its source's quota is taken in part, or with ``whole`` either whole or not
-    (repeated rows as one), as is nearer to the quota.  ``passes``: array of (shard, order,
-    words), one for each time the document is drawn.
+    The plan's turns (turn, shard) are one for each time the block is drawn.
     """
     base = staged(sized(docs, seed))
-    src = staged(targets(base, weights, share, most).withColumn(
-        "quota", F.round("target").cast("long")))
+    src = staged(targets(base, weights, share, most).withColumn("quota", F.round("target").cast("long")))
     total = src.agg(F.coalesce(F.sum("source_size"), F.lit(0))).first()[0]
     block_words = max(1, -(-total // max_blocks))
-    blocks_of = F.greatest(F.lit(1).cast("long"), F.ceil(F.col("source_size") / F.lit(block_words)).cast("long"))
-    # one row a source: AQE broadcasts it when small and splits hot sources when not
-    rows = (base.join(src, base["source"].eqNullSafe(src["source"]))
-            .select("doc_id", base["source"], "key", "size", "idx", "source_size", "target", "quota",
-                    F.pmod(F.xxhash64(F.lit(seed + 1), "key"), blocks_of).alias("block")))
+    src = src.withColumn("blocks", F.greatest(F.lit(1).cast("long"), F.ceil(F.col("source_size") / F.lit(block_words)).cast("long")))
+    rows = placed(base, src, seed)
     blocks = (rows.filter(F.col("size") > 0).groupBy("idx", "block")
               .agg(F.sum("size").alias("words"), F.first("quota").alias("quota"),
                    F.first("source_size").alias("source_size"))
@@ -158,10 +154,35 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHAR
             .select("idx", "shard", F.explode(F.sequence(F.col("end") - F.col("units") + 1, F.col("end"))).alias("rank")))
     dealt = (units.join(runs, ["idx", "rank"]).groupBy("idx", "block")
              .agg(F.array_sort(F.collect_list(F.struct("turn", "shard"))).alias("turns")))  # at most MOST + 1 a block
-    plan = blocks.select("idx", "block", "full", "rest", "before", "words", "extra").join(dealt, ["idx", "block"], "left")
+    return base, src, blocks.select("idx", "block", "full", "rest", "before", "words", "extra").join(dealt, ["idx", "block"], "left")
+
+
+def placed(base: DataFrame, src: DataFrame, seed: int) -> DataFrame:
+    """Sized rows with their source's columns and their block.  ``src`` has one
+    row a source: AQE broadcasts it when small and splits hot sources when not."""
+    return (base.join(src, base["source"].eqNullSafe(src["source"]))
+            .select("doc_id", base["source"], "key", "size", "idx", "source_size", "target", "quota",
+                    F.pmod(F.xxhash64(F.lit(seed + 1), "key"), F.col("blocks")).alias("block")))
+
+
+def _at_edge() -> Column:
+    """Whether the quota of the source ends inside the block."""
+    return (F.col("extra") == 1) & (F.col("before") + F.col("words") > F.col("rest")) & (F.col("size") > 0)
+
+
+def mix(docs: DataFrame, seed: int = 20240607, whole: bool = False, **options) -> DataFrame:
+    """doc_id, source, key, size, source_size, target, taken, passes per row.
+
+    ``taken``: words the mix takes, repeats counted; a document at the edge of
+    its source's quota is taken in part, or with ``whole`` either whole or not
+    (repeated rows as one), as is nearer to the quota.  ``passes``: array of (shard, order,
+    words), one for each time the document is drawn.
+    """
+    base, src, plan = block_plan(docs, seed=seed, **options)
+    rows = placed(base, src, seed)
     out = rows.join(plan, ["idx", "block"], "left")
     # Only a quota's edge block needs its documents in order: one block a source.
-    edge = (F.col("extra") == 1) & (F.col("before") + F.col("words") > F.col("rest")) & (F.col("size") > 0)
+    edge = _at_edge()
     left = F.col("rest") - F.col("before") - F.col("prior")
     in_order = W.partitionBy("idx", "block")
     if whole:
@@ -187,12 +208,39 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHAR
 
 def mixed_rows(docs: DataFrame, seed: int = 20240607, **options) -> DataFrame:
     """The mix itself: the rows of ``docs``, unchanged, once for each time they
-    are drawn, in ranges of the output shards and shuffled inside each shard."""
-    plan = mix(docs, seed=seed, **{"whole": True, **options}).select("key", F.explode("passes").alias("p"))
-    plan = staged(plan.select("key", "p.shard", "p.order").distinct())  # repeated rows share a key
-    plan = plan.select(*[F.col(c).alias(f"__{c}") for c in plan.columns])
-    keyed = docs.withColumn("__of", F.xxhash64(F.lit(seed), "doc_id", "source", "text"))
-    rows = keyed.join(plan, keyed["__of"] == plan["__key"])
+    are drawn, in ranges of the output shards and shuffled inside each shard.
+
+    A document at the edge of a quota is drawn whole or not (repeated rows as
+    one), as is nearer to the quota.  As what is left falls in the order of the
+    keys, the drawn ones of an edge block are those up to one key, so a row's
+    block and key decide, and the texts move once, into the ranges.
+    """
+    base, src, plan = block_plan(docs, seed=seed, **options)
+    edges = plan.filter((F.col("extra") == 1) & (F.col("before") + F.col("words") > F.col("rest")))
+    keys = (placed(base, src, seed).filter("size > 0").groupBy("idx", "block", "key").agg(F.sum("size").alias("same"))
+            .join(edges.select("idx", "block", "rest", "before"), ["idx", "block"]))  # one block a source
+    prior = F.sum("same").over(W.partitionBy("idx", "block").orderBy("key").rowsBetween(W.unboundedPreceding, W.currentRow)) - F.col("same")
+    last = (keys.withColumn("prior", prior).filter(2 * (F.col("rest") - F.col("before") - F.col("prior")) >= F.col("same"))
+            .groupBy("idx", "block").agg(F.max("key").alias("last")))
+    none = F.array().cast("array<struct<turn:bigint,shard:int>>")
+    at_edge = (F.col("before") + F.col("words") > F.col("rest")) & (F.col("extra") == 1)
+    plan = plan.join(last, ["idx", "block"], "left").select(
+        _place(F.col("idx"), F.col("block")).alias("place"), "full", at_edge.alias("edge"), "last", F.coalesce("turns", none).alias("turns"))
+
+    size = word_count(F.col("doc.text"))
+    key = F.xxhash64(F.lit(seed), "doc.doc_id", "doc.source", "doc.text")
+    rows = docs.select(F.struct(*docs.columns).alias("doc")).select(
+        "doc", size.alias("size"), key.alias("key"), F.col("doc.source").alias("source")).filter("size > 0")
+    rows = lookup(rows, src.select("source", "idx", "blocks"), "source")
+    block = F.pmod(F.xxhash64(F.lit(seed + 1), "key"), F.col("blocks"))
+    rows = lookup(rows.withColumn("place", _place(F.col("idx"), block)), plan, "place")
+    drawn = F.filter("turns", lambda t: (t["turn"] <= F.col("full")) | ~F.col("edge") | (F.col("key") <= F.col("last")))
+    rows = rows.select("doc", "key", F.explode(drawn).alias("t")).select(
+        "doc", F.col("t.shard").alias("shard"), F.xxhash64(F.lit(seed + 5), "t.shard", "t.turn", "key").alias("order"))
     # a shard is as many ranges of its order as its size needs
-    return (rows.repartitionByRange("__shard", "__order").sortWithinPartitions("__shard", "__order")
-            .select(*docs.columns))
+    return rows.repartitionByRange("shard", "order").sortWithinPartitions("shard", "order").select("doc.*")
+
+
+def _place(idx: Column, block: Column) -> Column:
+    """One number of a source's block."""
+    return F.shiftleft(idx.cast("long"), 32).bitwiseOR(block.cast("long"))
