@@ -91,26 +91,85 @@ def digamma_np(z) -> np.ndarray:
     return out
 
 
-def hyp2f1_numpy(a, b, c, z, max_terms: int = 200_000) -> np.ndarray:
-    """₂F₁(a, b; c; z) for |z| < 1 by its power series, summed until adding a
-    term no longer changes any sum in the batch."""
-    a, b, c, z = (np.asarray(v, dtype=float) for v in np.broadcast_arrays(a, b, c, z))
-    total = np.ones_like(z)
-    term = np.ones_like(z)
-    idx = np.arange(z.size)
-    j = 0
-    while idx.size and j < max_terms:
-        t = term[idx] * (a[idx] + j) * (b[idx] + j) / ((c[idx] + j) * (j + 1.0)) * z[idx]
-        new = total[idx] + t
-        moving = (new != total[idx]) & np.isfinite(new)
-        term[idx] = t
-        total[idx] = new
-        idx = idx[moving]
-        j += 1
-    total[idx] = np.nan  # still moving: no value rather than a wrong one
+#: Largest argument at which the power series is summed; beyond, it is continued.
+_SERIES_END = 0.5
+
+
+def _power_series(a, b, c, z, derivative: bool = False) -> np.ndarray:
+    """₂F₁ (or its derivative) by its series at |z| <= 0.5, where the terms
+    shrink by half in the end, however large the parameters."""
+    if derivative:
+        return a * b / c * _power_series(a + 1, b + 1, c + 1, z)
+    total, term = np.ones_like(z), np.ones_like(z)
+    idx, j = np.arange(z.size), 0
+    while idx.size:
+        ratio = (a[idx] + j) * (b[idx] + j) / ((c[idx] + j) * (j + 1.0)) * z[idx]
+        term[idx] = t = term[idx] * ratio
+        total[idx] = new = total[idx] + t
+        # past its largest term a series is over when a term no longer counts
+        moving = ((np.abs(t) > 1e-17 * np.abs(new)) | (np.abs(ratio) > 0.9)) & np.isfinite(new) & (t != 0)
+        idx, j = idx[moving], j + 1
     return total
 
 
+def _continued(a, b, c, z) -> np.ndarray:
+    """₂F₁ for 0.5 < z < 1: value and slope at 0.5, carried on by Taylor steps of
+    the hypergeometric equation, each of half the distance to 1.  About
+    log2(1 / (1 - z)) steps of some sixty terms."""
+    at = np.full_like(z, _SERIES_END)
+    w, slope = _power_series(a, b, c, at), _power_series(a, b, c, at, derivative=True)
+    idx = np.arange(z.size)
+    while idx.size:
+        x, h = at[idx], np.minimum(z[idx] - at[idx], 0.5 * (1.0 - at[idx]))
+        aa, bb, cc = a[idx], b[idx], c[idx]
+        # coefficients scaled by h^n, so that none overflows
+        p, q = w[idx], slope[idx] * h
+        value, rise, n = p + q, q.copy(), 0
+        quiet = 0
+        while quiet < 3 and n < 4000:
+            r = -(((1 - 2 * x) * n + cc - (aa + bb + 1) * x) * (n + 1) * q * h - (n + aa) * (n + bb) * p * h * h) / (
+                x * (1 - x) * (n + 2) * (n + 1))
+            value = value + r
+            rise = rise + (n + 2) * r
+            small = np.abs(r) * (n + 2) <= 1e-17 * np.maximum(np.abs(rise), np.abs(value))
+            quiet = quiet + 1 if np.all(small | ~np.isfinite(value)) else 0
+            p, q, n = q, r, n + 1
+        w[idx], slope[idx], at[idx] = value, rise / h, x + h
+        idx = idx[(at[idx] < z[idx]) & np.isfinite(w[idx])]
+    return w
+
+
+def hyp2f1_numpy(a, b, c, z) -> np.ndarray:
+    """₂F₁(a, b; c; z) for |z| < 1, c not a non-positive integer.
+
+    Where it grows towards z = 1 (c < a + b), Euler's transformation
+    (1 - z)^(c - a - b) ₂F₁(c - a, c - b; c; z) leaves a series that does not.
+    The power series is summed up to |z| = 0.5; Pfaff's transformation brings
+    z < -0.5 into that range and Taylor steps lead on to any z < 1, so the work
+    is bounded by the logarithm of the distance to 1.
+    """
+    a, b, c, z = (np.array(v, dtype=float) for v in np.broadcast_arrays(a, b, c, z))
+    shape = z.shape
+    a, b, c, z = (v.ravel() for v in (a, b, c, z))
+    out = np.full(z.size, np.nan)
+    fine = np.isfinite(a) & np.isfinite(b) & np.isfinite(c) & (np.abs(z) < 1)
+    with np.errstate(all="ignore"):
+        factor = np.ones_like(z)
+        left = fine & (z < -_SERIES_END)
+        factor[left] = (1 - z[left]) ** -a[left]
+        b = np.where(left, c - b, b)
+        z = np.where(left, z / (z - 1), z)
+        grows = fine & (c < a + b)
+        factor = np.where(grows, factor * (1 - z) ** (c - a - b), factor)
+        a, b = np.where(grows, c - a, a), np.where(grows, c - b, b)
+        near = fine & (z <= _SERIES_END)
+        out[near] = _power_series(a[near], b[near], c[near], z[near])
+        far = fine & (z > _SERIES_END)
+        out[far] = _continued(a[far], b[far], c[far], z[far])
+        out = out * factor
+    return np.where(np.isfinite(out), out, np.nan).reshape(shape)
+
+
 def _hyp2f1_batch(a: pd.Series, b: pd.Series, c: pd.Series, z: pd.Series) -> pd.Series:
     out = hyp2f1_numpy(a.to_numpy(float), b.to_numpy(float), c.to_numpy(float),
                        z.to_numpy(float))
@@ -119,7 +178,6 @@ def _hyp2f1_batch(a: pd.Series, b: pd.Series, c: pd.Series, z: pd.Series) -> pd.
 
 
 def hyp2f1(a: Column, b: Column, c: Column, z: Column) -> Column:
-    """₂F₁ over columns; NULL where an argument is, or where the series does
-    not settle.  The UDF is made at each use, so it belongs to the session
+    """₂F₁ over columns; NULL where an argument is, or outside |z| < 1.  The UDF is made at each use, so it belongs to the session
     that uses it."""
     return F.pandas_udf(_hyp2f1_batch, T.DoubleType())(a, b, c, z)

@@ -186,6 +186,7 @@ def target_customers(clv: DataFrame, clv_quantile: float = 0.75, max_p_alive: fl
     P(alive) below ``max_p_alive``, recent, repeat buyers, spend above the
     median.  Thresholds are computed over the whole table first (exact,
     distributed quantiles) and applied as scalar subqueries."""
+    clv = cut_lineage(clv)  # read for both thresholds and the selection
     clv_cut = exact_quantiles(clv, "clv_30d", {"q": clv_quantile}).select("q").scalar()
     m_cut = exact_quantiles(clv, "M", {"q": 0.5}).select("q").scalar()
     return clv.filter((F.col("clv_30d") > clv_cut) & (F.col("p_alive") < max_p_alive)
@@ -365,6 +366,28 @@ def fit_gamma_gamma(inputs: DataFrame, start=GG_START, max_iter: int = 200):
     return GammaGammaParams(**est), ll, it, ok
 
 
+def log_likelihood(data: DataFrame, params: BGNBDParams | GammaGammaParams) -> DataFrame:
+    """customers, log_likelihood of model inputs at given parameters, by the
+    likelihood that the fits maximise."""
+    if isinstance(params, BGNBDParams):
+        rows = data.groupBy("x", "t_x", "t_cal").agg(F.count(F.lit(1)).cast("double").alias("n"))
+        rows = rows.dropna()
+        cols, ll_grad = ["x", "t_x", "t_cal", "n"], _bgnbd_ll_grad
+    else:
+        rows = data.select("x", "m_x", F.lit(1.0).alias("n")).filter((F.col("x") > 0) & (F.col("m_x") > 0))
+        cols, ll_grad = ["x", "m_x"], _gg_ll_grad
+    theta = np.log(list(params.__dict__.values()))
+
+    def partials(batches):
+        for pdf in batches:
+            with np.errstate(all="ignore"):
+                value, _ = ll_grad(theta, *[pdf[c].to_numpy(dtype=float) for c in cols])
+            yield pd.DataFrame({"n": [pdf["n"].sum()], "ll": [value]})
+
+    return rows.mapInPandas(partials, "n double, ll double").agg(
+        F.coalesce(F.sum("n"), F.lit(0.0)).cast("long").alias("customers"), F.sum("ll").alias("log_likelihood"))
+
+
 def fit_result_frame(spark, params, ll: float, iterations: int, converged: bool) -> DataFrame:
     """One-row report of a fit (parameters, log-likelihood, iterations)."""
     row = {**params.__dict__, "log_likelihood": float(ll), "iterations": int(iterations),

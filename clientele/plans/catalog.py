@@ -17,8 +17,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clientele.operators import churn, cohort, features, segments
-from clientele.session import ensure_checkpoint_dir
+from clientele.operators import churn, cohort, features, lifetime, segments
+from clientele.session import cut_lineage, ensure_checkpoint_dir
 from clientele.sources import sinks
 from clientele.sources.transactions import transactions_from_tables
 
@@ -28,6 +28,7 @@ QUERIES: dict[str, Query] = {}
 # Parameter set used by the ``*_wide`` keys.
 WIDE_DECLINE_THRESHOLD = 1.00
 WIDE_SHARE_THRESHOLD = 0.30
+WIDE_AUDIENCE = {"clv_quantile": 0.5, "max_p_alive": 0.999, "max_recency": 2000.0}
 
 
 def query(name: str):
@@ -388,6 +389,37 @@ def q_target_customers(spark, sf):
     return _round(btyd.target_customers(_clv(spark, sf)[1]), _CLV_ROUND)
 
 
+@query("target_customers_wide")
+def q_target_customers_wide(spark, sf):
+    """The audience by wider thresholds, which select customers here."""
+    return _round(btyd.target_customers(_clv(spark, sf)[1], **WIDE_AUDIENCE), _CLV_ROUND)
+
+
+@query("p_alive_summary")
+def q_p_alive_summary(spark, sf):
+    s = churn.score_summary(_clv(spark, sf)[1].select("p_alive"), "p_alive")
+    return _round(s, ["min", "q1", "median", "mean", "q3", "max"])
+
+
+@query("bgnbd_log_likelihood")
+def q_bgnbd_log_likelihood(spark, sf):
+    found = btyd.log_likelihood(btyd.bgnbd_inputs(_lrfmpv(spark, sf)), btyd.CDNOW_BGNBD)
+    return found.withColumn("log_likelihood", F.round("log_likelihood", 4))
+
+
+@query("gg_log_likelihood")
+def q_gg_log_likelihood(spark, sf):
+    found = btyd.log_likelihood(btyd.gg_inputs(_lrfmpv(spark, sf)), btyd.CDNOW_GAMMA_GAMMA)
+    return found.withColumn("log_likelihood", F.round("log_likelihood", 4))
+
+
+@query("fitted_scores")
+def q_fitted_scores(spark, sf):
+    """CLV and churn score of every customer by models fitted to them (on this
+    uniform data the fit is degenerate and the audience empty)."""
+    return lifetime.fit_to_audience(cut_lineage(_lrfmpv(spark, sf)))[1]
+
+
 @query("clv_top10")
 def q_clv_top10(spark, sf):
     return _round(btyd.clv_top(_clv(spark, sf)[1], 10), _CLV_ROUND)

@@ -462,6 +462,32 @@ ORACLE.update({
         "clv_30d > (SELECT quantile_cont(clv_30d, 0.75) FROM clv) AND p_alive < 0.6 "
         "AND recency_days < 180 AND F >= 2 AND M > (SELECT quantile_cont(M, 0.5) FROM clv)) "
         + _r(_CLV_R, "tgt", _CLV_COLS),
+    "target_customers_wide": CLV_WITH + ", tgt AS (SELECT * FROM clv WHERE "
+        "clv_30d > (SELECT quantile_cont(clv_30d, 0.5) FROM clv) AND p_alive < 0.999 "
+        "AND recency_days < 2000 AND F >= 2 AND M > (SELECT quantile_cont(M, 0.5) FROM clv)) "
+        + _r(_CLV_R, "tgt", _CLV_COLS),
+    "p_alive_summary": CLV_WITH + """
+        SELECT round(min(p_alive), 9) AS min, round(quantile_cont(p_alive, 0.25), 9) AS q1,
+               round(quantile_cont(p_alive, 0.5), 9) AS median, round(avg(p_alive), 9) AS mean,
+               round(quantile_cont(p_alive, 0.75), 9) AS q3, round(max(p_alive), 9) AS max,
+               count(*) - count(p_alive) AS na_count
+        FROM clv""",
+    "bgnbd_log_likelihood": f"""WITH {TXN}, {APP}, {LRFMPV},
+        i AS (SELECT F - 1 AS x, CAST(L AS DOUBLE) AS t, CAST(L + R AS DOUBLE) AS tc FROM lrfmpv
+              WHERE F IS NOT NULL AND L IS NOT NULL AND R IS NOT NULL),
+        p AS (SELECT {_d(0.243)} AS r, {_d(4.414)} AS alpha, {_d(0.793)} AS a, {_d(2.426)} AS b),
+        l AS (SELECT lgamma(x + r) - lgamma(r) + lgamma(x + b) - lgamma(b) + lgamma(a + b) - lgamma(x + a + b)
+                     + r * ln(alpha) AS g, (x + r) * ln(tc + alpha) AS u, (x + r) * ln(t + alpha) AS w, x, a, b
+              FROM i CROSS JOIN p),
+        m AS (SELECT g - u AS la, CASE WHEN x > 0 THEN g + ln(a) - ln(x + b - 1) - w END AS lb FROM l)
+        SELECT count(*) AS customers, round(sum(CASE WHEN lb IS NULL THEN la
+               ELSE greatest(la, lb) + ln(1 + exp(-abs(la - lb))) END), 4) AS log_likelihood FROM m""",
+    "gg_log_likelihood": f"""WITH {TXN}, {APP}, {LRFMPV},
+        i AS (SELECT CAST(F - 1 AS DOUBLE) AS x, M / CAST(F AS DOUBLE) AS m FROM lrfmpv WHERE F - 1 > 0 AND M / CAST(F AS DOUBLE) > 0),
+        p AS (SELECT {_d(6.25)} AS p, {_d(3.74)} AS q, {_d(15.44)} AS g)
+        SELECT count(*) AS customers, round(sum(lgamma(p * x + q) - lgamma(p * x) - lgamma(q) + q * ln(g)
+               + (p * x - 1) * ln(m) + p * x * ln(x) - (p * x + q) * ln(g + m * x)), 4) AS log_likelihood
+        FROM i CROSS JOIN p""",
     "clv_top10": CLV_WITH + ", top AS (SELECT * FROM clv ORDER BY clv_30d DESC NULLS LAST, "
         "customer_id ASC NULLS LAST LIMIT 10) " + _r(_CLV_R, "top", _CLV_COLS),
     "churn_risk": CHURN + " " + _r(_CLV_R + ["p_alive_risk", "churn_score"], "churn", _CHURN_COLS),

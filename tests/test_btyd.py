@@ -111,3 +111,31 @@ def test_fused_clv_projection_equals_joined_tables(spark):
     a, b = joined.select(*cols), fused.select(*cols)
     assert a.count() == b.count() == lr.count()
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_hyp2f1_near_one_and_with_large_parameters():
+    """Closed forms to 1e-9 up to z = 1 - 1e-9, and sums of exact fractions."""
+    from fractions import Fraction
+    z = 1 - np.logspace(-0.1, -9, 60)
+    assert np.allclose(hyp2f1_numpy(1.0, 1.0, 2.0, z), -np.log1p(-z) / z, rtol=1e-9)
+    assert np.allclose(hyp2f1_numpy(2.5, 3.0, 3.0, z), (1 - z) ** -2.5, rtol=1e-6)
+    assert np.allclose(hyp2f1_numpy(0.5, 1.0, 1.5, z), (np.log1p(np.sqrt(z)) - np.log1p(-z) / 2) / np.sqrt(z), rtol=1e-9)
+    assert np.allclose(hyp2f1_numpy(0.5, 0.5, 1.5, z), (np.pi / 2 - np.arcsin(np.sqrt(1 - z))) / np.sqrt(z), rtol=1e-9)
+    assert np.allclose(hyp2f1_numpy(1.0, 2.0, 4.0, -z), hyp2f1_numpy(2.0, 1.0, 4.0, -z), rtol=1e-12)
+    assert np.allclose(hyp2f1_numpy(1.0, 1.0, 2.0, -z), np.log1p(z) / z, rtol=1e-12)
+
+    def exact(a, b, c, x, terms):
+        a, b, c, x = (Fraction(v) for v in (a, b, c, x))
+        total, term = Fraction(1), Fraction(1)
+        for j in range(terms):
+            term = term * (a + j) * (b + j) / ((c + j) * (j + 1)) * x
+            total += term
+            if term < total / 10 ** 20:
+                break
+        return float(total)
+
+    for a, b, c, x in ((0.25, 2.5, 3.25, 0.96875), (40.25, 42.5, 42.25, 0.75), (300.25, 302.5, 302.25, 0.5), (3.5, 2.25, 9.0, 0.875)):
+        assert np.allclose(hyp2f1_numpy(a, b, c, x), exact(a, b, c, x, 6000), rtol=1e-11)
+    # customers with thousands of purchases keep a value
+    big = hyp2f1_numpy(5000.25, 5002.5, 5002.3, np.array([0.01, 0.05]))
+    assert np.isfinite(big).all()
