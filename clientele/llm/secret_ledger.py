@@ -1,22 +1,27 @@
 """Secret scans with an incremental blob ledger.
 
 Method.  Every version of every path is content-addressed (SHA-256 of its
-text).  The ledger holds the (blob, rule version) pairs that were scanned; a
-scan reads each unseen blob once for the rule versions not yet run on it, and
-findings are joined back to all paths and versions that hold the blob.
+text).  The ledger keeps the (blob, rule version) pairs that were scanned with
+the spans found, as Parquet batches in a shared folder.  An update scans each
+unseen blob once, for the rule versions not yet run on it, and appends one
+batch; the findings of all batches are joined back to all paths and versions
+that hold the blob.
 Everything on the data path is a DataFrame expression: matches come from
 ``regexp_extract_all`` and their positions from the lengths of the gaps that
 ``split`` leaves between them.
 
 Defined cases: null text counts as empty; an empty table gives no rows;
-repeated rows are all reported; extra columns are ignored.
+repeated rows are all reported, and so are rows of one path with several texts
+or of a null path; ties of spans go by start, then by the order of the rules;
+texts of any length are scanned whole; extra columns are ignored.
 """
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -101,29 +106,105 @@ def versions(docs: DataFrame, path: str = "doc_id") -> DataFrame:
 
 def scan(history: DataFrame, ledger: DataFrame | None = None,
          rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """Findings per unseen blob: blob, spans (only blobs with any).
+    """Findings per blob and the rules not yet run on it: blob, spans (only
+    blobs with any).
 
     ``history`` has blob and text (see ``versions``), ``ledger`` the (blob,
     rule) pairs of earlier scans.  Copies of a blob collapse on the map side.
     """
+    return _found(_due(history, ledger, rules), rules)
+
+
+def _due(history: DataFrame, ledger: DataFrame | None, rules: tuple[Rule, ...]) -> DataFrame:
+    """blob, text, todo: the rules of ``rules`` that each blob still needs."""
     blobs = history.select("blob", "text").distinct()
     wanted = F.array(*[F.lit(r.key) for r in rules])
-    if ledger is not None:
-        seen = ledger.groupBy("blob").agg(F.collect_set("rule").alias("seen"))
-        blobs = (blobs.join(seen, "blob", "left")
-                 .withColumn("todo", F.array_except(wanted, F.coalesce("seen", F.array().cast("array<string>"))))
-                 .filter(F.size("todo") > 0))
-    else:
-        blobs = blobs.withColumn("todo", wanted)
+    if ledger is None:
+        return blobs.withColumn("todo", wanted)
+    seen = ledger.groupBy("blob").agg(F.collect_set("rule").alias("seen"))
+    return (blobs.join(seen, "blob", "left")
+            .withColumn("todo", F.array_except(wanted, F.coalesce("seen", F.array().cast("array<string>"))))
+            .filter(F.size("todo") > 0).select("blob", "text", "todo"))
+
+
+def _found(due: DataFrame, rules: tuple[Rule, ...]) -> DataFrame:
     text = F.col("text")
     none = F.array().cast(f"array<{SPAN}>")
-    hits = blobs.withColumns({
+    hits = due.withColumns({
         f"may_{i}": F.array_contains("todo", r.key) & _may_match(text, r) for i, r in enumerate(rules)})
     hits = hits.filter(" or ".join(f"may_{i}" for i in range(len(rules))))
     found = [F.when(F.col(f"may_{i}"), _spans(text, r, i)).otherwise(none) for i, r in enumerate(rules)]
     return hits.select("blob", F.concat(*found).alias("spans")).filter(F.size("spans") > 0)
 
 
+#: One row for each blob and rule version that was scanned; spans is empty where
+#: nothing was found.
+LEDGER_SCHEMA = "blob string, rule string, spans array<struct<from:bigint,to:bigint>>"
+
+
+class Ledger:
+    """The kept ledger: Parquet files in a shared folder, one batch a scan.
+
+    A batch is a folder of its own, written by Spark's committer and read only
+    once its success file is there, so a scan that fails leaves no trace and
+    is simply run again.  Batches are never changed.
+    """
+
+    def __init__(self, spark: SparkSession, path: str) -> None:
+        self.spark, self.path = spark, path
+
+    def _fs(self):
+        at = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
+        return at.getFileSystem(self.spark._jsc.hadoopConfiguration()), at
+
+    def batches(self) -> list[str]:
+        fs, at = self._fs()
+        if not fs.exists(at):
+            return []
+        found = sorted(str(f.getPath()) for f in fs.listStatus(at))
+        return [f for f in found if fs.exists(self.spark._jvm.org.apache.hadoop.fs.Path(f, "_SUCCESS"))]
+
+    def read(self) -> DataFrame:
+        """Every (blob, rule) pair scanned so far with its spans, once each (two
+        scans at a time may both have written a pair)."""
+        return self._rows().dropDuplicates(["blob", "rule"])
+
+    def _rows(self) -> DataFrame:
+        paths = self.batches()
+        if not paths:
+            return self.spark.createDataFrame([], LEDGER_SCHEMA)
+        return self.spark.read.schema(LEDGER_SCHEMA).parquet(*paths)
+
+    def update(self, history: DataFrame, rules: tuple[Rule, ...] = RULES) -> str | None:
+        """Scan the unseen pairs of blobs and rule versions and append them in
+        one batch; its folder, or None if there was nothing to scan."""
+        paths = self.batches()
+        due = _due(history, self.read().select("blob", "rule") if paths else None, rules)
+        spans = [F.when(F.array_contains("todo", r.key) & _may_match(F.col("text"), r), _spans(F.col("text"), r, i))
+                 .otherwise(F.array().cast(f"array<{SPAN}>")) for i, r in enumerate(rules)]
+        each = F.filter(F.array(*[F.struct(F.lit(r.key).alias("rule"), F.transform(s, lambda x: F.struct(
+            x["from"].alias("from"), x["to"].alias("to"))).alias("spans")) for r, s in zip(rules, spans)]),
+            lambda e: F.array_contains("todo", e["rule"]))
+        batch = f"{self.path.rstrip('/')}/batch-{len(paths):06d}-{uuid.uuid4().hex}"
+        due.select("blob", F.explode(each).alias("e")).select("blob", "e.rule", "e.spans").write.parquet(batch)
+        if self.spark.read.schema(LEDGER_SCHEMA).parquet(batch).limit(1).count():
+            return batch
+        at = self.spark._jvm.org.apache.hadoop.fs.Path(batch)
+        self._fs()[0].delete(at, True)  # an empty batch of this call
+        return None
+
+    def findings(self, rules: tuple[Rule, ...] = RULES) -> DataFrame:
+        """blob, spans of the blobs with any, by the current rule versions, in
+        the form of ``scan``."""
+        rank = F.create_map(*[F.lit(x) for i, r in enumerate(rules) for x in (r.key, F.struct(
+            F.lit(i).alias("rank"), F.lit(r.kind).alias("kind")))])
+        own = (self._rows().filter(F.col("rule").isin([r.key for r in rules]) & (F.size("spans") > 0))
+               .dropDuplicates(["blob", "rule"]).withColumn("at", rank[F.col("rule")])
+               .select("blob", F.transform("spans", lambda s: F.struct(
+                   F.col("at.rank").alias("rank"), F.col("at.kind").alias("kind"), s["from"].alias("from"), s["to"].alias("to"))).alias("spans")))
+        return own.groupBy("blob").agg(F.flatten(F.collect_list("spans")).alias("spans"))  # one list a rule
+
+
 def findings(history: DataFrame, found: DataFrame) -> DataFrame:
     """Findings joined back to all paths: path, blob, spans (empty if none)."""
     return (history.select("path", "blob").join(found, "blob", "left")
