@@ -3,19 +3,28 @@
 Method.  Rules decide the urls they fit; those urls, and any labels given, are
 the labelled examples of a template tree that judges the rest.  Per host, path
 segments become typed tokens (numbers, hashes, dates), then the tree is walked
-level by level: a node with many children of few urls each becomes a wildcard,
-and sibling branches whose label rate and continuation are statistically alike
-merge into one.  A template is rejected when its labelled purity, smoothed by
-one good and one bad example, falls under ``least_purity``; a template without
-labels has purity 1/2 and is allowed.
+level by level.  A node most of whose urls have a child of their own gets one
+wildcard child.  Other siblings merge when they are statistically alike: the
+two-proportion test finds no difference between a branch and the rest of its
+parent in how often it ends there and how often it goes on with a variable
+segment, and none in the labels it has.  A branch without labels has none that
+could differ, so it merges with labelled siblings of its shape.
+
+A template's purity is its share of good labels, smoothed towards the purity of
+its parent as if that were ``SMOOTHING`` further labels; the parent's is
+smoothed towards its own parent's, up to the host and the whole table.  A
+template is rejected when its purity falls under ``least_purity``, so one
+without labels goes the way of its surroundings.
 
 Urls are first counted by (host, typed path), so the tree is built from a
 table that numeric ids do not grow and a hot host reaches each reducer as
 partial counts.
 
 Defined cases: a null url, or one without ``://``, has empty host and path, no
-rule, and is allowed; an empty path fits no rule; repeated rows are all
-reported; an empty table gives an empty result; extra columns are ignored.
+rule, and is judged by the labels of the whole table; an empty path fits no
+rule; repeated rows are all reported; urls of any length are read whole, what is
+deeper than ``DEPTH`` segments as one segment; an empty table gives an empty
+result; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -23,7 +32,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clientele.llm.common import lower_ascii, staged
+from clientele.llm.common import discard, lower_ascii, staged
 
 # The rules of the contract, as (verdict, host and path).
 RULES = (
@@ -37,9 +46,11 @@ RULES = (
 DEPTH = 3
 #: Smallest purity of a template that is not rejected.
 LEAST_PURITY = 0.3
-#: Children beyond which a node may become a wildcard, and its urls a child.
-WILD_CHILDREN, WILD_URLS_PER_CHILD = 20, 4.0
-#: Standard errors by which a branch's label rate must differ to stand alone.
+#: Labels that a parent's purity counts for.
+SMOOTHING = 2.0
+#: Distinct children a url, and the least urls, from which a node gets a wildcard.
+WILD_RATE, WILD_URLS = 0.5, 4
+#: Standard errors by which a branch must differ from its siblings to stand alone.
 SIGMAS = 2.0
 
 
@@ -82,46 +93,73 @@ def segments(path: Column, depth: int = DEPTH) -> Column:
                        .otherwise(parts), _typed)
 
 
-def template_tree(shapes: DataFrame, depth: int = DEPTH, wild_children: int = WILD_CHILDREN,
-                  wild_urls: float = WILD_URLS_PER_CHILD, sigmas: float = SIGMAS) -> DataFrame:
-    """host, segs, template, purity inputs from (host, segs, n, lab, bad) rows.
+def _differs(hits: Column, of: Column, all_hits: Column, all_of: Column, sigmas: float) -> Column:
+    """-1, 0 or 1: whether a part's rate is lower, alike or higher than that of
+    the rest, by the two-proportion z test with one hit and one miss added."""
+    rest_hits, rest = all_hits - hits, all_of - of
+    pooled = (all_hits + 1) / (all_of + 2)
+    error = F.sqrt(pooled * (1 - pooled) * (1 / F.greatest(of, F.lit(1)) + 1 / F.greatest(rest, F.lit(1))))
+    z = (hits / F.greatest(of, F.lit(1)) - rest_hits / F.greatest(rest, F.lit(1))) / error
+    return F.when((of == 0) | (rest == 0), F.lit(0)).when(z > sigmas, F.lit(1)).when(z < -sigmas, F.lit(-1)).otherwise(F.lit(0))
+
+
+def template_tree(shapes: DataFrame, depth: int = DEPTH, wild_rate: float = WILD_RATE,
+                  wild_urls: int = WILD_URLS, sigmas: float = SIGMAS) -> DataFrame:
+    """The shapes (host, segs, n, lab, bad) with ``steps``, their template's
+    tokens from the host down.
 
     One level a step; statistics are sums per (host, prefix, child), so hot
     hosts combine before the shuffle.
     """
-    tree = shapes.withColumn("prefix", F.lit(""))
+    tree = shapes.withColumn("steps", F.array().cast("array<string>"))
     for d in range(depth + 1):
         seg, nxt = F.get("segs", F.lit(d)), F.get("segs", F.lit(d + 1))
         level = tree.withColumn("seg", seg)
-        child = (level.filter(F.col("seg").isNotNull()).groupBy("host", "prefix", "seg")
-                 .agg(F.sum("n").alias("n"), F.sum("lab").alias("lab"), F.sum("bad").alias("bad"),
-                      F.sum(F.when(nxt.isNull(), F.col("n")).otherwise(0)).alias("ends"),
-                      F.sum(F.when(nxt.contains("<"), F.col("n")).otherwise(0)).alias("vars")))
-        child = staged(child)
-        parent = (child.groupBy("host", "prefix").agg(
-            F.count("*").alias("children"), F.sum("n").alias("all_n"),
-            F.sum("lab").alias("all_lab"), F.sum("bad").alias("all_bad")))
-        both = child.join(parent, ["host", "prefix"])
-        rate = F.col("all_bad") / F.greatest("all_lab", F.lit(1))
-        error = F.sqrt(F.greatest(rate * (1 - rate), F.lit(1e-4)) / F.greatest("lab", F.lit(1)))
-        gap = (F.col("bad") / F.greatest("lab", F.lit(1)) - rate) / error
-        label = (F.when(F.col("lab") == 0, "?").when(gap > sigmas, "+").when(gap < -sigmas, "-").otherwise("="))
-        shape = F.concat(F.round(4 * F.col("ends") / F.col("n")).cast("int").cast("string"),
-                         F.round(4 * F.col("vars") / F.col("n")).cast("int").cast("string"))
-        wild = ((F.col("children") >= wild_children)
-                & (F.col("all_n") / F.col("children") <= wild_urls))
-        both = both.withColumn("alike", F.when(wild, F.lit("*")).otherwise(F.concat(F.lit("~"), label, shape)))
+        child = staged(level.filter(F.col("seg").isNotNull()).groupBy("host", "steps", "seg")
+                       .agg(F.sum("n").alias("n"), F.sum("lab").alias("lab"), F.sum("bad").alias("bad"),
+                            F.sum(F.when(nxt.isNull(), F.col("n")).otherwise(0)).alias("ends"),
+                            F.sum(F.when(nxt.contains("<"), F.col("n")).otherwise(0)).alias("vars")))
+        parent = child.groupBy("host", "steps").agg(
+            F.count("*").alias("children"), *[F.sum(c).alias(f"all_{c}") for c in ("n", "lab", "bad", "ends", "vars")])
+        both = child.join(parent, ["host", "steps"])
+        wild = (F.col("all_n") >= wild_urls) & (F.col("children") > F.col("all_n") * F.lit(wild_rate)) & (F.col("children") > 1)
+        kind = F.concat_ws("", *[F.element_at(F.array(F.lit("-"), F.lit("="), F.lit("+")), _differs(
+            F.col(h), F.col(o), F.col(f"all_{h}"), F.col(f"all_{o}"), sigmas) + 2)
+            for h, o in (("bad", "lab"), ("ends", "n"), ("vars", "n"))])
+        both = both.withColumn("alike", F.when(wild, F.lit("*")).otherwise(F.concat(F.lit("~"), kind)))
         # a hot node's classes are few: counted with partial sums, joined back
-        kinds = both.groupBy("host", "prefix", "alike").agg(F.count("*").alias("members"))
-        step = (both.join(kinds, ["host", "prefix", "alike"])
-                .select("host", "prefix", "seg",
+        kinds = both.groupBy("host", "steps", "alike").agg(F.count("*").alias("members"))
+        step = (both.join(kinds, ["host", "steps", "alike"])
+                .select("host", "steps", "seg",
                         F.when((F.col("alike") == "*") | (F.col("members") > 1), F.col("alike"))
                         .otherwise(F.col("seg")).alias("token")))
-        tree = staged(level.join(step, ["host", "prefix", "seg"], "left")
-                      .withColumn("prefix", F.when(F.col("token").isNull(), F.col("prefix"))
-                                  .otherwise(F.concat("prefix", F.lit("/"), "token")))
+        tree = staged(level.join(step, ["host", "steps", "seg"], "left")
+                      .withColumn("steps", F.when(F.col("token").isNull(), F.col("steps"))
+                                  .otherwise(F.concat("steps", F.array("token"))))
                       .drop("seg", "token"))
-    return tree.withColumnRenamed("prefix", "template")
+        discard(child)
+    return tree
+
+
+def purities(tree: DataFrame, depth: int = DEPTH, smoothing: float = SMOOTHING) -> DataFrame:
+    """host, steps, purity of every template of a tree.
+
+    The labels below every node of the tree are summed once; a template's purity
+    is then worked out along its path, from the whole table down.
+    """
+    nodes = staged(tree.filter("lab > 0").select("host", "lab", "bad", F.explode(F.transform(
+        F.sequence(F.lit(0), F.size("steps")), lambda i: F.slice("steps", 1, i))).alias("steps"))
+        .groupBy("host", "steps").agg(F.sum("lab").alias("lab"), F.sum("bad").alias("bad")))
+    root = nodes.filter(F.size("steps") == 0).agg(F.sum("lab"), F.sum("bad")).first()
+    start = ((root[0] or 0) - (root[1] or 0) + smoothing / 2) / ((root[0] or 0) + smoothing)
+    found = tree.select("host", "steps").distinct().withColumn("purity", F.lit(float(start)))
+    for d in range(depth + 2):
+        node = nodes.filter(F.size("steps") == d).withColumnRenamed("steps", "node")
+        found = found.withColumn("node", F.when(F.size("steps") >= d, F.slice("steps", 1, d))).join(node, ["host", "node"], "left")
+        good = F.coalesce(F.col("lab") - F.col("bad"), F.lit(0))
+        found = found.withColumn("purity", (good + F.lit(smoothing) * F.col("purity")) / (F.coalesce("lab", F.lit(0)) + F.lit(smoothing))
+                                 ).drop("node", "lab", "bad")
+    return found
 
 
 def judge(pages: DataFrame, labels: DataFrame | None = None, rules=RULES, depth: int = DEPTH,
@@ -144,9 +182,8 @@ def judge(pages: DataFrame, labels: DataFrame | None = None, rules=RULES, depth:
         F.coalesce(F.sum("bad"), F.lit(0)).alias("bad")))
     tree = template_tree(shapes, depth)
     # segs holds the deepest level, so the same typed path has one template
-    totals = tree.groupBy("host", "template").agg(F.sum("lab").alias("lab"), F.sum("bad").alias("bad"))
-    scored = (tree.select("host", "segs", "template").join(totals, ["host", "template"])
-              .withColumn("purity", (F.col("lab") - F.col("bad") + 1) / (F.col("lab") + 2)))
+    scored = tree.select("host", "segs", "steps").join(purities(tree, depth), ["host", "steps"]).select(
+        "host", "segs", F.concat(F.lit("/"), F.array_join("steps", "/")).alias("template"), "purity")
     # AQE splits a hot host's shape: both sides of this join are its own shuffles
     out = urls.join(scored, ["host", "segs"], "left")
     verdict = F.when(F.col("fit").isNotNull(), F.col("fit.verdict")).when(
