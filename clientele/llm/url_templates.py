@@ -12,17 +12,18 @@ could differ, so it merges with labelled siblings of its shape.
 
 A template's purity is its share of good labels, smoothed towards the purity of
 its parent as if that were ``SMOOTHING`` further labels; the parent's is
-smoothed towards its own parent's, up to the host and the whole table.  A
+smoothed towards its own parent's, up to the host, whose own is smoothed towards
+1/2: labels of other hosts, which rules mostly block, are no evidence.  A
 template is rejected when its purity falls under ``least_purity``, so one
-without labels goes the way of its surroundings.
+without labels goes the way of its surroundings, and a host without any is
+allowed.
 
 Urls are first counted by (host, typed path), so the tree is built from a
 table that numeric ids do not grow and a hot host reaches each reducer as
 partial counts.
 
 Defined cases: a null url, or one without ``://``, has empty host and path, no
-rule, and is judged by the labels of the whole table; an empty path fits no
-rule; repeated rows are all reported; urls of any length are read whole, what is
+rule, and is allowed; an empty path fits no rule; repeated rows are all reported; urls of any length are read whole, what is
 deeper than ``DEPTH`` segments as one segment; an empty table gives an empty
 result; extra columns are ignored.
 """
@@ -145,14 +146,12 @@ def purities(tree: DataFrame, depth: int = DEPTH, smoothing: float = SMOOTHING)
     """host, steps, purity of every template of a tree.
 
     The labels below every node of the tree are summed once; a template's purity
-    is then worked out along its path, from the whole table down.
+    is then worked out along its path, from the host down.
     """
     nodes = staged(tree.filter("lab > 0").select("host", "lab", "bad", F.explode(F.transform(
         F.sequence(F.lit(0), F.size("steps")), lambda i: F.slice("steps", 1, i))).alias("steps"))
         .groupBy("host", "steps").agg(F.sum("lab").alias("lab"), F.sum("bad").alias("bad")))
-    root = nodes.filter(F.size("steps") == 0).agg(F.sum("lab"), F.sum("bad")).first()
-    start = ((root[0] or 0) - (root[1] or 0) + smoothing / 2) / ((root[0] or 0) + smoothing)
-    found = tree.select("host", "steps").distinct().withColumn("purity", F.lit(float(start)))
+    found = tree.select("host", "steps").distinct().withColumn("purity", F.lit(0.5))
     for d in range(depth + 2):
         node = nodes.filter(F.size("steps") == d).withColumnRenamed("steps", "node")
         found = found.withColumn("node", F.when(F.size("steps") >= d, F.slice("steps", 1, d))).join(node, ["host", "node"], "left")
