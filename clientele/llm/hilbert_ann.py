@@ -18,7 +18,8 @@ grow with the input; a wide window spans several blocks.
 
 Defined cases: vectors that are null, of another length than most, zero, or
 hold null or non-finite components take no part; repeated ids are separate
-rows of one id; fewer candidates than ``k`` are all returned; an empty table
+rows, each asked and found by itself, so a query_id may come twice and find its
+other row; ties go to the smaller vec_id; fewer candidates than ``k`` are all returned; an empty table
 gives an empty result; extra columns are ignored.
 """
 
@@ -72,13 +73,14 @@ def hilbert_keys(cells: np.ndarray, bits: int) -> np.ndarray:
 
 
 def usable(vectors: DataFrame, key: str = "vec_id", column: str = "embedding") -> DataFrame:
-    """vec_id, v: rows whose vector takes part."""
+    """row, vec_id, v: rows whose vector takes part, written, which numbers them."""
     v = F.col(column).cast("array<double>")
     fine = (v.isNotNull() & ~F.exists(v, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
             & F.exists(v, lambda x: x != 0))
     rows = vectors.select(F.col(key).cast("long").alias("vec_id"), v.alias("v")).filter(fine & F.col("vec_id").isNotNull())
     lengths = rows.groupBy(F.size("v").alias("n")).count().orderBy(F.col("count").desc(), "n").limit(1).collect()
-    return rows.filter(F.size("v") == (lengths[0][0] if lengths else 0))
+    fit = rows.filter(F.size("v") == (lengths[0][0] if lengths else 0))
+    return staged(fit.withColumn("row", F.monotonically_increasing_id()))
 
 
 def _matrix(column) -> np.ndarray:
@@ -225,12 +227,12 @@ def search(vectors: DataFrame, k: int = 20, every: int = 20, curves: int = CURVE
     """query_id, rank, vec_id, score: the k nearest found of each query row
     (vec_id divisible by ``every``)."""
     rows = usable(vectors)
-    order = W.partitionBy("v").orderBy("vec_id")
-    # the group limit runs before the shuffle: a hot vector moves k + 1 ids a task
+    order = W.partitionBy("v").orderBy("vec_id", "row")
+    # the group limit runs before the shuffle: a hot vector moves k + 1 rows a task
     smallest = rows.withColumn("rk", F.row_number().over(order)).filter(F.col("rk") <= k + 1)
-    points = staged(smallest.groupBy("v").agg(F.array_sort(F.collect_list("vec_id")).alias("ids"))
-                    .select(F.get("ids", F.lit(0)).alias("id"), "ids", "v"))
-    asked = rows.filter(F.col("vec_id") % every == 0).join(points.select("v", "id"), "v").select("vec_id", "id")
+    points = staged(smallest.groupBy("v").agg(F.array_sort(F.collect_list(F.struct("vec_id", "row"))).alias("ids"))
+                    .select(F.get("ids", F.lit(0))["row"].alias("id"), "ids", "v"))
+    asked = rows.filter(F.col("vec_id") % every == 0).join(points.select("v", "id"), "v").select("vec_id", "row", "id")
     asked = staged(asked)
     vectors_asked = staged(points.join(asked.select("id").distinct(), "id", "left_semi").select("id", "v"))
     moments = _moments(points)
@@ -276,13 +278,16 @@ def search(vectors: DataFrame, k: int = 20, every: int = 20, curves: int = CURVE
              .groupBy("id", F.col("p.near").alias("near")).agg(F.max("p.score").alias("score")))
     few = W.partitionBy("id").orderBy(F.col("score").desc(), "near")
     best = pairs.withColumn("rk", F.row_number().over(few)).filter(F.col("rk") <= k + 1)
-    copies = points.select(F.col("id").alias("near"), "ids")
-    wide = best.join(copies, "near").select("id", "score", F.explode("ids").alias("vec_id"))
-    first = W.partitionBy("id").orderBy(F.col("score").desc(), "vec_id")
+    copies = points.select(F.col("id").alias("near"), "ids", F.col("v").alias("near_v"))
+    # the score that is returned: products added in the order of the components
+    found = (best.select("id", "near").join(copies, "near").join(vectors_asked, "id")
+             .withColumn("score", F.aggregate(F.zip_with("v", "near_v", lambda x, y: x * y), F.lit(0.0), lambda t, x: t + x)))
+    wide = found.select("id", "score", F.explode("ids").alias("one")).select("id", "score", "one.vec_id", "one.row")
+    first = W.partitionBy("id").orderBy(F.col("score").desc(), "vec_id", "row")
     top = wide.withColumn("rk", F.row_number().over(first)).filter(F.col("rk") <= k + 1)
-    lists = top.groupBy("id").agg(F.array_sort(F.collect_list(F.struct("rk", "vec_id", "score"))).alias("near"))
-    own = asked.select(F.col("vec_id").alias("query_id"), "id").join(lists, "id")
-    kept = F.slice(F.filter("near", lambda n: n["vec_id"] != F.col("query_id")), 1, k)
+    lists = top.groupBy("id").agg(F.array_sort(F.collect_list(F.struct("rk", "vec_id", "row", "score"))).alias("near"))
+    own = asked.select(F.col("vec_id").alias("query_id"), "row", "id").join(lists, "id")
+    kept = F.slice(F.filter("near", lambda n: n["row"] != F.col("row")), 1, k)
     return (own.select("query_id", F.posexplode(kept).alias("pos", "n"))
             .select("query_id", (F.col("pos") + 1).alias("rank"), F.col("n.vec_id").alias("vec_id"),
                     F.col("n.score").alias("score")))
