@@ -11,7 +11,6 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-import os
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -38,15 +37,23 @@ def query(name: str):
     return register
 
 
-_STAGED: dict[tuple, tuple[str, bool]] = {}
+_STAGED: dict[tuple, tuple[str, bool, tuple]] = {}
 
 
-def _source_stamp(sf_dir: str) -> tuple:
+def _source_stamp(spark: SparkSession, sf_dir: str) -> tuple:
+    """Name, length and modification time of every file of the source tables, as
+    the file system that Spark reads them from tells."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
     stamp = []
     for t in ("lineitem", "orders", "part"):
-        p = os.path.join(sf_dir, f"{t}.parquet")
-        stamp.append(os.path.getmtime(p) if os.path.exists(p) else None)
-    return tuple(stamp)
+        at = jvm.org.apache.hadoop.fs.Path(f"{sf_dir}/{t}.parquet")
+        fs = at.getFileSystem(conf)
+        if fs.exists(at):
+            files = fs.listFiles(at, True)
+            while files.hasNext():
+                f = files.next()
+                stamp.append((str(f.getPath()), f.getLen(), f.getModificationTime()))
+    return tuple(sorted(stamp))
 
 
 def staged_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -59,8 +66,13 @@ def staged_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _staged(spark: SparkSession, sf_dir: str) -> tuple[str, bool]:
-    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir), _source_stamp(sf_dir))
-    if key not in _STAGED:
+    key = (spark.sparkContext.applicationId, sf_dir)
+    stamp = _source_stamp(spark, sf_dir)
+    if key not in _STAGED or _STAGED[key][2] != stamp:
+        stale = _STAGED.pop(key, None)
+        if stale:  # its sources have changed: nothing new reads it
+            at = spark._jvm.org.apache.hadoop.fs.Path(stale[0])
+            at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
         base = ensure_checkpoint_dir(spark).rstrip("/")
         path = f"{base}/staged-transactions-{uuid.uuid4().hex}"
         sinks.stage_transactions(transactions_from_tables(spark, sf_dir), path)
@@ -68,8 +80,8 @@ def _staged(spark: SparkSession, sf_dir: str) -> tuple[str, bool]:
         # NULL are skipped, so this costs a footer read per file
         has_null = spark.read.parquet(path).filter(F.col("customer_id").isNull()).limit(1) \
             .count() > 0
-        _STAGED[key] = (path, has_null)
-    return _STAGED[key]
+        _STAGED[key] = (path, has_null, stamp)
+    return _STAGED[key][:2]
 
 
 def null_customer_keys(spark: SparkSession, sf_dir: str) -> bool:

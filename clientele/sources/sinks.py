@@ -7,7 +7,12 @@ the driver or a single partition.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from clientele.session import cut_lineage
 
 
 def write_report(df: DataFrame, path: str, mode: str = "overwrite") -> None:
@@ -21,15 +26,38 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
 
 
 def export_audiences(df: DataFrame, path: str, segment_col: str = "segment",
-                     fmt: str = "csv", mode: str = "overwrite") -> None:
+                     fmt: str = "csv", replace_all: bool = False) -> str:
     """One folder per segment value (``segment=<value>/part-*.csv``), ready
-    for a CRM import.  A rebalance by segment keeps small segments in one file
-    and lets adaptive execution split a large one over several tasks."""
-    writer = (df.hint("rebalance", segment_col).write.mode(mode).partitionBy(segment_col))
+    for a CRM import; returns the run's id in the manifest.
+
+    Only the folders of segments that ``df`` holds are replaced (dynamic
+    partition overwrite), so a run for one segment leaves the others as they
+    are; ``replace_all`` deletes those as well.  A rebalance by segment keeps
+    small segments in one file and lets adaptive execution split a large one
+    over several tasks.  ``read_manifest`` tells what every run wrote.
+    """
+    df = cut_lineage(df)  # written and counted: the same rows
+    run = uuid.uuid4().hex
+    writer = (df.hint("rebalance", segment_col).write.mode("overwrite").partitionBy(segment_col)
+              .option("partitionOverwriteMode", "static" if replace_all else "dynamic"))
     if fmt == "csv":
         writer.option("header", True).csv(path)
     else:
         writer.format(fmt).save(path)
+    (df.groupBy(F.col(segment_col).cast("string").alias("segment")).agg(F.count(F.lit(1)).alias("customers"))
+     .select(F.lit(run).alias("run"), F.current_timestamp().alias("written_at"), F.lit(replace_all).alias("replaced_all"),
+             "segment", "customers")
+     .write.mode("append").parquet(_manifest(path)))
+    return run
+
+
+def _manifest(path: str) -> str:
+    return f"{path.rstrip('/')}/_manifest"  # readers of the audiences skip names with an underscore
+
+
+def read_manifest(spark: SparkSession, path: str) -> DataFrame:
+    """run, written_at, replaced_all, segment, customers of every export."""
+    return spark.read.parquet(_manifest(path))
 
 
 def stage_transactions(df: DataFrame, path: str, mode: str = "overwrite",

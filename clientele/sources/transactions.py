@@ -34,6 +34,16 @@ def _parse_integral(c: Column, kind: T.DataType) -> Column:
     return F.coalesce(c.try_cast(kind), F.when(number == F.floor(number), number).try_cast(kind))
 
 
+def _typed_cell(col: Column, kind: T.DataType) -> Column:
+    if isinstance(kind, T.DateType):
+        return _parse_date(col)
+    if isinstance(kind, T.StringType):
+        return col
+    if isinstance(kind, (T.LongType, T.IntegerType)):
+        return _parse_integral(col, kind)
+    return col.try_cast(kind)
+
+
 def clean_transactions(raw: DataFrame) -> DataFrame:
     """Type a text-typed transactions frame (one projection, no shuffle)."""
     exprs = []
@@ -44,12 +54,8 @@ def clean_transactions(raw: DataFrame) -> DataFrame:
         if isinstance(field.dataType, T.DateType):
             src_type = raw.schema[field.name].dataType
             typed = col.cast("date") if not isinstance(src_type, T.StringType) else _parse_date(col)
-        elif isinstance(field.dataType, T.StringType):
-            typed = col
-        elif isinstance(field.dataType, (T.LongType, T.IntegerType)):
-            typed = _parse_integral(col, field.dataType)
         else:
-            typed = col.try_cast(field.dataType)
+            typed = _typed_cell(col, field.dataType)
         exprs.append(typed.alias(field.name))
     return raw.select(*exprs)
 
@@ -70,6 +76,30 @@ def read_transactions_csv(spark: SparkSession, path: str) -> DataFrame:
     return clean_transactions(raw.select(*known))
 
 
+def csv_rejects(spark: SparkSession, path: str) -> DataFrame:
+    """file, column, value of every cell that ``read_transactions_csv`` turns
+    into NULL although it holds something, and (column NULL) the text of every
+    line with too few or too many cells.  One scan, no shuffle."""
+    text = spark.read.option("header", True).option("nullValue", "NA")
+    names = text.csv(path).columns
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in [*names, "_line"]])
+    raw = (text.option("mode", "PERMISSIVE").option("columnPruning", False).option("columnNameOfCorruptRecord", "_line").schema(schema).csv(path)
+           .select("*", F.col("_metadata.file_path").alias("_file")))
+    typed = [f.name for f in TRANSACTION_SCHEMA.fields if f.name in names and not isinstance(f.dataType, T.StringType)]
+    cleaned = raw.select("_file", "_line", *[F.col(c).alias(f"_raw_{c}") for c in typed], *[c for c in names if c in _RAW_SCHEMA.fieldNames()])
+    known = {e.name: e.dataType for e in TRANSACTION_SCHEMA.fields}
+    cells = [F.when((F.trim(F.col(f"_raw_{c}")) != "") & _typed_cell(F.col(f"_raw_{c}"), known[c]).isNull(),
+                    F.struct(F.lit(c).alias("column"), F.col(f"_raw_{c}").alias("value"))) for c in typed]
+    line = F.when(F.col("_line").isNotNull(), F.struct(F.lit(None).cast("string").alias("column"), F.col("_line").alias("value")))
+    return (cleaned.select("_file", F.explode(F.filter(F.array(line, *cells), lambda x: x.isNotNull())).alias("r"))
+            .select(F.col("_file").alias("file"), "r.column", "r.value"))
+
+
+def reject_counts(rejects: DataFrame) -> DataFrame:
+    """file, column, rejected of ``csv_rejects``."""
+    return rejects.groupBy("file", "column").agg(F.count(F.lit(1)).alias("rejected"))
+
+
 def read_transactions_parquet(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path).select(*TRANSACTION_COLUMNS)
 

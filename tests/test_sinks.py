@@ -79,3 +79,48 @@ def test_intermediate_lrfmpv_table_feeds_churn_base(spark, scratch):
     direct = churn.customer_churn_base(base, t)
     via_file = churn.customer_churn_base(spark.read.parquet(path), t)
     assert direct.exceptAll(via_file).count() == 0 and via_file.exceptAll(direct).count() == 0
+
+
+def test_export_of_one_segment_leaves_the_others(spark, scratch):
+    first = spark.createDataFrame([(1, "MVC"), (2, "Mass"), (3, "MVC")], "customer_id long, segment string")
+    out = os.path.join(scratch, "audiences")
+    one = sinks.export_audiences(first, out)
+    two = sinks.export_audiences(spark.createDataFrame([(9, "MVC")], first.schema), out)
+    read = lambda: sorted((int(r["customer_id"]), r["segment"]) for r in spark.read.option("header", True).csv(out).collect())
+    assert read() == [(2, "Mass"), (9, "MVC")]
+    runs = {(r["run"], r["segment"]): r["customers"] for r in sinks.read_manifest(spark, out).collect()}
+    assert runs == {(one, "MVC"): 2, (one, "Mass"): 1, (two, "MVC"): 1}
+    sinks.export_audiences(spark.createDataFrame([(5, "New")], first.schema), out, replace_all=True)
+    assert read() == [(5, "New")]
+
+
+def test_rejected_cells_and_lines_are_reported(spark, scratch):
+    from clientele.sources.transactions import csv_rejects, reject_counts
+    bad = os.path.join(scratch, "bad.csv")
+    with open(bad, "w") as f:
+        f.write(",".join(TRANSACTION_COLUMNS) + "\n")
+        for cells in ({"transaction_date": "2024-13-45", "transaction_id": "abc", "customer_id": "7", "quantity": "NA"},
+                      {"transaction_date": "20240131", "transaction_id": "10.0", "category": "any text"},
+                      {"transaction_date": "2024/1/5", "transaction_id": "10.5", "quantity": " "}):
+            f.write(",".join(cells.get(c, "") for c in TRANSACTION_COLUMNS) + "\n")
+        f.write("2024-01-01,5\n")
+    rejects = csv_rejects(spark, bad).collect()
+    cells = sorted((r["column"], r["value"]) for r in rejects if r["column"])
+    assert cells == [("transaction_date", "2024-13-45"), ("transaction_id", "10.5"), ("transaction_id", "abc")]
+    assert [r["value"] for r in rejects if r["column"] is None] == ["2024-01-01,5"]
+    assert all(r["file"].endswith("bad.csv") for r in rejects)
+    counts = {r["column"]: r["rejected"] for r in reject_counts(csv_rejects(spark, bad)).collect()}
+    assert counts == {"transaction_date": 1, "transaction_id": 2, None: 1}
+    assert read_transactions_csv(spark, bad).count() == 4
+
+
+def test_changed_source_files_are_staged_anew(spark, scratch):
+    from clientele.plans import catalog
+    for t in ("lineitem", "orders", "part"):  # tables as folders: a nested file changes
+        spark.read.parquet(f"{SF_SMALL}/{t}.parquet").limit(400).coalesce(1).write.parquet(f"{scratch}/{t}.parquet")
+    before = catalog.txn(spark, scratch).count()
+    old = catalog._staged(spark, scratch)[0]
+    assert catalog._staged(spark, scratch)[0] == old
+    spark.read.parquet(f"{SF_SMALL}/lineitem.parquet").limit(7).coalesce(1).write.mode("append").parquet(f"{scratch}/lineitem.parquet")
+    assert catalog.txn(spark, scratch).count() == before + 7
+    assert not os.path.exists(old.removeprefix("file:"))
