@@ -7,7 +7,7 @@ from collections.abc import Iterator
 from typing import TYPE_CHECKING
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
@@ -57,6 +57,14 @@ def staged(df: DataFrame, by: str | None = None) -> DataFrame:
     return out
 
 
+def staged_with(df: DataFrame, *measures: Column) -> tuple[DataFrame, dict]:
+    """``staged``, and named aggregates of the rows, gathered while they are
+    written (no job of their own)."""
+    seen = Observation()
+    out = staged(df.observe(seen, *measures))
+    return out, seen.get
+
+
 def discard(*tables: DataFrame | None) -> None:
     """Delete the files of staged tables that nothing will read again.
 
@@ -76,16 +84,18 @@ def discard(*tables: DataFrame | None) -> None:
 HOT_KEYS, KEY_ROWS = 4096, 100_000
 
 
-def looked_up(rows: DataFrame, lookup: DataFrame, key: str, held: str) -> DataFrame:
+def looked_up(rows: DataFrame, lookup: DataFrame, key: str, held: str,
+              sizes: tuple[int, int] | None = None) -> DataFrame:
     """``rows`` with the columns of the written table ``lookup`` (one row a key,
     none missing).
 
     ``held`` names the lookup's count of ``rows`` with the key; it is dropped.
+    ``sizes``: its sum and its largest value, if known.
     If a key has many rows, keys with more than one in HOT_KEYS of all rows,
     which are fewer than HOT_KEYS, are broadcast, and no task of the shuffled
     join gets more than that share of one key; both tables are then read twice.
     """
-    total, most = lookup.agg(F.sum(held), F.max(held)).first()
+    total, most = sizes or lookup.agg(F.sum(held), F.max(held)).first()
     if (most or 0) <= KEY_ROWS:
         return rows.join(lookup.drop(held), key)
     hot = lookup.filter(F.col(held) > total // HOT_KEYS).drop(held)
@@ -101,27 +111,27 @@ def components(links: DataFrame) -> DataFrame:
     links no longer change.  A node with very many links is looked up by
     broadcast, and each round deletes the tables of the one before.
     """
-    def mark(e: DataFrame):
-        return e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
+    mark = (F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("sum"))
 
-    def least(e: DataFrame, with_self: bool) -> DataFrame:
+    def least(e: DataFrame, with_self: bool) -> tuple[DataFrame, tuple[int, int]]:
         m = F.least("u", F.min("v")) if with_self else F.min("v")
-        return staged(e.groupBy("u").agg(m.alias("m"), F.count("*").alias("held")))
+        found, size = staged_with(e.groupBy("u").agg(m.alias("m"), F.count("*").alias("held")),
+                                  F.sum("held").alias("total"), F.max("held").alias("most"))
+        return found, (size["total"], size["most"])
 
-    edges = staged(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u != v").distinct())
-    before = mark(edges)
-    while True:
+    edges, before = staged_with(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
+                                .filter("u != v").distinct(), *mark)
+    while before["n"]:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = least(both, True)
-        large = staged(looked_up(both, low, "u", "held").filter("v > u")
+        low, sizes = least(both, True)
+        large = staged(looked_up(both, low, "u", "held", sizes).filter("v > u")
                        .select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u != v").distinct())
         discard(edges, low)
-        low = least(large, False)
-        small = looked_up(large, low, "u", "held")
-        edges = staged(small.select(F.greatest("v", "m").alias("u"), F.least("v", "m").alias("v"))
-                       .unionByName(small.select("u", F.col("m").alias("v"))).filter("u != v").distinct())
+        low, sizes = least(large, False)
+        small = looked_up(large, low, "u", "held", sizes)
+        edges, after = staged_with(small.select(F.greatest("v", "m").alias("u"), F.least("v", "m").alias("v"))
+                                   .unionByName(small.select("u", F.col("m").alias("v"))).filter("u != v").distinct(), *mark)
         discard(large, low)
-        after = mark(edges)
         if after == before:
             break
         before = after

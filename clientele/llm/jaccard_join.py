@@ -56,7 +56,7 @@ FREQUENT = 1 << 17
 SALTS = 16
 #: Rounds of comparing with pivots, pivots a set is compared with in a round, and
 #: members compared in one group.
-STARS, PIVOTS, GROUP = 3, 3, 512
+STARS, PIVOTS, GROUP = 2, 3, 512
 #: Bits of the filter that tells which sets are needed (4 MB, whatever the input).
 FILTER_BITS = 1 << 25
 
