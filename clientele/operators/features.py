@@ -2,10 +2,9 @@
 
 All of them are one ``groupBy(customer_id)`` over the order lines: Spark
 plans a partial (map-side) aggregate, so a customer holding a large share of
-the lines collapses to one row per map task before the shuffle.  At most one
-exact ``count(DISTINCT transaction_id)`` is used per aggregation (Catalyst
-plans it as a two-level aggregate on (customer, transaction), which is also
-skew-safe); low-cardinality distinct counts use ``collect_set``.
+the lines collapses to one row per map task before the shuffle.  Exact
+distinct counts are Catalyst's two-level aggregate on (customer, value), which
+is also skew-safe; several in one aggregation share an ``Expand``.
 """
 
 from __future__ import annotations
