@@ -342,7 +342,8 @@ def joined(docs: DataFrame, percent: int = PERCENT, stars: int = STARS) -> tuple
     posted = staged(meeting(postings(docs, orders, percent)))
     keys = staged(posted.groupBy("key").agg(F.count("*").alias("met"), F.first("n").alias("n"))
                   .filter(F.col("met") >= _shared(F.col("n"), percent)).select("key"))
-    met = posted.join(keys, "key", "left_semi")
+    met = staged(posted.join(keys, "key", "left_semi"))  # every round reads it
+    discard(posted)
     sets = staged(sets_of(docs, keys))
 
     comp: DataFrame | None = None
@@ -392,7 +393,7 @@ def joined(docs: DataFrame, percent: int = PERCENT, stars: int = STARS) -> tuple
         links = found if comp is None else found.unionByName(comp.select(F.col("key").alias("a"), F.col("comp").alias("b")))
         last, comp = comp, components(links)
         discard(last, found)
-    discard(posted, keys, sets, *tried)
+    discard(met, keys, sets, *tried)
     return members, comp
 
 
