@@ -2,9 +2,10 @@
 
 All of them are one ``groupBy(customer_id)`` over the order lines: Spark
 plans a partial (map-side) aggregate, so a customer holding a large share of
-the lines collapses to one row per map task before the shuffle.  Exact
-distinct counts are Catalyst's two-level aggregate on (customer, value), which
-is also skew-safe; several in one aggregation share an ``Expand``.
+the lines collapses to one row per map task before the shuffle.  Orders are
+counted by Catalyst's two-level aggregate on (customer, order), which is also
+skew-safe; categories and brands by bit masks in the same aggregation, so no row
+is copied for a second distinct count.
 """
 
 from __future__ import annotations
@@ -19,10 +20,10 @@ from clientele.functions.nullsafe import (
     has_null,
     mean_of,
     n_distinct_na,
-    n_distinct_small,
     ratio_or_zero,
     safe_div,
     sum0,
+    with_distinct_mask,
 )
 from clientele.sources.schema import (
     ACCESSORY_CATEGORIES,
@@ -90,12 +91,13 @@ def lrfmpv_base(txn: DataFrame, analysis_date: DateLike = None) -> DataFrame:
     a = _date_col(analysis_date)
     if a is None:
         a = F.date_add(max_date(app), 1)
+    app, variety = with_distinct_mask(app, "category")
     base = app.groupBy("customer_id").agg(
         F.min("transaction_date").alias("first_order"),
         F.max("transaction_date").alias("last_order"),
         n_distinct_na("transaction_id").alias("F"),
         sum0("net_revenue").cast("double").alias("M"),
-        n_distinct_small("category").alias("V"),
+        variety.alias("V"),
     )
     length = days_between(F.col("last_order"), F.col("first_order"))
     return base.select(
@@ -154,14 +156,15 @@ def customer_dm(txn: DataFrame, analysis_date: DateLike = None) -> DataFrame:
     qty, ret = F.sum("quantity"), F.sum("returned_qty")
     gross, refund = F.sum("gross_revenue"), F.sum("refund_amount")
     net, profit = F.sum("net_revenue"), F.sum("gross_profit")
-    agg = txn.groupBy("customer_id").agg(
+    marked, brands = with_distinct_mask(txn, "brand")
+    agg = marked.groupBy("customer_id").agg(
         F.min("transaction_date").alias("first_order"),
         F.max("transaction_date").alias("last_order"),
         n_distinct_na("transaction_id").alias("F"),
         F.coalesce(net, F.lit(0)).cast("double").alias("M"),
         F.coalesce(profit, F.lit(0)).cast("double").alias("profit"),
         safe_div(net, F.count("net_revenue")).alias("avg_basket"),
-        n_distinct_small("brand").alias("brand_diversity"),
+        brands.alias("brand_diversity"),
         mean_of(weekend).alias("weekend_ratio"),
         ratio_or_zero(F.coalesce(ret, F.lit(0.0)), F.coalesce(qty, F.lit(0.0))).alias("return_ratio"),
         ratio_or_zero(F.coalesce(refund, F.lit(0)), F.coalesce(gross, F.lit(0))).alias("refund_ratio"),

@@ -97,3 +97,21 @@ def test_customer_base_nulls_and_recency(spark, make_txn):
     assert out[1]["recency"] == 30 and out[1]["return_rate"] is None
     assert out[2]["first_order"] is None and out[2]["last_order"] is None  # plain min/max
     assert out[2]["avg_order_value"] == 20.0
+
+
+def test_distinct_masks_equal_plain_counts(spark, make_txn):
+    from clientele.functions.nullsafe import n_distinct_na, with_distinct_mask
+    # 130 brands need three words; customer 3 has none, customer 2 a missing one too
+    rows = [line(customer_id=1, brand=f"B{i % 130}") for i in range(300)]
+    rows += [line(customer_id=2, brand=b) for b in ("B1", "B129", None, "B1", "")]
+    rows += [line(customer_id=3, brand=None)]
+    t = make_txn(rows)
+    plain = {r[0]: r[1] for r in t.groupBy("customer_id").agg(n_distinct_na("brand").alias("n")).collect()}
+    assert plain == {1: 130, 2: 4, 3: 1}
+    for limit in (1024, 130):  # the second falls back to the plain count
+        marked, count = with_distinct_mask(t, "brand", limit)
+        got = {r[0]: r[1] for r in marked.groupBy("customer_id").agg(count.alias("n")).collect()}
+        assert got == plain
+    for few, want in ((t.limit(0), []), (t.filter("brand is null"), [1, 1])):
+        marked, count = with_distinct_mask(few, "brand")
+        assert [r[1] for r in marked.groupBy("customer_id").agg(count.alias("n")).collect()] == want

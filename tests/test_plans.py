@@ -58,6 +58,11 @@ def test_customer_aggregates_combine_map_side(spark):
     assert first_exchange > 0 and "partial_" in plan[first_exchange:]
 
 
+@pytest.mark.parametrize("name", ["lrfmpv_base", "customer_dm"])
+def test_distinct_counts_copy_no_row(spark, name):
+    assert "Expand" not in executed_plan(queries()[name](spark, SF_SMALL))
+
+
 def test_hot_customer_gives_same_results(spark, make_txn):
     """One customer holding a third of all lines: ranking and features stay exact."""
     from clientele.operators import features, segments
