@@ -80,3 +80,28 @@ def test_few_and_no_vectors(spark):
     assert _found(spark, [(0, None)], 20) == []
     two = _found(spark, [(0, [1.0] * 12), (1, [0.5] * 12), (40, [2.0] * 12)], 20)
     assert sorted(two) == [(0, 1, 40, 24.0), (0, 2, 1, 6.0), (40, 1, 0, 24.0), (40, 2, 1, 12.0)]
+
+
+def test_crowded_blocks_are_dealt(spark, vectors, monkeypatch):
+    prepare(spark)
+    whole = _found(spark, vectors, 10)
+    monkeypatch.setattr(hilbert_ann, "MOST_QUERIES", 3)
+    assert sorted(_found(spark, vectors, 10)) == sorted(whole)
+
+
+def test_clustered_vectors_need_a_small_share(spark):
+    prepare(spark)
+    rng = np.random.default_rng(11)
+    centres = rng.normal(size=(150, 24))
+    x = (centres[rng.integers(0, 150, 6000)] + 0.2 * rng.normal(size=(6000, 24))) * rng.uniform(0.9, 1.1, (6000, 1))
+    df = spark.createDataFrame([(i, [float(c) for c in v]) for i, v in enumerate(x)], "vec_id long, embedding array<float>")
+    report = {}
+    got = hilbert_ann.search(df, k=20, every=50, report=report).collect()
+    m = x.astype(np.float32).astype(float)
+    hits = 0
+    for q in range(0, 6000, 50):
+        score = m @ m[q]
+        score[q] = -np.inf
+        hits += len({r["vec_id"] for r in got if r["query_id"] == q} & set(np.argsort(-score)[:20].tolist()))
+    assert report["points"] == 6000 and report["share"] < 0.3
+    assert hits >= 0.9 * 20 * 120
