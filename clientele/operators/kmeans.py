@@ -259,6 +259,15 @@ def advance(run: Run, sizes: np.ndarray, sums: np.ndarray, best: np.ndarray, squ
         run.trial = Round(mean, run.sizes, least, run.best[1:])
 
 
+def lloyd(blocks: DataFrame, centers: np.ndarray, steps: int) -> np.ndarray:
+    """The centres after ``steps`` of Lloyd's steps from given ones."""
+    run = Run(np.array(centers, dtype=np.float64))
+    for _ in range(steps):
+        total = _step(blocks, [run], run.centers.shape[1])
+        run.centers = _centers(total.sizes, total.sums, run.centers)
+    return run.centers
+
+
 def fit(blocks: DataFrame, starts: list[np.ndarray], max_iter: int) -> list[Run]:
     """All runs, finished: ``max_iter`` Lloyd steps and transfer rounds at most."""
     runs = [Run(np.array(s, dtype=np.float64)) for s in starts]

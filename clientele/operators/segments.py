@@ -189,6 +189,23 @@ def customer_clusters(dm: DataFrame, k: int = 5, restarts: int = RESTARTS,
     return dm.withColumn("cluster", nearest_center(list(inputs.values()), centers))
 
 
+def lloyd_clusters(dm: DataFrame, k: int = 5, steps: int = 5) -> DataFrame:
+    """The data mart with its cluster after ``steps`` of Lloyd's steps that start
+    from the k customers of the smallest ids, so the result is reproducible
+    without a seed.  Fewer customers than k make fewer clusters; an empty mart
+    has none."""
+    dm = cut_lineage(dm)
+    inputs = scaled_columns(dm)
+    rows = dm.select("customer_id", *[x.alias(c) for c, x in inputs.items()])
+    starts = [r[1:] for r in rows.orderBy(F.col("customer_id").asc_nulls_last()).limit(k).collect()]
+    if not starts or not inputs:  # nothing tells rows apart
+        return dm.withColumn("cluster", F.lit(1))
+    blocks = kmeans.packed(rows, list(inputs)).persist()
+    centers = kmeans.lloyd(blocks, np.array(starts, dtype=float), steps)
+    blocks.unpersist()
+    return dm.withColumn("cluster", nearest_center(list(inputs.values()), centers))
+
+
 def kmeans_segments(features: DataFrame, k: int = 5, restarts: int = RESTARTS,
                     seed: int = SEED) -> DataFrame:
     centers = kmeans_multistart(features, [k], restarts, seed=seed)[k][0]

@@ -528,6 +528,13 @@ def q_customer_clusters(spark, sf):
     return segments.customer_clusters(_dm(spark, sf), k=5)
 
 
+@query("kmeans_lloyd_profile")
+def q_kmeans_lloyd_profile(spark, sf):
+    """Profile of the clusters after five steps from fixed starts."""
+    x = segments.cluster_summary(segments.lloyd_clusters(_dm(spark, sf), k=5, steps=5))
+    return x.select("cluster", "customers", *[F.round(c, 6).alias(c) for c in x.columns[2:]])
+
+
 @query("kmeans_elbow")
 def q_kmeans_elbow(spark, sf):
     return segments.kmeans_elbow(segments.kmeans_features(_dm(spark, sf)))

@@ -567,7 +567,7 @@ _KM_COLS = ["F", "M", "profit", "R", "V", "avg_basket", "category_diversity", "b
             "cat_ratio_accessory", "cat_ratio_other"]
 
 
-def _km_features() -> str:
+def _km_scaled() -> str:
     """Fill, drop zero-variance features, z-score — with the kept column set
     decided by the data, in long form."""
     clean = ", ".join(
@@ -577,9 +577,38 @@ def _km_features() -> str:
     return f"""WITH {TXN}, {DM},
 filled AS (SELECT customer_id, {clean} FROM dm),
 long AS ({long}),
-stats AS (SELECT feature, avg(v) AS m, stddev_samp(v) AS s FROM long GROUP BY feature)
-SELECT l.customer_id, l.feature, round((l.v - st.m) / st.s, 6) AS z
-FROM long l JOIN stats st ON l.feature = st.feature WHERE st.s > 0"""
-
-
-ORACLE["kmeans_features"] = _km_features()
+stats AS (SELECT feature, avg(v) AS m, stddev_samp(v) AS s FROM long GROUP BY feature),
+scaled AS (SELECT l.customer_id, l.feature, (l.v - st.m) / st.s AS z
+           FROM long l JOIN stats st ON l.feature = st.feature WHERE st.s > 0)"""
+
+
+ORACLE["kmeans_features"] = _km_scaled() + " SELECT customer_id, feature, round(z, 6) AS z FROM scaled"
+
+
+def _km_lloyd(k: int, steps: int) -> str:
+    """Lloyd's steps from the k smallest customer ids, one pair of CTEs a step."""
+    sql = _km_scaled() + f""",
+starts AS (SELECT customer_id, row_number() OVER (ORDER BY customer_id) AS cluster
+           FROM (SELECT DISTINCT customer_id FROM dm) ORDER BY customer_id LIMIT {k}),
+centers0 AS (SELECT cluster, feature, z AS v FROM scaled JOIN starts USING (customer_id))"""
+    for i in range(steps + 1):
+        sql += f""",
+apart{i} AS (SELECT customer_id, cluster, sum((z - v) * (z - v)) AS d
+             FROM scaled JOIN centers{i} USING (feature) GROUP BY ALL),
+labels{i} AS (SELECT customer_id, cluster FROM apart{i}
+              QUALIFY row_number() OVER (PARTITION BY customer_id ORDER BY d, cluster) = 1)"""
+        if i < steps:
+            sql += f""",
+means{i} AS (SELECT cluster, feature, avg(z) AS v FROM scaled JOIN labels{i} USING (customer_id) GROUP BY ALL),
+centers{i + 1} AS (SELECT c.cluster, c.feature, coalesce(m.v, c.v) AS v
+                   FROM centers{i} c LEFT JOIN means{i} m ON m.cluster = c.cluster AND m.feature = c.feature)"""
+    names = [(f"avg_{c}", c) for c in ("F", "M", "profit", "R", "V", "weekend_ratio", "return_ratio", "refund_ratio",
+                                       "profit_margin", "top_category_ratio", "bargain_ratio", "premium_ratio")]
+    names += [(c, c) for c in ("avg_basket", "cat_ratio_fashion", "cat_ratio_accessory", "cat_ratio_other")]
+    means = ", ".join(f"round(avg({c}), 6) AS {name}" for name, c in names)
+    return sql + f"""
+SELECT CAST(cluster AS INTEGER) AS cluster, count(*) AS customers, {means}
+FROM dm JOIN labels{steps} USING (customer_id) GROUP BY cluster"""
+
+
+ORACLE["kmeans_lloyd_profile"] = _km_lloyd(5, 5)

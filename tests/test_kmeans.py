@@ -107,3 +107,22 @@ def test_clusters_of_a_mart_need_no_join(spark):
     assert len(rows) == 3
     same = segments.kmeans_segments(segments.kmeans_features(dm), k=3, restarts=2)
     assert sorted(map(tuple, same.collect())) == sorted((r["customer_id"], r["cluster"]) for r in got.collect())
+
+
+def test_fixed_starts_equal_plain_lloyd(spark):
+    from clientele.operators import segments
+    rng = np.random.default_rng(8)
+    cols = segments.KMEANS_INPUTS + ["cat_ratio_fashion"]
+    x = rng.normal(size=(300, len(cols)))
+    dm = spark.createDataFrame([(i, *map(float, r)) for i, r in enumerate(x)],
+                               "customer_id long, " + ", ".join(f"{c} double" for c in cols))
+    z = (x - x.mean(axis=0)) / x.std(axis=0, ddof=1)
+    centers = z[:4]
+    for _ in range(3):
+        label = ((z[:, None] - centers[None]) ** 2).sum(axis=2).argmin(axis=1)
+        centers = np.array([z[label == c].mean(axis=0) for c in range(4)])
+    label = ((z[:, None] - centers[None]) ** 2).sum(axis=2).argmin(axis=1)
+    got = {r["customer_id"]: r["cluster"] for r in segments.lloyd_clusters(dm, k=4, steps=3).collect()}
+    assert got == {i: c + 1 for i, c in enumerate(label.tolist())}
+    assert segments.lloyd_clusters(dm.limit(0)).collect() == []
+    assert {r["cluster"] for r in segments.lloyd_clusters(dm.limit(1)).collect()} == {1}
