@@ -8,8 +8,10 @@ put tokens that are frequent in the corpus last, and arrange the rest by
 hashes of different seeds.  The first order finds candidates through Spark:
 prefix tokens meet in a shuffle.  Its prefixes are ``EXTRA`` percent of n
 longer than needed, so linked sets share that many more tokens there, and sets
-and pairs that share fewer are dropped.  The other orders then have to agree,
-and only pairs that pass all are verified on the whole sets.
+and pairs that share fewer are dropped.  A pair then meets with its sets' tokens
+counted in hash buckets, an upper bound of what they share, and only what may
+link by that is sent the whole sets.  There the other orders have to agree, and
+pairs that pass all are verified.
 
 Equal sets are one node throughout, named by the set's hash.  Components need
 no list of all pairs: in each of ``STARS`` rounds the sets of a token are
@@ -249,7 +251,8 @@ def may_hold(mask: np.ndarray, key: int) -> bool:
 
 
 def sets_of(docs: DataFrame, keys: DataFrame) -> DataFrame:
-    """key, tokens (binary): the sets of ``keys``, once each.
+    """key, tokens, counts (binary): the sets of ``keys``, once each, and their
+    ``bucket_counts``.
 
     Tasks leave out sets that the filter excludes; its size is fixed, and what
     it lets through needlessly the join drops.
@@ -260,7 +263,7 @@ def sets_of(docs: DataFrame, keys: DataFrame) -> DataFrame:
         import pyarrow as pa
         mask, seen = shared.value, set()
         for batch in batches:
-            out_key, out = [], []
+            out_key, out, counts = [], [], []
             for t in batch.column(0).to_pylist():
                 s = shingles(t)
                 if not len(s) or (k := set_key(s)) in seen or not may_hold(mask, k):
@@ -268,47 +271,90 @@ def sets_of(docs: DataFrame, keys: DataFrame) -> DataFrame:
                 seen.add(k)
                 out_key.append(k)
                 out.append(s.tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array(out_key, pa.int64()), pa.array(out, pa.binary())], ["key", "tokens"])
+                counts.append(bucket_counts(s).tobytes())
+            yield pa.RecordBatch.from_arrays([pa.array(out_key, pa.int64()), pa.array(out, pa.binary()), pa.array(counts, pa.binary())],
+                                             ["key", "tokens", "counts"])
 
-    found = docs.select("text").mapInArrow(local, "key long, tokens binary")
+    found = docs.select("text").mapInArrow(local, "key long, tokens binary, counts binary")
     return found.join(keys, "key", "left_semi").dropDuplicates(["key"])
 
 
-def verified(pairs: DataFrame, sets: DataFrame, orders: Orders, percent: int = PERCENT) -> DataFrame:
-    """The pairs (a, b) that every order lets pass and whose whole sets link.
+def bucket_counts(s: np.ndarray) -> np.ndarray:
+    """How many tokens of a set fall into each of as many buckets as the largest
+    power of two up to its size, 255 standing for that and more."""
+    buckets = 1 << (len(s).bit_length() - 1)
+    counts = np.bincount((s & np.uint64(buckets - 1)).astype(np.int64), minlength=buckets)
+    return np.minimum(counts, 255).astype(np.uint8)
+
+
+def may_link(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
+    """Whether sets of these bucket counts may link: they share at most the
+    smaller count of each bucket."""
+    if a.max() == 255 or b.max() == 255:
+        return True
+    a, b = a.astype(np.int64), b.astype(np.int64)
+    total = int(a.sum() + b.sum())
+    while len(a) != len(b):  # low bits name the buckets, so halves add up
+        if len(a) > len(b):
+            a = a.reshape(2, -1).sum(axis=0)
+        else:
+            b = b.reshape(2, -1).sum(axis=0)
+    return int(np.minimum(a, b).sum()) * (100 + percent) >= percent * total
+
 
-    Pairs meet at a: its set and the sets of its partners go to groups of at
-    most about GROUP partners, however many partners it has.
+def _agreeing(pairs: DataFrame, values: DataFrame, compare) -> DataFrame:
+    """The pairs (a, b) for which ``compare``, given the value of a, returns a
+    function that is true of the value of b; ``values`` has key and value.
+
+    Pairs meet at a: its value and those of its partners go to groups of at most
+    about GROUP partners, however many partners it has.
     """
-    shared = pairs.sparkSession.sparkContext.broadcast(orders)
     parts = pairs.groupBy("a").agg(F.greatest(F.lit(1), F.ceil(F.count("*") / F.lit(GROUP))).cast("int").alias("parts"))
     partners = (pairs.join(parts, "a")
                 .select("a", F.pmod(F.xxhash64("a", "b"), F.col("parts")).cast("int").alias("part"), F.col("b").alias("key")))
     centres = parts.select("a", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.col("a").alias("key"))
-    wanted = partners.unionByName(centres).join(sets, "key")
+    wanted = partners.unionByName(centres).join(values, "key")
 
     def check(key, table):
         import pyarrow as pa
-        schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
         a = key[0].as_py()
-        keys, tokens = table.column("key").to_pylist(), table.column("tokens").to_pylist()
-        own = np.frombuffer(tokens[keys.index(a)], dtype=np.uint64) if a in keys else None
-        if own is None:
-            return schema.empty_table()
-        later = [np.sort(shared.value.prefix(own, j, percent)) for j in range(1, len(ORDERS))]
+        keys, held = table.column("key").to_pylist(), table.column("value").to_pylist()
         found = []
-        for k, raw in zip(keys, tokens):
-            if k == a:
-                continue
+        if a in keys:
+            agrees = compare(held[keys.index(a)])
+            found = [k for k, value in zip(keys, held) if k != a and agrees(value)]
+        return pa.table([pa.array([a] * len(found), pa.int64()), pa.array(found, pa.int64())], names=["a", "b"])
+
+    return wanted.groupBy("a", "part").applyInArrow(check, "a long, b long")
+
+
+def bounded(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """The pairs (a, b) that may link by their sets' bucket counts."""
+    def compare(raw):
+        own = np.frombuffer(raw, dtype=np.uint8)
+        return lambda other: may_link(own, np.frombuffer(other, dtype=np.uint8), percent)
+
+    return _agreeing(pairs, sets.select("key", F.col("counts").alias("value")), compare)
+
+
+def verified(pairs: DataFrame, sets: DataFrame, orders: Orders, percent: int = PERCENT) -> DataFrame:
+    """The pairs (a, b) that every order lets pass and whose whole sets link."""
+    shared = pairs.sparkSession.sparkContext.broadcast(orders)
+
+    def compare(raw):
+        own = np.frombuffer(raw, dtype=np.uint64)
+        later = [np.sort(shared.value.prefix(own, j, percent)) for j in range(1, len(ORDERS))]
+
+        def agrees(raw):
             other = np.frombuffer(raw, dtype=np.uint64)
             if 100 * min(len(own), len(other)) < percent * max(len(own), len(other)):
-                continue
-            if all(_member(shared.value.prefix(other, j, percent), later[j - 1]) for j in range(1, len(ORDERS))) \
-                    and linked(own, other, percent):
-                found.append(k)
-        return pa.table([pa.array([a] * len(found), pa.int64()), pa.array(found, pa.int64())], schema=schema)
+                return False
+            return all(_member(shared.value.prefix(other, j, percent), later[j - 1]) for j in range(1, len(ORDERS))) \
+                and linked(own, other, percent)
 
-    return wanted.groupBy("a", "part").applyInArrow(check, "a long, b long")
+        return agrees
+
+    return _agreeing(pairs, sets.select("key", F.col("tokens").alias("value")), compare)
 
 
 def _may_reach(percent: int):
@@ -389,7 +435,9 @@ def joined(docs: DataFrame, percent: int = PERCENT, stars: int = STARS) -> tuple
                                ["a", "b"], "left_anti")
         tried.append(staged(pairs))
         discard(live)
-        found = staged(verified(tried[-1], sets, orders, percent))
+        likely = staged(bounded(tried[-1], sets, percent))
+        found = staged(verified(likely, sets, orders, percent))
+        discard(likely)
         links = found if comp is None else found.unionByName(comp.select(F.col("key").alias("a"), F.col("comp").alias("b")))
         last, comp = comp, components(links)
         discard(last, found)

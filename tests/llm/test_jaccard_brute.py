@@ -69,3 +69,25 @@ def test_pairs_stay_few_when_all_share_a_passage(spark):
     assert jaccard_join.closing_pairs(live).count() == 0
     near = spark.createDataFrame([(t, k, n, at - 10, p, c) for t, k, n, at, p, c in rows], live.schema)
     assert jaccard_join.closing_pairs(near).count() == 50 * 49 // 2
+
+
+def test_bucket_counts_bound_what_sets_share():
+    import numpy as np
+    from clientele.llm import jaccard_join
+    rng = np.random.default_rng(6)
+    dropped = 0
+    for n in (1, 2, 3, 30, 400, 3000):
+        for share in (0.0, 0.5, 0.85, 0.95, 1.0):
+            both = rng.integers(0, 1 << 63, int(n * share), dtype=np.uint64)
+            a = np.unique(np.concatenate([both, rng.integers(0, 1 << 63, n - len(both), dtype=np.uint64)]))
+            b = np.unique(np.concatenate([both, rng.integers(0, 1 << 63, max(1, n // 9) if share == 1 else n - len(both), dtype=np.uint64)]))
+            if not len(b):
+                continue
+            common = len(np.intersect1d(a, b))
+            links = 100 * common >= 80 * (len(a) + len(b) - common)
+            may = jaccard_join.may_link(jaccard_join.bucket_counts(a), jaccard_join.bucket_counts(b), 80)
+            assert may or not links
+            dropped += not may
+    assert dropped >= 8
+    many = np.arange(600, dtype=np.uint64) << np.uint64(20)  # all in one bucket: counts end at 255
+    assert jaccard_join.may_link(jaccard_join.bucket_counts(many), jaccard_join.bucket_counts(many[:500]), 80)
