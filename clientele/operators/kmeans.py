@@ -12,11 +12,12 @@ rows to one of n_b changes the total cost by d_b n_b/(n_b+1) - d_a n_a/(n_a-1)
 (d: squared distance to the centre), so a row moves where that is negative.  A
 round moves all such rows at once; if the total cost would not fall, only those
 with the largest gains move, at last the single best one, whose move always
-lowers it.  So no run ends above its Lloyd cost.  No labels are stored: a row's
-label follows from the rounds so far, which tasks repeat.
+lowers it.  So no run ends above its Lloyd cost.  A row's label follows from the
+rounds so far, which tasks repeat; after REPLAYED rounds the labels are written
+beside the blocks, so a round's cost does not grow with the rounds before it.
 
-The state of a step is the centres on the driver; what a lost executor held is
-read again from the checkpoint.
+The state of a step is the centres on the driver and the latest written labels;
+what a lost executor held is read again from the checkpoint folder.
 """
 
 from __future__ import annotations
@@ -28,10 +29,17 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clientele.session import cut_lineage
+from clientele.session import cut_lineage, discard, staged
 
 #: Rows of a block, and most partial rows that the driver receives a step.
 BLOCK, FAN_IN = 8192, 16
+#: Rows of a block that are worked on at once, so that their distances to all
+#: centres stay in a core's cache.
+CHUNK = 256
+#: Rounds of a run that tasks repeat before labels are stored anew.
+REPLAYED = 4
+#: Type of stored labels.
+LABEL = np.uint16
 #: Least gain of a transfer, as a part of the total sum of squares.
 LEAST_GAIN = 1e-12
 #: Shares of the best gain that a row's gain must exceed, tried in turn before
@@ -52,10 +60,12 @@ class Round:
 
 @dataclass
 class Run:
-    """One start.  ``rounds`` is None while Lloyd's steps go on."""
+    """One start.  ``rounds`` is None while Lloyd's steps go on; then it holds the
+    rounds since labels were stored, in ``column``, or since Lloyd's steps."""
 
     centers: np.ndarray
     rounds: list[Round] | None = None
+    column: int | None = None
     sizes: np.ndarray | None = None
     sums: np.ndarray | None = None
     cost: float = np.inf
@@ -64,41 +74,90 @@ class Run:
     steps: int = 0
     done: bool = False
     trial: Round | None = field(default=None, repr=False)
-
-
-def _distances(x: np.ndarray, norms: np.ndarray, centers: np.ndarray) -> np.ndarray:
-    d = norms[:, None] - 2.0 * (x @ centers.T) + (centers ** 2).sum(axis=1)[None, :]
-    return np.maximum(d, 0.0, out=d)
-
-
-def _gains(x: np.ndarray, norms: np.ndarray, label: np.ndarray, centers: np.ndarray,
-           sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """What each row's best transfer lowers the cost by, and where it leads."""
-    d = _distances(x, norms, centers)
-    at = np.arange(len(x))
+    last: np.ndarray | None = None
+
+    def before(self) -> np.ndarray:
+        """The centres before the latest round, which empty clusters keep."""
+        if self.rounds:
+            return self.rounds[-1].centers
+        return self.centers if self.last is None else self.last
+
+
+def _near(x: np.ndarray, norms: np.ndarray, centers: np.ndarray) -> np.ndarray:
+    """rows x k x runs: squared distances to the centres (runs x k x columns)."""
+    runs, k, dim = centers.shape
+    c = centers.transpose(1, 0, 2).reshape(k * runs, dim)
+    d = x @ c.T
+    d *= -2.0
+    d += norms[:, None]
+    d += (c ** 2).sum(axis=1)[None, :]
+    return np.maximum(d, 0.0, out=d).reshape(len(x), k, runs)
+
+
+def _least(d: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The least of each row's k values in every run, and its first place."""
+    best, at = d[:, 0].copy(), np.zeros((d.shape[0], d.shape[2]), dtype=LABEL)
+    for j in range(1, d.shape[1]):
+        np.copyto(at, LABEL(j), where=d[:, j] < best)
+        np.minimum(best, d[:, j], out=best)
+    return best, at
+
+
+def _gains(x: np.ndarray, norms: np.ndarray, label: np.ndarray, rounds: list[Round]) -> tuple[np.ndarray, np.ndarray]:
+    """What each row's best transfer lowers the cost by in every run, and where
+    it leads; ``label`` and the results are rows x runs."""
+    d = _near(x, norms, np.stack([r.centers for r in rounds]))
+    sizes = np.stack([r.sizes for r in rounds]).T
     leave = np.where(sizes > 1, sizes / np.maximum(sizes - 1, 1), 0.0)
-    own = d[at, label] * leave[label]
-    d *= (sizes / (sizes + 1))[None, :]
-    d[at, label] = np.inf
-    to = d.argmin(axis=1)
-    return own - d[at, to], to
-
-
-def _transferred(x, norms, start, rounds, block):
-    """Labels after the rounds, from the nearest of the starting centres."""
-    label = _distances(x, norms, start).argmin(axis=1)
-    for r in rounds:
-        gain, to = _gains(x, norms, label, r.centers, r.sizes)
-        if r.only is None:
-            move = gain > r.above
-        else:
-            move = np.zeros(len(x), dtype=bool)
-            if r.only[0] == block:
-                move[r.only[1]] = True
-        label = np.where(move, to, label)
+    enter = sizes / (sizes + 1)
+    own = np.zeros(label.shape)
+    for j in range(len(sizes)):
+        here = label == j
+        np.copyto(own, d[:, j] * leave[j], where=here)
+        d[:, j] *= enter[j]
+        np.copyto(d[:, j], np.inf, where=here)
+    best, to = _least(d)
+    return own - best, to
+
+
+def _moves(gain: np.ndarray, rounds: list[Round], block: int, first: int) -> np.ndarray:
+    """rows x runs: which rows move; ``first`` is the first row's place in its block."""
+    move = gain > np.array([r.above for r in rounds])
+    for i, r in enumerate(rounds):
+        if r.only is not None:
+            move[:, i] = False
+            if r.only[0] == block and first <= r.only[1] < first + len(gain):
+                move[r.only[1] - first, i] = True
+    return move
+
+
+def _labels(x, norms, runs: list[Run], held: np.ndarray | None, block: int, first: int) -> np.ndarray:
+    """rows x runs: labels after the rounds so far, from the stored ones or the
+    nearest of the starting centres.  All runs have one k."""
+    label = np.empty((len(x), len(runs)), dtype=LABEL)
+    stored = [i for i, r in enumerate(runs) if r.column is not None]
+    fresh = [i for i, r in enumerate(runs) if r.column is None]
+    if stored:
+        label[:, stored] = held[:, [runs[i].column for i in stored]]
+    if fresh:
+        label[:, fresh] = _least(_near(x, norms, np.stack([runs[i].centers for i in fresh])))[1]
+    for n in range(max(len(r.rounds or ()) for r in runs)):
+        at = [i for i, r in enumerate(runs) if r.rounds and len(r.rounds) > n]
+        rounds = [runs[i].rounds[n] for i in at]
+        own = label[:, at]
+        gain, to = _gains(x, norms, own, rounds)
+        label[:, at] = np.where(_moves(gain, rounds, block, first), to, own)
     return label
 
 
+def _alike(runs: list[Run]) -> list[list[int]]:
+    """Places of the runs of one k and phase."""
+    found: dict[tuple, list[int]] = {}
+    for i, r in enumerate(runs):
+        found.setdefault((len(r.centers), r.rounds is None), []).append(i)
+    return list(found.values())
+
+
 class Sums:
     """Partial sums of a step for some runs, as one vector of doubles."""
 
@@ -118,48 +177,40 @@ class Sums:
         self.sums += other.sums
         self.best[:, 3] += other.best[:, 3]
         self.raw[-1] += other.raw[-1]
-        mine, theirs = self.best, other.best
+        self._improve(np.arange(len(self.ks)), other.best[:, :3])
+
+    def _improve(self, at: np.ndarray, theirs: np.ndarray) -> None:
+        mine = self.best[at]
         # the larger gain, then the first place; (0, -1, -1) is no transfer
         better = (theirs[:, 1] >= 0) & ((mine[:, 1] < 0) | (theirs[:, 0] > mine[:, 0]) | (
             (theirs[:, 0] == mine[:, 0]) & ((theirs[:, 1] < mine[:, 1]) | (
                 (theirs[:, 1] == mine[:, 1]) & (theirs[:, 2] < mine[:, 2])))))
-        mine[better, :3] = theirs[better, :3]
-
-    def of_block(self, block: int, x: np.ndarray, runs: list[Run]) -> None:
-        norms = (x ** 2).sum(axis=1)
-        self.raw[-1] += norms.sum()
-        lloyd = [r for r in runs if r.rounds is None]
-        near = iter(np.split(_distances(x, norms, np.vstack([r.centers for r in lloyd])),
-                             np.cumsum([len(r.centers) for r in lloyd])[:-1], axis=1)) if lloyd else iter(())
-        lo = 0
-        for i, run in enumerate(runs):
-            k = len(run.centers)
-            if run.rounds is None:
-                label = next(near).argmin(axis=1)
-            else:
-                label = _transferred(x, norms, run.centers, run.rounds, block)
-                t = run.trial
-                gain, to = _gains(x, norms, label, t.centers, t.sizes)
-                if t.only is None:
-                    move = gain > t.above
-                    first = int(gain.argmax())
-                    if gain[first] > 0:
-                        found = Sums([k], self.dim)
-                        found.best[0, :3] = gain[first], block, first
-                        one = Sums.__new__(Sums)
-                        one.best, one.sizes, one.sums, one.raw = self.best[i:i + 1], np.zeros(k), np.zeros((k, self.dim)), np.zeros(1)
-                        one.add(found)
-                else:
-                    move = np.zeros(len(x), dtype=bool)
-                    if t.only[0] == block:
-                        move[t.only[1]] = True
-                label = np.where(move, to, label)
-                self.best[i, 3] += move.sum()
-            self.sizes[lo:lo + k] += np.bincount(label, minlength=k)
-            member = np.zeros((len(x), k))
-            member[np.arange(len(x)), label] = 1.0
-            self.sums[lo:lo + k] += member.T @ x
-            lo += k
+        self.best[at[better], :3] = theirs[better]
+
+    def of_block(self, block: int, x: np.ndarray, runs: list[Run], held: np.ndarray | None = None) -> None:
+        ends = np.cumsum(self.ks)
+        for first in range(0, len(x), CHUNK):
+            part = x[first:first + CHUNK]
+            norms = (part ** 2).sum(axis=1)
+            self.raw[-1] += norms.sum()
+            for at in _alike(runs):
+                own, k = [runs[i] for i in at], self.ks[at[0]]
+                label = _labels(part, norms, own, None if held is None else held[first:first + CHUNK], block, first)
+                if own[0].rounds is not None:
+                    trials = [r.trial for r in own]
+                    gain, to = _gains(part, norms, label, trials)
+                    move = _moves(gain, trials, block, first)
+                    row = gain.argmax(axis=0)
+                    for j, i in enumerate(at):
+                        if trials[j].only is None and gain[row[j], j] > 0:
+                            self._improve(np.array([i]), np.array([[gain[row[j], j], block, first + row[j]]]))
+                    label = np.where(move, to, label)
+                    self.best[at, 3] += move.sum(axis=0)
+                member = (label[:, None, :] == np.arange(k, dtype=LABEL)[None, :, None]).astype(np.float64)
+                sizes, sums = member.sum(axis=0), (member.reshape(len(part), -1).T @ part).reshape(k, len(at), -1)
+                for j, i in enumerate(at):
+                    self.sizes[ends[i] - k:ends[i]] += sizes[:, j]
+                    self.sums[ends[i] - k:ends[i]] += sums[:, j]
 
 
 def packed(rows: DataFrame, cols: list[str]) -> DataFrame:
@@ -173,20 +224,27 @@ def packed(rows: DataFrame, cols: list[str]) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(parts, pa.binary())], ["x"])
 
     blocks = rows.select(*cols).mapInArrow(pack, "x binary")
-    return cut_lineage(blocks.withColumn("block", F.monotonically_increasing_id()))
+    return cut_lineage(blocks.select(F.monotonically_increasing_id().alias("block"), "x"))
+
 
+def _held(blocks: list, dim: int, stored: int) -> Iterator[tuple[int, np.ndarray, np.ndarray | None]]:
+    """block, rows, stored labels of an Arrow batch's blocks."""
+    for i, block in enumerate(blocks.column(0).to_pylist()):
+        x = np.frombuffer(blocks.column(1)[i].as_buffer(), dtype=np.float64).reshape(-1, dim)
+        held = np.frombuffer(blocks.column(2)[i].as_buffer(), dtype=LABEL).reshape(len(x), stored) if stored else None
+        if len(x):
+            yield block, x, held
 
-def _step(blocks: DataFrame, runs: list[Run], dim: int) -> Sums:
+
+def _step(blocks: DataFrame, runs: list[Run], dim: int, stored: int = 0) -> Sums:
     ks = [len(r.centers) for r in runs]
 
     def partial(batches: Iterator) -> Iterator:
         import pyarrow as pa
         out = Sums(ks, dim)
         for batch in batches:
-            for block, x in zip(batch.column(0).to_pylist(), batch.column(1)):
-                rows = np.frombuffer(x.as_buffer(), dtype=np.float64).reshape(-1, dim)
-                if len(rows):
-                    out.of_block(block, rows, runs)
+            for block, rows, held in _held(batch, dim, stored):
+                out.of_block(block, rows, runs, held)
         yield pa.RecordBatch.from_arrays([pa.array([out.raw.tobytes()], pa.binary())], ["sums"])
 
     def added(batches: Iterator) -> Iterator:
@@ -197,7 +255,7 @@ def _step(blocks: DataFrame, runs: list[Run], dim: int) -> Sums:
                 out.add(Sums(ks, dim, np.frombuffer(raw, dtype=np.float64)))
         yield pa.RecordBatch.from_arrays([pa.array([out.raw.tobytes()], pa.binary())], ["sums"])
 
-    parts = blocks.select("block", "x").mapInArrow(partial, "sums binary")
+    parts = blocks.mapInArrow(partial, "sums binary")
     if blocks.rdd.getNumPartitions() > FAN_IN:
         parts = parts.repartition(FAN_IN).mapInArrow(added, "sums binary")
     total = Sums(ks, dim)
@@ -206,6 +264,26 @@ def _step(blocks: DataFrame, runs: list[Run], dim: int) -> Sums:
     return total
 
 
+def _stored(blocks: DataFrame, runs: list[Run], dim: int, stored: int) -> DataFrame:
+    """The blocks with the labels of ``runs`` after their rounds so far, written
+    to the checkpoint folder."""
+    def label(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+        for batch in batches:
+            for block, x, held in _held(batch, dim, stored):
+                out = np.empty((len(x), len(runs)), dtype=LABEL)
+                for first in range(0, len(x), CHUNK):
+                    part = x[first:first + CHUNK]
+                    for at in _alike(runs):
+                        out[first:first + CHUNK, at] = _labels(
+                            part, (part ** 2).sum(axis=1), [runs[i] for i in at],
+                            None if held is None else held[first:first + CHUNK], block, first)
+                yield pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), pa.array([x.tobytes()], pa.binary()),
+                                                  pa.array([out.tobytes()], pa.binary())], ["block", "x", "labels"])
+
+    return staged(blocks.mapInArrow(label, "block long, x binary, labels binary"))
+
+
 def _centers(sizes: np.ndarray, sums: np.ndarray, before: np.ndarray) -> np.ndarray:
     """Means of the clusters; an empty one keeps its centre."""
     out = before.copy()
@@ -250,8 +328,7 @@ def advance(run: Run, sizes: np.ndarray, sums: np.ndarray, best: np.ndarray, squ
     if run.steps >= max_iter:
         run.done = True
         return
-    last = run.rounds[-1].centers if run.rounds else run.centers
-    mean = _centers(run.sizes, run.sums, last)
+    mean = _centers(run.sizes, run.sums, run.before())
     least = LEAST_GAIN * squares
     if run.share < len(SHARES):
         run.trial = Round(mean, run.sizes, max(least, SHARES[run.share] * run.best[0]) if run.share else least)
@@ -271,14 +348,26 @@ def lloyd(blocks: DataFrame, centers: np.ndarray, steps: int) -> np.ndarray:
 def fit(blocks: DataFrame, starts: list[np.ndarray], max_iter: int) -> list[Run]:
     """All runs, finished: ``max_iter`` Lloyd steps and transfer rounds at most."""
     runs = [Run(np.array(s, dtype=np.float64)) for s in starts]
-    dim = runs[0].centers.shape[1]
+    dim, state, stored = runs[0].centers.shape[1], blocks, 0
     while active := [r for r in runs if not r.done]:
-        total = _step(blocks, active, dim)
+        if any(len(r.rounds or ()) >= REPLAYED for r in active):
+            kept = [r for r in active if r.rounds or r.column is not None]
+            before, state = state, _stored(state, kept, dim, stored).persist()
+            stored = len(kept)
+            for i, r in enumerate(kept):
+                r.column, r.last, r.rounds = i, r.before(), []
+            if before is not blocks:
+                before.unpersist()
+                discard(before)
+        total = _step(state, active, dim, stored)
         lo = 0
         for i, r in enumerate(active):
             hi = lo + len(r.centers)
             advance(r, total.sizes[lo:hi], total.sums[lo:hi], total.best[i], total.raw[-1], max_iter)
             lo = hi
+    if state is not blocks:
+        state.unpersist()
+        discard(state)
     for r in runs:
-        r.centers = _centers(r.sizes, r.sums, r.rounds[-1].centers if r.rounds else r.centers)
+        r.centers = _centers(r.sizes, r.sums, r.before())
     return runs

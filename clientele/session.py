@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -102,3 +103,19 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def staged(df: DataFrame) -> DataFrame:
+    """``df`` written as Parquet in the checkpoint folder and read back, without
+    lineage; ``discard`` deletes it."""
+    path = f"{ensure_checkpoint_dir(df.sparkSession)}/staged-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._staged_path = path
+    return out
+
+
+def discard(table: DataFrame) -> None:
+    """Delete the files of a table that ``staged`` returned."""
+    at = table.sparkSession._jvm.org.apache.hadoop.fs.Path(table._staged_path)
+    at.getFileSystem(table.sparkSession._jsc.hadoopConfiguration()).delete(at, True)

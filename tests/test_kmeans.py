@@ -126,3 +126,28 @@ def test_fixed_starts_equal_plain_lloyd(spark):
     assert got == {i: c + 1 for i, c in enumerate(label.tolist())}
     assert segments.lloyd_clusters(dm.limit(0)).collect() == []
     assert {r["cluster"] for r in segments.lloyd_clusters(dm.limit(1)).collect()} == {1}
+
+
+def test_rounds_that_tasks_repeat_stay_few(spark, monkeypatch):
+    """A step's cost does not grow with the rounds before it, and stored labels
+    give the runs that repeated rounds give."""
+    rng = np.random.default_rng(5)
+    x = np.round(rng.normal(size=(400, 3)), 3)
+    starts = [x[rng.choice(400, size=k, replace=False)] for k in (3, 6, 8) for _ in range(2)]
+    blocks = kmeans.packed(_frame(spark, x), ["c0", "c1", "c2"])
+    step, most = kmeans._step, []
+
+    def counted(blocks, runs, *args):
+        most.append(max(len(r.rounds or ()) for r in runs))
+        return step(blocks, runs, *args)
+
+    monkeypatch.setattr(kmeans, "_step", counted)
+    monkeypatch.setattr(kmeans, "REPLAYED", 1000)
+    want = kmeans.fit(blocks, starts, 4)
+    assert max(most) > 1
+    most.clear()
+    monkeypatch.setattr(kmeans, "REPLAYED", 1)
+    got = kmeans.fit(blocks, starts, 4)
+    assert max(most) <= 1
+    for g, w in zip(got, want):
+        assert abs(g.cost - w.cost) < 1e-8 and np.allclose(g.centers, w.centers) and (g.sizes == w.sizes).all()
