@@ -15,10 +15,16 @@ those with other bounds or of another kind than an accepted span are negative.
 All others are unlabelled: they train and calibrate nothing, and only they can
 be added.  The features say nothing of the strict patterns' deciding marks (the
 plus sign of phones, the Luhn digit, the at sign's exact spelling), so a
-positive looks as it would where the strict patterns miss it.  Candidates for
-training come from at most ``sample`` different texts, and are at most
-``CANDIDATES`` of a kind, those of the least hashes; a text counts once,
-however many rows hold it.
+positive looks as it would where the strict patterns miss it.  Every labelled
+candidate of every text trains and calibrates; a text counts once, however many
+rows hold it.
+
+Candidates of equal kind, fold, label and features are one row with a count.
+All trees of a round, of every kind and fold, grow together: one Spark job a
+level adds up the histograms of gradients that tasks take of their rows, and the
+driver receives those histograms only, whose size is fixed.  Gradients are
+rounded to multiples of 1 / ``UNITS``, so sums do not depend on their order.
+Thresholds come from prefix sums over the distinct scores, sorted by range.
 
 Defined cases: null text counts as empty and has no spans; repeated rows are
 all reported; an empty table gives an empty result; without positive and
@@ -38,8 +44,9 @@ from dataclasses import dataclass, field
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
-from clientele.llm.common import least_hashes, staged
+from clientele.llm.common import discard, least_hashes, staged
 
 # Kinds and patterns of the contract, in its order.
 KINDS = ("email", "ip", "card", "phone")
@@ -61,10 +68,10 @@ _LINK = re.compile(r"[\x20().\-]{1,2}")
 _SPELT = ((re.compile(r"(?i)\x20?(?:\(at\)|\[at\])\x20?"), "@"), (re.compile(r"(?i)\x20?(?:\(dot\)|\[dot\])\x20?"), "."))
 _AT = re.compile(r"(?i)@|\(at\)|\[at\]")
 
-#: Different texts that training candidates are drawn from, and candidates of a
-#: kind that train.
-SAMPLE, CANDIDATES = 20_000, 20_000
 TREES, DEPTH, RATE, BINS = 40, 3, 0.3, 16
+#: Parts of a gradient, rows of a task, rows of a block, most partial rows that
+#: the driver receives a level, and trees after which scores are stored.
+UNITS, TASK, BLOCK, FAN_IN, STORED = 1 << 24, 50_000, 8192, 16, 10
 #: Held-out precision that a kind's threshold must reach.
 PRECISION = 0.995
 #: Parts of the labelled candidates, by a hash of the text, for calibration.
@@ -240,78 +247,79 @@ class Boosted:
     def _bin(self, x: np.ndarray) -> np.ndarray:
         return np.stack([np.searchsorted(e, x[:, j], side="right") for j, e in enumerate(self.edges)], axis=1)
 
-    def fit(self, x: np.ndarray, y: np.ndarray) -> Boosted:
-        self.edges = [np.unique(np.quantile(x[:, j], np.linspace(0, 1, BINS + 1)[1:-1])) for j in range(x.shape[1])]
-        b = self._bin(x)
-        rate = np.clip(y.mean(), 1e-3, 1 - 1e-3)
-        self.start = float(np.log(rate / (1 - rate)))
-        score = np.full(len(y), self.start)
-        for _ in range(TREES):
-            p = 1 / (1 + np.exp(-score))
-            grad, hess = y - p, p * (1 - p)
-            node = np.zeros(len(y), dtype=int)
-            tree: list[tuple[int, int, float]] = [(-1, 0, 0.0)] * (2 ** (DEPTH + 1) - 1)
-            for depth in range(DEPTH + 1):
-                for k in range(2 ** depth - 1, 2 ** (depth + 1) - 1):
-                    inside = node == k
-                    if not inside.any():
-                        continue
-                    g, h = grad[inside].sum(), hess[inside].sum()
-                    best, feature, cut = 1e-6, -1, 0
-                    if depth < DEPTH:
-                        for j in range(x.shape[1]):
-                            bins = len(self.edges[j]) + 1
-                            cg = np.cumsum(np.bincount(b[inside, j], weights=grad[inside], minlength=bins))[:-1]
-                            ch = np.cumsum(np.bincount(b[inside, j], weights=hess[inside], minlength=bins))[:-1]
-                            if not len(cg):
-                                continue
-                            gain = cg ** 2 / (ch + 1) + (g - cg) ** 2 / (h - ch + 1) - g ** 2 / (h + 1)
-                            at = int(gain.argmax())
-                            if gain[at] > best:
-                                best, feature, cut = gain[at], j, at
-                    tree[k] = (feature, cut, float(RATE * g / (h + 1)))
-                    if feature >= 0:
-                        rows = np.flatnonzero(inside)
-                        right = b[rows, feature] > cut
-                        node[rows] = 2 * k + 1 + right
-            self.trees.append(tree)
-            score += self._walk(tree, b)
-        return self
+    def split(self, hist: np.ndarray, depth: int) -> None:
+        """Grow the last tree by a level from its nodes' histograms (nodes,
+        features, bins, gradient and hessian)."""
+        tree = self.trees[-1]
+        for i, k in enumerate(range(2 ** depth - 1, 2 ** (depth + 1) - 1)):
+            g, h = hist[i, 0].sum(axis=0) / UNITS
+            if not h:
+                continue
+            best, feature, cut, parts = 1e-6, -1, 0, None
+            for j in range(FEATURES):
+                cg, ch = (np.cumsum(hist[i, j, :len(self.edges[j]) + 1], axis=0)[:-1] / UNITS).T
+                if not len(cg):
+                    continue
+                gain = cg ** 2 / (ch + 1) + (g - cg) ** 2 / (h - ch + 1) - g ** 2 / (h + 1)
+                at = int(gain.argmax())
+                if gain[at] > best:
+                    best, feature, cut = gain[at], j, at
+                    parts = ((cg[at], ch[at]), (g - cg[at], h - ch[at]))
+            tree[k] = (feature, cut, float(RATE * g / (h + 1)))
+            if parts and depth == DEPTH - 1:  # its leaves need no look of their own
+                for side, (gs, hs) in enumerate(parts):
+                    tree[2 * k + 1 + side] = (-1, 0, float(RATE * gs / (hs + 1)))
 
     @staticmethod
-    def _walk(tree, b: np.ndarray) -> np.ndarray:
+    def place(tree, b: np.ndarray) -> np.ndarray:
+        """The node of each row."""
         node = np.zeros(len(b), dtype=int)
         feature = np.array([t[0] for t in tree])
         cut = np.array([t[1] for t in tree])
-        value = np.array([t[2] for t in tree])
         for _ in range(DEPTH):
             f = feature[node]
-            go = f >= 0
             right = b[np.arange(len(b)), np.maximum(f, 0)] > cut[node]
-            node = np.where(go, 2 * node + 1 + right, node)
-        return value[node]
-
-    def score(self, x: np.ndarray) -> np.ndarray:
-        b = self._bin(x)
-        return self.start + sum(self._walk(t, b) for t in self.trees)
-
+            node = np.where(f >= 0, 2 * node + 1 + right, node)
+        return node
 
-def calibrate(scores: np.ndarray, y: np.ndarray, precision: float = PRECISION) -> float:
-    """The least threshold whose held-out precision, smoothed by one false
-    candidate, reaches ``precision``; infinite if none does."""
-    order = np.argsort(-scores, kind="stable")
-    s, hits = scores[order], np.cumsum(y[order])
-    ok = hits / (np.arange(1, len(s) + 1) + 1) >= precision
-    last = np.r_[s[1:] != s[:-1], True]  # ties share a side of the threshold
-    good = np.flatnonzero(ok & last)
-    return float(s[good[-1]]) if len(good) else float("inf")
+    def raised(self, score: np.ndarray, b: np.ndarray, first: int, last: int) -> np.ndarray:
+        """Scores with trees ``first`` to ``last`` added."""
+        for tree in self.trees[first:last]:
+            score = score + np.array([t[2] for t in tree])[self.place(tree, b)]
+        return score
 
-
-def labelled(docs: DataFrame, sample: int, seed: int, most: int = CANDIDATES) -> DataFrame:
-    """kind, x, y, fold of the candidates that train, at most ``most`` a kind."""
-    hashed = docs.select("text", F.xxhash64(F.lit(seed), "text").alias("h"))
-    texts = staged(hashed.select("h").distinct().withColumn("all", F.lit(0)))
-    drawn = hashed.join(F.broadcast(staged(least_hashes(texts, "all", sample)).select("h")), "h")  # ``sample`` hashes
+    def score(self, x: np.ndarray) -> np.ndarray:
+        return self.raised(np.full(len(x), self.start), self._bin(x), 0, len(self.trees))
+
+
+def calibrate(scored: DataFrame, precision: float = PRECISION) -> dict[int, float]:
+    """kind -> the least threshold whose held-out precision, smoothed by one
+    false candidate, reaches ``precision``; kinds without one are left out.
+
+    ``scored`` has kind, s (score), y, n (count).  Prefix sums over the distinct
+    scores: ranges of them are tasks, and ranges' totals are added up before.
+    """
+    counted = scored.groupBy("kind", "s").agg(F.sum("n").alias("n"), F.sum(F.when(F.col("y"), F.col("n")).otherwise(0)).alias("hits"))
+    tagged = staged(counted.repartitionByRange("kind", F.desc("s")).withColumn("pid", F.spark_partition_id()))
+    totals = tagged.groupBy("pid", "kind").agg(F.sum("n").alias("n"), F.sum("hits").alias("hits"))  # ranges, and one more a kind
+    earlier = W.partitionBy("kind").orderBy("pid").rowsBetween(W.unboundedPreceding, -1)
+    offsets = totals.select("pid", "kind", *[F.coalesce(F.sum(c).over(earlier), F.lit(0)).alias(f"{c}_before") for c in ("n", "hits")])
+    upto = W.partitionBy("pid", "kind").orderBy(F.desc("s")).rowsBetween(W.unboundedPreceding, W.currentRow)
+    sums = (tagged.withColumns({f"{c}_upto": F.sum(c).over(upto) for c in ("n", "hits")})
+            .join(F.broadcast(offsets), ["pid", "kind"]))
+    reached = (F.col("hits_before") + F.col("hits_upto")) / (F.col("n_before") + F.col("n_upto") + 1) >= precision
+    found = {r["kind"]: r["s"] for r in sums.filter(reached).groupBy("kind").agg(F.min("s").alias("s")).collect()}
+    discard(tagged)
+    return found
+
+
+def labelled(docs: DataFrame, sample: int | None = None, seed: int = 17, most: int | None = None) -> DataFrame:
+    """kind, x, y, fold of the labelled candidates, once a text: all of them, or
+    those of ``sample`` texts, or ``most`` a kind."""
+    drawn = docs.select("text", F.xxhash64(F.lit(seed), "text").alias("h"))
+    if sample is not None:
+        texts = staged(drawn.select("h").distinct().withColumn("all", F.lit(0)))
+        drawn = drawn.join(F.broadcast(staged(least_hashes(texts, "all", sample)).select("h")), "h")  # ``sample`` hashes
 
     def collect(batches: Iterator) -> Iterator:
         import pyarrow as pa
@@ -333,32 +341,172 @@ def labelled(docs: DataFrame, sample: int, seed: int, most: int = CANDIDATES) ->
             yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], t) for i, t in enumerate(kinds)],
                                              ["t", "a", "b", "kind", "x", "y", "fold"])
 
-    found = (drawn.select("text", "h").mapInArrow(
-        collect, "t long, a int, b int, kind int, x array<double>, y boolean, fold int")
-        .dropDuplicates(["t", "a", "b", "kind"]).withColumn("h", F.xxhash64(F.lit(seed), "t", "a", "b", "kind")))
-    return least_hashes(staged(found), "kind", most).select("kind", "x", "y", "fold")
-
-
-def fit(docs: DataFrame, sample: int = SAMPLE, seed: int = 17) -> list[Boosted | None]:
-    """One model per kind, from a bounded sample of candidates."""
-    got = labelled(docs.select("text"), sample, seed).collect()
-    got.sort(key=lambda r: (r[0], r[1], r[2], r[3]))
-    models: list[Boosted | None] = []
+    found = drawn.select("text", "h").mapInArrow(
+        collect, "t long, a int, b int, kind int, x array<double>, y boolean, fold int").dropDuplicates(["t", "a", "b", "kind"])
+    if most is not None:
+        found = least_hashes(staged(found.withColumn("h", F.xxhash64(F.lit(seed), "t", "a", "b", "kind"))), "kind", most)
+    return found.select("kind", "x", "y", "fold")
+
+
+def _edges(values: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """The bins' edges: distinct quantiles of sorted values with counts."""
+    ends = np.cumsum(counts)
+    place = np.linspace(0, 1, BINS + 1)[1:-1] * (ends[-1] - 1)
+    low, high = (values[np.searchsorted(ends, f(place).astype(np.int64), side="right")] for f in (np.floor, np.ceil))
+    return np.unique(low + (place - np.floor(place)) * (high - low))
+
+
+def _prepared(found: DataFrame) -> dict[int, list[Boosted]]:
+    """kind -> models without trees, one for each fold, which leaves it out, and
+    one of all candidates; kinds with too few candidates are left out."""
+    # a feature is a count or a mark within a candidate of bounded length, so it has few values
+    rows = (found.select("kind", "fold", "y", "n", F.posexplode("x").alias("j", "v"))
+            .groupBy("kind", "fold", "y", "j", "v").agg(F.sum("n").alias("n")).toArrow())
+    kind, fold, y, j, v, n = (rows.column(c).to_numpy() for c in ("kind", "fold", "y", "j", "v", "n"))
+    out: dict[int, list[Boosted]] = {}
     for k in range(len(KINDS)):
-        own = [r for r in got if r[0] == k]
-        x = np.array([r[1] for r in own], dtype=float).reshape(len(own), FEATURES)
-        y, fold = np.array([r[2] for r in own], dtype=float), np.array([r[3] for r in own], dtype=int)
-        labels = (y,) if KINDS[k] == "card" else (y, 1 - y)
-        if any(v.sum() < 20 or min(v[fold != f].sum() for f in range(FOLDS)) < 10 for v in labels):
-            models.append(None)
+        own = (kind == k) & (j == 0)
+        held = [[int(n[own & (fold == f) & (y == label)].sum()) for f in range(FOLDS)] for label in (True, False)]
+        if any(sum(h) < 20 or sum(h) - max(h) < 10 for h in (held[:1] if KINDS[k] == "card" else held)):
             continue
-        score = np.zeros(len(y))
-        for f in np.unique(fold):
-            score[fold == f] = Boosted().fit(x[fold != f], y[fold != f]).score(x[fold == f])
-        model = Boosted().fit(x, y)
-        model.threshold = calibrate(score, y)
-        models.append(model)
-    return models
+        out[k] = []
+        for m in range(FOLDS + 1):
+            edges = []
+            for f in range(FEATURES):
+                at = (kind == k) & (fold != m) & (j == f)
+                values, place = np.unique(v[at], return_inverse=True)
+                edges.append(_edges(values, np.bincount(place, weights=n[at])))
+            yes, no = (sum(c for f, c in enumerate(h) if f != m) for h in held)
+            rate = np.clip(yes / (yes + no), 1e-3, 1 - 1e-3)
+            out[k].append(Boosted(edges, float(np.log(rate / (1 - rate)))))
+    return out
+
+
+#: Columns of a block's rows: features, label, fold, count, scores by each model.
+_Y, _FOLD, _N, _SCORES, _WIDTH = FEATURES, FEATURES + 1, FEATURES + 2, FEATURES + 3, FEATURES + 4 + FOLDS
+
+
+def _blocks_of(batch) -> Iterator[tuple[int, np.ndarray]]:
+    for i, kind in enumerate(batch.column(0).to_pylist()):
+        yield kind, np.frombuffer(batch.column(1)[i].as_buffer(), dtype=np.float64).reshape(-1, _WIDTH)
+
+
+def _packed(found: DataFrame, models: dict[int, list[Boosted]]) -> DataFrame:
+    """kind, rows: the candidates in blocks of doubles."""
+    def pack(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+        for batch in batches:
+            kind = batch.column(0).to_numpy(zero_copy_only=False)
+            rows = np.empty((len(kind), _WIDTH))
+            rows[:, :FEATURES] = batch.column(1).flatten().to_numpy(zero_copy_only=False).reshape(-1, FEATURES)
+            for i, at in enumerate((_Y, _FOLD, _N), 2):
+                rows[:, at] = batch.column(i).to_numpy(zero_copy_only=False)
+            kinds, parts = [], []
+            for k in sorted(models):
+                own = rows[kind == k]
+                own[:, _SCORES:] = [m.start for m in models[k]]
+                for lo in range(0, len(own), BLOCK):
+                    kinds.append(k)
+                    parts.append(own[lo:lo + BLOCK].tobytes())
+            yield pa.RecordBatch.from_arrays([pa.array(kinds, pa.int32()), pa.array(parts, pa.binary())], ["kind", "rows"])
+
+    tasks = max(1, -(-found.count() // TASK))
+    return staged(found.select("kind", "x", "y", "fold", "n").repartition(tasks).mapInArrow(pack, "kind int, rows binary"))
+
+
+def _stored(blocks: DataFrame, models: dict[int, list[Boosted]], first: int) -> DataFrame:
+    """The blocks with the scores by all trees so far, of which ``first`` are in."""
+    def add(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+        for batch in batches:
+            kinds, parts = [], []
+            for k, rows in _blocks_of(batch):
+                rows = rows.copy()
+                for m, model in enumerate(models[k]):
+                    b = model._bin(rows[:, :FEATURES])
+                    rows[:, _SCORES + m] = model.raised(rows[:, _SCORES + m], b, first, len(model.trees))
+                kinds.append(k)
+                parts.append(rows.tobytes())
+            yield pa.RecordBatch.from_arrays([pa.array(kinds, pa.int32()), pa.array(parts, pa.binary())], ["kind", "rows"])
+
+    return staged(blocks.mapInArrow(add, "kind int, rows binary"))
+
+
+def _histograms(blocks: DataFrame, models: dict[int, list[Boosted]], first: int, depth: int) -> dict[int, np.ndarray]:
+    """kind -> models x nodes x features x bins x (gradient, hessian), in UNITS, of
+    the last trees' nodes of a depth; scores hold ``first`` trees."""
+    at, nodes = sorted(models), 2 ** depth
+    shape = (len(at), FOLDS + 1, nodes, FEATURES, BINS, 2)
+
+    def partial(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+        out = np.zeros(shape)
+        for batch in batches:
+            for k, rows in _blocks_of(batch):
+                for m, model in enumerate(models[k]):
+                    own = rows[rows[:, _FOLD] != m]
+                    b = model._bin(own[:, :FEATURES])
+                    p = 1 / (1 + np.exp(-model.raised(own[:, _SCORES + m], b, first, len(model.trees) - 1)))
+                    node = model.place(model.trees[-1], b) - (nodes - 1)
+                    here = node >= 0
+                    weights = [np.rint(v * UNITS)[here] * own[here, _N] for v in (own[:, _Y] - p, p * (1 - p))]
+                    for j in range(FEATURES):
+                        bins = node[here] * BINS + b[here, j]
+                        for i, w in enumerate(weights):
+                            out[at.index(k), m, :, j, :, i] += np.bincount(bins, weights=w, minlength=nodes * BINS).reshape(nodes, BINS)
+        yield pa.RecordBatch.from_arrays([pa.array([out.tobytes()], pa.binary())], ["sums"])
+
+    def added(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+        out = np.zeros(shape)
+        for batch in batches:
+            for raw in batch.column(0).to_pylist():
+                out += np.frombuffer(raw).reshape(shape)
+        yield pa.RecordBatch.from_arrays([pa.array([out.tobytes()], pa.binary())], ["sums"])
+
+    parts = blocks.mapInArrow(partial, "sums binary")
+    if blocks.rdd.getNumPartitions() > FAN_IN:
+        parts = parts.repartition(FAN_IN).mapInArrow(added, "sums binary")
+    total = sum(np.frombuffer(bytes(r["sums"])).reshape(shape) for r in parts.collect())  # FAN_IN rows at most
+    return {k: total[i] for i, k in enumerate(at)}
+
+
+def _held_out(blocks: DataFrame) -> DataFrame:
+    """kind, s, y, n: each candidate's score by the trees that left its fold out."""
+    def scores(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+        for batch in batches:
+            for k, rows in _blocks_of(batch):
+                s = rows[np.arange(len(rows)), _SCORES + rows[:, _FOLD].astype(int)]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(rows), k, np.int32)), pa.array(s), pa.array(rows[:, _Y] > 0),
+                     pa.array(rows[:, _N].astype(np.int64))], ["kind", "s", "y", "n"])
+
+    return blocks.mapInArrow(scores, "kind int, s double, y boolean, n long")
+
+
+def fit(docs: DataFrame, sample: int | None = None, seed: int = 17) -> list[Boosted | None]:
+    """One model per kind, from all labelled candidates (or of ``sample`` texts)."""
+    found = staged(labelled(docs.select("text"), sample, seed).groupBy("kind", "x", "y", "fold").agg(F.count("*").alias("n")))
+    models = _prepared(found)
+    if models:
+        blocks, first = _packed(found, models), 0
+        for tree in range(TREES):
+            for own in models.values():
+                for model in own:
+                    model.trees.append([(-1, 0, 0.0)] * (2 ** (DEPTH + 1) - 1))
+            for depth in range(DEPTH):
+                for k, hist in _histograms(blocks, models, first, depth).items():
+                    for model, own in zip(models[k], hist):
+                        model.split(own, depth)
+            if (tree + 1) % STORED == 0 or tree + 1 == TREES:
+                before, blocks, first = blocks, _stored(blocks, models, first), tree + 1
+                discard(before)
+        for k, threshold in calibrate(_held_out(blocks)).items():
+            models[k][FOLDS].threshold = threshold
+        discard(blocks)
+    discard(found)
+    return [models[k][FOLDS] if k in models else None for k in range(len(KINDS))]
 
 
 def select(text: str, models: list[Boosted | None]) -> tuple[list, list]:
@@ -421,5 +569,5 @@ def redact(text: str, models: list[Boosted | None]) -> str:
     return "".join(out) + text[at:]
 
 
-def personal_data(docs: DataFrame, sample: int = SAMPLE) -> DataFrame:
+def personal_data(docs: DataFrame, sample: int | None = None) -> DataFrame:
     return find(docs, fit(docs, sample))
