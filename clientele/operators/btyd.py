@@ -8,9 +8,9 @@ Scoring is one projection per customer (native expressions; the Gauss
 hypergeometric series is an Arrow-batched pandas UDF).  Fitting maximises
 the log-likelihood with a BFGS loop on the driver in which every step is a
 single pass over the (checkpointed) customer table: each partition computes
-the log-likelihood and its analytic gradient for a whole ladder of step
-lengths (numpy on Arrow batches) and a Spark aggregation adds the partial
-sums.  Only the parameter vectors and a handful of sums cross the driver
+the log-likelihood and its analytic gradient (numpy on Arrow batches) for the
+full step, or, where that fails, for a whole ladder of shorter ones, and a Spark
+aggregation adds the partial sums.  Only the parameter vectors and a handful of sums cross the driver
 boundary, as in Spark ML's own iterative estimators.
 """
 
@@ -201,25 +201,39 @@ def clv_top(clv: DataFrame, n: int = 10) -> DataFrame:
 
 # --- B2 / B7: maximum-likelihood fits ---------------------------------------------------------
 
+def _each(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(table, index): table[index] are the values, of which the table has few.
+
+    Counts and days are whole numbers with many rows each, so a function of them
+    is computed once a number of the table and looked up by row."""
+    if len(values) and values.min() >= 0 and values.max() <= len(values):
+        index = values.astype(np.int64)
+        if (index == values).all():
+            return np.arange(index.max() + 1, dtype=float), index
+    return np.unique(values, return_inverse=True)
+
+
 def _bgnbd_ll_grad(theta: np.ndarray, x, t_x, t_cal, n):
     """Weighted log-likelihood and gradient (w.r.t. log-parameters) of the
     BG/NBD model on numpy arrays of one partition."""
     r, alpha, a, b = np.exp(theta)
     pos = x > 0
-    g = lgamma_np(x + r) - lgamma_np(r)
-    h = lgamma_np(x + b) - lgamma_np(b) + lgamma_np(a + b) - lgamma_np(x + a + b)
-    la = g + h + r * np.log(alpha) - (x + r) * np.log(t_cal + alpha)
-    bx1 = np.where(pos, x + b - 1.0, 1.0)
-    lb = np.where(pos, g + h + np.log(a) - np.log(bx1) + r * np.log(alpha)
-                  - (x + r) * np.log(t_x + alpha), -np.inf)
+    (xs, of_x), (txs, of_tx), (tcs, of_tc) = _each(x), _each(t_x), _each(t_cal)
+    log_tx, log_tc = np.log(txs + alpha)[of_tx], np.log(tcs + alpha)[of_tc]
+    g = lgamma_np(xs + r) - lgamma_np(r)
+    h = lgamma_np(xs + b) - lgamma_np(b) + lgamma_np(a + b) - lgamma_np(xs + a + b)
+    bx1 = np.where(xs > 0, xs + b - 1.0, 1.0)
+    la = (g + h + r * np.log(alpha))[of_x] - (x + r) * log_tc
+    lb = np.where(pos, (g + h + np.log(a) - np.log(bx1) + r * np.log(alpha))[of_x]
+                  - (x + r) * log_tx, -np.inf)
     ll = np.logaddexp(la, lb)
     wa, wb = np.exp(la - ll), np.exp(lb - ll)
-    dh_a = digamma_np(a + b) - digamma_np(x + a + b)
-    d_r = (digamma_np(x + r) - digamma_np(r) + np.log(alpha) - wa * np.log(t_cal + alpha)
-           - wb * np.log(t_x + alpha))
+    dh_a = digamma_np(a + b) - digamma_np(xs + a + b)
+    d_r = ((digamma_np(xs + r) - digamma_np(r) + np.log(alpha))[of_x] - wa * log_tc
+           - wb * log_tx)
     d_alpha = r / alpha - wa * (x + r) / (t_cal + alpha) - wb * (x + r) / (t_x + alpha)
-    d_a = dh_a + wb / a
-    d_b = digamma_np(x + b) - digamma_np(b) + dh_a - np.where(pos, wb / bx1, 0.0)
+    d_a = dh_a[of_x] + wb / a
+    d_b = (digamma_np(xs + b) - digamma_np(b) + dh_a)[of_x] - np.where(pos, wb / bx1[of_x], 0.0)
     grads = [d_r * r, d_alpha * alpha, d_a * a, d_b * b]
     return float((n * ll).sum()), [float((n * gr).sum()) for gr in grads]
 
@@ -227,13 +241,14 @@ def _bgnbd_ll_grad(theta: np.ndarray, x, t_x, t_cal, n):
 def _gg_ll_grad(theta: np.ndarray, x, m):
     """Gamma-Gamma spend log-likelihood and gradient (log-parameters)."""
     p, q, g = np.exp(theta)
-    px = p * x
-    lgm = np.log(m * x + g)
-    ll = (lgamma_np(px + q) - lgamma_np(px) - lgamma_np(q) + q * np.log(g)
-          + (px - 1) * np.log(m) + px * np.log(x) - (px + q) * lgm)
-    dg_pxq = digamma_np(px + q)
-    d_p = x * (dg_pxq - digamma_np(px) + np.log(m) + np.log(x) - lgm)
-    d_q = dg_pxq - digamma_np(q) + np.log(g) - lgm
+    xs, of_x = _each(x)
+    pxs, px = p * xs, p * x
+    lgm, lm, lx = np.log(m * x + g), np.log(m), np.log(xs)[of_x]
+    ll = ((lgamma_np(pxs + q) - lgamma_np(pxs) - lgamma_np(q) + q * np.log(g))[of_x]
+          + (px - 1) * lm + px * lx - (px + q) * lgm)
+    dg_pxq = digamma_np(pxs + q)
+    d_p = x * ((dg_pxq - digamma_np(pxs))[of_x] + lm + lx - lgm)
+    d_q = (dg_pxq - digamma_np(q))[of_x] + np.log(g) - lgm
     d_g = q / g - (px + q) / (m * x + g)
     return float(ll.sum()), [float((d * s_).sum()) for d, s_ in ((d_p, p), (d_q, q), (d_g, g))]
 
@@ -308,10 +323,13 @@ def _minimize(evaluate, theta0, upper: float, lower: float = -30.0, max_iter: in
             d = d * (_MAX_STEP / longest)
         best = None
         cands = [np.clip(theta + step * d, lower, upper) for step in _STEPS]
-        for cand, (fc, gc) in zip(cands, evaluate(cands)):  # the whole ladder in one pass
-            if np.isfinite(fc) and np.all(np.isfinite(gc)) and \
-                    fc <= f + 1e-4 * (pg @ (cand - theta)):
-                best = (cand, fc, gc)
+        for some in (cands[:1], cands[1:]):  # the full step mostly does; else the rest of the ladder in one pass
+            for cand, (fc, gc) in zip(some, evaluate(some)):
+                if np.isfinite(fc) and np.all(np.isfinite(gc)) and \
+                        fc <= f + 1e-4 * (pg @ (cand - theta)):
+                    best = (cand, fc, gc)
+                    break
+            if best is not None:
                 break
         if best is None:
             if np.allclose(hinv, np.eye(n)):

@@ -139,3 +139,40 @@ def test_hyp2f1_near_one_and_with_large_parameters():
     # customers with thousands of purchases keep a value
     big = hyp2f1_numpy(5000.25, 5002.5, 5002.3, np.array([0.01, 0.05]))
     assert np.isfinite(big).all()
+
+
+def test_functions_of_counts_are_looked_up():
+    """Whole and other numbers alike; special functions see each value once."""
+    import numpy as np
+    from clientele.operators import btyd
+    rng = np.random.default_rng(2)
+    seen = []
+    lgamma = btyd.lgamma_np
+    x = rng.integers(0, 9, 5000).astype(float)
+    t_x, t_cal, n = rng.integers(0, 700, 5000).astype(float), rng.integers(700, 900, 5000).astype(float), np.ones(5000)
+    theta = np.log([0.4, 5.0, 0.8, 2.5])
+    try:
+        btyd.lgamma_np = lambda z: (seen.append(np.size(z)), lgamma(z))[1]
+        whole, grad = btyd._bgnbd_ll_grad(theta, x, t_x, t_cal, n)
+        btyd._gg_ll_grad(theta[:3], x + 1, t_cal)
+    finally:
+        btyd.lgamma_np = lgamma
+    assert max(seen) <= 10
+    rows = [btyd._bgnbd_ll_grad(theta, *[np.array([v]) for v in r]) for r in zip(x, t_x, t_cal, n)]
+    assert abs(whole - sum(r[0] for r in rows)) < 1e-6 and np.allclose(grad, np.sum([r[1] for r in rows], axis=0))
+    for values in (x, x + 0.5, -x, x * 1e6, np.array([])):
+        table, index = btyd._each(values)
+        assert (table[index] == values).all()
+
+
+def test_a_full_step_that_does_needs_no_ladder():
+    import numpy as np
+    from clientele.operators import btyd
+    asked = []
+
+    def evaluate(points):
+        asked.append(len(points))
+        return [(float(((p - 1) ** 2).sum()), 2 * (p - 1)) for p in points]
+
+    theta, _, _, ok = btyd._minimize(evaluate, [0.0, 0.5], upper=5.0)
+    assert ok and np.allclose(theta, 1.0) and asked.count(1) > 1 and sum(asked) < 6 * len(asked)
