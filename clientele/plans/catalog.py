@@ -10,6 +10,7 @@ default decline threshold flags no category on the uniform test data).
 from __future__ import annotations
 
 from collections.abc import Callable
+from contextlib import contextmanager
 
 import uuid
 
@@ -65,6 +66,25 @@ def staged_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(_staged(spark, sf_dir)[0])
 
 
+#: Bytes of the source files, and of a shuffle, that one task of the staging sorts.
+SOURCE_BYTES, SHUFFLE_BYTES = 8 << 20, 16 << 20
+
+
+@contextmanager
+def _tasks_for(spark: SparkSession, length: int):
+    """While staging, as many shuffle partitions as source files of ``length``
+    bytes need, so that a task's sorts stay of one size; then what was set."""
+    names = ("spark.sql.shuffle.partitions", "spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    before = [spark.conf.get(n, None) for n in names]
+    try:
+        spark.conf.set(names[0], str(max(int(before[0]), -(-length // SOURCE_BYTES))))
+        spark.conf.set(names[1], str(SHUFFLE_BYTES))
+        yield
+    finally:
+        for name, value in zip(names, before):
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
 def _staged(spark: SparkSession, sf_dir: str) -> tuple[str, bool]:
     key = (spark.sparkContext.applicationId, sf_dir)
     stamp = _source_stamp(spark, sf_dir)
@@ -75,7 +95,8 @@ def _staged(spark: SparkSession, sf_dir: str) -> tuple[str, bool]:
             at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
         base = ensure_checkpoint_dir(spark).rstrip("/")
         path = f"{base}/staged-transactions-{uuid.uuid4().hex}"
-        sinks.stage_transactions(transactions_from_tables(spark, sf_dir), path)
+        with _tasks_for(spark, sum(length for _, length, _ in stamp)):
+            sinks.stage_transactions(transactions_from_tables(spark, sf_dir), path)
         # IsNull is pushed to Parquet: row groups whose statistics show no
         # NULL are skipped, so this costs a footer read per file
         has_null = spark.read.parquet(path).filter(F.col("customer_id").isNull()).limit(1) \

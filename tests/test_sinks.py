@@ -124,3 +124,14 @@ def test_changed_source_files_are_staged_anew(spark, scratch):
     spark.read.parquet(f"{SF_SMALL}/lineitem.parquet").limit(7).coalesce(1).write.mode("append").parquet(f"{scratch}/lineitem.parquet")
     assert catalog.txn(spark, scratch).count() == before + 7
     assert not os.path.exists(old.removeprefix("file:"))
+
+
+def test_staging_takes_more_tasks_for_more_input(spark):
+    from clientele.plans import catalog
+    name = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(name)
+    with catalog._tasks_for(spark, 1000 * catalog.SOURCE_BYTES):
+        assert spark.conf.get(name) == "1000"
+    assert spark.conf.get(name) == before
+    with catalog._tasks_for(spark, 1):
+        assert spark.conf.get(name) == before
