@@ -75,9 +75,9 @@ def _tasks_for(spark: SparkSession, length: int):
     """While staging, as many shuffle partitions as source files of ``length``
     bytes need, so that a task's sorts stay of one size; then what was set."""
     names = ("spark.sql.shuffle.partitions", "spark.sql.adaptive.advisoryPartitionSizeInBytes")
-    before = [spark.conf.get(n, None) for n in names]
+    before = [spark.conf.get(n, None) for n in names]  # None: Spark's own value
     try:
-        spark.conf.set(names[0], str(max(int(before[0]), -(-length // SOURCE_BYTES))))
+        spark.conf.set(names[0], str(max(int(spark.conf.get(names[0])), -(-length // SOURCE_BYTES))))
         spark.conf.set(names[1], str(SHUFFLE_BYTES))
         yield
     finally:
