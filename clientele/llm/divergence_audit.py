@@ -29,7 +29,7 @@ gives an empty result; extra columns are ignored.
 from __future__ import annotations
 
 import re
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from clientele.functions.ranking import global_row_number
-from clientele.llm.common import discard, staged
+from clientele.llm.common import counted, discard, staged
 
 #: Documents of a language that a kept term occurs in, and terms reported.
 LEAST, TOP = 10, 10
@@ -48,6 +48,8 @@ SCALE, ADDED = 1_000_000_000, 2
 SHARD, VOLUME = 1 << 16, 64 << 20
 #: Distinct terms or pairs that a task holds before it passes them on.
 HELD = 1 << 19
+#: Bits of an ordinal in a number that names a group, too.
+PLACE = 40
 
 _TERM = re.compile(rb"[a-z\x80-\xff]+")
 _IS_TERM = np.zeros(256, dtype=bool)
@@ -64,20 +66,27 @@ def kept_terms(docs: DataFrame, least: int = LEAST) -> DataFrame:
     """lang, term of the terms that at least so many documents of lang hold."""
     def local(batches: Iterator) -> Iterator:
         import pyarrow as pa
-        found: Counter = Counter()
+        found: defaultdict[str, Counter] = defaultdict(Counter)  # by language: terms and their documents
 
         def out():
+            langs = np.repeat(np.arange(len(found)), [len(c) for c in found.values()])
             rows = pa.RecordBatch.from_arrays(
-                [pa.array([k[0] for k in found]), pa.array([k[1].decode() for k in found], pa.string()),
-                 pa.array(list(found.values()), pa.int64())], ["lang", "term", "docs"])
+                [pa.array(list(found), pa.string()).take(pa.array(langs)), pa.array([t for c in found.values() for t in c], pa.string()),
+                 pa.array([n for c in found.values() for n in c.values()], pa.int64())], ["lang", "term", "docs"])
             found.clear()
             return rows
 
         for batch in batches:
-            for lang, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                found.update((lang, t) for t in set(_TERM.findall(text.as_py().encode().lower())))
-                if len(found) >= HELD:
+            data, bounds = _bytes(batch.column(1))
+            raw, bounds, size = data.tobytes(), bounds.tolist(), sum(map(len, found.values()))
+            for i, lang in enumerate(batch.column(0).to_pylist()):
+                of_lang = found[lang]
+                size -= len(of_lang)
+                of_lang.update(set(_TERM.findall(raw, bounds[i], bounds[i + 1])))
+                size += len(of_lang)
+                if size >= HELD:
                     yield out()
+                    size = 0
         if found:
             yield out()
 
@@ -266,23 +275,23 @@ def _streamed(shared):
         fsts = {at: (Transducer.from_bytes(raw), first, last) for at, (raw, first, last) in shared.value.items()}
         starts: dict[tuple[int, str], tuple[int, int]] = {}
         groups: dict[tuple[str, str], int] = {}
-        held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        held: list[tuple[np.ndarray, np.ndarray]] = []  # (group << PLACE) + ordinal, occurrences
 
         def merged():
-            group, ordinal, n = (np.concatenate(x) for x in zip(*held))
-            by = np.lexsort((ordinal, group))
-            group, ordinal, n = group[by], ordinal[by], n[by]
-            first = np.flatnonzero(np.r_[True, (group[1:] != group[:-1]) | (ordinal[1:] != ordinal[:-1])])
-            held[:] = [(group[first], ordinal[first], np.add.reduceat(n, first))]
+            name, n = (np.concatenate(x) for x in zip(*held))
+            by = np.argsort(name)
+            name, n = name[by], n[by]
+            first = np.flatnonzero(np.r_[True, name[1:] != name[:-1]])
+            held[:] = [(name[first], np.add.reduceat(n, first))]
             return len(first)
 
         def out():
             names = list(groups)
-            group, ordinal, n = held.pop()
-            columns = [pa.array([x[i] for x in names]).take(pa.array(group)) for i in (0, 1)]
+            name, n = held.pop()
+            columns = [pa.array([x[i] for x in names]).take(pa.array(name >> PLACE)) for i in (0, 1)]
             held.clear()
             groups.clear()
-            return pa.RecordBatch.from_arrays([*columns, pa.array(ordinal), pa.array(n)], ["lang", "source", "ord", "n"])
+            return pa.RecordBatch.from_arrays([*columns, pa.array(name & ((1 << PLACE) - 1)), pa.array(n)], ["lang", "source", "ord", "n"])
 
         for batch in batches:
             langs = batch.column(0).to_pylist()
@@ -290,7 +299,7 @@ def _streamed(shared):
             data, bounds = _bytes(batch.column(2))
             start, end = _runs(data, bounds)
             row = np.searchsorted(bounds, start, "right") - 1
-            head = _head(data, start, end)
+            head, seen = _head(data, start, end), []
             for number, (fst, first, last) in fsts.items():
                 for lang in set(langs):
                     if (number, lang) not in starts:
@@ -301,10 +310,15 @@ def _streamed(shared):
                 some = np.flatnonzero((state[row] >= 0) & (head >= least[row]) & (head <= most[row]))
                 place = fst.run(data, start[some], end[some], state[row[some]], total[row[some]])
                 good = place >= 0
-                held.append((of_row[row[some[good]]], place[good] + number, np.ones(int(good.sum()), dtype=np.int64)))
+                seen.append((of_row[row[some[good]]] << PLACE) + place[good] + number)
+            of_batch = counted(np.concatenate(seen))
+            if len(of_batch[0]):
+                held.append(of_batch)
             starts.clear() if len(starts) > HELD else None
-            if sum(len(x[0]) for x in held) >= 4 * HELD and merged() >= HELD:
+            full = sum(len(x[0]) for x in held) >= 4 * HELD and merged() >= HELD
+            if held and (full or len(groups) >= HELD and merged()):
                 yield out()
+            groups.clear() if not held else None
         if held and merged():
             yield out()
 
@@ -313,11 +327,10 @@ def _streamed(shared):
 
 def _head(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     """The first eight bytes of strings as numbers of the same order."""
-    out = np.zeros(len(start), dtype=np.uint64)
-    for k in range(8):
-        has = start + k < end
-        out[has] |= data[start[has] + k].astype(np.uint64) << np.uint64(56 - 8 * k)
-    return out
+    padded = np.r_[data, np.zeros(8, dtype=np.uint8)]
+    eight = np.ndarray(len(data) + 1, dtype=">u8", buffer=padded, strides=(1,))  # the eight bytes from every place on
+    past = np.maximum(8 - (end - start), 0).astype(np.uint64) * np.uint64(8)
+    return eight[start].astype(np.uint64) >> past << past
 
 
 def _bounds(name: bytes, first: bytes, last: bytes) -> tuple[int, int]:

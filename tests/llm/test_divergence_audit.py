@@ -4,6 +4,7 @@ import random
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from clientele.llm import divergence_audit
@@ -72,3 +73,19 @@ def test_transducer_is_minimal_and_gives_places():
             endings.setdefault(t[:i], set()).add(t[i:])
     assert len(fst.base) == len({frozenset(x) for x in endings.values()})
     assert Transducer.build([]).prefix(b"a") == (-1, 0)
+
+
+def test_tasks_without_kept_terms_and_words_of_all_lengths():
+    terms = sorted([b"en\x00ab", b"en\x00" + b"q" * 8, b"en\x00" + b"q" * 9])
+
+    class Shared:
+        value = {0: (Transducer.build(terms).to_bytes(), terms[0], terms[-1])}
+
+    def rows(*texts):
+        return pa.RecordBatch.from_pylist([{"lang": "en", "source": s, "text": t} for s, t in texts])
+
+    count = divergence_audit._streamed(Shared)
+    assert list(count(iter([rows(("s", "no kept term"), ("s", ""))]))) == []
+    asked = [rows(("s", "AB ab abc"), ("t", "none")), rows(("s", "ab " + "q" * 8), ("t", "Q" * 9 + " ab a")), rows(("u", ""))]
+    got = [tuple(r.values()) for batch in count(iter(asked)) for r in batch.to_pylist()]
+    assert sorted(got) == [("en", "s", 0, 3), ("en", "s", 1, 1), ("en", "t", 0, 1), ("en", "t", 2, 1)]
