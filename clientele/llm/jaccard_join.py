@@ -17,9 +17,16 @@ Equal sets are one node throughout, named by the set's hash.  Components need
 no list of all pairs: in each of ``STARS`` rounds the sets of a token are
 compared with a few pivots, and what links joins a component.  A frequent
 token's sets are dealt to parts anew each round, each with a pivot of its own
-out of the largest component there.  A last round then verifies every
+out of the largest component there; these rounds look at one token in ``THINNED`` only,
+as they need not find all.  From the third on the sets of a frequent token are
+compared by the token before it: sets that lack the same tokens of a passage
+have the same one there, and the pivot is the set with least of its own.  A last round then verifies every
 remaining candidate pair whose sets lie in different components, so no link
 between components is missed; pairs within one component need no further look.
+There a large group of sets that share a passage and differ from each other
+would meet in all its pairs.  So at a token of ``CROWD`` sets or more, sets meet
+with a parity sketch, whose differing bits are no more than the tokens in which
+the sets differ, and only pairs that may link by that become rows.
 Tables of a round are deleted when the next one has been written.
 
 The exactness rests on 64-bit hashes of shingles and of sets being distinct.
@@ -58,10 +65,15 @@ FREQUENT = 1 << 17
 SALTS = 16
 #: Rounds of comparing with pivots, pivots a set is compared with in a round, and
 #: members compared in one group.
-STARS, PIVOTS, GROUP = 2, 3, 512
+STARS, PIVOTS, GROUP = 3, 3, 512
+#: One token in so many is looked at in the rounds of pivots (a power of two).
+THINNED = 4
+#: Sets of a token from which on they meet with sketches, and the sketch's 64-bit words.
+CROWD, WORDS = 64, 8
 #: Bits of the filter that tells which sets are needed (4 MB, whatever the input).
 FILTER_BITS = 1 << 25
 
+
 def shingles(text: str | None) -> np.ndarray:
     """The text's distinct shingles, as sorted 64-bit hashes."""
     h = word_hashes(text)
@@ -251,8 +263,8 @@ def may_hold(mask: np.ndarray, key: int) -> bool:
 
 
 def sets_of(docs: DataFrame, keys: DataFrame) -> DataFrame:
-    """key, tokens, counts (binary): the sets of ``keys``, once each, and their
-    ``bucket_counts``.
+    """key, tokens, counts (binary), sketch: the sets of ``keys``, once each,
+    their ``bucket_counts`` and their ``parities``.
 
     Tasks leave out sets that the filter excludes; its size is fixed, and what
     it lets through needlessly the join drops.
@@ -263,7 +275,7 @@ def sets_of(docs: DataFrame, keys: DataFrame) -> DataFrame:
         import pyarrow as pa
         mask, seen = shared.value, set()
         for batch in batches:
-            out_key, out, counts = [], [], []
+            out_key, out, counts, sketch = [], [], [], []
             for t in batch.column(0).to_pylist():
                 s = shingles(t)
                 if not len(s) or (k := set_key(s)) in seen or not may_hold(mask, k):
@@ -272,10 +284,11 @@ def sets_of(docs: DataFrame, keys: DataFrame) -> DataFrame:
                 out_key.append(k)
                 out.append(s.tobytes())
                 counts.append(bucket_counts(s).tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array(out_key, pa.int64()), pa.array(out, pa.binary()), pa.array(counts, pa.binary())],
-                                             ["key", "tokens", "counts"])
+                sketch.append(parities(s))
+            yield pa.RecordBatch.from_arrays([pa.array(out_key, pa.int64()), pa.array(out, pa.binary()), pa.array(counts, pa.binary()),
+                                              pa.array(sketch, pa.list_(pa.int64()))], ["key", "tokens", "counts", "sketch"])
 
-    found = docs.select("text").mapInArrow(local, "key long, tokens binary, counts binary")
+    found = docs.select("text").mapInArrow(local, "key long, tokens binary, counts binary, sketch array<long>")
     return found.join(keys, "key", "left_semi").dropDuplicates(["key"])
 
 
@@ -287,6 +300,23 @@ def bucket_counts(s: np.ndarray) -> np.ndarray:
     return np.minimum(counts, 255).astype(np.uint8)
 
 
+def parities(s: np.ndarray) -> np.ndarray:
+    """For each of 64 * WORDS buckets whether a set has an odd number of tokens
+    there, as bits of WORDS integers.
+
+    A token that only one of two sets has changes one bit, so the bits in which
+    two sketches differ are at most the tokens in which the sets differ.
+    """
+    odd = np.bincount((s >> np.uint64(32)).astype(np.int64) & (64 * WORDS - 1), minlength=64 * WORDS) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
+def _near(percent: int):
+    """Whether the sketches differ in no more bits than linked sets in tokens."""
+    bits = reduce(lambda x, y: x + y, [F.bit_count(F.col("sketch_a")[i].bitwiseXOR(F.col("sketch_b")[i])) for i in range(WORDS)])
+    return bits * (100 + percent) <= (F.col("n_a") + F.col("n_b")) * (100 - percent)
+
+
 def may_link(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     """Whether sets of these bucket counts may link: they share at most the
     smaller count of each bucket."""
@@ -370,12 +400,16 @@ def closing_pairs(live: DataFrame, percent: int = PERCENT) -> DataFrame:
 
     Only the first token that two sets share has to bring them together.  It
     passes ``_may_reach``, and the tokens before it differ (or it is the first
-    of both), so a passage that many sets share makes about one row a pair.
+    of both), so a passage that many sets share makes about one row a pair.  If
+    ``live`` has sketches, it is a row only if they are ``_near``.
     """
-    left, right = (live.select("token", *[F.col(c).alias(f"{c}_{s}") for c in ("key", "n", "at", "prev", "comp")])
-                   for s in "ab")
+    columns = [c for c in ("key", "n", "at", "prev", "comp", "sketch") if c in live.columns]
+    left, right = (live.select("token", *[F.col(c).alias(f"{c}_{s}") for c in columns]) for s in "ab")
     first = (F.col("prev_a") != F.col("prev_b")) | ((F.col("at_a") == 0) & (F.col("at_b") == 0))
-    return (left.join(right, "token").filter((F.col("comp_a") < F.col("comp_b")) & first & _may_reach(percent))
+    may = (F.col("comp_a") < F.col("comp_b")) & first & _may_reach(percent)
+    if "sketch" in columns:
+        may = may & _near(percent)
+    return (left.join(right, "token").filter(may)
             .select(F.least("key_a", "key_b").alias("a"), F.greatest("key_a", "key_b").alias("b")).distinct())
 
 
@@ -395,40 +429,53 @@ def joined(docs: DataFrame, percent: int = PERCENT, stars: int = STARS) -> tuple
     comp: DataFrame | None = None
     tried: list[DataFrame] = []
     for r in range(stars + 1):
+        if r == stars:  # the first token that sets share comes early in both
+            now = met.filter((F.col("n") - F.col("at")) * 100 >= F.col("n") * percent)
+        elif r < 2:
+            now = met.filter(F.col("token").bitwiseAND(F.lit(THINNED - 1)) == 0)
+        else:
+            now = met.filter("salt != 0")
         if comp is None:
-            live = met.withColumns({"comp": F.col("key"), "size": F.lit(1).cast("long")})
+            now = now.withColumns({"comp": F.col("key"), "size": F.lit(1).cast("long")})
         else:
             held = comp.groupBy("comp").agg(F.count("*").alias("size"))
-            now = (met.join(comp.join(held, "comp"), "key", "left")
+            now = (now.join(comp.join(held, "comp"), "key", "left")
                    .withColumns({"comp": F.coalesce("comp", "key"), "size": F.coalesce("size", F.lit(1).cast("long"))}))
-            # tokens that sets of at least two components hold
-            split = (now.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
-                     .filter("lo != hi").select("token"))
-            live = staged(now.join(split, "token", "left_semi"))
+        # tokens that sets of at least two components hold
+        split = (now.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("held"))
+                 .filter("lo != hi").select("token", "held"))
         if r < stars:
+            live = now.join(split, "token", "left_semi") if r else now
             # at first the pivot has the least of its own before the token, so it links
-            # to most; later it is a set of like size out of the largest component there,
+            # to most; then it is a set of like size out of the largest component there,
             # so that a group whose members seldom share their first tokens hangs together
-            if r:
+            if r == 1:
                 order = [F.col("size").desc(), F.xxhash64("key", F.lit(r)), "key"]
                 like = F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent
+                sizes = F.floor(F.log("n") / F.lit(math.log(100 / percent)) + F.lit(r / 2))
             else:
-                order = [F.col("at") / F.col("n"), F.xxhash64("key"), "key"]
-                like = _may_reach(percent)
-            sizes = F.floor(F.log("n") / F.lit(math.log(100 / percent)) + F.lit(r / 2)) if r else F.lit(0)
-            # dealt anew each round: the parts of a token become components of their own
-            part = F.when(F.col("salt") == 0, F.lit(0)).otherwise(1 + F.pmod(F.xxhash64("key", F.lit(r)), F.lit(SALTS)).cast("int"))
-            by = W.partitionBy("token", part, sizes).orderBy(*order).rowsBetween(W.unboundedPreceding, W.currentRow)
-            pairs = (live.withColumns({"a": F.first("key").over(by), "n_a": F.first("n").over(by),
-                                       "at_a": F.first("at").over(by), "comp_a": F.first("comp").over(by)})
-                     .withColumnsRenamed({"key": "b", "n": "n_b", "at": "at_b"})
+                order = [F.col("at") / F.col("n"), F.xxhash64("key", F.lit(r)), "key"]
+                like, sizes = _may_reach(percent), F.lit(0)
+            pivot = {"a": "key", "n_a": "n", "at_a": "at", "comp_a": "comp"}
+            if r < 2:
+                # dealt anew each round: the parts of a token become components of their own
+                part = F.when(F.col("salt") == 0, F.lit(0)).otherwise(1 + F.pmod(F.xxhash64("key", F.lit(r)), F.lit(SALTS)).cast("int"))
+                by = W.partitionBy("token", part, sizes).orderBy(*order).rowsBetween(W.unboundedPreceding, W.currentRow)
+                met_by = live.withColumns({to: F.first(c).over(by) for to, c in pivot.items()})
+            else:  # sums up before the shuffle, as a passage's sets mostly have the same token before
+                first = F.min(F.struct(*order[:2], *[F.col(c).alias(to) for to, c in pivot.items()]))
+                met_by = live.join(live.groupBy("token", "prev").agg(first.alias("first")), ["token", "prev"]).select("*", "first.*")
+                met_by = met_by.select("key", "n", "at", "comp", *pivot)
+            pairs = (met_by.withColumnsRenamed({"key": "b", "n": "n_b", "at": "at_b"})
                      .filter((F.col("comp") != F.col("comp_a")) & like))
             # each set is compared with the pivots it meets most often; it has no more than prefix tokens
             most = F.slice(F.sort_array(F.collect_list(F.struct("times", "a")), asc=False), 1, PIVOTS)
             pairs = (pairs.groupBy("a", "b").agg(F.count("*").alias("times"))
                      .groupBy("b").agg(most.alias("most")).select(F.explode("most.a").alias("a"), "b"))
         else:
-            pairs = closing_pairs(live, percent)
+            live = staged(now.join(split, "token").select("token", "key", "n", "at", "prev", "comp", "held"))
+            crowd = live.filter(F.col("held") >= CROWD).join(sets.select("key", "sketch"), "key")
+            pairs = closing_pairs(live.filter(F.col("held") < CROWD), percent).unionByName(closing_pairs(crowd, percent)).distinct()
         if tried:
             before = reduce(DataFrame.unionByName, tried)
             pairs = pairs.join(before.unionByName(before.select(F.col("b").alias("a"), F.col("a").alias("b"))),

@@ -91,3 +91,55 @@ def test_bucket_counts_bound_what_sets_share():
     assert dropped >= 8
     many = np.arange(600, dtype=np.uint64) << np.uint64(20)  # all in one bucket: counts end at 255
     assert jaccard_join.may_link(jaccard_join.bucket_counts(many), jaccard_join.bucket_counts(many[:500]), 80)
+
+
+def _crowd() -> list[str]:
+    """Copies of a passage, each with one to five words replaced, without the passage itself."""
+    rng = random.Random(11)
+    passage = [f"p{i}" for i in range(150)]
+    texts = []
+    for _ in range(160):
+        words = list(passage)
+        for at in rng.sample(range(150), rng.choice((1, 2, 3, 3, 4, 5))):
+            words[at] = f"w{rng.randrange(5000)}"
+        texts.append(" ".join(words))
+    return texts
+
+
+def test_a_crowd_meets_in_few_pairs_and_loses_no_link(spark, monkeypatch):
+    prepare(spark)
+    texts = _crowd() + _texts(4)[:60]
+    sets = [_shingles(t) for t in texts]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    made, closing = [], jaccard_join.closing_pairs
+
+    def counted(*args):
+        pairs = closing(*args)
+        made.append(pairs.count())
+        return pairs
+
+    monkeypatch.setattr(jaccard_join, "closing_pairs", counted)
+    for stars in (0, jaccard_join.STARS):
+        made.clear()
+        got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard_join.cluster(docs, stars=stars).collect()}
+        assert got == {i: (len(sets[i]), c) for i, c in enumerate(_brute(sets))}
+    assert sum(made) < 2 * len(texts)  # after the rounds of pivots; 160 copies have 12,720 pairs
+
+
+def test_sketches_bound_what_sets_differ_in(spark):
+    import numpy as np
+    from pyspark.sql import functions as F
+    rng = np.random.default_rng(3)
+    rows = []
+    for n in (1, 40, 150, 600):
+        for edits in (0, 1, n // 20, n // 9, n // 4, n):
+            both = rng.integers(0, 1 << 63, n, dtype=np.uint64)
+            a, b = (np.unique(np.concatenate([both[edits:], rng.integers(0, 1 << 63, edits, dtype=np.uint64)])) for _ in "ab")
+            common = len(np.intersect1d(a, b))
+            rows.append((len(a), len(b), jaccard_join.parities(a).tolist(), jaccard_join.parities(b).tolist(),
+                         100 * common >= 80 * (len(a) + len(b) - common)))
+    pairs = spark.createDataFrame(rows, "n_a int, n_b int, sketch_a array<long>, sketch_b array<long>, links boolean")
+    got = pairs.groupBy("links").agg(F.min(jaccard_join._near(80)).alias("all"), F.max(jaccard_join._near(80)).alias("any"),
+                                     F.sum((~jaccard_join._near(80)).cast("int")).alias("dropped")).collect()
+    assert {r["links"]: r["all"] for r in got}[True]
+    assert {r["links"]: r["dropped"] for r in got}[False] >= 6
