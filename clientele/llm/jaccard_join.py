@@ -11,7 +11,8 @@ longer than needed, so linked sets share that many more tokens there, and sets
 and pairs that share fewer are dropped.  A pair then meets with its sets' tokens
 counted in hash buckets, an upper bound of what they share, and only what may
 link by that is sent the whole sets.  There the other orders have to agree, and
-pairs that pass all are verified.
+pairs that pass all are verified.  Sets are written where their documents are
+read, and those that a round's pairs need are sent from there.
 
 Equal sets are one node throughout, named by the set's hash.  Components need
 no list of all pairs: in each of ``STARS`` rounds the sets of a token are
@@ -44,6 +45,7 @@ from collections.abc import Iterator
 from functools import reduce
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
@@ -193,9 +195,8 @@ def frequent_tokens(profiled: DataFrame) -> Orders:
 
 
 def postings(docs: DataFrame, orders: Orders, percent: int = PERCENT) -> DataFrame:
-    """token, salt, key, n, at, prev: first-order prefix tokens of a task's
-    distinct sets, each one's place in its set (from 0) and the token before it
-    (the first one has itself)."""
+    """token, salt, key, n, at: first-order prefix tokens of a task's distinct
+    sets and each one's place in its set (from 0)."""
     shared = docs.sparkSession.sparkContext.broadcast(orders)  # FREQUENT tokens at most
 
     def local(batches: Iterator) -> Iterator:
@@ -216,14 +217,13 @@ def postings(docs: DataFrame, orders: Orders, percent: int = PERCENT) -> DataFra
                 continue
             token, key = np.concatenate(tokens), np.repeat(np.array(keys, np.int64), counts)
             at = np.concatenate([np.arange(c, dtype=np.int32) for c in counts])
-            prev = np.where(at == 0, token, np.roll(token, 1))
             salt = np.where(shared.value.frequent(token), 1 + key % SALTS, 0).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(token.view(np.int64)), pa.array(salt), pa.array(key),
-                 pa.array(np.repeat(np.array(sizes, np.int32), counts)), pa.array(at), pa.array(prev.view(np.int64))],
-                ["token", "salt", "key", "n", "at", "prev"])
+                 pa.array(np.repeat(np.array(sizes, np.int32), counts)), pa.array(at)],
+                ["token", "salt", "key", "n", "at"])
 
-    return docs.select("text").mapInArrow(local, "token long, salt int, key long, n int, at int, prev long")
+    return docs.select("text").mapInArrow(local, "token long, salt int, key long, n int, at int")
 
 
 def meeting(posted: DataFrame) -> DataFrame:
@@ -238,7 +238,21 @@ def meeting(posted: DataFrame) -> DataFrame:
     other = (F.col("key") != F.col("first")) & (F.col("key") != F.col("prior"))
     leads = (F.col("key") == F.col("first")) & F.col("next").isNotNull() & (F.col("next") != F.col("key"))
     alone = (F.col("salt") != 0) & F.col("next").isNull() & (F.col("key") == F.col("first"))
-    return rows.filter(other | leads | alone).select("token", "salt", "key", "n", "at", "prev")
+    return rows.filter(other | leads | alone).select("token", "salt", "key", "n", "at")
+
+
+def sharing(met: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """The meeting postings of sets that share with others as many tokens as a
+    link needs, and ``prev``, the token before each (the first has itself).
+
+    ``prev`` is null if no other set holds the token before, which differs then
+    from what any other set has there.  A set has no more rows than its prefix.
+    """
+    w = W.partitionBy("key").orderBy("at")
+    prev = F.when(F.col("at") == 0, F.col("token")).when(F.lag("at").over(w) == F.col("at") - 1, F.lag("token").over(w))
+    whole = w.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
+    return (met.withColumns({"prev": prev, "met": F.count("*").over(whole)})
+            .filter(F.col("met") >= _shared(F.col("n"), percent)).drop("met"))
 
 
 #: Shifts that take the filter's bit numbers out of a set key, itself a hash.
@@ -262,12 +276,32 @@ def may_hold(mask: np.ndarray, key: int) -> bool:
     return all((int(mask[b >> 6]) >> (b & 63)) & 1 for b in bits)
 
 
+def among(values: DataFrame, keys: DataFrame) -> DataFrame:
+    """``values`` (key, value) of ``keys``, once each.
+
+    Rows that the keys' filter excludes stay where they are; its size is fixed,
+    and what it lets through needlessly a join with the keys has to drop.
+    """
+    shared = values.sparkSession.sparkContext.broadcast(key_filter(keys))
+
+    @F.pandas_udf("boolean")
+    def held(key: pd.Series) -> pd.Series:
+        u, may = key.to_numpy().view(np.uint64), np.ones(len(key), dtype=bool)
+        for p in _PIECES:
+            bit = (u >> np.uint64(p)) & np.uint64(FILTER_BITS - 1)
+            may &= (shared.value[bit >> np.uint64(6)] >> (bit & np.uint64(63))) & np.uint64(1) == 1
+        return pd.Series(may)
+
+    return values.filter(held("key")).dropDuplicates(["key"])
+
+
 def sets_of(docs: DataFrame, keys: DataFrame) -> DataFrame:
-    """key, tokens, counts (binary), sketch: the sets of ``keys``, once each,
-    their ``bucket_counts`` and their ``parities``.
+    """key, tokens, counts (binary), sketch: the sets of ``keys``, their
+    ``bucket_counts`` and their ``parities``.
 
-    Tasks leave out sets that the filter excludes; its size is fixed, and what
-    it lets through needlessly the join drops.
+    Each task makes its own: a set comes once for every task that has it, and
+    sets that the filter lets through needlessly come too.  Readers take those
+    they need ``among`` them.
     """
     shared = docs.sparkSession.sparkContext.broadcast(key_filter(keys))
 
@@ -288,8 +322,7 @@ def sets_of(docs: DataFrame, keys: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(out_key, pa.int64()), pa.array(out, pa.binary()), pa.array(counts, pa.binary()),
                                               pa.array(sketch, pa.list_(pa.int64()))], ["key", "tokens", "counts", "sketch"])
 
-    found = docs.select("text").mapInArrow(local, "key long, tokens binary, counts binary, sketch array<long>")
-    return found.join(keys, "key", "left_semi").dropDuplicates(["key"])
+    return docs.select("text").mapInArrow(local, "key long, tokens binary, counts binary, sketch array<long>")
 
 
 def bucket_counts(s: np.ndarray) -> np.ndarray:
@@ -343,7 +376,8 @@ def _agreeing(pairs: DataFrame, values: DataFrame, compare) -> DataFrame:
     partners = (pairs.join(parts, "a")
                 .select("a", F.pmod(F.xxhash64("a", "b"), F.col("parts")).cast("int").alias("part"), F.col("b").alias("key")))
     centres = parts.select("a", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.col("a").alias("key"))
-    wanted = partners.unionByName(centres).join(values, "key")
+    held = among(values, pairs.select(F.explode(F.array("a", "b")).alias("key")))
+    wanted = partners.unionByName(centres).join(held, "key")
 
     def check(key, table):
         import pyarrow as pa
@@ -405,7 +439,8 @@ def closing_pairs(live: DataFrame, percent: int = PERCENT) -> DataFrame:
     """
     columns = [c for c in ("key", "n", "at", "prev", "comp", "sketch") if c in live.columns]
     left, right = (live.select("token", *[F.col(c).alias(f"{c}_{s}") for c in columns]) for s in "ab")
-    first = (F.col("prev_a") != F.col("prev_b")) | ((F.col("at_a") == 0) & (F.col("at_b") == 0))
+    differ = F.coalesce(F.col("prev_a") != F.col("prev_b"), F.lit(True))  # null: no other set has it
+    first = differ | ((F.col("at_a") == 0) & (F.col("at_b") == 0))
     may = (F.col("comp_a") < F.col("comp_b")) & first & _may_reach(percent)
     if "sketch" in columns:
         may = may & _near(percent)
@@ -419,12 +454,8 @@ def joined(docs: DataFrame, percent: int = PERCENT, stars: int = STARS) -> tuple
     profiled = staged(profile(docs))
     members = profiled.filter("kind = 0").select(F.col("a").alias("doc_id"), F.col("b").alias("key"), "n")
     orders = frequent_tokens(profiled)
-    posted = staged(meeting(postings(docs, orders, percent)))
-    keys = staged(posted.groupBy("key").agg(F.count("*").alias("met"), F.first("n").alias("n"))
-                  .filter(F.col("met") >= _shared(F.col("n"), percent)).select("key"))
-    met = staged(posted.join(keys, "key", "left_semi"))  # every round reads it
-    discard(posted)
-    sets = staged(sets_of(docs, keys))
+    met = staged(sharing(meeting(postings(docs, orders, percent)), percent))  # every round reads it
+    sets = staged(sets_of(docs, met.select("key").distinct()))
 
     comp: DataFrame | None = None
     tried: list[DataFrame] = []
@@ -474,7 +505,7 @@ def joined(docs: DataFrame, percent: int = PERCENT, stars: int = STARS) -> tuple
                      .groupBy("b").agg(most.alias("most")).select(F.explode("most.a").alias("a"), "b"))
         else:
             live = staged(now.join(split, "token").select("token", "key", "n", "at", "prev", "comp", "held"))
-            crowd = live.filter(F.col("held") >= CROWD).join(sets.select("key", "sketch"), "key")
+            crowd = live.filter(F.col("held") >= CROWD).join(sets.select("key", "sketch").dropDuplicates(["key"]), "key")
             pairs = closing_pairs(live.filter(F.col("held") < CROWD), percent).unionByName(closing_pairs(crowd, percent)).distinct()
         if tried:
             before = reduce(DataFrame.unionByName, tried)
@@ -488,7 +519,7 @@ def joined(docs: DataFrame, percent: int = PERCENT, stars: int = STARS) -> tuple
         links = found if comp is None else found.unionByName(comp.select(F.col("key").alias("a"), F.col("comp").alias("b")))
         last, comp = comp, components(links)
         discard(last, found)
-    discard(met, keys, sets, *tried)
+    discard(met, sets, *tried)
     return members, comp
 
 

@@ -143,3 +143,41 @@ def test_sketches_bound_what_sets_differ_in(spark):
                                      F.sum((~jaccard_join._near(80)).cast("int")).alias("dropped")).collect()
     assert {r["links"]: r["all"] for r in got}[True]
     assert {r["links"]: r["dropped"] for r in got}[False] >= 6
+
+
+def _exchanges(df) -> int:
+    return df._jdf.queryExecution().executedPlan().toString().count("Exchange")
+
+
+def test_sets_stay_where_they_are_made_and_only_needed_ones_are_sent(spark):
+    prepare(spark)
+    texts = [f"a{i} b{i} c{i} d{i} e{i} f{i}" for i in range(200)]
+    docs = spark.createDataFrame([(t,) for t in texts * 2], "text string").repartition(4)
+    key = [jaccard_join.set_key(jaccard_join.shingles(t)) for t in texts]
+    all_keys = spark.createDataFrame([(k,) for k in key], "key long")
+    made = jaccard_join.sets_of(docs, all_keys)
+    # the docs' own exchange, and no second one for the sets
+    assert _exchanges(made) == _exchanges(docs.select("text"))
+    assert {r["key"] for r in made.select("key").collect()} == set(key)
+    values = made.selectExpr("key", "tokens as value")
+    got = jaccard_join.among(values, all_keys.filter(all_keys.key.isin(key[:5]))).collect()
+    assert len(got) == len({r["key"] for r in got}) < 20  # once each; the filter may let a few others through
+    assert {r["key"]: bytes(r["value"]) for r in got if r["key"] in key[:5]} == \
+        {k: jaccard_join.shingles(t).tobytes() for k, t in zip(key[:5], texts[:5])}
+
+
+def test_the_token_before_is_found_among_what_met(spark):
+    """Postings carry no token before; one that no other set holds is null and differs from all."""
+    import numpy as np
+    prepare(spark)
+    none = jaccard_join.Orders(np.zeros(0, np.uint64), np.zeros(0, np.int64))
+    assert "prev" not in jaccard_join.postings(spark.createDataFrame([("a b",)], "text string"), none).columns
+    rows = [(100 + at, 0, 1, 60, at) for at in (0, 1, 2, 5, 6)] + [(105, 0, 2, 60, 3)]
+    met = spark.createDataFrame(rows, "token long, salt int, key long, n int, at int")
+    got = {(r["key"], r["at"]): r["prev"] for r in jaccard_join.sharing(met).collect()}
+    # set 2 shares one token, and sets of 60 need four
+    assert got == {(1, 0): 100, (1, 1): 100, (1, 2): 101, (1, 5): None, (1, 6): 105}
+    live = spark.createDataFrame([(105, 1, 60, 5, None, 1), (105, 2, 60, 3, None, 2), (105, 3, 60, 3, 7, 3), (105, 4, 60, 3, 7, 4)],
+                                 "token long, key long, n int, at int, prev long, comp long")
+    pairs = {(r["a"], r["b"]) for r in jaccard_join.closing_pairs(live).collect()}
+    assert pairs == {(1, 2), (1, 3), (1, 4), (2, 3), (2, 4)}
