@@ -151,3 +151,53 @@ def test_rounds_that_tasks_repeat_stay_few(spark, monkeypatch):
     assert max(most) <= 1
     for g, w in zip(got, want):
         assert abs(g.cost - w.cost) < 1e-8 and np.allclose(g.centers, w.centers) and (g.sizes == w.sizes).all()
+
+
+def test_rounds_work_on_the_rows_that_can_move(spark, monkeypatch):
+    """Transfers read few rows, whatever the rows of the table."""
+    rng = np.random.default_rng(9)
+    x = np.vstack([rng.normal(c, 1.0, size=(2000, 3)) for c in ((0, 0, 0), (6, 0, 0), (0, 6, 0))])
+    keep, shares = kmeans._kept, []
+
+    def counted(blocks, runs, anchors, dim):
+        out = keep(blocks, runs, anchors, dim)
+        kept = [0] * len(runs)
+        for r in out.select("kept").collect():
+            for i, raw in enumerate(r["kept"]):
+                kept[i] += len(kmeans.Kept.read(raw, len(runs[i].centers), dim).places)
+        shares.extend(n / len(x) for n in kept)
+        return out
+
+    monkeypatch.setattr(kmeans, "_kept", counted)
+    starts = [x[rng.choice(len(x), size=3, replace=False)] for _ in range(4)]
+    runs = kmeans.fit(kmeans.packed(_frame(spark, x), ["c0", "c1", "c2"]), starts, 100)
+    assert shares and np.mean(shares) < 0.05
+    for run in runs:
+        d = ((x[:, None, :] - run.centers[None]) ** 2).sum(axis=2)
+        assert abs(_cost(x.tolist(), d.argmin(axis=1).tolist(), 3) - run.cost) < 1e-6
+
+
+@pytest.mark.parametrize("span, least", [(0.0, 0.0), (0.5, 0.0), (3.0, 1e-3), (1e9, 1e-3), (3.0, 0.3)])
+def test_reach_changes_no_run(spark, monkeypatch, span, least):
+    """All rows kept, few, and runs that are settled anew all the time: the same."""
+    rng = np.random.default_rng(21)
+    x = np.round(rng.normal(size=(300, 3)), 2)
+    x = np.vstack([x, x[:40], x[:40]])
+    starts = [x[rng.choice(300, size=k, replace=False)] for k in (2, 5, 8) for _ in range(2)]
+    blocks = kmeans.packed(_frame(spark, x), ["c0", "c1", "c2"])
+    monkeypatch.setattr(kmeans, "LEAST_REACH", 1e12)  # nothing is settled
+    want = kmeans.fit(blocks, starts, 8)
+    monkeypatch.setattr(kmeans, "SPAN", span)
+    monkeypatch.setattr(kmeans, "LEAST_REACH", least)
+    for g, w in zip(kmeans.fit(blocks, starts, 8), want):
+        assert abs(g.cost - w.cost) < 1e-8 and (g.sizes == w.sizes).all() and np.allclose(g.centers, w.centers)
+
+
+def test_equal_centres_share_no_row(spark, points):
+    """Rows as near to two centres belong to the first."""
+    start = points[[0, 0, 20]]
+    total = kmeans._step(kmeans.packed(_frame(spark, points), ["c0", "c1"]), [kmeans.Run(start)], 2)
+    d = ((points[:, None, :] - start[None]) ** 2).sum(axis=2)
+    label = d.argmin(axis=1)
+    assert total.sizes.tolist() == [(label == j).sum() for j in range(3)] and total.sizes[1] == 0
+    assert np.allclose(total.sums, [points[label == j].sum(axis=0) for j in range(3)])
