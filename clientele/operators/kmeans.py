@@ -42,7 +42,7 @@ from clientele.session import cut_lineage, discard, staged
 BLOCK, FAN_IN = 16384, 16
 #: Rows of a block that are worked on at once, so that their distances to all
 #: centres stay in a core's cache; of one run alone.
-CHUNK, CHUNK_OF_ONE = 256, 4096
+CHUNK, CHUNK_OF_ONE = 384, 4096
 #: Rounds of a run that tasks repeat before it is settled anew.
 REPLAYED = 8
 #: An anchor's reach as a multiple of the centres' last way, and at least as a part
@@ -183,6 +183,10 @@ def _labels(x, norms, runs: list[Run], kept: np.ndarray | None, block: int, plac
     return label
 
 
+def _norms(x: np.ndarray) -> np.ndarray:
+    return np.einsum("ij,ij->i", x, x)
+
+
 def _with_ones(x: np.ndarray) -> np.ndarray:
     return np.concatenate([x, np.ones((len(x), 1))], axis=1)
 
@@ -323,7 +327,8 @@ class Sums:
             self.sums[own] += found[:, j, :-1]
 
     def of_block(self, block: int, x: np.ndarray, runs: list[Run], held: list | None = None) -> None:
-        norms, places, ones = (x ** 2).sum(axis=1), np.arange(len(x)), _with_ones(x)
+        norms, places = _norms(x), np.arange(len(x))
+        ones = _with_ones(x) if any(r.rounds is None for r in runs) else None
         self.raw[-1] += norms.sum()
         for at in _alike(runs):
             own = [runs[i] for i in at]
@@ -357,7 +362,8 @@ class Sums:
 
 def packed(rows: DataFrame, cols: list[str]) -> DataFrame:
     """block, x: the rows' doubles in blocks, checkpointed; a block's number
-    and its order of rows are fixed by that."""
+    and its order of rows are fixed by that.  The rows are dealt evenly to tasks that
+    fill all cores, since each step waits for its last task."""
     def pack(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
@@ -373,7 +379,10 @@ def packed(rows: DataFrame, cols: list[str]) -> DataFrame:
         if len(rest):
             yield block(rest)
 
-    blocks = rows.select(*cols).mapInArrow(pack, "x binary")
+    rows = rows.select(*cols)
+    tasks, cores = rows.rdd.getNumPartitions(), rows.sparkSession.sparkContext.defaultParallelism
+    even = -(-tasks // cores) * cores
+    blocks = (rows if even == tasks else rows.repartition(even)).mapInArrow(pack, "x binary")
     return cut_lineage(blocks.select(F.monotonically_increasing_id().alias("block"), "x"))
 
 
@@ -421,7 +430,7 @@ def _kept(blocks: DataFrame, runs: list[Run], anchors: list[Anchor | None], dim:
         import pyarrow as pa
         for batch in batches:
             for block, x, held in _held(batch, dim):
-                norms, out = (x ** 2).sum(axis=1), []
+                norms, out = _norms(x), []
                 for run, to in zip(runs, anchors):
                     raw = None if run.column is None else held[run.column]
                     if to is not None:
